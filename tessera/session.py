@@ -36,6 +36,11 @@ def build_session(master: str | None = None, app: str = "tessera",
     conf = dict(SCALE_CONF)
     if shuffle_partitions:
         conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
+    # Python workers must import this package (mapInArrow steps): point them
+    # at its folder.  On a cluster ship it with --py-files instead.
+    pkg_root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    paths = [pkg_root] + [p for p in os.environ.get("PYTHONPATH", "").split(os.pathsep) if p]
+    conf["spark.executorEnv.PYTHONPATH"] = os.pathsep.join(dict.fromkeys(paths))
     conf.update(extra or {})
     for k, v in conf.items():
         builder = builder.config(k, v)

@@ -58,12 +58,12 @@ def read_whole_files(spark: SparkSession, path: str | Sequence[str],
     Each file is one task input and is held as one value, so this is meant
     for files that fit in an executor's memory (configs, small documents).
     """
-    reader = spark.read.option("wholetext", "true")
+    reader = spark.read
     if glob_filter:
         reader = reader.option("pathGlobFilter", glob_filter)
     if recursive:
         reader = reader.option("recursiveFileLookup", "true")
-    return reader.text(path).select(F.col("_metadata.file_path").alias("path"), "value")
+    return reader.text(path, wholetext=True).select(F.col("_metadata.file_path").alias("path"), "value")
 
 
 _HEADER_SCHEMA = T.StructType([T.StructField("path", T.StringType()),
