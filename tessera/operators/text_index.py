@@ -21,6 +21,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F, types as T
 
+from tessera.operators.layout import spread
+
 DEFAULT_BLOCK_SIZE = 100_000
 
 
@@ -34,6 +36,7 @@ def _check_doc_id(docs: DataFrame, doc_col: str) -> None:
 def term_counts(docs: DataFrame, doc_col: str = "doc_id", text_col: str = "text",
                 sep: str = " ") -> DataFrame:
     """``(word, doc_id, n)``: how often each word occurs in each document."""
+    docs = spread(docs.select(doc_col, text_col), doc_col)
     sorted_words = docs.select(
         F.col(doc_col).alias("doc_id"),
         F.sort_array(F.split(F.col(text_col), sep, -1)).alias("w"))
@@ -63,7 +66,7 @@ def posting_lists(docs: DataFrame, doc_col: str = "doc_id", text_col: str = "tex
     _check_doc_id(docs, doc_col)
     tc = term_counts(docs, doc_col, text_col)
     return (tc.groupBy("word", _block(F.col("doc_id"), block_size).alias("block"))
-              .agg(F.array_sort(F.collect_list("doc_id")).alias("doc_ids")))
+              .agg(F.sort_array(F.collect_list("doc_id")).alias("doc_ids")))
 
 
 def posting_lists_with_counts(docs: DataFrame, doc_col: str = "doc_id", text_col: str = "text",
@@ -73,12 +76,12 @@ def posting_lists_with_counts(docs: DataFrame, doc_col: str = "doc_id", text_col
     _check_doc_id(docs, doc_col)
     tc = term_counts(docs, doc_col, text_col)
     return (tc.groupBy("word", _block(F.col("doc_id"), block_size).alias("block"))
-              .agg(F.array_sort(F.collect_list(F.struct("doc_id", "n"))).alias("postings")))
+              .agg(F.sort_array(F.collect_list(F.struct("doc_id", "n"))).alias("postings")))
 
 
 def merge_posting_lists(a: F.Column, b: F.Column) -> F.Column:
     """Set union of two stored posting lists, kept sorted."""
-    return F.array_sort(F.array_union(a, b))
+    return F.sort_array(F.array_union(a, b))
 
 
 def render_ids(ids: F.Column) -> F.Column:

@@ -16,6 +16,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, functions as F
 
 from tessera.functions.parse import not_blank, split_fields, strict_int
+from tessera.operators.layout import spread
 
 
 def parse_traffic(lines: DataFrame, line_col: str = "value", key_field: int = 1,
@@ -23,6 +24,7 @@ def parse_traffic(lines: DataFrame, line_col: str = "value", key_field: int = 1,
                   sep: str = "\t") -> DataFrame:
     """``(key string, up int, down int)`` per counted line."""
     v = F.col(line_col)
+    lines = spread(lines.select(line_col))
     fields = lines.where(not_blank(v)).select(split_fields(v, sep).alias("f"))
     f = F.col("f")
     return (fields.where(F.size(f) >= min_fields)

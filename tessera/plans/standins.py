@@ -9,6 +9,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from tessera.operators.layout import spread
 from tessera.sources.tables import table
 
 # Fixed values of the stand-ins.
@@ -56,12 +57,13 @@ def jobs(spark: SparkSession, d: str) -> DataFrame:
 
 def traffic_lines(spark: SparkSession, d: str) -> DataFrame:
     """Tab-separated log lines (``value``), ten fields each: field 1 is the
-    supplier, field 8 the quantity, field 9 the tax in hundredths."""
+    supplier, field 8 the quantity, field 9 the tax in hundredths; the other
+    fields are filler taken from the same order line."""
     l = table(spark, d, "lineitem", "l_orderkey", "l_suppkey", "l_partkey", "l_linenumber",
-              "l_returnflag", "l_linestatus", "l_discount", "l_extendedprice", "l_quantity", "l_tax")
+              "l_returnflag", "l_linestatus", "l_quantity", "l_tax")
     return l.select(F.concat_ws(
         "\t", "l_orderkey", "l_suppkey", "l_partkey", "l_linenumber", "l_returnflag",
-        "l_linestatus", "l_discount", "l_extendedprice",
+        "l_linestatus", "l_orderkey", "l_partkey",
         F.col("l_quantity").cast("int"), F.round(F.col("l_tax") * 100).cast("int")).alias("value"))
 
 
