@@ -17,6 +17,8 @@ from pyspark.sql import DataFrame
 
 
 def spread(df: DataFrame, *keys: str) -> DataFrame:
+    if df.isStreaming:
+        return df
     spark = df.sparkSession
     target = spark.sparkContext.defaultParallelism
     if df.rdd.getNumPartitions() >= target:

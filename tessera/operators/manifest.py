@@ -119,5 +119,24 @@ def any_match(manifest: DataFrame, pattern: str, col: str = "uri") -> DataFrame:
     return hit.agg((F.count(F.lit(1)) > 0).alias("found"))
 
 
+def name_lists(manifest: DataFrame, block_size: int = 1000, sep: str = ",") -> DataFrame:
+    """Folder listings as text: ``(parent, block, names)`` with the entry
+    names of each folder sorted and joined by ``sep``.
+
+    A folder's listing is cut into blocks of ``block_size`` names by each
+    name's exact position in the sorted listing (``ranking.group_positions``),
+    so one text never grows with the folder; joining the blocks of a folder
+    in block order gives the whole listing.
+    """
+    from tessera.operators.ranking import group_positions
+
+    entries = with_parent(manifest).where(F.col("parent").isNotNull()).select(
+        "parent", base_name(F.col("uri")).alias("name"))
+    pos = group_positions(entries, "parent", "name")
+    block = (F.col("pos") / F.lit(block_size)).cast("long").alias("block")
+    return (pos.groupBy("parent", block)
+            .agg(F.array_join(F.sort_array(F.collect_list("name")), sep).alias("names")))
+
+
 def below_root(manifest: DataFrame, root: str) -> DataFrame:
     return manifest.where(is_under(strip_slash(F.col("uri")), root))

@@ -30,6 +30,7 @@ KEY_SEGMENT = "MACHINERY"  # row keys fetched / deleted in the cell table
 NAME_MARK = "*page-1*"
 MATCH_PATTERN = r"page-42\.html$"
 FOLDER_NAME = "en"
+LIST_BLOCK = 1000          # names per listing text
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -165,6 +166,11 @@ def any_match(spark, d):
     return manifest.any_match(si.page_files(spark, d), MATCH_PATTERN)
 
 
+def name_list(spark, d):
+    tree = manifest.with_parent_folders(si.page_files(spark, d), si.SOURCE_ROOT)
+    return manifest.name_lists(tree, LIST_BLOCK)
+
+
 QUERIES: dict[str, Query] = {
     "avg_rate_by_attr": avg_rate_by_attr,
     "top_titles_for_segment": top_titles_for_segment,
@@ -190,6 +196,7 @@ QUERIES: dict[str, Query] = {
     "name_filter": name_filter,
     "first_seen_per_type": first_seen_per_type,
     "any_match": any_match,
+    "name_list": name_list,
 }
 
 # ---------------------------------------------------------------- oracle SQL
@@ -350,6 +357,15 @@ ORACLE: dict[str, str] = {
     "first_seen_per_type": """
         SELECT event_type, epoch_us(arg_min(ts, event_id)) AS first_time
         FROM events GROUP BY event_type""",
+    "name_list": f"""
+        WITH {_TREE},
+             e AS (SELECT {_PARENT} AS parent, regexp_extract(uri, '([^/]*)$', 1) AS name
+                   FROM tree WHERE uri <> '/'),
+             p AS (SELECT parent, name,
+                          (row_number() OVER (PARTITION BY parent ORDER BY name) - 1) // {LIST_BLOCK} AS block
+                   FROM e)
+        SELECT parent, block, string_agg(name, ',' ORDER BY name) AS names
+        FROM p GROUP BY parent, block""",
     "any_match": f"""
         WITH {_PAGES}
         SELECT count(*) > 0 AS found

@@ -1,0 +1,21 @@
+"""``SHOW VERSION`` as a query: one row ``version`` naming the Spark, Java
+and Scala versions.  Built from SQL functions (``version()`` and
+``java_method``), so it needs no parser or command changes."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, SparkSession
+
+# Fixed text format of the version line.
+VERSION_FORMAT = "Spark Version: %s, Java Version: %s, Scala Version: %s"
+
+VERSION_SQL = f"""
+SELECT format_string('{VERSION_FORMAT}',
+                     split(version(), ' ')[0],
+                     java_method('java.lang.System', 'getProperty', 'java.version'),
+                     java_method('scala.util.Properties', 'versionNumberString')) AS version
+"""
+
+
+def show_version(spark: SparkSession) -> DataFrame:
+    return spark.sql(VERSION_SQL)

@@ -67,3 +67,19 @@ def test_names_siblings_times_match(spark):
     assert first.parent == "/f" and str(first.first_time) == "2024-01-03 00:00:00"
     assert mf.any_match(m, r"log-2\.txt$").first().found is True
     assert mf.any_match(m, r"nothing").first().found is False
+
+
+def test_group_positions_spread_a_hot_group(spark):
+    from tessera.operators.ranking import group_positions
+    rows = [("hot", f"n{i:04d}") for i in range(600)] + [("cold", "b"), ("cold", "a")]
+    df = spark.createDataFrame(rows, "g string, o string")
+    got = {(r.g, r.o): r.pos for r in group_positions(df, "g", "o", partitions=6).collect()}
+    assert got[("hot", "n0000")] == 0 and got[("hot", "n0599")] == 599
+    assert sorted(v for (g, _), v in got.items() if g == "hot") == list(range(600))
+    assert got[("cold", "a")] == 0 and got[("cold", "b")] == 1
+
+
+def test_name_lists_blocks(spark):
+    rows = [(f"/d/f{i:02d}", 1, "file") for i in range(7)] + [("/e/x", 1, "file")]
+    lists = {(r.parent, r.block): r.names for r in mf.name_lists(_m(spark, rows), block_size=3).collect()}
+    assert lists == {("/d", 0): "f00,f01,f02", ("/d", 1): "f03,f04,f05", ("/d", 2): "f06", ("/e", 0): "x"}
