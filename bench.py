@@ -28,6 +28,7 @@ HEADLINE = [
     "batch_index", "batch_slots", "cells_put", "cells_get", "cells_delete",
     "rebase_paths", "parent_folders", "copy_plan", "copy_plan_sources",
     "folder_sizes", "file_sizes", "name_filter", "first_seen_per_type", "any_match",
+    "name_list",
 ]
 
 
