@@ -16,11 +16,22 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 
 
+def default_parallelism(spark) -> int:
+    """Cores of the cluster, or the shuffle width where that is not exposed."""
+    try:
+        return spark.sparkContext.defaultParallelism
+    except Exception:  # sessions without a SparkContext (Spark Connect)
+        return int(spark.conf.get("spark.sql.shuffle.partitions"))
+
+
 def spread(df: DataFrame, *keys: str) -> DataFrame:
     if df.isStreaming:
         return df
-    spark = df.sparkSession
-    target = spark.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() >= target:
+    target = default_parallelism(df.sparkSession)
+    try:
+        planned = df.rdd.getNumPartitions()
+    except Exception:  # no RDD view (Spark Connect): leave the layout alone
+        return df
+    if planned >= target:
         return df
     return df.repartition(target, *keys) if keys else df.repartition(target)

@@ -22,6 +22,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, Window, functions as F
 
+from tessera.operators.layout import default_parallelism
 from tessera.session import checkpoint_dir
 
 
@@ -31,7 +32,7 @@ def group_positions(df: DataFrame, group_col: str, order_col: str,
     when the group is sorted by ``order_col`` (ties in any order)."""
     spark = df.sparkSession
     checkpoint_dir(spark)
-    n = partitions or max(spark.sparkContext.defaultParallelism,
+    n = partitions or max(default_parallelism(spark),
                           int(spark.conf.get("spark.sql.shuffle.partitions")))
     tagged = (df.repartitionByRange(n, group_col, order_col)
                 .withColumn("_piece", F.spark_partition_id())

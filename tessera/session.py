@@ -57,7 +57,10 @@ def checkpoint_dir(spark: SparkSession) -> str:
     when the session has none - local tests - a fresh temporary folder is
     set, so that ``DataFrame.checkpoint()`` works there too.
     """
-    sc = spark.sparkContext
+    try:
+        sc = spark.sparkContext
+    except Exception:  # Spark Connect: the server's configuration applies
+        return spark.conf.get("spark.checkpoint.dir", "")
     current = sc.getCheckpointDir()
     if current:
         return current
