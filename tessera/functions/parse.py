@@ -7,16 +7,25 @@ from pyspark.sql import Column, functions as F
 INT_MIN, INT_MAX = -(2 ** 31), 2 ** 31 - 1
 
 
+# Fixed value: the white-space characters of Java's regex class \s.
+WHITE_SPACE = " \t\n\u000b\f\r"
+_REGEX_META = set(".$|()[]{}^?*+\\")
+
+
 def not_blank(c: Column) -> Column:
     """True when the text holds a character other than white space."""
-    return c.isNotNull() & c.rlike(r"\S")
+    return c.isNotNull() & (F.length(F.btrim(c, F.lit(WHITE_SPACE))) > 0)
 
 
 def split_fields(c: Column, sep: str = "\t") -> Column:
     """Split like Java ``String.split(sep)``: empty fields inside and at the
     start are kept, empty fields at the end are dropped.  ``sep`` is a
     regular expression, as in Java."""
-    return F.split(F.regexp_replace(c, f"(?:{sep})+$", ""), sep, -1)
+    if len(sep) == 1 and sep not in _REGEX_META:
+        stripped = F.rtrim(c, F.lit(sep))
+    else:
+        stripped = F.regexp_replace(c, f"(?:{sep})+$", "")
+    return F.split(stripped, sep, -1)
 
 
 def strict_int(c: Column, what: str = "field") -> Column:

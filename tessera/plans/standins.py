@@ -22,7 +22,7 @@ CELL_BATCH_START = "2024-01-16 00:00:00"   # puts from here on form the second b
 def ratings(spark: SparkSession, d: str) -> DataFrame:
     """``(userid, movieid, rate)``: each order line is a rating of a part by
     the ordering customer, rated with its quantity."""
-    l = table(spark, d, "lineitem", "l_orderkey", "l_partkey", "l_quantity")
+    l = spread(table(spark, d, "lineitem", "l_orderkey", "l_partkey", "l_quantity"), "l_orderkey")
     o = table(spark, d, "orders", "o_orderkey", "o_custkey")
     return l.join(o, l["l_orderkey"] == o["o_orderkey"]).select(
         o["o_custkey"].alias("userid"), l["l_partkey"].alias("movieid"),
@@ -61,10 +61,11 @@ def traffic_lines(spark: SparkSession, d: str) -> DataFrame:
     fields are filler taken from the same order line."""
     l = table(spark, d, "lineitem", "l_orderkey", "l_suppkey", "l_partkey", "l_linenumber",
               "l_returnflag", "l_linestatus", "l_quantity", "l_tax")
-    return l.select(F.concat_ws(
+    lines = l.select(F.concat_ws(
         "\t", "l_orderkey", "l_suppkey", "l_partkey", "l_linenumber", "l_returnflag",
         "l_linestatus", "l_orderkey", "l_partkey",
         F.col("l_quantity").cast("int"), F.round(F.col("l_tax") * 100).cast("int")).alias("value"))
+    return spread(lines, "value")
 
 
 def _version(ts: F.Column) -> F.Column:
