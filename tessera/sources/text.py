@@ -33,6 +33,15 @@ def read_delimited(spark: SparkSession, path: str | Sequence[str], schema: T.Str
             .csv(path))
 
 
+def register_delimited(spark: SparkSession, name: str, path: str | Sequence[str],
+                       schema: T.StructType | str, sep: str = "::") -> DataFrame:
+    """Read a delimited folder (``read_delimited``) and register it as a
+    temporary view, so SQL written for an external table runs unchanged."""
+    df = read_delimited(spark, path, schema, sep)
+    df.createOrReplaceTempView(name)
+    return df
+
+
 def read_lines(spark: SparkSession, path: str | Sequence[str], glob_filter: str | None = None,
                recursive: bool = False, with_path: bool = False) -> DataFrame:
     """Text lines of all files below ``path`` as ``value string``.

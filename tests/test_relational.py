@@ -81,3 +81,19 @@ def test_computed_columns(spark):
     rows = number_range(spark, 10).collect()
     assert [(r.id, r.name, r.id2) for r in rows[:2]] == [(0, "id-0", 0.0), (1, "id-1", 1.0)]
     assert len(rows) == 10
+
+
+def test_sql_over_registered_views_matches_operators(spark, tmp):
+    from tessera.sources.text import register_delimited
+    _fixture(spark, tmp)
+    register_delimited(spark, "t_user", f"{tmp}/user", USER)
+    register_delimited(spark, "t_movie", f"{tmp}/movie", MOVIE)
+    register_delimited(spark, "t_rating", f"{tmp}/rating", RATING)
+    sql = spark.sql("""
+        SELECT m.moviename, avg(r.rate) AS avgrate, count(*) AS total
+        FROM t_rating r JOIN t_user u ON r.userid = u.userid JOIN t_movie m ON r.movieid = m.movieid
+        WHERE u.sex = 'M' GROUP BY m.moviename HAVING count(*) > 50
+        ORDER BY avgrate DESC, moviename LIMIT 10""")
+    u, m, r = spark.table("t_user"), spark.table("t_movie"), spark.table("t_rating")
+    ops = rel.top_titles(r, u, m, F.col("sex") == "M", 50, 10)
+    assert [tuple(x) for x in sql.collect()] == [tuple(x) for x in ops.collect()]
