@@ -6,23 +6,23 @@ first slot of ``p`` is the sum of ``m + 1`` over the partitions before it
 ``offset(p) + b % (m_p + 1)``.  A key whose partition is not in the index
 fails the job.
 
-The index has one row per partition id - partition ids are task ids, so
-its size is set by the caller's task count, not by the data.  That is
-what makes the running sum over one ordered window acceptable.
+The running offsets come from ``ranking.exclusive_prefix_sum``, which never
+orders all partition ids in one task, so the index may be as large as the
+data makes it.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.sql import DataFrame, functions as F
+
+from tessera.operators.ranking import exclusive_prefix_sum
 
 
 def batch_index(keys: DataFrame, part_col: str = "part_id", batch_col: str = "batch") -> DataFrame:
     """``(part_id, max_batch, slot_offset)``, one row per partition."""
     m = keys.groupBy(F.col(part_col).alias("part_id")).agg(F.max(batch_col).alias("max_batch"))
-    before = Window.orderBy("part_id").rowsBetween(Window.unboundedPreceding, -1)
-    return m.select("part_id", "max_batch",
-                    F.coalesce(F.sum(F.col("max_batch") + 1).over(before), F.lit(0))
-                     .cast("int").alias("slot_offset"))
+    with_offset = exclusive_prefix_sum(m, "part_id", (F.col("max_batch") + 1).cast("long"), "slot_offset")
+    return with_offset.select("part_id", "max_batch", F.col("slot_offset").cast("int").alias("slot_offset"))
 
 
 def slot_count(index: DataFrame) -> DataFrame:

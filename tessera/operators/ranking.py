@@ -1,48 +1,59 @@
-"""Exact position of each row inside its group, without holding a group in
-one task.
+"""Running sums and positions in a sort order, without a single-task window.
 
-``Window.partitionBy(g).orderBy(o)`` sends a whole group to one task; a
-group holding a third of all rows would then sit in one task.  Instead:
+``Window.orderBy(o)`` with no partition, or ``Window.partitionBy(g)`` on a
+group holding a third of all rows, puts those rows in one task.  The
+helpers here compute the same values in pieces:
 
 1. range-partition on ``(g, o)`` - Spark samples the keys and cuts them into
-   ranges of similar size, so a big group is spread over many partitions;
-2. tag each row with its range partition and number the rows of each
-   ``(partition, group)`` piece - a piece is at most one partition's rows;
-3. count each piece and take, per group, the running sum of piece counts in
-   partition order - one row per piece, at most the partition count per
-   group;
-4. position = offset of the piece + number inside the piece.
+   ranges of similar size, so a big group spreads over many partitions;
+2. tag every row with its range partition (its *piece*) and take running
+   sums inside each ``(piece, group)`` - at most one partition's rows;
+3. total each ``(piece, group)`` and take, per group, the running sum of
+   those totals in piece order - one row per piece, so at most the number
+   of range partitions per group (a setting, not the data size);
+4. value = offset of the piece + running sum inside the piece.
 
 The tagged rows are checkpointed to the shared checkpoint folder before
-steps 2-4 read them twice, so both reads see the same partition tags even
+steps 2-4 read them twice, so both reads see the same piece tags even
 after a lost executor.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from tessera.operators.layout import default_parallelism
 from tessera.session import checkpoint_dir
 
 
-def group_positions(df: DataFrame, group_col: str, order_col: str,
-                    partitions: int | None = None, out_col: str = "pos") -> DataFrame:
-    """``df`` plus ``out_col``: 0-based position of the row within its group
-    when the group is sorted by ``order_col`` (ties in any order)."""
+def exclusive_prefix_sum(df: DataFrame, order_col: str, value: Column, out_col: str,
+                         group_col: str | None = None, partitions: int | None = None) -> DataFrame:
+    """``df`` plus ``out_col``: the sum of ``value`` over the rows before this
+    one in ``order_col`` order (within ``group_col`` when given).  Rows with
+    equal order values are taken in any order."""
     spark = df.sparkSession
     checkpoint_dir(spark)
-    n = partitions or max(default_parallelism(spark),
-                          int(spark.conf.get("spark.sql.shuffle.partitions")))
-    tagged = (df.repartitionByRange(n, group_col, order_col)
+    n = partitions or max(default_parallelism(spark), int(spark.conf.get("spark.sql.shuffle.partitions")))
+    keys = [group_col] if group_col else []
+    tagged = (df.withColumn("_v", value)
+                .repartitionByRange(n, *keys, order_col)
                 .withColumn("_piece", F.spark_partition_id())
                 .checkpoint())
-    inside = Window.partitionBy("_piece", group_col).orderBy(order_col)
-    numbered = tagged.withColumn("_i", F.row_number().over(inside) - 1)
-    before = Window.partitionBy(group_col).orderBy("_piece").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = (tagged.groupBy("_piece", group_col).agg(F.count(F.lit(1)).alias("_n"))
-               .withColumn("_off", F.coalesce(F.sum("_n").over(before), F.lit(0)))
-               .drop("_n"))
-    return (numbered.join(offsets, ["_piece", group_col])
-            .withColumn(out_col, (F.col("_off") + F.col("_i")).cast("long"))
-            .drop("_piece", "_i", "_off"))
+    inside = (Window.partitionBy("_piece", *keys).orderBy(order_col)
+              .rowsBetween(Window.unboundedPreceding, -1))
+    local = tagged.withColumn("_in", F.coalesce(F.sum("_v").over(inside), F.lit(0)))
+    before = Window.partitionBy(*keys).orderBy("_piece").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = (tagged.groupBy("_piece", *keys).agg(F.sum("_v").alias("_t"))
+               .withColumn("_off", F.coalesce(F.sum("_t").over(before), F.lit(0)))
+               .drop("_t"))
+    return (local.join(offsets, ["_piece", *keys])
+            .withColumn(out_col, F.col("_off") + F.col("_in"))
+            .drop("_piece", "_v", "_in", "_off"))
+
+
+def group_positions(df: DataFrame, group_col: str, order_col: str,
+                    partitions: int | None = None, out_col: str = "pos") -> DataFrame:
+    """``df`` plus ``out_col``: 0-based position of the row within its group
+    when the group is sorted by ``order_col`` (ties in any order)."""
+    out = exclusive_prefix_sum(df, order_col, F.lit(1).cast("long"), out_col, group_col, partitions)
+    return out.withColumn(out_col, F.col(out_col).cast("long"))

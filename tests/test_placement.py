@@ -28,3 +28,13 @@ def test_place_by_slot_one_slot_per_task(spark):
     placed = place_by_slot(slotted, n).withColumn("pid", F.spark_partition_id())
     assert all(r.pid == r.slot for r in placed.collect())
     assert spread(keys, 4).rdd.getNumPartitions() == 4
+
+
+def test_prefix_sum_over_many_pieces(spark):
+    from tessera.operators.ranking import exclusive_prefix_sum
+    df = spark.createDataFrame([(i, i % 3) for i in range(200)], "k int, v int")
+    got = {r.k: r.off for r in exclusive_prefix_sum(df, "k", F.col("v").cast("long"), "off", partitions=7).collect()}
+    run = 0
+    for i in range(200):
+        assert got[i] == run
+        run += i % 3
