@@ -29,17 +29,29 @@ def with_parent_folders(manifest: DataFrame, root: str) -> DataFrame:
     that is also listed keeps its listed row.  The expansion is a per-row
     ``explode``; de-duplication is a keyed aggregate with map-side partial
     work, so a folder shared by a billion files is reduced in every map
-    task before the shuffle.
+    task before the shuffle.  The aggregate keeps only fixed-width buffers
+    (a listed flag, length, a folder flag, time), so Spark runs it as a hash
+    aggregate; a manifest lists each path once, so the maxima over listed
+    rows are that row's values.
     """
     m = manifest.select("uri", "len", "file_type", "mtime")
+    listed = m.select("uri", F.lit(1).alias("listed"), "len",
+                      (F.col("file_type") == "dir").cast("int").alias("is_dir"), "mtime")
     derived = m.select(F.explode(parent_chain(F.col("uri"), root)).alias("uri")).select(
-        "uri", F.lit(0).cast("long").alias("len"), F.lit("dir").alias("file_type"),
-        F.lit(None).cast("timestamp").alias("mtime"), F.lit(1).alias("_rank"))
-    listed = m.select("uri", "len", "file_type", "mtime", F.lit(0).alias("_rank"))
-    first = F.min(F.struct("_rank", "len", "file_type", "mtime")).alias("e")
-    return (listed.unionByName(derived).groupBy("uri").agg(first)
-            .select("uri", F.col("e.len").alias("len"), F.col("e.file_type").alias("file_type"),
-                    F.col("e.mtime").alias("mtime")))
+        "uri", F.lit(0).alias("listed"), F.lit(None).cast("long").alias("len"),
+        F.lit(1).alias("is_dir"), F.lit(None).cast("timestamp").alias("mtime"))
+    is_listed = F.col("listed") == 1
+    agg = listed.unionByName(derived).groupBy("uri").agg(
+        F.max("listed").alias("listed"),
+        F.max(F.when(is_listed, F.col("len"))).alias("len"),
+        F.max(F.when(is_listed, F.col("is_dir"))).alias("listed_dir"),
+        F.max(F.when(is_listed, F.col("mtime"))).alias("mtime"))
+    return agg.select(
+        "uri",
+        F.when(F.col("listed") == 1, F.col("len")).otherwise(F.lit(0).cast("long")).alias("len"),
+        F.when((F.col("listed") == 0) | (F.col("listed_dir") == 1), F.lit("dir"))
+         .otherwise(F.lit("file")).alias("file_type"),
+        "mtime")
 
 
 def copy_plan(source: DataFrame, dest: DataFrame, source_root: str, dest_root: str) -> DataFrame:
