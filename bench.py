@@ -19,7 +19,7 @@ import time
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
 from tessera.plans import catalog  # noqa: E402
-from tessera.session import build_session  # noqa: E402
+from tessera.session import build_session, sized_conf  # noqa: E402
 
 RUNS = int(os.environ.get("BENCH_RUNS", "2"))   # best of RUNS per query
 
@@ -41,8 +41,10 @@ def run(df) -> None:
 def main() -> None:
     data_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
     cpus = int(os.environ.get("BENCH_CPUS", "8"))
-    spark = build_session(f"local[{cpus}]", app="tessera-bench", shuffle_partitions=cpus * 2,
-                          extra={"spark.driver.memory": "16g"})
+    input_bytes = sum(os.path.getsize(os.path.join(data_dir, f)) for f in os.listdir(data_dir))
+    conf = sized_conf(input_bytes, cpus)
+    conf["spark.driver.memory"] = "16g"
+    spark = build_session(f"local[{cpus}]", app="tessera-bench", extra=conf)
     run(catalog.QUERIES["traffic_totals"](spark, data_dir))   # warm-up
     times = {}
     for name in HEADLINE:

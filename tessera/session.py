@@ -26,6 +26,30 @@ SCALE_CONF = {
 }
 
 
+def sized_conf(input_bytes: int, cores: int, target_split: int = 256 << 20,
+               target_shuffle_block: int = 128 << 20) -> dict[str, str]:
+    """Settings sized to the input so every task's data fits in memory.
+
+    * scan splits of ``target_split`` bytes (fewer, larger tasks on big inputs;
+      at least two splits per core on small ones);
+    * an initial shuffle width of about one partition per
+      ``target_shuffle_block`` bytes of input, never below twice the cores -
+      AQE then coalesces partitions that come out small.
+
+    At 100 TB this gives ~400k scan tasks and ~800k initial shuffle
+    partitions, coalesced by AQE to ~128 MB each.
+    """
+    per_core = max(1, input_bytes // max(1, 2 * cores))
+    split = max(4 << 20, min(target_split, per_core))
+    shuffle = max(2 * cores, input_bytes // target_shuffle_block)
+    return {
+        "spark.sql.files.maxPartitionBytes": str(split),
+        "spark.sql.shuffle.partitions": str(shuffle),
+        "spark.sql.adaptive.coalescePartitions.initialPartitionNum": str(shuffle),
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(target_shuffle_block),
+    }
+
+
 def build_session(master: str | None = None, app: str = "tessera",
                   shuffle_partitions: int | None = None,
                   extra: dict[str, str] | None = None) -> SparkSession:

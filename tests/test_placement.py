@@ -38,3 +38,12 @@ def test_prefix_sum_over_many_pieces(spark):
     for i in range(200):
         assert got[i] == run
         run += i % 3
+
+
+def test_sized_conf_scales():
+    from tessera.session import sized_conf
+    small = sized_conf(40 << 20, 8)
+    assert int(small["spark.sql.shuffle.partitions"]) == 16
+    big = sized_conf(100 << 40, 8000)
+    assert int(big["spark.sql.shuffle.partitions"]) == (100 << 40) // (128 << 20)
+    assert int(big["spark.sql.files.maxPartitionBytes"]) == 256 << 20
