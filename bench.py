@@ -5,7 +5,7 @@
 Prints one JSON line: {"metric", "value" (sum of query seconds), "unit",
 "queries": {name: seconds}, "sf"}.  Each query is run to completion with
 a no-op write (all rows produced, nothing collected) and timed as the best
-of ``BENCH_RUNS`` runs (default 2); a first warm-up query is not counted.
+of ``BENCH_RUNS`` runs (default 3); a first warm-up query is not counted.
 """
 
 from __future__ import annotations
@@ -21,7 +21,7 @@ sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 from tessera.plans import catalog  # noqa: E402
 from tessera.session import build_session, sized_conf  # noqa: E402
 
-RUNS = int(os.environ.get("BENCH_RUNS", "2"))   # best of RUNS per query
+RUNS = int(os.environ.get("BENCH_RUNS", "3"))   # best of RUNS per query
 
 HEADLINE = [
     "avg_rate_by_attr", "top_titles_for_segment", "top_titles_of_top_user",
