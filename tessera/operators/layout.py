@@ -9,6 +9,11 @@ documents, parsing log lines) runs on every core.
 
 On large inputs the scan already has at least as many splits as there are
 cores and ``spread`` returns the DataFrame unchanged - no extra shuffle.
+
+Call it on scan-level inputs (a scan with projections and filters): the
+partition count of such a plan is known without running anything, while
+on a DataFrame that already shuffles, asking for it runs the shuffle's
+map stage first.
 """
 
 from __future__ import annotations
@@ -34,4 +39,6 @@ def spread(df: DataFrame, *keys: str) -> DataFrame:
         return df
     if planned >= target:
         return df
-    return df.repartition(target, *keys) if keys else df.repartition(target)
+    # Hash partitioning is deterministic on retry without the local sort a
+    # round-robin repartition needs; with no key given, hash all columns.
+    return df.repartition(target, *(keys or df.columns))
