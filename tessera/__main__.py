@@ -25,6 +25,8 @@ def main(argv: list[str] | None = None) -> int:
     c.add_argument("dest")
     c.add_argument("--tasks", type=int, default=2)
     c.add_argument("--ignore-errors", action="store_true")
+    c.add_argument("--task-bytes", type=int, default=None,
+                   help="balance files so each task copies about this many bytes")
     t = sub.add_parser("traffic", help="per-key totals of tab-separated logs")
     t.add_argument("input")
     t.add_argument("output")
@@ -40,7 +42,8 @@ def main(argv: list[str] | None = None) -> int:
     spark = build_session(app=f"tessera-{a.cmd}")
     if a.cmd == "copy":
         from tessera.operators.copy import copy_summary, copy_tree
-        status = copy_tree(spark, a.source, a.dest, tasks=a.tasks, ignore_errors=a.ignore_errors)
+        status = copy_tree(spark, a.source, a.dest, tasks=a.tasks, ignore_errors=a.ignore_errors,
+                           task_bytes=a.task_bytes)
         copy_summary(status).show(truncate=False)
     elif a.cmd == "traffic":
         from tessera.operators.traffic import traffic_totals

@@ -31,6 +31,8 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from tessera.functions.files import filesystem_for
 from tessera.functions.paths import parent_str, strip_slash_str
 from tessera.operators.manifest import copy_plan, copy_work, with_parent_folders
+from tessera.operators.placement import assign_slots, batch_index, place_by_slot, slot_count
+from tessera.operators.ranking import exclusive_prefix_sum
 
 STATUS_SCHEMA = "uri string, dest string, action string, ok boolean, bytes long, message string"
 STATUS_ARROW = pa.schema([("uri", pa.string()), ("dest", pa.string()), ("action", pa.string()),
@@ -116,9 +118,31 @@ def _copy_files(batches: Iterable[pa.RecordBatch]) -> Iterable[pa.RecordBatch]:
     yield _batch(out)
 
 
-def run_copy(plan: DataFrame, dest_root: str, tasks: int = 2, ignore_errors: bool = False) -> DataFrame:
+def balanced_file_tasks(files: DataFrame, task_bytes: int, groups: int) -> DataFrame:
+    """Place file entries so each task copies about ``task_bytes``.
+
+    Files are hashed into ``groups`` groups; inside a group, a running byte
+    total in destination order cuts them into batches of ``task_bytes``
+    (a bigger file is a batch of its own); batches get consecutive slots
+    (``placement``) and each slot becomes one task.  Only the slot count
+    reaches the driver.
+    """
+    keyed = files.withColumn("part_id", F.pmod(F.xxhash64("dest"), F.lit(groups)).cast("int"))
+    before = exclusive_prefix_sum(keyed, "dest", F.coalesce(F.col("src_len"), F.lit(0)).cast("long"),
+                                  "bytes_before", group_col="part_id")
+    batched = before.withColumn("batch", (F.col("bytes_before") / F.lit(task_bytes)).cast("int"))
+    index = batch_index(batched).checkpoint()
+    n = slot_count(index).first().n_slots
+    slotted = assign_slots(batched, index)
+    return place_by_slot(slotted, n).drop("part_id", "bytes_before", "batch", "slot")
+
+
+def run_copy(plan: DataFrame, dest_root: str, tasks: int = 2, ignore_errors: bool = False,
+             task_bytes: int | None = None) -> DataFrame:
     """Carry out a copy plan; returns the (materialised) status table.
 
+    Files are spread round robin over ``tasks`` tasks, or - with
+    ``task_bytes`` - balanced so each task copies about that many bytes.
     With ``ignore_errors=False`` a failed entry fails the call after both
     steps ran, with the number of failures in the message.
     """
@@ -127,8 +151,10 @@ def run_copy(plan: DataFrame, dest_root: str, tasks: int = 2, ignore_errors: boo
     base = parent_str(root) or root
     dirs = (work.where(F.col("file_type") == "dir").select("src_uri", "dest")
             .repartition(tasks).mapInArrow(_make_dirs_fn(base), STATUS_SCHEMA).checkpoint())
-    files = (work.where(F.col("file_type") == "file").select("src_uri", "dest", "src_len", "action")
-             .repartition(tasks).mapInArrow(_copy_files, STATUS_SCHEMA).checkpoint())
+    file_work = work.where(F.col("file_type") == "file").select("src_uri", "dest", "src_len", "action")
+    placed = (balanced_file_tasks(file_work, task_bytes, tasks) if task_bytes
+              else file_work.repartition(tasks))
+    files = placed.mapInArrow(_copy_files, STATUS_SCHEMA).checkpoint()
     status = dirs.unionByName(files)
     if not ignore_errors:
         failed = status.where(~F.col("ok")).count()
@@ -145,7 +171,7 @@ def copy_summary(status: DataFrame) -> DataFrame:
 
 
 def copy_tree(spark: SparkSession, source_root: str, dest_root: str, tasks: int = 2,
-              ignore_errors: bool = False) -> DataFrame:
+              ignore_errors: bool = False, task_bytes: int | None = None) -> DataFrame:
     """Copy the tree at ``source_root`` into ``dest_root`` (the source folder's
     own name is kept below it); returns the status table."""
     from tessera.sources.files import ENTRY_SCHEMA, list_tree
@@ -157,4 +183,4 @@ def copy_tree(spark: SparkSession, source_root: str, dest_root: str, tasks: int
     else:
         dst = spark.createDataFrame([], ENTRY_SCHEMA)
     plan = copy_plan(src, dst, source_root, dest_root)
-    return run_copy(plan, dest_root, tasks, ignore_errors)
+    return run_copy(plan, dest_root, tasks, ignore_errors, task_bytes)

@@ -55,3 +55,28 @@ def test_missing_destination_parent(spark, tmp):
         copy_tree(spark, src, f"{tmp}/no/such/dest", tasks=2)
     status = copy_tree(spark, src, f"{tmp}/no/such/dest", tasks=2, ignore_errors=True)
     assert status.where("ok").count() == 0
+
+
+def test_balanced_copy_tasks(spark, tmp):
+    from pyspark.sql import functions as F
+    from tessera.operators.copy import balanced_file_tasks
+    sizes = [5, 5, 5, 5, 30, 1, 1, 1]
+    for i, n in enumerate(sizes):
+        write(f"{tmp}/src/f{i}.bin", "x" * n)
+    files = spark.createDataFrame(
+        [(f"{tmp}/src/f{i}.bin", f"{tmp}/dst/src/f{i}.bin", n, "create") for i, n in enumerate(sizes)],
+        "src_uri string, dest string, src_len long, action string")
+    placed = balanced_file_tasks(files, task_bytes=10, groups=2).withColumn("task", F.spark_partition_id())
+    per_task = {}
+    for r in placed.collect():
+        per_task.setdefault(r.task, []).append(r.src_len)
+    assert sorted(n for v in per_task.values() for n in v) == sorted(sizes)
+    # every task holds at most task_bytes, except a single larger file alone
+    # at the end of its batch
+    for v in per_task.values():
+        assert sum(v) - max(v) < 10
+    os.makedirs(f"{tmp}/dst")
+    status = copy_tree(spark, f"{tmp}/src", f"{tmp}/dst", tasks=2, task_bytes=10)
+    assert status.where("ok").count() == len(sizes) + 1
+    for i in range(len(sizes)):
+        assert sha(f"{tmp}/src/f{i}.bin") == sha(f"{tmp}/dst/src/f{i}.bin")
