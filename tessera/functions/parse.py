@@ -39,3 +39,13 @@ def strict_int(c: Column, what: str = "field") -> Column:
     ok = c.rlike(r"^[+-]?[0-9]+$") & wide.isNotNull() & wide.between(INT_MIN, INT_MAX)
     message = F.concat(F.lit(f"not an int in {what}: '"), F.coalesce(c, F.lit("NULL")), F.lit("'"))
     return F.when(ok, wide.cast("int")).otherwise(F.raise_error(message).cast("int"))
+
+
+def utf8_bytes(c: Column) -> Column:
+    """Text -> UTF-8 bytes (cell values stored as binary)."""
+    return F.encode(c, "UTF-8")
+
+
+def utf8_text(c: Column) -> Column:
+    """UTF-8 bytes -> text."""
+    return F.decode(c, "UTF-8")

@@ -117,6 +117,15 @@ def siblings(manifest: DataFrame, path: str) -> DataFrame:
             .drop("parent"))
 
 
+def entry_times(manifest: DataFrame, folder: str | None = None) -> DataFrame:
+    """``(uri, mtime)`` of every entry, or of the entries directly inside
+    ``folder``."""
+    m = manifest
+    if folder is not None:
+        m = with_parent(m).where(F.col("parent") == strip_slash(F.lit(folder)))
+    return m.select("uri", "mtime")
+
+
 def first_entry_time(manifest: DataFrame, group_col: str = "parent", name_col: str = "uri",
                      time_col: str = "mtime") -> DataFrame:
     """Per group: time of the entry that sorts first by name."""

@@ -39,3 +39,15 @@ def test_missing_and_empty_keys(spark):
     assert delete_rows(t, none).count() == 1
     assert get_rows(t, missing).count() == 0
     assert delete_rows(t, missing).count() == 1
+
+
+def test_binary_values_round_trip(spark):
+    from pyspark.sql import functions as F
+    from tessera.functions import utf8_bytes, utf8_text
+    t = _cells(spark, [("r", "f", "q", "véalue", 1)])
+    as_bytes = t.withColumn("value", utf8_bytes(F.col("value")))
+    newer = as_bytes.withColumn("version", F.lit(2).cast("long")).withColumn("value", utf8_bytes(F.lit("new")))
+    out = put_cells(as_bytes, newer).withColumn("value", utf8_text(F.col("value")))
+    assert [(r.value, r.version) for r in out.collect()] == [("new", 2)]
+    assert utf8_text(utf8_bytes(F.lit("véalue"))) is not None
+    assert t.select(utf8_text(utf8_bytes(F.col("value"))).alias("v")).first().v == "véalue"

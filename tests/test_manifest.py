@@ -63,6 +63,8 @@ def test_names_siblings_times_match(spark):
     assert mf.name_contains(m, "log*").count() == 2
     assert [r.uri for r in mf.name_contains(m, "log*", negate=True).collect()] == ["/f/data.csv"]
     assert sorted(r.uri for r in mf.siblings(m, "/f/log-1.txt").collect()) == ["/f/data.csv", "/f/log-2.txt"]
+    assert [r.uri for r in mf.entry_times(m, "/f/").orderBy("mtime").collect()][0] == "/f/log-2.txt"
+    assert mf.entry_times(m, "/other").count() == 0
     first = mf.first_entry_time(mf.with_parent(m)).first()
     assert first.parent == "/f" and str(first.first_time) == "2024-01-03 00:00:00"
     assert mf.any_match(m, r"log-2\.txt$").first().found is True
