@@ -41,3 +41,13 @@ def _local() -> pafs.LocalFileSystem:
 
 def is_local(uri: str) -> bool:
     return uri.startswith("file:") or "://" not in uri
+
+
+def qualify(path: str) -> str:
+    """Absolute form of a path given on the driver: a relative local path is
+    resolved against the driver's working folder (executors have their
+    own); URIs with a scheme are kept as they are."""
+    import os
+    if "://" in path or path.startswith("file:"):
+        return path
+    return os.path.abspath(path)

@@ -28,7 +28,7 @@ import pyarrow.fs as pafs
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tessera.functions.files import filesystem_for
+from tessera.functions.files import filesystem_for, qualify
 from tessera.functions.paths import parent_str, strip_slash_str
 from tessera.operators.manifest import copy_plan, copy_work, with_parent_folders
 from tessera.operators.placement import assign_slots, batch_index, place_by_slot, slot_count
@@ -176,6 +176,7 @@ def copy_tree(spark: SparkSession, source_root: str, dest_root: str, tasks: int
     own name is kept below it); returns the status table."""
     from tessera.sources.files import ENTRY_SCHEMA, list_tree
 
+    source_root, dest_root = strip_slash_str(qualify(source_root)), strip_slash_str(qualify(dest_root))
     src = with_parent_folders(list_tree(spark, source_root, tasks), strip_slash_str(source_root))
     dfs, dpath = filesystem_for(strip_slash_str(dest_root))
     if dfs.get_file_info(dpath).type == pafs.FileType.Directory:

@@ -22,6 +22,11 @@ def rebase(manifest: DataFrame, source_root: str, dest_root: str) -> DataFrame:
     return manifest.withColumn("dest", rebase_path(F.col("uri"), source_root, dest_root))
 
 
+def with_parent_chains(manifest: DataFrame, root: str) -> DataFrame:
+    """Adds ``parents``: the folders above each entry up to ``root``, top first."""
+    return manifest.withColumn("parents", parent_chain(F.col("uri"), root))
+
+
 def with_parent_folders(manifest: DataFrame, root: str) -> DataFrame:
     """The entries plus every folder above them up to ``root``, each once.
 

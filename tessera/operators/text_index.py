@@ -7,7 +7,8 @@ Plan shape:
 
 * ``term_counts`` - the long form ``(word, doc_id, n)``.  A document lives in
   one row, so its words are sorted and counted inside that row with
-  built-in array functions (sort, then run lengths).  No shuffle at all,
+  built-in array functions (sort, then run lengths).  No shuffle (beyond
+  ``layout.spread`` of an input read by fewer tasks than there are cores),
   and every (word, document) pair leaves the map side exactly once.
 * ``posting_lists`` / ``posting_lists_with_counts`` - one shuffle on
   ``(word, block)``.  A posting list is cut into blocks of document ids

@@ -6,9 +6,10 @@ after Java-style splitting (trailing empty fields do not count).  Field
 ints parsed strictly - a value that is not an int fails the job.  Totals
 are BIGINT, so sums past 2**31 - 1 stay exact.
 
-Plan: one scan, a projection, and one aggregate whose partial sums are
-computed in each map task, so a key holding a third of all lines still
-leaves every map task as a single row.
+Plan: one scan, projections (each line is split once), and one aggregate
+whose partial sums are computed in each map task, so a key holding a third
+of all lines still leaves every map task as a single row.  An input read by
+fewer tasks than there are cores is first spread (``layout.spread``).
 """
 
 from __future__ import annotations

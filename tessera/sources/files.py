@@ -20,7 +20,7 @@ import pyarrow as pa
 import pyarrow.fs as pafs
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tessera.functions.files import filesystem_for, is_local
+from tessera.functions.files import filesystem_for, is_local, qualify
 from tessera.functions.paths import strip_slash_str
 from tessera.session import checkpoint_dir
 
@@ -108,7 +108,7 @@ def list_tree(spark: SparkSession, root: str, tasks: int | None = None,
     """Recursive manifest of ``root`` (a path or URI)."""
     checkpoint_dir(spark)
     tasks = tasks or spark.sparkContext.defaultParallelism
-    root = strip_slash_str(root)
+    root = strip_slash_str(qualify(root))
     level = spark.createDataFrame([(root,)], "uri string").mapInArrow(_stat_roots, ENTRY_SCHEMA).checkpoint()
     levels = [level]
     for _ in range(max_levels):

@@ -80,3 +80,15 @@ def test_balanced_copy_tasks(spark, tmp):
     assert status.where("ok").count() == len(sizes) + 1
     for i in range(len(sizes)):
         assert sha(f"{tmp}/src/f{i}.bin") == sha(f"{tmp}/dst/src/f{i}.bin")
+
+
+def test_relative_paths_are_qualified(spark, tmp, monkeypatch):
+    write(f"{tmp}/rel/src/a.txt", "a")
+    os.makedirs(f"{tmp}/rel/dst")
+    monkeypatch.chdir(f"{tmp}/rel")
+    status = copy_tree(spark, "src", "dst", tasks=2)
+    assert all(r.dest.startswith(f"{tmp}/rel/dst/src") for r in status.collect())
+    assert open(f"{tmp}/rel/dst/src/a.txt").read() == "a"
+    from tessera.operators.manifest import with_parent_chains
+    chains = {r.uri[len(tmp):]: r.parents for r in with_parent_chains(list_tree(spark, "src"), f"{tmp}/rel/src").collect()}
+    assert chains["/rel/src/a.txt"] == [f"{tmp}/rel/src"]
