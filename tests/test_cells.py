@@ -51,3 +51,16 @@ def test_binary_values_round_trip(spark):
     assert [(r.value, r.version) for r in out.collect()] == [("new", 2)]
     assert utf8_text(utf8_bytes(F.lit("véalue"))) is not None
     assert t.select(utf8_text(utf8_bytes(F.col("value"))).alias("v")).first().v == "véalue"
+
+
+def test_merge_matches_put(spark):
+    import random
+    rnd = random.Random(7)
+    base_rows = [(f"r{rnd.randint(0, 9)}", "f", f"q{rnd.randint(0, 3)}", f"v{i}", rnd.randint(0, 5)) for i in range(60)]
+    batch_rows = [(f"r{rnd.randint(0, 12)}", "f", f"q{rnd.randint(0, 4)}", f"w{i}", rnd.randint(0, 5)) for i in range(25)]
+    table = put_cells(_cells(spark, []), _cells(spark, base_rows))
+    batch = _cells(spark, batch_rows)
+    want = sorted(tuple(r) for r in put_cells(table, batch).collect())
+    from tessera.operators.cells import merge_cells
+    assert sorted(tuple(r) for r in merge_cells(table, batch).collect()) == want
+    assert sorted(tuple(r) for r in merge_cells(table, batch, max_broadcast_rows=1).collect()) == want
