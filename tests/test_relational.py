@@ -18,7 +18,7 @@ def _fixture(spark, tmp):
     # movie 10: 50 ratings by male users, movie 11: 51 ratings
     ratings += [f"{1 + i % 2}::10::4::{i}" for i in range(50)]
     ratings += [f"{1 + i % 2}::11::3::{i}" for i in range(51)]
-    # movie 12 and 14: equal averages; movie 13 shares the name Alpha with 10
+    # movie 13 shares the name Alpha with movie 10
     ratings += ["5::12::5::1", "5::12::3::2", "5::14::4::3", "5::13::2::4"]
     # female users: user 3 and 4 tie on count; the smaller id wins
     ratings += ["3::12::5::9", "3::14::1::9", "4::10::2::9", "4::11::4::9"]
@@ -97,3 +97,21 @@ def test_sql_over_registered_views_matches_operators(spark, tmp):
     u, m, r = spark.table("t_user"), spark.table("t_movie"), spark.table("t_rating")
     ops = rel.top_titles(r, u, m, F.col("sex") == "M", 50, 10)
     assert [tuple(x) for x in sql.collect()] == [tuple(x) for x in ops.collect()]
+
+
+def test_equal_averages_break_ties_by_name(spark):
+    users = spark.createDataFrame([(1, "M")], "userid int, sex string")
+    movies = spark.createDataFrame([(1, "Zeta"), (2, "Eta"), (3, "Theta")], "movieid int, moviename string")
+    ratings = spark.createDataFrame([(1, 1, 4), (1, 1, 2), (1, 2, 3), (1, 3, 5)], "userid int, movieid int, rate int")
+    got = [(r.moviename, r.avgrate) for r in rel.top_titles(ratings, users, movies, F.col("sex") == "M", 0, 2).collect()]
+    assert got == [("Theta", 5.0), ("Eta", 3.0)]      # Zeta also averages 3.0 but sorts after Eta
+
+
+def test_sql_except_equals_operator(spark):
+    left = spark.createDataFrame([("x",), ("y",), (None,), ("y",)], "job string")
+    right = spark.createDataFrame([("x",), (None,)], "job string")
+    left.createOrReplaceTempView("l_jobs")
+    right.createOrReplaceTempView("r_jobs")
+    sql = sorted(r.job for r in spark.sql("SELECT DISTINCT job FROM l_jobs EXCEPT SELECT job FROM r_jobs").collect())
+    ops = sorted(r.job for r in rel.distinct_except(left, right, ["job"]).collect())
+    assert sql == ops == ["y"]
