@@ -7,8 +7,14 @@ from pyspark.sql import Column, functions as F
 INT_MIN, INT_MAX = -(2 ** 31), 2 ** 31 - 1
 
 
-# Fixed value: the white-space characters of Java's regex class \s.
-WHITE_SPACE = " \t\n\u000b\f\r"
+# The characters Java's Character.isWhitespace accepts, which
+# decide whether a log line is blank - tab, line feed, vertical tab, form
+# feed, carriage return, the four information separators, space, and the
+# Unicode space, line and paragraph separators except the no-break spaces
+# (U+00A0, U+2007, U+202F).
+WHITE_SPACE = ("\t\n\u000b\f\r\u001c\u001d\u001e\u001f"
+               " \u1680\u2000\u2001\u2002\u2003\u2004\u2005\u2006"
+               "\u2008\u2009\u200a\u2028\u2029\u205f\u3000")
 _REGEX_META = set(".$|()[]{}^?*+\\")
 
 

@@ -51,3 +51,11 @@ def test_key_value_sink_two_files(spark, tmp):
     assert len(parts) <= 2
     rows = sorted(l.rstrip("\n") for p in parts for l in open(p))
     assert "k3\t3 6 9" in rows and len(rows) == 20
+
+
+def test_unicode_blank_lines_are_skipped(spark, tmp):
+    blank_wide = "　\t" * 10          # ideographic spaces and tabs only: blank
+    nbsp = "\t".join([" ", "k", "", "", "", "", "", "", "1", "2"])  # no-break space is not blank
+    write(f"{tmp}/in/a.txt", blank_wide + "\n" + nbsp + "\n")
+    got = {r.key: r.total for r in traffic_totals(read_lines(spark, f"{tmp}/in")).collect()}
+    assert got == {"k": 3}
