@@ -54,6 +54,8 @@ def _make_dirs_fn(dest_base: str):
     """Folder step; ``dest_base`` (the destination root's parent) must exist."""
     def make_dirs(batches: Iterable[pa.RecordBatch]) -> Iterable[pa.RecordBatch]:
         out = []
+        base_fs, base_path = filesystem_for(dest_base)
+        base_ok = None          # checked once per task, on first need
         for batch in batches:
             d = batch.to_pydict()
             for src, dest in zip(d["src_uri"], d["dest"]):
@@ -62,8 +64,9 @@ def _make_dirs_fn(dest_base: str):
                 if kind == pafs.FileType.Directory:
                     out.append((src, dest, "exists", True, 0, "destination folder exists"))
                     continue
-                base_fs, base_path = filesystem_for(dest_base)
-                if _exists(base_fs, base_path) != pafs.FileType.Directory:
+                if base_ok is None:
+                    base_ok = _exists(base_fs, base_path) == pafs.FileType.Directory
+                if not base_ok:
                     out.append((src, dest, "mkdir", False, 0, f"parent folder {dest_base} does not exist"))
                     continue
                 try:
