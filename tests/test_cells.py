@@ -8,16 +8,16 @@ def _cells(spark, rows):
 def test_reference_sequence(spark):
     empty = _cells(spark, [])
     batch = _cells(spark, [
-        ("Tom", "info", "student_id", "20210000001", 1),
+        ("Tom", "info", "student_id", "S-0001", 1),
         ("Tom", "info", "class", "1", 1),
         ("Tom", "score", "understanding", "75", 1),
         ("Tom", "score", "programming", "82", 1),
-        ("Hu Xiaolong", "info", "student_id", "G20220735030074", 2),
+        ("Ann Lee", "info", "student_id", "S-0002", 2),
     ])
     table = put_cells(empty, batch)
-    keys = spark.createDataFrame([("Hu Xiaolong",)], "row_key string")
+    keys = spark.createDataFrame([("Ann Lee",)], "row_key string")
     got = [(r.qualifier, r.value) for r in get_rows(table, keys).collect()]
-    assert got == [("student_id", "G20220735030074")]
+    assert got == [("student_id", "S-0002")]
     left = delete_rows(table, keys)
     assert sorted((r.row_key, r.qualifier) for r in left.collect()) == [
         ("Tom", "class"), ("Tom", "programming"), ("Tom", "student_id"), ("Tom", "understanding")]
