@@ -62,17 +62,20 @@ def read_lines(spark: SparkSession, path: str | Sequence[str], glob_filter: str
 
 def read_whole_files(spark: SparkSession, path: str | Sequence[str],
                      glob_filter: str | None = None, recursive: bool = False) -> DataFrame:
-    """One row per file: ``path string, value string`` with the whole text.
+    """One row per file: ``path string, value string`` with the whole text
+    (UTF-8).
 
-    Each file is one task input and is held as one value, so this is meant
-    for files that fit in an executor's memory (configs, small documents).
+    Built on Spark's ``binaryFile`` source; each file is one value, so this
+    is meant for files that fit in an executor's memory (configs, small
+    documents).  Spark's file sources skip zero-length files; to get ``''``
+    for them, read a manifest's paths with ``read_file_texts``.
     """
-    reader = spark.read
+    reader = spark.read.format("binaryFile")
     if glob_filter:
         reader = reader.option("pathGlobFilter", glob_filter)
     if recursive:
         reader = reader.option("recursiveFileLookup", "true")
-    return reader.text(path, wholetext=True).select(F.col("_metadata.file_path").alias("path"), "value")
+    return reader.load(path).select("path", F.decode("content", "UTF-8").alias("value"))
 
 
 _HEADER_SCHEMA = T.StructType([T.StructField("path", T.StringType()),
@@ -96,6 +99,30 @@ def _first_line(fs, local_path: str, chunk: int = 1 << 16) -> str | None:
     return None if not line.strip() else line
 
 
+_TEXT_SCHEMA = T.StructType([T.StructField("path", T.StringType()),
+                             T.StructField("value", T.StringType())])
+
+
+def read_file_texts(paths: DataFrame, path_col: str = "path") -> DataFrame:
+    """Whole text (UTF-8) of each file named in ``paths``: ``path, value``;
+    an empty file gives ``''`` and a missing file fails the job."""
+    from tessera.functions.files import filesystem_for
+
+    def texts(batches: Iterable[pa.RecordBatch]) -> Iterable[pa.RecordBatch]:
+        for batch in batches:
+            out_paths, out_texts = [], []
+            for p in batch.column(0).to_pylist():
+                fs, local = filesystem_for(p)
+                with fs.open_input_stream(local) as stream:
+                    out_texts.append(stream.read().decode("utf-8", errors="replace"))
+                out_paths.append(p)
+            yield pa.RecordBatch.from_arrays([pa.array(out_paths, pa.string()),
+                                              pa.array(out_texts, pa.string())],
+                                             names=["path", "value"])
+
+    return paths.select(F.col(path_col).alias("path")).mapInArrow(texts, _TEXT_SCHEMA)
+
+
 def read_headers(paths: DataFrame, path_col: str = "path") -> DataFrame:
     """First line of each file named in ``paths``: ``path, header``.
 

@@ -20,7 +20,10 @@ def test_whole_files_and_headers(spark, tmp):
     assert whole["a.txt"] == "head a\nbody\n"
     from tessera.sources.files import list_tree
     paths = list_tree(spark, f"{tmp}/w").where("file_type = 'file'").select("uri")
-    assert "c.txt" not in whole   # Spark skips empty files in whole-text mode
+    assert "c.txt" not in whole and whole["d.txt"] == "only\r\nmore"   # Spark skips empty files
+    from tessera.sources.text import read_file_texts
+    texts = {r.path.rsplit("/", 1)[1]: r.value for r in read_file_texts(paths, "uri").collect()}
+    assert texts == {"a.txt": "head a\nbody\n", "b.txt": "   \nsecond\n", "c.txt": "", "d.txt": "only\r\nmore"}
     heads = {r.path.rsplit("/", 1)[1]: r.header for r in read_headers(paths, 'uri').collect()}
     assert heads == {"a.txt": "head a", "b.txt": None, "c.txt": None, "d.txt": "only"}
 
