@@ -26,7 +26,7 @@ RUNS = int(os.environ.get("BENCH_RUNS", "3"))   # best of RUNS per query
 HEADLINE = [
     "avg_rate_by_attr", "top_titles_for_segment", "top_titles_of_top_user",
     "stacked_filters", "set_difference", "computed_columns",
-    "term_counts", "inverted_index", "inverted_index_counts", "traffic_totals",
+    "term_counts", "inverted_index", "inverted_index_counts", "posting_blocks", "traffic_totals",
     "batch_index", "batch_slots", "cells_put", "cells_get", "cells_delete",
     "rebase_paths", "parent_folders", "copy_plan", "copy_plan_sources",
     "folder_sizes", "file_sizes", "name_filter", "first_seen_per_type", "any_match",

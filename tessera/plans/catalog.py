@@ -26,11 +26,12 @@ SAL_LOW, SAL_HIGH = 1000, 2000
 DEPT = "BUILDING"
 PREFIX = "order-"
 BLOCK = text_index.DEFAULT_BLOCK_SIZE
+SMALL_BLOCK = 250          # posting_blocks: small blocks, so test data spans many of them
 KEY_SEGMENT = "MACHINERY"  # row keys fetched / deleted in the cell table
 NAME_MARK = "*page-1*"
 MATCH_PATTERN = r"page-42\.html$"
 FOLDER_NAME = "en"
-LIST_BLOCK = 1000          # names per listing text
+LIST_BLOCK = 25            # names per listing text (small, so folders span several blocks)
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -69,6 +70,11 @@ def _documents(spark, d):
     return spark.read.parquet(f"{d}/documents.parquet").select("doc_id", "text")
 
 
+def posting_blocks(spark, d):
+    pl = text_index.posting_lists_with_counts(_documents(spark, d), block_size=SMALL_BLOCK)
+    return pl.select("word", "block", text_index.render_postings(F.col("postings")).alias("postings"))
+
+
 def term_counts(spark, d):
     return text_index.term_counts(_documents(spark, d))
 
@@ -181,6 +187,7 @@ QUERIES: dict[str, Query] = {
     "term_counts": term_counts,
     "inverted_index": inverted_index,
     "inverted_index_counts": inverted_index_counts,
+    "posting_blocks": posting_blocks,
     "traffic_totals": traffic_totals,
     "batch_index": batch_index,
     "batch_slots": batch_slots,
@@ -207,7 +214,11 @@ _RATINGS = """r AS (SELECT o.o_custkey AS userid, l.l_partkey AS movieid,
 
 _WORDS = "w AS (SELECT doc_id, unnest(string_split(text, ' ')) AS word FROM documents)"
 
-_BLOCK = f"(doc_id - ((doc_id % {BLOCK}) + {BLOCK}) % {BLOCK}) // {BLOCK}"
+def _block_sql(b: int) -> str:
+    return f"(doc_id - ((doc_id % {b}) + {b}) % {b}) // {b}"
+
+
+_BLOCK = _block_sql(BLOCK)
 
 _PAGES = """pm AS (SELECT '/web/' || regexp_extract(url, '^[a-z]+://([^/?#]+)', 1) || '/'
                        || regexp_extract(url, '^[a-z]+://[^/?#]+/([^/?#]*)', 1)
@@ -247,7 +258,10 @@ _SLOTS = """k AS (SELECT l_orderkey, l_linenumber, l_linenumber AS part_id,
 _PLAN = _PAGES + """,
      s AS (SELECT uri AS src_uri, '/backup' || uri AS dest, 'file' AS src_type, len AS src_len FROM pm),
      d AS (SELECT '/backup' || uri AS dest, 'file' AS dest_type, len AS dest_len FROM pm
-           WHERE starts_with(url, 'https:')),
+           WHERE starts_with(url, 'https:')
+           UNION ALL
+           SELECT '/backup' || uri || '.old', 'file', CAST(0 AS BIGINT) FROM pm
+           WHERE contains(url, '#')),
      plan AS (SELECT s.src_uri, COALESCE(s.dest, d.dest) AS dest,
                      COALESCE(src_type, dest_type) AS file_type, src_len, dest_len,
                      CASE WHEN s.src_uri IS NULL THEN 'keep'
@@ -305,6 +319,11 @@ ORACLE: dict[str, str] = {
         SELECT word, {_BLOCK} AS block,
                string_agg(CAST(doc_id AS VARCHAR) || ':' || CAST(n AS VARCHAR), ',' ORDER BY doc_id) AS postings
         FROM c GROUP BY word, block""",
+    "posting_blocks": f"""
+        WITH {_WORDS}, c AS (SELECT word, doc_id, count(*) AS n FROM w GROUP BY word, doc_id)
+        SELECT word, {_block_sql(SMALL_BLOCK)} AS block,
+               string_agg(CAST(doc_id AS VARCHAR) || ':' || CAST(n AS VARCHAR), ',' ORDER BY doc_id) AS postings
+        FROM c GROUP BY word, block""",
     "traffic_totals": """
         SELECT CAST(l_suppkey AS VARCHAR) AS key,
                CAST(sum(CAST(l_quantity AS INTEGER)) AS BIGINT) AS up,

@@ -106,9 +106,15 @@ def page_files(spark: SparkSession, d: str) -> DataFrame:
 
 
 def backup_files(spark: SparkSession, d: str) -> DataFrame:
-    """Destination manifest: an earlier copy holding the https pages."""
-    f = page_files(spark, d).where(F.col("url").startswith("https:"))
-    return f.select(F.concat(F.lit(DEST_ROOT), F.col("uri")).alias("uri"), "len", "file_type", "mtime")
+    """Destination manifest: an earlier copy holding the https pages, plus an
+    empty stale ``.old`` file next to each page whose url has a fragment."""
+    pages = page_files(spark, d)
+    copied = pages.where(F.col("url").startswith("https:")).select(
+        F.concat(F.lit(DEST_ROOT), F.col("uri")).alias("uri"), "len", "file_type", "mtime")
+    stale = pages.where(F.col("url").contains("#")).select(
+        F.concat(F.lit(DEST_ROOT), F.col("uri"), F.lit(".old")).alias("uri"),
+        F.lit(0).cast("long").alias("len"), "file_type", "mtime")
+    return copied.unionByName(stale)
 
 
 def event_entries(spark: SparkSession, d: str) -> DataFrame:
