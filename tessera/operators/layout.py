@@ -32,7 +32,10 @@ def default_parallelism(spark) -> int:
 def spread(df: DataFrame, *keys: str) -> DataFrame:
     if df.isStreaming:
         return df
-    target = default_parallelism(df.sparkSession)
+    spark = df.sparkSession
+    # At most one task per core, and no more than the shuffle width the
+    # session is sized for (a tiny input on a huge cluster stays small).
+    target = min(default_parallelism(spark), int(spark.conf.get("spark.sql.shuffle.partitions")))
     try:
         planned = df.rdd.getNumPartitions()
     except Exception:  # no RDD view (Spark Connect): leave the layout alone
