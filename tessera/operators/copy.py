@@ -11,9 +11,11 @@ Steps (``copy_tree``):
    in its destination folder, its length is checked against the source
    listing, and it is moved over the destination name in one rename.
 
-A retried or speculative task writes its own temporary file, so it never
-breaks another attempt's output; the final rename replaces atomically on
-local and HDFS-like file systems.  Work is spread round robin over
+A retried or speculative task writes its own temporary file (named with the
+run id and the task attempt id), so it never breaks another attempt's
+output; the final rename replaces atomically on local and HDFS-like file
+systems.  When the file step is over, temporary files of this run that lost
+attempts left behind are swept from the touched folders.  Work is spread round robin over
 ``tasks`` tasks.  Status rows: ``(uri, dest, action, ok, bytes, message)``.
 """
 
@@ -78,13 +80,16 @@ def _make_dirs_fn(dest_base: str):
     return make_dirs
 
 
+TEMP_PREFIX = ".tessera."
+
+
 def _copy_one(src: str, dest: str, src_len: int, attempt: str) -> tuple[bool, int, str]:
     sfs, spath = filesystem_for(src)
     dfs, dpath = filesystem_for(dest)
     folder = parent_str(dpath) or "/"
     if _exists(dfs, folder) != pafs.FileType.Directory:
         return False, 0, f"destination folder {folder} does not exist"
-    tmp = folder.rstrip("/") + f"/.tessera.{attempt}.{os.path.basename(dpath)}"
+    tmp = folder.rstrip("/") + f"/{TEMP_PREFIX}{attempt}.{os.path.basename(dpath)}"
     written = 0
     try:
         with sfs.open_input_stream(spath) as i, dfs.open_output_stream(tmp) as o:
@@ -109,9 +114,40 @@ def _copy_one(src: str, dest: str, src_len: int, attempt: str) -> tuple[bool, in
         return False, written, f"{type(e).__name__}: {e}"
 
 
-def _copy_files(batches: Iterable[pa.RecordBatch]) -> Iterable[pa.RecordBatch]:
-    ctx = TaskContext.get()
-    attempt = str(ctx.taskAttemptId()) if ctx is not None else uuid.uuid4().hex
+def _copy_files_fn(run_id: str):
+    """File step; temporary names carry the run id and the task attempt id."""
+    def copy_files(batches: Iterable[pa.RecordBatch]) -> Iterable[pa.RecordBatch]:
+        ctx = TaskContext.get()
+        attempt = f"{run_id}.{ctx.taskAttemptId() if ctx is not None else uuid.uuid4().hex}"
+        yield from _copy_batches(batches, attempt)
+    return copy_files
+
+
+_SWEEP_SCHEMA = "folder string, removed long"
+
+
+def _sweep_fn(run_id: str):
+    """Remove temporary files this run's lost attempts left in a folder."""
+    prefix = f"{TEMP_PREFIX}{run_id}."
+
+    def sweep(batches: Iterable[pa.RecordBatch]) -> Iterable[pa.RecordBatch]:
+        folders, removed = [], []
+        for batch in batches:
+            for folder in batch.column(0).to_pylist():
+                fs, path = filesystem_for(folder)
+                n = 0
+                for info in fs.get_file_info(pafs.FileSelector(path, allow_not_found=True)):
+                    if info.type == pafs.FileType.File and info.base_name.startswith(prefix):
+                        fs.delete_file(info.path)
+                        n += 1
+                folders.append(folder)
+                removed.append(n)
+        yield pa.RecordBatch.from_arrays([pa.array(folders, pa.string()), pa.array(removed, pa.int64())],
+                                         names=["folder", "removed"])
+    return sweep
+
+
+def _copy_batches(batches: Iterable[pa.RecordBatch], attempt: str) -> Iterable[pa.RecordBatch]:
     out = []
     for batch in batches:
         d = batch.to_pydict()
@@ -157,7 +193,12 @@ def run_copy(plan: DataFrame, dest_root: str, tasks: int = 2, ignore_errors: boo
     file_work = work.where(F.col("file_type") == "file").select("src_uri", "dest", "src_len", "action")
     placed = (balanced_file_tasks(file_work, task_bytes, tasks) if task_bytes
               else file_work.repartition(tasks))
-    files = placed.mapInArrow(_copy_files, STATUS_SCHEMA).checkpoint()
+    run_id = uuid.uuid4().hex[:12]
+    files = placed.mapInArrow(_copy_files_fn(run_id), STATUS_SCHEMA).checkpoint()
+    # All attempts of the file step are over: temporary files of this run
+    # still present belong to lost attempts.
+    touched = files.select(F.regexp_replace("dest", "/[^/]*$", "").alias("folder")).distinct()
+    touched.mapInArrow(_sweep_fn(run_id), _SWEEP_SCHEMA).write.format("noop").mode("overwrite").save()
     status = dirs.unionByName(files)
     if not ignore_errors:
         failed = status.where(~F.col("ok")).count()

@@ -92,3 +92,15 @@ def test_relative_paths_are_qualified(spark, tmp, monkeypatch):
     from tessera.operators.manifest import with_parent_chains
     chains = {r.uri[len(tmp):]: r.parents for r in with_parent_chains(list_tree(spark, "src"), f"{tmp}/rel/src").collect()}
     assert chains["/rel/src/a.txt"] == [f"{tmp}/rel/src"]
+
+
+def test_sweep_removes_only_this_runs_leftovers(spark, tmp):
+    import pyarrow as pa
+    from tessera.operators.copy import TEMP_PREFIX, _sweep_fn
+    write(f"{tmp}/d/{TEMP_PREFIX}run1.77.a.txt", "partial")
+    write(f"{tmp}/d/{TEMP_PREFIX}run2.5.a.txt", "other job")
+    write(f"{tmp}/d/a.txt", "done")
+    batch = pa.RecordBatch.from_arrays([pa.array([f"{tmp}/d", f"{tmp}/missing"])], names=["folder"])
+    out = list(_sweep_fn("run1")([batch]))[0].to_pydict()
+    assert out["removed"] == [1, 0]
+    assert sorted(os.listdir(f"{tmp}/d")) == sorted([f"{TEMP_PREFIX}run2.5.a.txt", "a.txt"])
