@@ -46,18 +46,24 @@ def main() -> None:
     conf["spark.driver.memory"] = "16g"
     spark = build_session(f"local[{cpus}]", app="tessera-bench", extra=conf)
     run(catalog.QUERIES["traffic_totals"](spark, data_dir))   # warm-up
-    times = {}
+    times, errors = {}, {}
     for name in HEADLINE:
         best = None
-        for _ in range(RUNS):
-            t0 = time.perf_counter()
-            run(catalog.QUERIES[name](spark, data_dir))
-            dt = time.perf_counter() - t0
-            best = dt if best is None else min(best, dt)
-        times[name] = round(best, 3)
+        try:
+            for _ in range(RUNS):
+                t0 = time.perf_counter()
+                run(catalog.QUERIES[name](spark, data_dir))
+                dt = time.perf_counter() - t0
+                best = dt if best is None else min(best, dt)
+            times[name] = round(best, 3)
+        except Exception as e:  # report and go on: one failure must not hide the rest
+            errors[name] = f"{type(e).__name__}: {str(e)[:200]}"
     m = re.search(r"sf([0-9.]+)", data_dir)
-    print(json.dumps({"metric": "total_query_seconds", "value": round(sum(times.values()), 3),
-                      "unit": "sec", "queries": times, "sf": float(m.group(1)) if m else data_dir}))
+    out = {"metric": "total_query_seconds", "value": round(sum(times.values()), 3),
+           "unit": "sec", "queries": times, "sf": float(m.group(1)) if m else data_dir}
+    if errors:
+        out["errors"] = errors
+    print(json.dumps(out))
 
 
 if __name__ == "__main__":
