@@ -7,30 +7,40 @@ All of them are Spark data sources underneath; globs in a path (``*``,
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterable, Sequence
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 
+def _field(raw: F.Column, dtype: T.DataType, null_value: str) -> F.Column:
+    """One text field as the declared type; unparsable text is NULL."""
+    value = F.when(raw == F.lit(null_value), F.lit(None).cast("string")).otherwise(raw)
+    if isinstance(dtype, T.StringType):
+        return value
+    if isinstance(dtype, (T.ByteType, T.ShortType, T.IntegerType, T.LongType)):
+        # no blanks or decimals, as a Hive int column reads them
+        return F.when(value.rlike(r"^[+-]?[0-9]+$"), value.try_cast(dtype))
+    return value.try_cast(dtype)
+
+
 def read_delimited(spark: SparkSession, path: str | Sequence[str], schema: T.StructType | str,
                    sep: str = "::", null_value: str = "\\N") -> DataFrame:
     """A delimited text table with a separator of one or more characters.
 
     Behaves like a Hive table over ``::``-separated text: fields are taken in
-    order; a field that does not parse as the declared type reads as NULL
-    (PERMISSIVE); missing trailing fields are NULL and extra ones are dropped.
-    Quoting is off, as the Hive SerDe has none; ``\\N`` marks NULL.
+    order; text that does not parse as the declared type reads as NULL;
+    missing trailing fields are NULL and extra ones are dropped; an empty
+    field is ``''`` in a string column; ``\\N`` marks NULL.  There is no
+    quoting.  Lines are read with Spark's splittable text source.
     """
-    return (spark.read
-            .option("sep", sep)
-            .option("header", "false")
-            .option("mode", "PERMISSIVE")
-            .option("quote", "")
-            .option("escape", "")
-            .option("nullValue", null_value)
-            .schema(schema)
-            .csv(path))
+    if isinstance(schema, str):
+        schema = spark.createDataFrame([], schema).schema
+    parts = F.split(F.col("value"), re.escape(sep), -1)
+    return spark.read.text(path).select(*[
+        _field(F.get(parts, i), f.dataType, null_value).alias(f.name)
+        for i, f in enumerate(schema.fields)])
 
 
 def register_delimited(spark: SparkSession, name: str, path: str | Sequence[str],

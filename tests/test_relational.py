@@ -37,6 +37,12 @@ def test_multi_char_delimiter_and_bad_int(spark, tmp):
     assert m.where("movieid = 10").first().movietype == "Drama"
 
 
+def test_delimited_fields_like_hive(spark, tmp):
+    write(f"{tmp}/t/a.txt", "1::::5\n2::\\N:: 7\n3::a\n4::b::7::extra\n+5::c::1.5\n")
+    rows = [tuple(r) for r in read_delimited(spark, f"{tmp}/t", "id int, s string, n int").collect()]
+    assert rows == [(1, "", 5), (2, None, None), (3, "a", None), (4, "b", 7), (5, "c", None)]
+
+
 def test_average_by_attribute(spark, tmp):
     u, m, r = _fixture(spark, tmp)
     got = {row.age: row.avgrate for row in rel.average_rating_by(r, u, 12, "age").collect()}
