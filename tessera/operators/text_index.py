@@ -15,7 +15,13 @@ Plan shape:
   ``[block * block_size, (block + 1) * block_size)``, so one array never
   holds more than ``block_size`` entries, however common the word is.  A
   word found in a third of all documents becomes many blocks spread over
-  many tasks instead of one giant group.
+  many tasks instead of one giant group.  Rows that repeat a document id
+  are merged inside each sorted block, as the id is the key.  Ids that are not
+  integers (text ids) are first numbered in sorted order
+  (``ranking.exclusive_prefix_sum``) and blocked by that number.
+
+``term_counts`` counts per row: for a documents table keyed by its id (one
+row per document) that is the count per document.
 """
 
 from __future__ import annotations
@@ -23,15 +29,14 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, functions as F, types as T
 
 from tessera.operators.layout import spread
+from tessera.operators.ranking import exclusive_prefix_sum
 
 DEFAULT_BLOCK_SIZE = 100_000
 
 
-def _check_doc_id(docs: DataFrame, doc_col: str) -> None:
-    dtype = docs.schema[doc_col].dataType
-    if not isinstance(dtype, (T.ByteType, T.ShortType, T.IntegerType, T.LongType)):
-        raise TypeError(f"document id column {doc_col!r} must be integral, got {dtype.simpleString()}; "
-                        "map the ids to integers first so posting blocks stay bounded")
+def _is_integral(docs: DataFrame, doc_col: str) -> bool:
+    return isinstance(docs.schema[doc_col].dataType,
+                      (T.ByteType, T.ShortType, T.IntegerType, T.LongType))
 
 
 def term_counts(docs: DataFrame, doc_col: str = "doc_id", text_col: str = "text",
@@ -60,24 +65,68 @@ def _block(doc: F.Column, block_size: int) -> F.Column:
     return ((doc - F.pmod(doc, F.lit(block_size))) / F.lit(block_size)).cast("long")
 
 
+def _keyed_counts(docs: DataFrame, doc_col: str, text_col: str, block_size: int) -> DataFrame:
+    """``(word, block, key, doc_id, n)`` with ``key`` the number that orders
+    and blocks the documents.  Integral ids are their own key.  Other ids
+    (text) are numbered 0, 1, ... in sorted order by a distributed prefix
+    sum over the distinct ids, so blocks stay bounded for any id type."""
+    if _is_integral(docs, doc_col):
+        tc = term_counts(docs, doc_col, text_col).withColumn("key", F.col("doc_id").cast("long"))
+    else:
+        ids = docs.select(F.col(doc_col).alias("_id")).distinct()
+        numbered = exclusive_prefix_sum(ids, "_id", F.lit(1).cast("long"), "_key")
+        keyed = docs.select(F.col(doc_col).alias("_id"), F.col(text_col).alias("_text")).join(numbered, "_id")
+        tc = (term_counts(keyed.select(F.struct(F.col("_key").alias("key"), F.col("_id").alias("id")).alias("_d"),
+                                       "_text"), "_d", "_text")
+              .select("word", F.col("doc_id.id").alias("doc_id"), F.col("doc_id.key").alias("key"), "n"))
+    return tc.withColumn("block", _block(F.col("key"), block_size))
+
+
+def _merge_runs(arr: F.Column, key: str) -> F.Column:
+    """``arr`` holds ``struct(<key>, ..., doc_id, n)`` sorted by ``key``;
+    entries that share a key (a document id repeated over rows) become one
+    ``struct(doc_id, n)`` with the counts summed.  The check uses native
+    array functions; the merge pass runs only for blocks with repeats."""
+    has_repeats = F.size(F.array_distinct(arr[key])) < F.size(arr)
+    n = F.size(arr)
+    starts = F.filter(F.sequence(F.lit(0), n - 1),
+                      lambda i: (i == 0) | (F.get(arr, i)[key] != F.get(arr, i - 1)[key]))
+
+    def run(s, j):
+        length = F.coalesce(F.get(starts, j + 1), n) - s
+        total = F.aggregate(F.slice(arr, s + 1, length), F.lit(0).cast("long"),
+                            lambda acc, e: acc + e["n"])
+        return F.struct(F.get(arr, s)["doc_id"].alias("doc_id"), total.alias("n"))
+
+    if key == "doc_id":
+        plain = arr
+    else:
+        plain = F.transform(arr, lambda e: F.struct(e["doc_id"].alias("doc_id"), e["n"].alias("n")))
+    return F.when(has_repeats, F.transform(starts, run)).otherwise(plain)
+
+
 def posting_lists(docs: DataFrame, doc_col: str = "doc_id", text_col: str = "text",
                   block_size: int = DEFAULT_BLOCK_SIZE) -> DataFrame:
     """``(word, block, doc_ids)``: sorted, distinct ids of documents holding
     the word, one row per block of ids."""
-    _check_doc_id(docs, doc_col)
-    tc = term_counts(docs, doc_col, text_col)
-    return (tc.groupBy("word", _block(F.col("doc_id"), block_size).alias("block"))
-              .agg(F.sort_array(F.collect_list("doc_id")).alias("doc_ids")))
+    kc = _keyed_counts(docs, doc_col, text_col, block_size)
+    if _is_integral(docs, doc_col):
+        ids = F.array_distinct(F.sort_array(F.collect_list("doc_id")))
+    else:
+        ids = F.array_distinct(F.sort_array(F.collect_list(F.struct("key", "doc_id")))["doc_id"])
+    return kc.groupBy("word", "block").agg(ids.alias("doc_ids"))
 
 
 def posting_lists_with_counts(docs: DataFrame, doc_col: str = "doc_id", text_col: str = "text",
                               block_size: int = DEFAULT_BLOCK_SIZE) -> DataFrame:
     """``(word, block, postings)`` with ``postings`` an array of
     ``struct(doc_id, n)`` sorted by document id."""
-    _check_doc_id(docs, doc_col)
-    tc = term_counts(docs, doc_col, text_col)
-    return (tc.groupBy("word", _block(F.col("doc_id"), block_size).alias("block"))
-              .agg(F.sort_array(F.collect_list(F.struct("doc_id", "n"))).alias("postings")))
+    kc = _keyed_counts(docs, doc_col, text_col, block_size)
+    if _is_integral(docs, doc_col):
+        ordered, key = F.sort_array(F.collect_list(F.struct("doc_id", "n"))), "doc_id"
+    else:
+        ordered, key = F.sort_array(F.collect_list(F.struct("key", "doc_id", "n"))), "key"
+    return kc.groupBy("word", "block").agg(_merge_runs(ordered, key).alias("postings"))
 
 
 def merge_posting_lists(a: F.Column, b: F.Column) -> F.Column:

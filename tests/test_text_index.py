@@ -37,10 +37,26 @@ def test_blocks_bound_list_length(spark):
     assert {r.block: r.doc_ids for r in neg.collect()} == {-1: [-10, -1], -2: [-11]}
 
 
-def test_string_ids_rejected(spark):
-    import pytest
-    with pytest.raises(TypeError):
-        ti.posting_lists(spark.createDataFrame([("0", "a")], "doc_id string, text string"))
+def test_golden_with_text_ids_as_given(spark):
+    docs = spark.createDataFrame([(str(i), t) for i, t in DOCS], "doc_id string, text string")
+    got = {r.word: r.doc_ids for r in ti.posting_lists(docs).collect()}
+    assert got == {"banana": ["2"], "it": ["0", "1", "2"], "is": ["0", "1", "2"], "a": ["2"], "what": ["0", "1"]}
+    got = {r.word: [(p.doc_id, p.n) for p in r.postings] for r in ti.posting_lists_with_counts(docs).collect()}
+    assert got["it"] == [("0", 2), ("1", 1), ("2", 1)] and got["what"] == [("0", 1), ("1", 1)]
+
+
+def test_text_ids_blocked_by_sorted_number(spark):
+    docs = spark.createDataFrame([(f"d{i:02d}", "w") for i in range(25)], "doc_id string, text string")
+    blocks = {r.block: r.doc_ids for r in ti.posting_lists(docs, block_size=10).collect()}
+    assert blocks == {0: [f"d{i:02d}" for i in range(10)], 1: [f"d{i:02d}" for i in range(10, 20)],
+                      2: [f"d{i:02d}" for i in range(20, 25)]}
+
+
+def test_repeated_ids_are_merged(spark):
+    docs = _docs(spark, [(7, "a b"), (7, "a"), (3, "b")])
+    got = {r.word: [(p.doc_id, p.n) for p in r.postings] for r in ti.posting_lists_with_counts(docs).collect()}
+    assert got == {"a": [(7, 2)], "b": [(3, 1), (7, 1)]}
+    assert {r.word: r.doc_ids for r in ti.posting_lists(docs).collect()} == {"a": [7], "b": [3, 7]}
 
 
 def test_long_form_needs_no_shuffle(spark):
