@@ -15,8 +15,8 @@ A retried or speculative task writes its own temporary file (named with the
 run id and the task attempt id), so it never breaks another attempt's
 output; the final rename replaces atomically on local and HDFS-like file
 systems.  When the file step is over, temporary files of this run that lost
-attempts left behind are swept from the touched folders.  Work is spread round robin over
-``tasks`` tasks.  Status rows: ``(uri, dest, action, ok, bytes, message)``.
+attempts left behind are swept from the touched folders.  Work is spread over
+``tasks`` tasks by a hash of the path.  Status rows: ``(uri, dest, action, ok, bytes, message)``.
 """
 
 from __future__ import annotations
@@ -180,7 +180,7 @@ def run_copy(plan: DataFrame, dest_root: str, tasks: int = 2, ignore_errors: boo
              task_bytes: int | None = None) -> DataFrame:
     """Carry out a copy plan; returns the (materialised) status table.
 
-    Files are spread round robin over ``tasks`` tasks, or - with
+    Files are spread over ``tasks`` tasks by a hash of the destination path, or - with
     ``task_bytes`` - balanced so each task copies about that many bytes.
     With ``ignore_errors=False`` a failed entry fails the call after both
     steps ran, with the number of failures in the message.
@@ -189,10 +189,10 @@ def run_copy(plan: DataFrame, dest_root: str, tasks: int = 2, ignore_errors: boo
     root = strip_slash_str(dest_root)
     base = parent_str(root) or root
     dirs = (work.where(F.col("file_type") == "dir").select("src_uri", "dest")
-            .repartition(tasks).mapInArrow(_make_dirs_fn(base), STATUS_SCHEMA).checkpoint())
+            .repartition(tasks, "dest").mapInArrow(_make_dirs_fn(base), STATUS_SCHEMA).checkpoint())
     file_work = work.where(F.col("file_type") == "file").select("src_uri", "dest", "src_len", "action")
     placed = (balanced_file_tasks(file_work, task_bytes, tasks) if task_bytes
-              else file_work.repartition(tasks))
+              else file_work.repartition(tasks, "dest"))
     run_id = uuid.uuid4().hex[:12]
     files = placed.mapInArrow(_copy_files_fn(run_id), STATUS_SCHEMA).checkpoint()
     # All attempts of the file step are over: temporary files of this run

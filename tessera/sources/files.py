@@ -115,7 +115,7 @@ def list_tree(spark: SparkSession, root: str, tasks: int | None = None,
         folders = level.where(F.col("file_type") == "dir").select("uri")
         if folders.isEmpty():
             break
-        level = folders.repartition(tasks).mapInArrow(_list_children, ENTRY_SCHEMA).checkpoint()
+        level = folders.repartition(tasks, "uri").mapInArrow(_list_children, ENTRY_SCHEMA).checkpoint()
         levels.append(level)
     out = levels[0]
     for lv in levels[1:]:
