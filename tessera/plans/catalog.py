@@ -36,143 +36,143 @@ LIST_BLOCK = 25            # names per listing text (small, so folders span seve
 Query = Callable[[SparkSession, str], DataFrame]
 
 
-def avg_rate_by_attr(spark, d):
+def avg_rate_by_attr(spark: SparkSession, d: str) -> DataFrame:
     return relational.average_rating_by(si.ratings(spark, d), si.users(spark, d), MOVIE_ID, "age")
 
 
-def top_titles_for_segment(spark, d):
+def top_titles_for_segment(spark: SparkSession, d: str) -> DataFrame:
     return relational.top_titles(si.ratings(spark, d), si.users(spark, d), si.movies(spark, d),
                                  F.col("sex") == SEGMENT_M, MIN_TOTAL, TOP_K)
 
 
-def top_titles_of_top_user(spark, d):
+def top_titles_of_top_user(spark: SparkSession, d: str) -> DataFrame:
     return relational.top_titles_of_top_user(si.ratings(spark, d), si.users(spark, d),
                                              si.movies(spark, d), F.col("sex") == SEGMENT_F, TOP_K)
 
 
-def stacked_filters(spark, d):
+def stacked_filters(spark: SparkSession, d: str) -> DataFrame:
     return relational.stacked_range_filter(si.employees(spark, d), SAL_LOW, SAL_HIGH)
 
 
-def set_difference(spark, d):
+def set_difference(spark: SparkSession, d: str) -> DataFrame:
     t = si.employees(spark, d)
     left = t.where((F.col("sal") > SAL_LOW) & (F.lit(1) == F.lit(1))).where(F.col("deptno") == DEPT)
     right = si.jobs(spark, d).where(F.col("sal") > SAL_HIGH)
     return relational.distinct_except(left, right, ["job"])
 
 
-def computed_columns(spark, d):
+def computed_columns(spark: SparkSession, d: str) -> DataFrame:
     o = spark.read.parquet(f"{d}/orders.parquet").select("o_orderkey")
     return relational.computed_columns(o, "o_orderkey", PREFIX)
 
 
-def _documents(spark, d):
+def _documents(spark: SparkSession, d: str) -> DataFrame:
     return spark.read.parquet(f"{d}/documents.parquet").select("doc_id", "text")
 
 
-def posting_blocks(spark, d):
+def posting_blocks(spark: SparkSession, d: str) -> DataFrame:
     pl = text_index.posting_lists_with_counts(_documents(spark, d), block_size=SMALL_BLOCK)
     return pl.select("word", "block", text_index.render_postings(F.col("postings")).alias("postings"))
 
 
-def term_counts(spark, d):
+def term_counts(spark: SparkSession, d: str) -> DataFrame:
     return text_index.term_counts(_documents(spark, d))
 
 
-def inverted_index(spark, d):
+def inverted_index(spark: SparkSession, d: str) -> DataFrame:
     pl = text_index.posting_lists(_documents(spark, d), block_size=BLOCK)
     return pl.select("word", "block", text_index.render_ids(F.col("doc_ids")).alias("doc_ids"))
 
 
-def inverted_index_counts(spark, d):
+def inverted_index_counts(spark: SparkSession, d: str) -> DataFrame:
     pl = text_index.posting_lists_with_counts(_documents(spark, d), block_size=BLOCK)
     return pl.select("word", "block", text_index.render_postings(F.col("postings")).alias("postings"))
 
 
-def traffic_totals(spark, d):
+def traffic_totals(spark: SparkSession, d: str) -> DataFrame:
     return traffic.traffic_totals(si.traffic_lines(spark, d))
 
 
-def _slot_keys(spark, d):
+def _slot_keys(spark: SparkSession, d: str) -> DataFrame:
     l = spark.read.parquet(f"{d}/lineitem.parquet")
     return l.select("l_orderkey", "l_linenumber", F.col("l_linenumber").alias("part_id"),
                     F.col("l_quantity").cast("int").alias("batch"))
 
 
-def batch_index(spark, d):
+def batch_index(spark: SparkSession, d: str) -> DataFrame:
     return placement.batch_index(_slot_keys(spark, d))
 
 
-def batch_slots(spark, d):
+def batch_slots(spark: SparkSession, d: str) -> DataFrame:
     keys = _slot_keys(spark, d)
     return placement.assign_slots(keys, placement.batch_index(keys))
 
 
-def _cell_table(spark, d):
+def _cell_table(spark: SparkSession, d: str) -> DataFrame:
     puts = si.cell_puts(spark, d)
     base = puts.where(F.col("batch") == 0).drop("batch")
     batch = puts.where(F.col("batch") == 1).drop("batch")
     return cells.put_cells(base, batch)
 
 
-def cells_put(spark, d):
+def cells_put(spark: SparkSession, d: str) -> DataFrame:
     return _cell_table(spark, d)
 
 
-def cells_get(spark, d):
+def cells_get(spark: SparkSession, d: str) -> DataFrame:
     return cells.get_rows(_cell_table(spark, d), si.cell_keys(spark, d, KEY_SEGMENT))
 
 
-def cells_delete(spark, d):
+def cells_delete(spark: SparkSession, d: str) -> DataFrame:
     return cells.delete_rows(_cell_table(spark, d), si.cell_keys(spark, d, KEY_SEGMENT))
 
 
-def rebase_paths(spark, d):
+def rebase_paths(spark: SparkSession, d: str) -> DataFrame:
     return manifest.rebase(si.page_files(spark, d), si.SOURCE_ROOT, si.DEST_ROOT).select("uri", "dest")
 
 
-def parent_folders(spark, d):
+def parent_folders(spark: SparkSession, d: str) -> DataFrame:
     return manifest.with_parent_folders(si.page_files(spark, d), si.SOURCE_ROOT).select(
         "uri", "len", "file_type")
 
 
-def copy_plan(spark, d):
+def copy_plan(spark: SparkSession, d: str) -> DataFrame:
     return manifest.copy_plan(si.page_files(spark, d), si.backup_files(spark, d),
                               si.SOURCE_ROOT, si.DEST_ROOT)
 
 
-def copy_plan_sources(spark, d):
+def copy_plan_sources(spark: SparkSession, d: str) -> DataFrame:
     return manifest.copy_work(copy_plan(spark, d))
 
 
-def folder_sizes(spark, d):
+def folder_sizes(spark: SparkSession, d: str) -> DataFrame:
     tree = manifest.with_parent_folders(si.page_files(spark, d), si.SOURCE_ROOT)
     return manifest.folder_sizes(tree)
 
 
-def file_sizes(spark, d):
+def file_sizes(spark: SparkSession, d: str) -> DataFrame:
     tree = manifest.with_parent_folders(si.page_files(spark, d), si.SOURCE_ROOT)
     from tessera.functions.paths import base_name
     folders = tree.where((F.col("file_type") == "dir") & (base_name(F.col("uri")) == FOLDER_NAME))
     return manifest.file_sizes(tree, folders.select(F.col("uri").alias("folder")))
 
 
-def name_filter(spark, d):
+def name_filter(spark: SparkSession, d: str) -> DataFrame:
     return manifest.name_contains(si.page_files(spark, d), NAME_MARK).select("uri", "len")
 
 
-def first_seen_per_type(spark, d):
+def first_seen_per_type(spark: SparkSession, d: str) -> DataFrame:
     first = manifest.first_entry_time(si.event_entries(spark, d))
     return first.select(F.col("parent").alias("event_type"),
                         F.timestamp_diff("MICROSECOND", F.lit("1970-01-01 00:00:00").cast("timestamp_ntz"),
                                         F.col("first_time")).alias("first_time"))
 
 
-def any_match(spark, d):
+def any_match(spark: SparkSession, d: str) -> DataFrame:
     return manifest.any_match(si.page_files(spark, d), MATCH_PATTERN)
 
 
-def name_list(spark, d):
+def name_list(spark: SparkSession, d: str) -> DataFrame:
     tree = manifest.with_parent_folders(si.page_files(spark, d), si.SOURCE_ROOT)
     return manifest.name_lists(tree, LIST_BLOCK)
 
