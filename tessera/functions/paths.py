@@ -88,3 +88,48 @@ def parent_chain(c: Column, root: str) -> Column:
                         lambda i: F.array_join(F.slice(parts, 1, i), "/"))
     chain = F.when(n > 2, chain).otherwise(F.array().cast("array<string>"))
     return F.filter(chain, lambda p: (p == F.lit(r)) | p.startswith(prefix))
+
+
+def glob_to_regex(pattern: str) -> str:
+    """A path glob as an anchored Java regular expression.
+
+    ``*`` matches within one path part, ``?`` one character of a part,
+    ``[abc]`` / ``[!abc]`` / ``[^abc]`` a character class, ``{a,b}`` one of
+    the alternatives (may nest), ``\\`` escapes the next character.
+    """
+    out, i, depth = ["^"], 0, 0
+    while i < len(pattern):
+        c = pattern[i]
+        if c == "\\" and i + 1 < len(pattern):
+            out.append("\\" + pattern[i + 1] if not pattern[i + 1].isalnum() else pattern[i + 1])
+            i += 2
+            continue
+        if c == "*":
+            out.append("[^/]*")
+        elif c == "?":
+            out.append("[^/]")
+        elif c == "[":
+            j = pattern.find("]", i + 1)
+            if j < 0:
+                out.append("\\[")
+            else:
+                body = pattern[i + 1:j]
+                if body[:1] in ("!", "^"):
+                    body = "^" + body[1:]
+                out.append("[" + body.replace("\\", "\\\\") + "]")
+                i = j
+        elif c == "{":
+            out.append("(?:")
+            depth += 1
+        elif c == "}" and depth:
+            out.append(")")
+            depth -= 1
+        elif c == "," and depth:
+            out.append("|")
+        elif c in ".^$+|()[]{}":
+            out.append("\\" + c)
+        else:
+            out.append(c)
+        i += 1
+    out.append("$")
+    return "".join(out)

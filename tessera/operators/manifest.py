@@ -10,8 +10,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
-from tessera.functions.paths import (base_name, is_under, parent_chain, parent_path,
-                                     rebase_path, strip_slash)
+from tessera.functions.paths import (base_name, glob_to_regex, is_under, parent_chain,
+                                     parent_path, rebase_path, strip_slash)
 
 MANIFEST_SCHEMA = "uri string, len long, file_type string, mtime timestamp"
 
@@ -164,5 +164,16 @@ def name_lists(manifest: DataFrame, block_size: int = 1000, sep: str = ",") -> D
             .agg(F.array_join(F.sort_array(F.collect_list("name")), sep).alias("names")))
 
 
+def glob_entries(manifest: DataFrame, pattern: str, col: str = "uri") -> DataFrame:
+    """Entries whose path matches a glob (``/data/2024-*/part-?.txt``,
+    ``/logs/{a,b}/*``), as a file-system glob status would list them."""
+    return manifest.where(F.col(col).rlike(glob_to_regex(pattern)))
+
+
+def any_glob_match(manifest: DataFrame, pattern: str, col: str = "uri") -> DataFrame:
+    """One row ``found``: does any entry match the glob?"""
+    return any_match(manifest, glob_to_regex(pattern), col)
+
+
 def below_root(manifest: DataFrame, root: str) -> DataFrame:
     return manifest.where(is_under(strip_slash(F.col("uri")), root))

@@ -13,7 +13,7 @@ COVERAGE: dict[str, list[str]] = {
     "S5": ["tessera.sources.files.list_tree", "tessera.operators.manifest.with_parent_chains"],
     "S6": ["tessera.sources.text.read_whole_files", "tessera.sources.text.read_file_texts"],
     "S7": ["tessera.sources.text.read_headers"],
-    "S8": ["tessera.sources.text.read_lines"],
+    "S8": ["tessera.sources.text.read_lines", "tessera.operators.manifest.glob_entries"],
     # 2.2 sinks
     "K1": ["tessera.sinks.text.write_key_values"],
     "K2": ["tessera.sinks.text.compact_text"],
@@ -30,7 +30,7 @@ COVERAGE: dict[str, list[str]] = {
     "P7": ["tessera.functions.parse.strict_int"],
     "P8": ["tessera.functions.paths.rebase_path", "tessera.operators.manifest.rebase"],
     "P9": ["tessera.operators.manifest.name_contains", "tessera.operators.manifest.siblings"],
-    "P10": ["tessera.operators.manifest.any_match"],
+    "P10": ["tessera.operators.manifest.any_match", "tessera.operators.manifest.any_glob_match"],
     "P11": ["tessera.operators.manifest.copy_work"],
     # 2.4 row-expanding
     "X1": ["tessera.operators.text_index.term_counts"],

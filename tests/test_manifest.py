@@ -85,3 +85,24 @@ def test_name_lists_blocks(spark):
     rows = [(f"/d/f{i:02d}", 1, "file") for i in range(7)] + [("/e/x", 1, "file")]
     lists = {(r.parent, r.block): r.names for r in mf.name_lists(_m(spark, rows), block_size=3).collect()}
     assert lists == {("/d", 0): "f00,f01,f02", ("/d", 1): "f03,f04,f05", ("/d", 2): "f06", ("/e", 0): "x"}
+
+
+def test_glob_to_regex_and_glob_entries(spark):
+    import re
+    from tessera.functions.paths import glob_to_regex
+    cases = {
+        "/d/*.txt": (["/d/a.txt", "/d/.txt"], ["/d/x/a.txt", "/d/a.txt2"]),
+        "/d/part-?.csv": (["/d/part-1.csv"], ["/d/part-10.csv", "/d/part-/.csv"]),
+        "/d/{a,b}/*": (["/d/a/x", "/d/b/y"], ["/d/c/x", "/d/a/x/y"]),
+        "/d/[ab]x": (["/d/ax", "/d/bx"], ["/d/cx"]),
+        "/d/[!ab]x": (["/d/cx"], ["/d/ax"]),
+        "/d/a+b(1).txt": (["/d/a+b(1).txt"], ["/d/aab1.txt"]),
+    }
+    for pattern, (yes, no) in cases.items():
+        rx = re.compile(glob_to_regex(pattern))
+        assert all(rx.search(p) for p in yes), (pattern, yes)
+        assert not any(rx.search(p) for p in no), (pattern, no)
+    m = _m(spark, [("/d/a.txt", 1, "file"), ("/d/b.csv", 1, "file"), ("/d/x/c.txt", 1, "file")])
+    assert sorted(r.uri for r in mf.glob_entries(m, "/d/*.txt").collect()) == ["/d/a.txt"]
+    assert mf.any_glob_match(m, "/d/*/*.txt").first().found is True
+    assert mf.any_glob_match(m, "/e/*").first().found is False
