@@ -3,9 +3,11 @@
 Parquet splits a file no finer than its row groups.  A table stored as one
 big row group is read by one task even when it plans several splits, and
 all per-row work before the first shuffle then runs on one core.  When a
-DataFrame plans fewer partitions than the cluster's default parallelism,
-``spread`` hash-partitions it on a key so that the per-row work (tokenising
-documents, parsing log lines) runs on every core.
+DataFrame plans fewer than two partitions per core (splits past the row
+groups are empty, so a count near the core count proves nothing),
+``spread`` hash-partitions it on a key into one partition per core so that
+the per-row work (tokenising documents, parsing log lines) runs on every
+core.
 
 On large inputs the scan already has at least as many splits as there are
 cores and ``spread`` returns the DataFrame unchanged - no extra shuffle.
@@ -33,14 +35,20 @@ def spread(df: DataFrame, *keys: str) -> DataFrame:
     if df.isStreaming:
         return df
     spark = df.sparkSession
-    # At most one task per core, and no more than the shuffle width the
-    # session is sized for (a tiny input on a huge cluster stays small).
-    target = min(default_parallelism(spark), int(spark.conf.get("spark.sql.shuffle.partitions")))
+    cores = default_parallelism(spark)
     try:
         planned = df.rdd.getNumPartitions()
     except Exception:  # no RDD view (Spark Connect): leave the layout alone
         return df
-    if planned >= target:
+    # Splits past the row groups are empty, so a planned count near the core
+    # count can still mean one busy task: spread below two splits per core,
+    # to one partition per core (one wave; more map tasks only add partial
+    # results to merge) and no more than the session's shuffle width (a tiny
+    # input on a huge cluster stays small).
+    if cores <= 1 or planned >= 2 * cores:
+        return df
+    target = min(cores, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    if target <= 1:
         return df
     # Hash partitioning is deterministic on retry without the local sort a
     # round-robin repartition needs; with no key given, hash all columns.
