@@ -52,3 +52,9 @@ def test_except_shuffles_only_partial_aggregates(spark):
     for i in exchanges:
         assert "HashAggregate" in plan[i + 1]
     assert any("LeftAnti" in l for l in plan)
+
+
+def test_traffic_shuffles_partial_sums_only(spark):
+    plan = executed(catalog.QUERIES["traffic_totals"](spark, DATA)).splitlines()
+    keyed = [i for i, l in enumerate(plan) if "Exchange hashpartitioning(key" in l]
+    assert len(keyed) == 1 and "partial_sum" in plan[keyed[0] + 1]
