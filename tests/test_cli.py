@@ -16,3 +16,13 @@ def test_cli_traffic_and_copy(spark, tmp):
     os.makedirs(f"{tmp}/dst")
     assert main(["copy", f"{tmp}/src", f"{tmp}/dst", "--tasks", "2"]) == 0
     assert open(f"{tmp}/dst/src/x.txt").read() == "x"
+
+
+def test_cli_index_and_version(spark, tmp, capsys):
+    assert main(["index", "/root/testdata/sf0.001/documents.parquet", f"{tmp}/idx", "--counts",
+                 "--block-size", "50"]) == 0
+    out = spark.read.parquet(f"{tmp}/idx")
+    assert out.columns == ["word", "block", "postings"] and out.count() > 0
+    assert out.agg({"block": "max"}).first()[0] >= 1
+    assert main(["version"]) == 0
+    assert capsys.readouterr().out.startswith("Spark Version: ")
