@@ -136,7 +136,7 @@ def merge_posting_lists(a: F.Column, b: F.Column) -> F.Column:
 
 def render_ids(ids: F.Column) -> F.Column:
     """``[0, 1, 2]`` -> ``'0,1,2'`` (stable text form of a posting list)."""
-    return F.array_join(F.transform(ids, lambda x: x.cast("string")), ",")
+    return F.array_join(ids.cast("array<string>"), ",")
 
 
 def render_postings(postings: F.Column) -> F.Column:
