@@ -185,7 +185,9 @@ def run_copy(plan: DataFrame, dest_root: str, tasks: int = 2, ignore_errors: boo
     With ``ignore_errors=False`` a failed entry fails the call after both
     steps ran, with the number of failures in the message.
     """
-    work = copy_work(plan).select("src_uri", "dest", "file_type", "src_len", "action")
+    # The folder step and the file step both read the plan: materialise it
+    # once instead of running its joins twice.
+    work = copy_work(plan).select("src_uri", "dest", "file_type", "src_len", "action").checkpoint()
     root = strip_slash_str(dest_root)
     base = parent_str(root) or root
     dirs = (work.where(F.col("file_type") == "dir").select("src_uri", "dest")

@@ -1,11 +1,12 @@
 """File manifests: a recursive listing done by the executors.
 
-``list_tree`` walks a tree level by level.  Each level is one Spark job:
-the folders found so far are spread over tasks, every task lists its
-folders (one directory read each) and emits their entries.  Folders found
-become the next level.  The driver only loops over levels - it never holds
-the listing - and each level is checkpointed to the shared checkpoint
-folder so a lost executor re-reads a level instead of re-listing the tree.
+``list_tree`` walks a tree in levels.  Each level is one Spark job: the
+frontier folders are spread over tasks, every task walks below its folders
+(depth first, one directory read per folder) until it has listed a budget
+of entries, and the folders it did not reach become the next level.  The
+driver only loops over levels - it never holds the listing - and each level
+is checkpointed to the shared checkpoint folder so a lost executor re-reads
+a level instead of re-listing the tree.
 
 Rows: ``(uri, len, file_type, mtime)``, root included, symbolic links left
 out, as in the copy tool this mirrors.  Listing errors fail the job.
@@ -13,6 +14,7 @@ out, as in the copy tool this mirrors.  Listing errors fail the job.
 
 from __future__ import annotations
 
+import datetime
 import os
 from collections.abc import Iterable
 
@@ -72,52 +74,77 @@ def _stat(uri: str):
     return uri, (0 if kind == "dir" else info.size), kind, (info.mtime_ns or 0) // 1000
 
 
-def _to_batch(rows) -> pa.RecordBatch:
-    cols = list(zip(*rows)) if rows else [[], [], [], []]
-    return pa.RecordBatch.from_arrays(
-        [pa.array(cols[0], pa.string()), pa.array(cols[1], pa.int64()),
-         pa.array(cols[2], pa.string()), pa.array(cols[3], pa.timestamp("us", tz="UTC"))],
-        schema=ENTRY_ARROW)
-
-
-def _list_children(batches: Iterable[pa.RecordBatch]) -> Iterable[pa.RecordBatch]:
-    """Entries directly inside each folder of the input batches."""
-    rows = []
-    for batch in batches:
-        for folder in batch.column(0).to_pylist():
-            source = (_entries_local(folder, filesystem_for(folder)[1]) if is_local(folder)
-                      else _entries_remote(folder))
-            for row in source:
-                rows.append(row)
-                if len(rows) >= BATCH_ROWS:
-                    yield _to_batch(rows)
-                    rows = []
-    if rows:
-        yield _to_batch(rows)
-
-
-def _stat_roots(batches: Iterable[pa.RecordBatch]) -> Iterable[pa.RecordBatch]:
-    for batch in batches:
-        rows = [_stat(u) for u in batch.column(0).to_pylist()]
+WALK_ARROW = pa.schema(list(ENTRY_ARROW) + [("frontier", pa.bool_())])
+WALK_SCHEMA = ENTRY_SCHEMA + ", frontier boolean"
+WALK_BUDGET = 10_000     # entries one task lists below its folders before handing on
+
+
+def _to_batch(rows, schema=ENTRY_ARROW) -> pa.RecordBatch:
+    cols = list(zip(*rows)) if rows else [[] for _ in schema]
+    return pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(cols, schema)], schema=schema)
+
+
+def _entries(folder: str):
+    return (_entries_local(folder, filesystem_for(folder)[1]) if is_local(folder)
+            else _entries_remote(folder))
+
+
+def _walk_fn(budget: int):
+    """Entries below each input folder, depth first, until ``budget``
+    entries were listed for that folder; sub-folders not reached are
+    returned as frontier rows (``frontier = true``) for the next level.
+    Each entry is returned once: by the listing of its own folder."""
+    def walk(batches: Iterable[pa.RecordBatch]) -> Iterable[pa.RecordBatch]:
+        rows = []
+        for batch in batches:
+            for start in batch.column(0).to_pylist():
+                stack, listed = [start], 0
+                while stack and listed < budget:
+                    folder = stack.pop()
+                    for uri, size, kind, mtime in _entries(folder):
+                        rows.append((uri, size, kind, mtime, False))
+                        listed += 1
+                        if kind == "dir":
+                            stack.append(uri)
+                        if len(rows) >= BATCH_ROWS:
+                            yield _to_batch(rows, WALK_ARROW)
+                            rows = []
+                rows.extend((f, 0, "dir", None, True) for f in stack)
         if rows:
-            yield _to_batch(rows)
+            yield _to_batch(rows, WALK_ARROW)
+    return walk
 
 
 def list_tree(spark: SparkSession, root: str, tasks: int | None = None,
-              max_levels: int = 10_000) -> DataFrame:
-    """Recursive manifest of ``root`` (a path or URI)."""
+              budget: int = WALK_BUDGET, max_levels: int = 10_000) -> DataFrame:
+    """Recursive manifest of ``root`` (a path or URI).
+
+    Each level is one job: the frontier folders are spread over ``tasks``
+    tasks, and each task walks below its folders until it has listed
+    ``budget`` entries per folder; folders it did not reach form the next
+    level.  A small tree is listed in one job, a big one level by level
+    over all tasks.  Each level is checkpointed.
+    """
     checkpoint_dir(spark)
     tasks = tasks or spark.sparkContext.defaultParallelism
     root = strip_slash_str(qualify(root))
-    level = spark.createDataFrame([(root,)], "uri string").mapInArrow(_stat_roots, ENTRY_SCHEMA).checkpoint()
-    levels = [level]
+    # The root is one file-system call: the driver makes it (a missing root
+    # fails here, before any job).
+    uri, size, kind, mtime = _stat(root)
+    when = None if mtime is None else datetime.datetime.fromtimestamp(mtime / 1e6, tz=datetime.timezone.utc)
+    top = spark.createDataFrame([(uri, size, kind, when)], ENTRY_SCHEMA)
+    parts = [top]
+    if kind != "dir":
+        return top
+    frontier = spark.createDataFrame([(root,)], "uri string")
     for _ in range(max_levels):
-        folders = level.where(F.col("file_type") == "dir").select("uri")
-        if folders.isEmpty():
+        if frontier.isEmpty():
             break
-        level = folders.repartition(tasks, "uri").mapInArrow(_list_children, ENTRY_SCHEMA).checkpoint()
-        levels.append(level)
-    out = levels[0]
-    for lv in levels[1:]:
-        out = out.unionByName(lv)
+        level = (frontier.repartition(tasks, "uri")
+                 .mapInArrow(_walk_fn(budget), WALK_SCHEMA).checkpoint())
+        parts.append(level.where(~F.col("frontier")).drop("frontier"))
+        frontier = level.where(F.col("frontier")).select("uri")
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p)
     return out

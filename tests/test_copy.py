@@ -104,3 +104,12 @@ def test_sweep_removes_only_this_runs_leftovers(spark, tmp):
     out = list(_sweep_fn("run1")([batch]))[0].to_pydict()
     assert out["removed"] == [1, 0]
     assert sorted(os.listdir(f"{tmp}/d")) == sorted([f"{TEMP_PREFIX}run2.5.a.txt", "a.txt"])
+
+
+def test_listing_budget_gives_same_manifest(spark, tmp):
+    src, _ = _tree(tmp)
+    for i in range(5):
+        write(f"{src}/deep/l1/l2/l3/f{i}.txt", "x" * i)
+    full = sorted(tuple(r) for r in list_tree(spark, src, tasks=3).select("uri", "len", "file_type").collect())
+    small = sorted(tuple(r) for r in list_tree(spark, src, tasks=3, budget=1).select("uri", "len", "file_type").collect())
+    assert full == small and len(full) == len(set(full))
