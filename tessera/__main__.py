@@ -18,6 +18,7 @@ from tessera.session import build_session
 
 
 def main(argv: list[str] | None = None) -> int:
+    """Run one command; returns the exit code."""
     p = argparse.ArgumentParser(prog="tessera")
     sub = p.add_subparsers(dest="cmd", required=True)
     c = sub.add_parser("copy", help="copy a file tree as a Spark job")

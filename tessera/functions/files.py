@@ -40,6 +40,7 @@ def _local() -> pafs.LocalFileSystem:
 
 
 def is_local(uri: str) -> bool:
+    """True for plain paths and ``file:`` URIs."""
     return uri.startswith("file:") or "://" not in uri
 
 

@@ -16,6 +16,7 @@ def strip_slash(c: Column) -> Column:
 
 
 def strip_slash_str(p: str) -> str:
+    """Python form of ``strip_slash`` for driver-side values."""
     s = p.rstrip("/")
     return s or "/"
 
@@ -31,6 +32,7 @@ def parent_path(c: Column) -> Column:
 
 
 def parent_str(p: str) -> str | None:
+    """Python form of ``parent_path`` for driver-side values."""
     s = strip_slash_str(p)
     if s == "/":
         return None

@@ -32,6 +32,7 @@ def default_parallelism(spark) -> int:
 
 
 def spread(df: DataFrame, *keys: str) -> DataFrame:
+    """Hash-partition an under-split scan-level input, one partition per core."""
     if df.isStreaming:
         return df
     spark = df.sparkSession

@@ -89,6 +89,7 @@ def copy_work(plan: DataFrame) -> DataFrame:
 
 
 def with_parent(manifest: DataFrame) -> DataFrame:
+    """Adds ``parent``: the folder holding each entry."""
     return manifest.withColumn("parent", parent_path(F.col("uri")))
 
 
@@ -176,4 +177,5 @@ def any_glob_match(manifest: DataFrame, pattern: str, col: str = "uri") -> DataF
 
 
 def below_root(manifest: DataFrame, root: str) -> DataFrame:
+    """Entries at or below ``root``."""
     return manifest.where(is_under(strip_slash(F.col("uri")), root))

@@ -37,24 +37,29 @@ Query = Callable[[SparkSession, str], DataFrame]
 
 
 def avg_rate_by_attr(spark: SparkSession, d: str) -> DataFrame:
+    """Average rate of one movie per user age (nation key)."""
     return relational.average_rating_by(si.ratings(spark, d), si.users(spark, d), MOVIE_ID, "age")
 
 
 def top_titles_for_segment(spark: SparkSession, d: str) -> DataFrame:
+    """Top 10 titles by average rate among one segment's users, titles with more than 50 ratings."""
     return relational.top_titles(si.ratings(spark, d), si.users(spark, d), si.movies(spark, d),
                                  F.col("sex") == SEGMENT_M, MIN_TOTAL, TOP_K)
 
 
 def top_titles_of_top_user(spark: SparkSession, d: str) -> DataFrame:
+    """Top 10 titles by average rate of the most active user of one segment."""
     return relational.top_titles_of_top_user(si.ratings(spark, d), si.users(spark, d),
                                              si.movies(spark, d), F.col("sex") == SEGMENT_F, TOP_K)
 
 
 def stacked_filters(spark: SparkSession, d: str) -> DataFrame:
+    """Names with 1000 < balance < 2000 through stacked filters and a constant condition."""
     return relational.stacked_range_filter(si.employees(spark, d), SAL_LOW, SAL_HIGH)
 
 
 def set_difference(spark: SparkSession, d: str) -> DataFrame:
+    """Distinct jobs of one department's well-paid staff, minus the jobs of better-paid suppliers."""
     t = si.employees(spark, d)
     left = t.where((F.col("sal") > SAL_LOW) & (F.lit(1) == F.lit(1))).where(F.col("deptno") == DEPT)
     right = si.jobs(spark, d).where(F.col("sal") > SAL_HIGH)
@@ -62,6 +67,7 @@ def set_difference(spark: SparkSession, d: str) -> DataFrame:
 
 
 def computed_columns(spark: SparkSession, d: str) -> DataFrame:
+    """Order keys with a text name and a double column."""
     o = spark.read.parquet(f"{d}/orders.parquet").select("o_orderkey")
     return relational.computed_columns(o, "o_orderkey", PREFIX)
 
@@ -71,25 +77,30 @@ def _documents(spark: SparkSession, d: str) -> DataFrame:
 
 
 def posting_blocks(spark: SparkSession, d: str) -> DataFrame:
+    """Posting lists with counts in blocks of 250 document ids, as text."""
     pl = text_index.posting_lists_with_counts(_documents(spark, d), block_size=SMALL_BLOCK)
     return pl.select("word", "block", text_index.render_postings(F.col("postings")).alias("postings"))
 
 
 def term_counts(spark: SparkSession, d: str) -> DataFrame:
+    """Count of each word in each document."""
     return text_index.term_counts(_documents(spark, d))
 
 
 def inverted_index(spark: SparkSession, d: str) -> DataFrame:
+    """Sorted document ids per word (and block), as text."""
     pl = text_index.posting_lists(_documents(spark, d), block_size=BLOCK)
     return pl.select("word", "block", text_index.render_ids(F.col("doc_ids")).alias("doc_ids"))
 
 
 def inverted_index_counts(spark: SparkSession, d: str) -> DataFrame:
+    """Sorted (document, count) pairs per word (and block), as text."""
     pl = text_index.posting_lists_with_counts(_documents(spark, d), block_size=BLOCK)
     return pl.select("word", "block", text_index.render_postings(F.col("postings")).alias("postings"))
 
 
 def traffic_totals(spark: SparkSession, d: str) -> DataFrame:
+    """Per-key up / down / total sums parsed from tab-separated log lines."""
     return traffic.traffic_totals(si.traffic_lines(spark, d))
 
 
@@ -100,10 +111,12 @@ def _slot_keys(spark: SparkSession, d: str) -> DataFrame:
 
 
 def batch_index(spark: SparkSession, d: str) -> DataFrame:
+    """Largest batch and first slot of each partition."""
     return placement.batch_index(_slot_keys(spark, d))
 
 
 def batch_slots(spark: SparkSession, d: str) -> DataFrame:
+    """Slot of every (partition, batch) key."""
     keys = _slot_keys(spark, d)
     return placement.assign_slots(keys, placement.batch_index(keys))
 
@@ -116,41 +129,50 @@ def _cell_table(spark: SparkSession, d: str) -> DataFrame:
 
 
 def cells_put(spark: SparkSession, d: str) -> DataFrame:
+    """Cell table after putting the later events onto the earlier ones."""
     return _cell_table(spark, d)
 
 
 def cells_get(spark: SparkSession, d: str) -> DataFrame:
+    """Cells of one segment's customer keys."""
     return cells.get_rows(_cell_table(spark, d), si.cell_keys(spark, d, KEY_SEGMENT))
 
 
 def cells_delete(spark: SparkSession, d: str) -> DataFrame:
+    """Cell table without one segment's customer keys."""
     return cells.delete_rows(_cell_table(spark, d), si.cell_keys(spark, d, KEY_SEGMENT))
 
 
 def rebase_paths(spark: SparkSession, d: str) -> DataFrame:
+    """Destination of every page file when /web is copied into /backup."""
     return manifest.rebase(si.page_files(spark, d), si.SOURCE_ROOT, si.DEST_ROOT).select("uri", "dest")
 
 
 def parent_folders(spark: SparkSession, d: str) -> DataFrame:
+    """Page files plus every folder above them, each once."""
     return manifest.with_parent_folders(si.page_files(spark, d), si.SOURCE_ROOT).select(
         "uri", "len", "file_type")
 
 
 def copy_plan(spark: SparkSession, d: str) -> DataFrame:
+    """Copy plan of /web into /backup against an earlier backup."""
     return manifest.copy_plan(si.page_files(spark, d), si.backup_files(spark, d),
                               si.SOURCE_ROOT, si.DEST_ROOT)
 
 
 def copy_plan_sources(spark: SparkSession, d: str) -> DataFrame:
+    """Copy plan entries that have a source."""
     return manifest.copy_work(copy_plan(spark, d))
 
 
 def folder_sizes(spark: SparkSession, d: str) -> DataFrame:
+    """Bytes and entry count directly inside each folder."""
     tree = manifest.with_parent_folders(si.page_files(spark, d), si.SOURCE_ROOT)
     return manifest.folder_sizes(tree)
 
 
 def file_sizes(spark: SparkSession, d: str) -> DataFrame:
+    """Sizes of the files directly inside the folders named 'en'."""
     tree = manifest.with_parent_folders(si.page_files(spark, d), si.SOURCE_ROOT)
     from tessera.functions.paths import base_name
     folders = tree.where((F.col("file_type") == "dir") & (base_name(F.col("uri")) == FOLDER_NAME))
@@ -158,10 +180,12 @@ def file_sizes(spark: SparkSession, d: str) -> DataFrame:
 
 
 def name_filter(spark: SparkSession, d: str) -> DataFrame:
+    """Page files whose name contains 'page-1'."""
     return manifest.name_contains(si.page_files(spark, d), NAME_MARK).select("uri", "len")
 
 
 def first_seen_per_type(spark: SparkSession, d: str) -> DataFrame:
+    """Time of the first event (by id) of each event type."""
     first = manifest.first_entry_time(si.event_entries(spark, d))
     return first.select(F.col("parent").alias("event_type"),
                         F.timestamp_diff("MICROSECOND", F.lit("1970-01-01 00:00:00").cast("timestamp_ntz"),
@@ -169,10 +193,12 @@ def first_seen_per_type(spark: SparkSession, d: str) -> DataFrame:
 
 
 def any_match(spark: SparkSession, d: str) -> DataFrame:
+    """Whether any page file matches a pattern."""
     return manifest.any_match(si.page_files(spark, d), MATCH_PATTERN)
 
 
 def name_list(spark: SparkSession, d: str) -> DataFrame:
+    """Comma-joined folder listings in blocks of 25 names."""
     tree = manifest.with_parent_folders(si.page_files(spark, d), si.SOURCE_ROOT)
     return manifest.name_lists(tree, LIST_BLOCK)
 

@@ -18,4 +18,5 @@ SELECT format_string('{VERSION_FORMAT}',
 
 
 def show_version(spark: SparkSession) -> DataFrame:
+    """One row ``version``: Spark, Java and Scala versions."""
     return spark.sql(VERSION_SQL)
