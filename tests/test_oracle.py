@@ -9,7 +9,7 @@ import pytest
 sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
 import __spark_entry__ as E  # noqa: E402
-from scripts.oracle_check import TABLES, digest  # noqa: E402
+from scripts.oracle_check import TABLES, digest, type_mismatches  # noqa: E402
 
 DATA = "/root/testdata/sf0.001"
 
@@ -36,6 +36,7 @@ def test_query_matches_oracle(spark, con, name):
     assert sorted(df.columns) == sorted(cols)
     assert len(rows) == len(orows)
     assert digest(df.columns, rows) == digest(cols, orows)
+    assert type_mismatches(df, con.sql(E.oracle_sql()[name])) == []
 
 
 def test_entry_smoke(spark):
