@@ -102,9 +102,17 @@ def folder_sizes(manifest: DataFrame) -> DataFrame:
 
 
 def file_sizes(manifest: DataFrame, folders: DataFrame, folder_col: str = "folder") -> DataFrame:
-    """``(uri, len)`` of the entries directly inside the listed folders."""
-    f = folders.select(strip_slash(F.col(folder_col)).alias("parent"))
-    return with_parent(manifest).join(f, "parent", "left_semi").select("uri", "len")
+    """``(uri, len)`` of the entries directly inside the listed paths; a
+    listed path that is a file gives the file itself (as listing a file
+    does).  An entry is returned once even when both it and its folder are
+    listed.  The path list joins by semi/anti joins, broadcast when small."""
+    f = folders.select(strip_slash(F.col(folder_col)).alias("p"))
+    m = with_parent(manifest)
+    inside = m.join(f, m["parent"] == f["p"], "left_semi")
+    files = (m.where(F.col("file_type") == "file")
+              .join(f, strip_slash(m["uri"]) == f["p"], "left_semi")
+              .join(f, m["parent"] == f["p"], "left_anti"))
+    return inside.unionByName(files).select("uri", "len")
 
 
 def name_contains(manifest: DataFrame, mark: str, negate: bool = False) -> DataFrame:

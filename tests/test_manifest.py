@@ -41,6 +41,9 @@ def test_parent_folders_and_sizes(spark):
     assert sizes == {"/": (0, 1), "/r": (0, 3), "/r/a": (12, 2), "/r/b": (1, 1)}
     folders = spark.createDataFrame([("/r/a/",)], "folder string")
     assert sorted(r.uri for r in mf.file_sizes(tree, folders).collect()) == ["/r/a/x.txt", "/r/a/y.txt"]
+    mixed = spark.createDataFrame([("/r/a",), ("/r/a/x.txt",), ("/r/b/z.txt",)], "folder string")
+    assert sorted((r.uri, r.len) for r in mf.file_sizes(tree, mixed).collect()) == [
+        ("/r/a/x.txt", 5), ("/r/a/y.txt", 7), ("/r/b/z.txt", 1)]
 
 
 def test_plan_actions(spark):
