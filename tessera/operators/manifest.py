@@ -101,18 +101,23 @@ def folder_sizes(manifest: DataFrame) -> DataFrame:
             .agg(F.sum("len").alias("bytes"), F.count(F.lit(1)).alias("entries")))
 
 
-def file_sizes(manifest: DataFrame, folders: DataFrame, folder_col: str = "folder") -> DataFrame:
-    """``(uri, len)`` of the entries directly inside the listed paths; a
-    listed path that is a file gives the file itself (as listing a file
-    does).  An entry is returned once even when both it and its folder are
-    listed.  The path list joins by semi/anti joins, broadcast when small."""
-    f = folders.select(strip_slash(F.col(folder_col)).alias("p"))
+def listed_entries(manifest: DataFrame, paths: DataFrame, path_col: str = "folder") -> DataFrame:
+    """Manifest rows a listing of each path gives: the entries directly
+    inside it, or the file itself for a file path; each entry once even when
+    both it and its folder are listed.  The path list joins by semi/anti
+    joins, broadcast when small."""
+    f = paths.select(strip_slash(F.col(path_col)).alias("p"))
     m = with_parent(manifest)
     inside = m.join(f, m["parent"] == f["p"], "left_semi")
     files = (m.where(F.col("file_type") == "file")
               .join(f, strip_slash(m["uri"]) == f["p"], "left_semi")
               .join(f, m["parent"] == f["p"], "left_anti"))
-    return inside.unionByName(files).select("uri", "len")
+    return inside.unionByName(files).drop("parent")
+
+
+def file_sizes(manifest: DataFrame, folders: DataFrame, folder_col: str = "folder") -> DataFrame:
+    """``(uri, len)`` of what a listing of each path gives (``listed_entries``)."""
+    return listed_entries(manifest, folders, folder_col).select("uri", "len")
 
 
 def name_contains(manifest: DataFrame, mark: str, negate: bool = False) -> DataFrame:
@@ -123,6 +128,39 @@ def name_contains(manifest: DataFrame, mark: str, negate: bool = False) -> DataF
     return manifest.where(~cond if negate else cond)
 
 
+def _split_mark(path: str) -> tuple[str, str]:
+    """``/d/log*`` -> (``/d``, ``log``): the folder and the mark without ``*``."""
+    cut = path.rfind("/")
+    folder = path[:cut] if cut > 0 else "/"
+    return folder, path[cut + 1:].replace("*", "")
+
+
+def ls(manifest: DataFrame, path: str) -> DataFrame:
+    """Entries a folder listing of ``path`` gives.
+
+    Without ``*``: the entries directly inside ``path`` (a file path gives
+    the file).  With ``*``: the entries directly inside the folder part whose
+    full path contains the last part with ``*`` removed - a substring test,
+    not a glob.
+    """
+    if "*" not in path:
+        return listed_entries(manifest, manifest.sparkSession.createDataFrame([(path,)], "folder string"))
+    folder, mark = _split_mark(path)
+    inside = with_parent(manifest).where(F.col("parent") == strip_slash(F.lit(folder)))
+    return inside.where(F.col("uri").contains(mark)).drop("parent")
+
+
+def ls_more(manifest: DataFrame, path: str) -> DataFrame:
+    """The complement listing: with ``*``, the entries of the folder part whose
+    full path does not contain the mark; without it, the other entries of the
+    folder holding ``path`` (its siblings)."""
+    if "*" not in path:
+        return siblings(manifest, path)
+    folder, mark = _split_mark(path)
+    inside = with_parent(manifest).where(F.col("parent") == strip_slash(F.lit(folder)))
+    return inside.where(~F.col("uri").contains(mark)).drop("parent")
+
+
 def siblings(manifest: DataFrame, path: str) -> DataFrame:
     """Other entries of the folder holding ``path`` (the path itself is left out)."""
     p = strip_slash(F.lit(path))

@@ -29,7 +29,8 @@ COVERAGE: dict[str, list[str]] = {
     "P6": ["tessera.functions.parse.split_fields", "tessera.operators.traffic.parse_traffic"],
     "P7": ["tessera.functions.parse.strict_int"],
     "P8": ["tessera.functions.paths.rebase_path", "tessera.operators.manifest.rebase"],
-    "P9": ["tessera.operators.manifest.name_contains", "tessera.operators.manifest.siblings"],
+    "P9": ["tessera.operators.manifest.name_contains", "tessera.operators.manifest.siblings",
+           "tessera.operators.manifest.ls", "tessera.operators.manifest.ls_more"],
     "P10": ["tessera.operators.manifest.any_match", "tessera.operators.manifest.any_glob_match"],
     "P11": ["tessera.operators.manifest.copy_work"],
     # 2.4 row-expanding
