@@ -115,6 +115,22 @@ def listed_entries(manifest: DataFrame, paths: DataFrame, path_col: str = "folde
     return inside.unionByName(files).drop("parent")
 
 
+def path_sizes(manifest: DataFrame, paths: DataFrame, path_col: str = "folder") -> DataFrame:
+    """``(path, bytes, entries)`` of one-level listings of the given paths:
+    the lengths of the entries directly inside a folder, a file's own length
+    for a file path, ``0`` for an empty folder or a missing path."""
+    f = paths.select(strip_slash(F.col(path_col)).alias("path")).distinct()
+    m = with_parent(manifest)
+    inside = m.join(f, m["parent"] == f["path"]).select("path", "len")
+    own = (m.where(F.col("file_type") == "file")
+            .join(f, strip_slash(m["uri"]) == f["path"]).select("path", "len"))
+    sized = inside.unionByName(own).groupBy("path").agg(F.sum("len").alias("bytes"),
+                                                         F.count(F.lit(1)).alias("entries"))
+    return (f.join(sized, "path", "left")
+             .select("path", F.coalesce("bytes", F.lit(0)).cast("long").alias("bytes"),
+                     F.coalesce("entries", F.lit(0)).cast("long").alias("entries")))
+
+
 def file_sizes(manifest: DataFrame, folders: DataFrame, folder_col: str = "folder") -> DataFrame:
     """``(uri, len)`` of what a listing of each path gives (``listed_entries``)."""
     return listed_entries(manifest, folders, folder_col).select("uri", "len")

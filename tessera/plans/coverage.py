@@ -53,7 +53,7 @@ COVERAGE: dict[str, list[str]] = {
     "A8": ["tessera.operators.text_index.posting_lists_with_counts"],
     "A9": ["tessera.operators.relational.distinct_except"],
     "A10": ["tessera.operators.placement.batch_index"],
-    "A11": ["tessera.operators.manifest.folder_sizes"],
+    "A11": ["tessera.operators.manifest.folder_sizes", "tessera.operators.manifest.path_sizes"],
     "A12": ["tessera.operators.manifest.file_sizes"],
     "A13": ["tessera.operators.manifest.entry_times", "tessera.operators.manifest.first_entry_time"],
     "A14": ["tessera.operators.manifest.name_lists", "tessera.operators.ranking.group_positions"],

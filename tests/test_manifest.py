@@ -123,3 +123,11 @@ def test_ls_and_ls_more(spark):
     # the mark is tested against the full path, as the folder listing does
     assert uris(mf.ls(m, "/logs/*log*")) == ["/logs/a.csv"]
     assert uris(mf.ls_more(m, "/f/log-1.txt")) == ["/f/data.csv", "/f/log-2.txt", "/f/sub"]
+
+
+def test_path_sizes(spark):
+    m = _m(spark, [("/r", 0, "dir"), ("/r/a/x.txt", 5, "file"), ("/r/a/y.txt", 7, "file"),
+                   ("/r/a", 0, "dir"), ("/r/empty", 0, "dir")])
+    paths = spark.createDataFrame([("/r/a",), ("/r/a/x.txt",), ("/r/empty",), ("/nope",)], "folder string")
+    got = {r.path: (r.bytes, r.entries) for r in mf.path_sizes(m, paths).collect()}
+    assert got == {"/r/a": (12, 2), "/r/a/x.txt": (5, 1), "/r/empty": (0, 0), "/nope": (0, 0)}
