@@ -194,6 +194,19 @@ def entry_times(manifest: DataFrame, folder: str | None = None) -> DataFrame:
     return m.select("uri", "mtime")
 
 
+def path_first_times(manifest: DataFrame, paths: DataFrame, path_col: str = "folder") -> DataFrame:
+    """``(path, first_time)``: modification time of the first entry (by
+    name) a listing of each path gives - the file itself for a file path;
+    NULL for an empty folder or a missing path."""
+    f = paths.select(strip_slash(F.col(path_col)).alias("path")).distinct()
+    m = with_parent(manifest)
+    inside = m.join(f, m["parent"] == f["path"]).select("path", "uri", "mtime")
+    own = (m.where(F.col("file_type") == "file")
+            .join(f, strip_slash(m["uri"]) == f["path"]).select("path", "uri", "mtime"))
+    first = inside.unionByName(own).groupBy("path").agg(F.min_by("mtime", "uri").alias("first_time"))
+    return f.join(first, "path", "left")
+
+
 def first_entry_time(manifest: DataFrame, group_col: str = "parent", name_col: str = "uri",
                      time_col: str = "mtime") -> DataFrame:
     """Per group: time of the entry that sorts first by name."""

@@ -55,7 +55,8 @@ COVERAGE: dict[str, list[str]] = {
     "A10": ["tessera.operators.placement.batch_index"],
     "A11": ["tessera.operators.manifest.folder_sizes", "tessera.operators.manifest.path_sizes"],
     "A12": ["tessera.operators.manifest.file_sizes"],
-    "A13": ["tessera.operators.manifest.entry_times", "tessera.operators.manifest.first_entry_time"],
+    "A13": ["tessera.operators.manifest.entry_times", "tessera.operators.manifest.first_entry_time",
+            "tessera.operators.manifest.path_first_times"],
     "A14": ["tessera.operators.manifest.name_lists", "tessera.operators.ranking.group_positions"],
     # 2.7 window-like
     "W1": ["tessera.operators.ranking.exclusive_prefix_sum", "tessera.operators.placement.batch_index"],

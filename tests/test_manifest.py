@@ -131,3 +131,13 @@ def test_path_sizes(spark):
     paths = spark.createDataFrame([("/r/a",), ("/r/a/x.txt",), ("/r/empty",), ("/nope",)], "folder string")
     got = {r.path: (r.bytes, r.entries) for r in mf.path_sizes(m, paths).collect()}
     assert got == {"/r/a": (12, 2), "/r/a/x.txt": (5, 1), "/r/empty": (0, 0), "/nope": (0, 0)}
+
+
+def test_path_first_times(spark):
+    m = spark.createDataFrame([("/f", "dir", None), ("/f/b.txt", "file", "2024-01-02 00:00:00"),
+                               ("/f/a.txt", "file", "2024-01-05 00:00:00"), ("/g", "dir", None)],
+                              "uri string, file_type string, mtime string") \
+        .select("uri", F.lit(1).cast("long").alias("len"), "file_type", F.col("mtime").cast("timestamp").alias("mtime"))
+    paths = spark.createDataFrame([("/f",), ("/f/b.txt",), ("/g",)], "folder string")
+    got = {r.path: (str(r.first_time) if r.first_time else None) for r in mf.path_first_times(m, paths).collect()}
+    assert got == {"/f": "2024-01-05 00:00:00", "/f/b.txt": "2024-01-02 00:00:00", "/g": None}
