@@ -5,6 +5,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 
@@ -29,11 +30,18 @@ def write_key_values(df: DataFrame, path: str, key: str, values: Sequence[str],
 
 
 def compact_text(spark: SparkSession, source: str | Sequence[str], dest: str,
-                 num_files: int = 1) -> None:
+                 num_files: int = 1) -> bool:
     """Merge many text files (a glob or list) into ``num_files`` files at
     ``dest``, replacing what was there.  Works on lines: a missing last
     newline no longer glues two files' lines together, and the order of
-    lines across files is not kept."""
-    lines = spark.read.text(source)
+    lines across files is not kept.  When nothing matches ``source`` the
+    target is left as it is and ``False`` is returned."""
+    try:
+        lines = spark.read.text(source)
+    except AnalysisException as e:
+        if "PATH_NOT_FOUND" in str(e) or "Path does not exist" in str(e):
+            return False
+        raise
     lines = lines.coalesce(num_files) if num_files else lines
     lines.write.mode("overwrite").text(dest)
+    return True

@@ -35,3 +35,9 @@ def test_compaction(spark, tmp):
     compact_text(spark, f"{tmp}/parts/*.txt", f"{tmp}/merged", num_files=1)
     got = sorted(r.value for r in read_lines(spark, f"{tmp}/merged").collect())
     assert got == [f"line {i}" for i in range(5)]
+
+
+def test_compaction_without_matches_leaves_target(spark, tmp):
+    write(f"{tmp}/merged/old.txt", "keep\n")
+    assert compact_text(spark, f"{tmp}/nothing/*.txt", f"{tmp}/merged") is False
+    assert open(f"{tmp}/merged/old.txt").read() == "keep\n"
