@@ -101,14 +101,18 @@ def folder_sizes(manifest: DataFrame) -> DataFrame:
             .agg(F.sum("len").alias("bytes"), F.count(F.lit(1)).alias("entries")))
 
 
-def listed_entries(manifest: DataFrame, paths: DataFrame, path_col: str = "folder") -> DataFrame:
+def listed_entries(manifest: DataFrame, paths: DataFrame, path_col: str = "folder",
+                   folders_only: bool = False) -> DataFrame:
     """Manifest rows a listing of each path gives: the entries directly
     inside it, or the file itself for a file path; each entry once even when
     both it and its folder are listed.  The path list joins by semi/anti
-    joins, broadcast when small."""
+    joins, broadcast when small.  ``folders_only`` - the caller knows every
+    path is a folder - skips the second pass for file paths."""
     f = paths.select(strip_slash(F.col(path_col)).alias("p"))
     m = with_parent(manifest)
     inside = m.join(f, m["parent"] == f["p"], "left_semi")
+    if folders_only:
+        return inside.drop("parent")
     files = (m.where(F.col("file_type") == "file")
               .join(f, strip_slash(m["uri"]) == f["p"], "left_semi")
               .join(f, m["parent"] == f["p"], "left_anti"))
@@ -131,9 +135,10 @@ def path_sizes(manifest: DataFrame, paths: DataFrame, path_col: str = "folder")
                      F.coalesce("entries", F.lit(0)).cast("long").alias("entries")))
 
 
-def file_sizes(manifest: DataFrame, folders: DataFrame, folder_col: str = "folder") -> DataFrame:
+def file_sizes(manifest: DataFrame, folders: DataFrame, folder_col: str = "folder",
+               folders_only: bool = False) -> DataFrame:
     """``(uri, len)`` of what a listing of each path gives (``listed_entries``)."""
-    return listed_entries(manifest, folders, folder_col).select("uri", "len")
+    return listed_entries(manifest, folders, folder_col, folders_only).select("uri", "len")
 
 
 def name_contains(manifest: DataFrame, mark: str, negate: bool = False) -> DataFrame:

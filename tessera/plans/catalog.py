@@ -176,7 +176,7 @@ def file_sizes(spark: SparkSession, d: str) -> DataFrame:
     tree = manifest.with_parent_folders(si.page_files(spark, d), si.SOURCE_ROOT)
     from tessera.functions.paths import base_name
     folders = tree.where((F.col("file_type") == "dir") & (base_name(F.col("uri")) == FOLDER_NAME))
-    return manifest.file_sizes(tree, folders.select(F.col("uri").alias("folder")))
+    return manifest.file_sizes(tree, folders.select(F.col("uri").alias("folder")), folders_only=True)
 
 
 def name_filter(spark: SparkSession, d: str) -> DataFrame:

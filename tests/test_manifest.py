@@ -141,3 +141,10 @@ def test_path_first_times(spark):
     paths = spark.createDataFrame([("/f",), ("/f/b.txt",), ("/g",)], "folder string")
     got = {r.path: (str(r.first_time) if r.first_time else None) for r in mf.path_first_times(m, paths).collect()}
     assert got == {"/f": "2024-01-05 00:00:00", "/f/b.txt": "2024-01-02 00:00:00", "/g": None}
+
+
+def test_file_sizes_folders_only(spark):
+    m = _m(spark, [("/r/a/x.txt", 5, "file"), ("/r/b.txt", 2, "file")])
+    paths = spark.createDataFrame([("/r/a",), ("/r/b.txt",)], "folder string")
+    assert sorted(r.uri for r in mf.file_sizes(m, paths, folders_only=True).collect()) == ["/r/a/x.txt"]
+    assert sorted(r.uri for r in mf.file_sizes(m, paths).collect()) == ["/r/a/x.txt", "/r/b.txt"]
