@@ -58,3 +58,18 @@ def test_traffic_shuffles_partial_sums_only(spark):
     plan = executed(catalog.QUERIES["traffic_totals"](spark, DATA)).splitlines()
     keyed = [i for i, l in enumerate(plan) if "Exchange hashpartitioning(key" in l]
     assert len(keyed) == 1 and "partial_sum" in plan[keyed[0] + 1]
+
+
+def test_small_batch_merge_does_not_shuffle_the_table(spark):
+    from pyspark.sql import functions as F
+    from tessera.operators.cells import merge_cells
+    table = spark.range(0, 2000, numPartitions=8).select(
+        F.col("id").cast("string").alias("row_key"), F.lit("f").alias("family"), F.lit("q").alias("qualifier"),
+        F.lit("v").alias("value"), F.lit(1).cast("long").alias("version"))
+    batch = spark.createDataFrame([("5", "f", "q", "new", 2), ("new-key", "f", "q", "x", 1)],
+                                  "row_key string, family string, qualifier string, value string, version long")
+    merged = merge_cells(table, batch)
+    plan = executed(merged)
+    assert "Exchange hashpartitioning" not in plan and "BroadcastExchange" in plan
+    rows = {r.row_key: (r.value, r.version) for r in merged.collect()}
+    assert len(rows) == 2001 and rows["5"] == ("new", 2) and rows["new-key"] == ("x", 1)
