@@ -3,6 +3,9 @@
     python -m tessera copy SOURCE DEST [--tasks N] [--ignore-errors]
     python -m tessera traffic INPUT OUTPUT [--files N]
     python -m tessera index DOCS OUTPUT [--counts] [--block-size N]
+    python -m tessera cells put TABLE BATCH OUT     (TABLE may be missing: new table)
+    python -m tessera cells get TABLE KEYS
+    python -m tessera cells delete TABLE KEYS OUT
     python -m tessera version
 
 Options of ``spark-submit`` (master, memory, ``--py-files``) apply as usual;
@@ -14,6 +17,8 @@ from __future__ import annotations
 import argparse
 import sys
 
+from pyspark.sql import functions as F
+
 from tessera.session import build_session
 
 
@@ -37,6 +42,11 @@ def main(argv: list[str] | None = None) -> int:
     i.add_argument("output")
     i.add_argument("--counts", action="store_true")
     i.add_argument("--block-size", type=int, default=None)
+    ce = sub.add_parser("cells", help="put / get / delete on a stored cell table (parquet folders)")
+    ce.add_argument("action", choices=["put", "get", "delete"])
+    ce.add_argument("table")
+    ce.add_argument("arg", help="put: batch folder; get/delete: text file of row keys, one per line")
+    ce.add_argument("out", nargs="?", help="put/delete: folder for the new table version")
     sub.add_parser("version", help="Spark, Java and Scala versions")
     a = p.parse_args(argv)
 
@@ -58,11 +68,36 @@ def main(argv: list[str] | None = None) -> int:
         kw = {"block_size": a.block_size} if a.block_size else {}
         out = ti.posting_lists_with_counts(docs, **kw) if a.counts else ti.posting_lists(docs, **kw)
         out.write.mode("errorifexists").parquet(a.output)
+    elif a.cmd == "cells":
+        _cells(spark, a)
     elif a.cmd == "version":
         from tessera.plans.version import show_version
         print(show_version(spark).first().version)
     return 0
 
 
+def _cells(spark, a) -> None:
+    from tessera.operators import cells
+    from tessera.functions.files import filesystem_for
+    import pyarrow.fs as pafs
+
+    fs, path = filesystem_for(a.table)
+    exists = fs.get_file_info(path).type == pafs.FileType.Directory
+    table = (spark.read.parquet(a.table).select(*cells.CELL_COLUMNS) if exists
+             else spark.createDataFrame([], cells.CELL_SCHEMA))
+    if a.action in ("put", "delete") and not a.out:
+        raise SystemExit(f"cells {a.action} needs an output folder for the new table version")
+    if a.action == "put":
+        batch = spark.read.parquet(a.arg).select(*cells.CELL_COLUMNS)
+        cells.save_version(cells.merge_cells(table, batch), a.out)
+        return
+    keys = spark.read.text(a.arg).select(F.col("value").alias("row_key")).where(F.col("row_key") != "")
+    if a.action == "get":
+        for r in cells.get_rows(table, keys).orderBy("row_key", "family", "qualifier").toLocalIterator():
+            print(f"{r.row_key}\t{r.family}:{r.qualifier}\t{r.value}")
+    else:
+        cells.save_version(cells.delete_rows(table, keys), a.out)
+
+
 if __name__ == "__main__":
     sys.exit(main())
