@@ -65,3 +65,33 @@ def test_parent_chain_matches_prefixes(spark, parts):
     prefixes = ["/" + "/".join(parts[:i]) for i in range(1, len(parts))]
     want = [p for p in prefixes if p == "/a" or p.startswith("/a/")]
     assert got == want
+
+
+def rebase_model(path: str, root: str, dest: str) -> str:
+    base = root.rsplit("/", 1)[0] or "/"
+    rel = path[len(base):].lstrip("/")
+    return dest.rstrip("/") + "/" + rel
+
+
+@settings(**SETTINGS)
+@given(st.lists(segment, min_size=0, max_size=4), st.lists(segment, min_size=1, max_size=3))
+def test_rebase_matches_model(spark, below, root_parts):
+    from tessera.functions.paths import rebase_path
+    root = "/" + "/".join(root_parts)
+    path = root + ("/" + "/".join(below) if below else "")
+    df = spark.createDataFrame([(path,)], "p string")
+    got = df.select(rebase_path(df["p"], root, "/bak/").alias("d")).first().d
+    assert got == rebase_model(path, root, "/bak")
+
+
+name = st.text(alphabet="ab.-_x", min_size=0, max_size=6)
+glob = st.text(alphabet="ab.*?-x", min_size=1, max_size=5)
+
+
+@settings(max_examples=200, deadline=None)
+@given(glob, name)
+def test_glob_matches_fnmatch_within_one_part(pattern, text):
+    import fnmatch
+    import re
+    from tessera.functions.paths import glob_to_regex
+    assert bool(re.search(glob_to_regex(pattern), text)) == fnmatch.fnmatchcase(text, pattern)
