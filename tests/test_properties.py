@@ -95,3 +95,20 @@ def test_glob_matches_fnmatch_within_one_part(pattern, text):
     import re
     from tessera.functions.paths import glob_to_regex
     assert bool(re.search(glob_to_regex(pattern), text)) == fnmatch.fnmatchcase(text, pattern)
+
+
+@settings(max_examples=10, deadline=None, suppress_health_check=list(HealthCheck))
+@given(st.lists(st.tuples(st.sampled_from(["g1", "g2", "hot"]), st.integers(0, 50), st.integers(0, 9)),
+                min_size=1, max_size=60, unique_by=lambda t: (t[0], t[1])),
+       st.integers(1, 7))
+def test_prefix_sum_matches_running_sum(spark, rows, pieces):
+    from pyspark.sql import functions as F
+    from tessera.operators.ranking import exclusive_prefix_sum
+    df = spark.createDataFrame(rows, "g string, o int, v int")
+    out = exclusive_prefix_sum(df, "o", F.col("v").cast("long"), "before", group_col="g", partitions=pieces)
+    got = {(r.g, r.o): r.before for r in out.collect()}
+    want, run = {}, {}
+    for g, o, v in sorted(rows):
+        want[(g, o)] = run.get(g, 0)
+        run[g] = run.get(g, 0) + v
+    assert got == want
