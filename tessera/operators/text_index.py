@@ -42,7 +42,9 @@ def _is_integral(docs: DataFrame, doc_col: str) -> bool:
 def term_counts(docs: DataFrame, doc_col: str = "doc_id", text_col: str = "text",
                 sep: str = " ") -> DataFrame:
     """``(word, doc_id, n)``: how often each word occurs in each document."""
-    docs = spread(docs.select(doc_col, text_col), doc_col)
+    # A NULL text has no words (and never reaches size(), which is -1 for
+    # NULL in sessions without ANSI mode).
+    docs = spread(docs.select(doc_col, text_col).where(F.col(text_col).isNotNull()), doc_col)
     sorted_words = docs.select(
         F.col(doc_col).alias("doc_id"),
         F.sort_array(F.split(F.col(text_col), sep, -1)).alias("w"))

@@ -71,3 +71,15 @@ def test_merge_and_render(spark):
     df = spark.createDataFrame([([0, 2], [1, 2])], "a array<long>, b array<long>")
     r = df.select(ti.render_ids(ti.merge_posting_lists(F.col("a"), F.col("b"))).alias("s")).first()
     assert r.s == "0,1,2"
+
+
+def test_null_text_without_ansi(spark):
+    old = {k: spark.conf.get(k) for k in ("spark.sql.ansi.enabled", "spark.sql.legacy.sizeOfNull")}
+    try:
+        spark.conf.set("spark.sql.ansi.enabled", "false")
+        spark.conf.set("spark.sql.legacy.sizeOfNull", "true")
+        docs = _docs(spark, [(0, None), (1, "a a")])
+        assert sorted(tuple(r) for r in ti.term_counts(docs).collect()) == [("a", 1, 2)]
+    finally:
+        for k, v in old.items():
+            spark.conf.set(k, v)
