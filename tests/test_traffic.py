@@ -59,3 +59,14 @@ def test_unicode_blank_lines_are_skipped(spark, tmp):
     write(f"{tmp}/in/a.txt", blank_wide + "\n" + nbsp + "\n")
     got = {r.key: r.total for r in traffic_totals(read_lines(spark, f"{tmp}/in")).collect()}
     assert got == {"k": 3}
+
+
+def test_bad_int_fails_without_ansi_too(spark):
+    old = spark.conf.get("spark.sql.ansi.enabled")
+    try:
+        spark.conf.set("spark.sql.ansi.enabled", "false")
+        df = spark.createDataFrame([(line("k", "2147483648", 1),)], "value string")
+        with pytest.raises(Exception, match="not an int"):
+            traffic_totals(df).collect()
+    finally:
+        spark.conf.set("spark.sql.ansi.enabled", old)
