@@ -60,11 +60,14 @@ def _make_dirs_fn(dest_base: str):
         base_ok = None          # checked once per task, on first need
         for batch in batches:
             d = batch.to_pydict()
-            for src, dest in zip(d["src_uri"], d["dest"]):
+            for src, dest, planned in zip(d["src_uri"], d["dest"], d["action"]):
                 fs, path = filesystem_for(dest)
                 kind = _exists(fs, path)
                 if kind == pafs.FileType.Directory:
-                    out.append((src, dest, "exists", True, 0, "destination folder exists"))
+                    if planned == "mkdir":   # made by another task's recursive mkdir in this run
+                        out.append((src, dest, "mkdir", True, 0, "created in this run"))
+                    else:
+                        out.append((src, dest, "exists", True, 0, "destination folder exists"))
                     continue
                 if base_ok is None:
                     base_ok = _exists(base_fs, base_path) == pafs.FileType.Directory
@@ -190,7 +193,7 @@ def run_copy(plan: DataFrame, dest_root: str, tasks: int = 2, ignore_errors: boo
     work = copy_work(plan).select("src_uri", "dest", "file_type", "src_len", "action").checkpoint()
     root = strip_slash_str(dest_root)
     base = parent_str(root) or root
-    dirs = (work.where(F.col("file_type") == "dir").select("src_uri", "dest")
+    dirs = (work.where(F.col("file_type") == "dir").select("src_uri", "dest", "action")
             .repartition(tasks, "dest").mapInArrow(_make_dirs_fn(base), STATUS_SCHEMA).checkpoint())
     file_work = work.where(F.col("file_type") == "file").select("src_uri", "dest", "src_len", "action")
     placed = (balanced_file_tasks(file_work, task_bytes, tasks) if task_bytes
