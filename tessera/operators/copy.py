@@ -174,9 +174,11 @@ def balanced_file_tasks(files: DataFrame, task_bytes: int, groups: int) -> DataF
                                   "bytes_before", group_col="part_id")
     batched = before.withColumn("batch", (F.col("bytes_before") / F.lit(task_bytes)).cast("int"))
     index = batch_index(batched).checkpoint()
-    n = slot_count(index).first().n_slots
-    slotted = assign_slots(batched, index)
-    return place_by_slot(slotted, n).drop("part_id", "bytes_before", "batch", "slot")
+    n = slot_count(index).first().n_slots or 0
+    slotted = assign_slots(batched, index).drop("part_id", "bytes_before", "batch")
+    if n == 0:                      # no files to copy
+        return slotted.drop("slot")
+    return place_by_slot(slotted, n).drop("slot")
 
 
 def run_copy(plan: DataFrame, dest_root: str, tasks: int = 2, ignore_errors: bool = False,

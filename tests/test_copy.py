@@ -113,3 +113,11 @@ def test_listing_budget_gives_same_manifest(spark, tmp):
     full = sorted(tuple(r) for r in list_tree(spark, src, tasks=3).select("uri", "len", "file_type").collect())
     small = sorted(tuple(r) for r in list_tree(spark, src, tasks=3, budget=1).select("uri", "len", "file_type").collect())
     assert full == small and len(full) == len(set(full))
+
+
+def test_balanced_copy_of_folders_only(spark, tmp):
+    os.makedirs(f"{tmp}/src/a/b")
+    os.makedirs(f"{tmp}/dst")
+    status = copy_tree(spark, f"{tmp}/src", f"{tmp}/dst", tasks=2, task_bytes=10)
+    assert sorted(r.action for r in status.collect()) == ["mkdir", "mkdir", "mkdir"]
+    assert os.path.isdir(f"{tmp}/dst/src/a/b")
