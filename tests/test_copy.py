@@ -121,3 +121,11 @@ def test_balanced_copy_of_folders_only(spark, tmp):
     status = copy_tree(spark, f"{tmp}/src", f"{tmp}/dst", tasks=2, task_bytes=10)
     assert sorted(r.action for r in status.collect()) == ["mkdir", "mkdir", "mkdir"]
     assert os.path.isdir(f"{tmp}/dst/src/a/b")
+
+
+def test_copy_single_file(spark, tmp):
+    write(f"{tmp}/one.txt", "single")
+    os.makedirs(f"{tmp}/dst")
+    status = copy_tree(spark, f"{tmp}/one.txt", f"{tmp}/dst", tasks=2)
+    assert [(r.action, r.ok) for r in status.collect()] == [("create", True)]
+    assert open(f"{tmp}/dst/one.txt").read() == "single"
