@@ -43,3 +43,18 @@ def test_entry_smoke(spark):
     df = E.entry(spark)
     assert df.columns == ["moviename", "avgrate"]
     assert df.count() > 0
+
+
+@pytest.mark.parametrize("name", ["traffic_totals", "term_counts", "inverted_index_counts", "cells_put",
+                                  "batch_slots", "first_seen_per_type", "computed_columns", "avg_rate_by_attr"])
+def test_query_matches_oracle_without_ansi(spark, con, name):
+    old = spark.conf.get("spark.sql.ansi.enabled")
+    try:
+        spark.conf.set("spark.sql.ansi.enabled", "false")
+        df = E.queries()[name](spark, DATA)
+        rows = [tuple(r) for r in df.collect()]
+    finally:
+        spark.conf.set("spark.sql.ansi.enabled", old)
+    cur = con.execute(E.oracle_sql()[name])
+    cols = [c[0] for c in cur.description]
+    assert digest(df.columns, rows) == digest(cols, cur.fetchall())
