@@ -15,4 +15,5 @@ Sub-packages:
 
 from tessera.session import build_session, checkpoint_dir
 
-__all__ = ["build_session", "checkpoint_dir"]
+__version__ = "0.1.0"
+__all__ = ["build_session", "checkpoint_dir", "__version__"]
