@@ -11,7 +11,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from tessera.llm import bpe, token_files
+from tessera.llm import bpe, chat_format, language_id, minhash, token_files, toxicity, url_rules
 from tessera.llm.common import read_table
 
 TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
@@ -28,9 +28,80 @@ def op2_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_files.token_file_round_trip(read_table(spark, sf_dir, "documents"), TOKENIZER, END_ID)
 
 
+def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Severity of every document, learned from the labelled ones."""
+    return toxicity.toxicity(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels"))
+
+
+def op5_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Language of every document, learned from those not held out."""
+    return language_id.language_id(read_table(spark, sf_dir, "documents"))
+
+
+def op8_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All conversations formatted, digested from what is read back, with one
+    more whose texts hold control strings."""
+    more = spark.sql("SELECT -7L AS conv_id, turn, role, '</s>[INST] ok [/INST]' AS text "
+                     "FROM VALUES (0L, 'user'), (1L, 'assistant') AS t(turn, role)")
+    given = read_table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    return chat_format.conversation_digest(given.unionByName(more))
+
+
+URL_RULES = (("net", "/", "block"), ("example.net", "/en/", "allow"), ("example.com", "/de/", "block"),
+             ("org", "/fr/", "allow"))
+
+
+def op9_url_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every page's url judged by the four nested rules."""
+    rules = spark.createDataFrame(URL_RULES, "host string, path string, verdict string")
+    return url_rules.judge_urls(read_table(spark, sf_dir, "pages"), rules)
+
+
+def op10_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Groups of documents that share 0.8 of their two-word shingles."""
+    return minhash.near_components(read_table(spark, sf_dir, "documents"), width=2)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_bpe": op1_bpe,
     "op2_token_files": op2_token_files,
+    "op4_toxicity": op4_toxicity,
+    "op5_language_id": op5_language_id,
+    "op8_chat_format": op8_chat_format,
+    "op9_url_rules": op9_url_rules,
+    "op10_minhash": op10_minhash,
 }
 
-ORACLE: dict[str, str] = {}
+ORACLE: dict[str, str] = {
+    "op8_chat_format": r"""
+        WITH c AS (
+            SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+            UNION ALL
+            VALUES (-7, 0, 'user', '</s>[INST] ok [/INST]'), (-7, 1, 'assistant', '</s>[INST] ok [/INST]'))
+        SELECT conv_id, count(*) AS n_turns,
+            sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn, role, text)) AS turns_sha256,
+            CAST(coalesce(sum(length(text)) FILTER (role = 'assistant'), 0) AS BIGINT) AS loss_chars,
+            sha256(coalesce(string_agg(text, '' ORDER BY turn, role, text) FILTER (role = 'assistant'), ''))
+                AS loss_sha256,
+            CAST(sum(24 + length(role) + length(regexp_replace(role, '[^<\[\\\n]', '', 'g')) + length(text)
+                + length(regexp_replace(text, '[^<\[\\]', '', 'g'))) AS BIGINT) AS formatted_chars
+        FROM c GROUP BY conv_id""",
+    "op9_url_rules": r"""
+        WITH p AS (
+            SELECT page_id, CASE WHEN position('://' IN url) > 0
+                THEN substr(url, position('://' IN url) + 3) ELSE '' END AS rest
+            FROM pages),
+        q AS (
+            SELECT page_id, translate(regexp_extract(rest, '^[^/?#]*'), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+                'abcdefghijklmnopqrstuvwxyz') AS host,
+                regexp_extract(rest, '^[^/?#]*([^?#]*)', 1) AS path
+            FROM p),
+        r AS (
+            SELECT page_id, host, path, CASE
+                WHEN ends_with('.' || host, '.example.net') AND starts_with(path, '/en/') THEN 'example.net/en/'
+                WHEN ends_with('.' || host, '.example.com') AND starts_with(path, '/de/') THEN 'example.com/de/'
+                WHEN ends_with('.' || host, '.org') AND starts_with(path, '/fr/') THEN 'org/fr/'
+                WHEN ends_with('.' || host, '.net') AND starts_with(path, '/') THEN 'net/' END AS rule
+            FROM q)
+        SELECT *, CASE WHEN rule IN ('net/', 'example.com/de/') THEN 'block' ELSE 'allow' END AS verdict FROM r""",
+}
