@@ -11,7 +11,8 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from tessera.llm import bpe, chat_format, language_id, minhash, token_files, toxicity, url_rules
+from tessera.llm import (bpe, chat_format, decontaminate, embedding_dedup, language_id, license_scan, minhash,
+                         token_files, toxicity, url_rules)
 from tessera.llm.common import read_table
 
 TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
@@ -28,6 +29,11 @@ def op2_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_files.token_file_round_trip(read_table(spark, sf_dir, "documents"), TOKENIZER, END_ID)
 
 
+def op3_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All paragraphs of all documents that are licence notices."""
+    return license_scan.scan_licenses(read_table(spark, sf_dir, "documents"))
+
+
 def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Severity of every document, learned from the labelled ones."""
     return toxicity.toxicity(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels"))
@@ -38,6 +44,16 @@ def op5_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language_id.language_id(read_table(spark, sf_dir, "documents"))
 
 
+def op6_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Links and groups of all embeddings at cosine 0.93 or more."""
+    return embedding_dedup.near_vectors(read_table(spark, sf_dir, "embeddings"))
+
+
+def op7_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents that hold a benchmark item's question and answer."""
+    return decontaminate.find_leaks(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark"))
+
+
 def op8_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All conversations formatted, digested from what is read back, with one
     more whose texts hold control strings."""
@@ -62,14 +78,25 @@ def op10_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minhash.near_components(read_table(spark, sf_dir, "documents"), width=2)
 
 
+def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The corpus pipeline over all documents."""
+    import corpus_pipeline
+
+    return corpus_pipeline.run(spark, sf_dir)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_bpe": op1_bpe,
     "op2_token_files": op2_token_files,
+    "op3_license_scan": op3_license_scan,
     "op4_toxicity": op4_toxicity,
     "op5_language_id": op5_language_id,
+    "op6_embedding_dedup": op6_embedding_dedup,
+    "op7_decontaminate": op7_decontaminate,
     "op8_chat_format": op8_chat_format,
     "op9_url_rules": op9_url_rules,
     "op10_minhash": op10_minhash,
+    "pipeline": pipeline,
 }
 
 ORACLE: dict[str, str] = {
