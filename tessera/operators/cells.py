@@ -40,31 +40,16 @@ def put_cells(cells: DataFrame, *batches: DataFrame) -> DataFrame:
                 .select(*CELL_KEY, F.col("m.value").alias("value"), F.col("m.version").alias("version")))
 
 
-def merge_cells(table: DataFrame, batch: DataFrame, max_broadcast_rows: int = 1_000_000) -> DataFrame:
-    """``put_cells(table, batch)`` for a stored table (one row per cell).
-
-    The batch is reduced to its newest row per cell and checkpointed; its row
-    count is the size check.  Up to ``max_broadcast_rows`` rows it is
-    broadcast: each table row takes the batch value when the batch version is
-    not older, and batch cells missing from the table are added - the table
-    is scanned but never shuffled or sorted.  A bigger batch falls back to
-    the union-and-aggregate of ``put_cells``.
-    """
+def merge_cells(table: DataFrame, batch: DataFrame) -> DataFrame:
+    """``put_cells(table, batch)`` for a stored table: the batch is reduced to
+    its newest row per cell first, so that a batch with many puts of one cell
+    adds one row to the merge.  NULL keys are ordinary keys, a NULL version is
+    the oldest, and a table that holds a cell twice comes out with it once -
+    the same rows as ``put_cells`` at any size."""
     newest = F.max(F.struct("version", "value")).alias("m")
-    b = (batch.groupBy(*CELL_KEY).agg(newest)
-              .select(*CELL_KEY, F.col("m.value").alias("value"), F.col("m.version").alias("version"))
-              .checkpoint())
-    if b.count() > max_broadcast_rows:
-        return put_cells(table, b)
-    bb = F.broadcast(b.select(*CELL_KEY, F.col("value").alias("b_value"), F.col("version").alias("b_version")))
-    joined = table.select(*CELL_COLUMNS).join(bb, CELL_KEY, "left")
-    take_b = F.col("b_version").isNotNull() & (F.col("b_version") >= F.col("version"))
-    updated = joined.select(*CELL_KEY,
-                            F.when(take_b, F.col("b_value")).otherwise(F.col("value")).alias("value"),
-                            F.when(take_b, F.col("b_version")).otherwise(F.col("version")).alias("version"))
-    present = table.select(*CELL_KEY).join(F.broadcast(b.select(*CELL_KEY)), CELL_KEY, "left_semi")
-    added = b.join(present, CELL_KEY, "left_anti").select(*CELL_COLUMNS)
-    return updated.unionByName(added)
+    latest = (batch.groupBy(*CELL_KEY).agg(newest)
+              .select(*CELL_KEY, F.col("m.value").alias("value"), F.col("m.version").alias("version")))
+    return put_cells(table, latest)
 
 
 def get_rows(cells: DataFrame, keys: DataFrame, key_col: str = "row_key") -> DataFrame:

@@ -63,4 +63,16 @@ def test_merge_matches_put(spark):
     want = sorted(tuple(r) for r in put_cells(table, batch).collect())
     from tessera.operators.cells import merge_cells
     assert sorted(tuple(r) for r in merge_cells(table, batch).collect()) == want
-    assert sorted(tuple(r) for r in merge_cells(table, batch, max_broadcast_rows=1).collect()) == want
+
+
+def test_merge_with_nulls_and_repeats_is_a_put(spark):
+    from tessera.operators.cells import merge_cells
+    table = _cells(spark, [("r", "f", "q", "old", None), ("r", None, "q", "a", 1), ("s", "f", "q", "x", 1),
+                           ("s", "f", "q", "y", 2), (None, "f", "q", "n", 3)])
+    batch = _cells(spark, [("r", "f", "q", "new", 5), ("r", None, "q", "b", 1), ("t", "f", "q", "z", None),
+                           (None, "f", "q", "m", None)])
+    got = {tuple(r)[:3]: tuple(r)[3:] for r in merge_cells(table, batch).collect()}
+    assert got == {("r", "f", "q"): ("new", 5), ("r", None, "q"): ("b", 1), ("s", "f", "q"): ("y", 2),
+                   ("t", "f", "q"): ("z", None), (None, "f", "q"): ("n", 3)}
+    key = lambda r: str(tuple(r))
+    assert sorted(merge_cells(table, batch).collect(), key=key) == sorted(put_cells(table, batch).collect(), key=key)
