@@ -1,27 +1,23 @@
-"""Input layout helper for CPU-heavy per-row work.
-
-Parquet splits a file no finer than its row groups.  A table stored as one
-big row group is read by one task even when it plans several splits, and
-all per-row work before the first shuffle then runs on one core.  When a
-DataFrame plans fewer than two partitions per core (splits past the row
-groups are empty, so a count near the core count proves nothing),
-``spread`` hash-partitions it on a key into one partition per core so that
-the per-row work (tokenising documents, parsing log lines) runs on every
-core.
-
-On large inputs the scan already has at least as many splits as there are
-cores and ``spread`` returns the DataFrame unchanged - no extra shuffle.
-
-Call it on scan-level inputs (a scan with projections and filters): the
-partition count of such a plan is known without running anything, while
-on a DataFrame that already shuffles, asking for it runs the shuffle's
-map stage first.
+"""Scan layout for tables stored as few large row groups.
+
+Parquet splits a file no finer than its row groups, so a table written as one
+row group is read by one task.  ``scan_spread`` re-deals such a scan by a key
+before CPU-heavy per-row work.  It does so only when the caller's session asks
+for it with ``spark.tessera.scanPartitions`` (a task count); without that
+setting a scan keeps its splits, which at scale are many.  The same setting
+always gives the same plan, whatever the size of the input.
+
+The keys must identify rows well (a document or order id), so that equal lines
+or values don't meet in one task; it is used on scans only, never ahead of a
+join.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
 
+SCAN_PARTITIONS = "spark.tessera.scanPartitions"
+
 
 def default_parallelism(spark) -> int:
     """Cores of the cluster, or the shuffle width where that is not exposed."""
@@ -31,26 +27,7 @@ def default_parallelism(spark) -> int:
         return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
 
-def spread(df: DataFrame, *keys: str) -> DataFrame:
-    """Hash-partition an under-split scan-level input, one partition per core."""
-    if df.isStreaming:
-        return df
-    spark = df.sparkSession
-    cores = default_parallelism(spark)
-    try:
-        planned = df.rdd.getNumPartitions()
-    except Exception:  # no RDD view (Spark Connect): leave the layout alone
-        return df
-    # Splits past the row groups are empty, so a planned count near the core
-    # count can still mean one busy task: spread below two splits per core,
-    # to one partition per core (one wave; more map tasks only add partial
-    # results to merge) and no more than the session's shuffle width (a tiny
-    # input on a huge cluster stays small).
-    if cores <= 1 or planned >= 2 * cores:
-        return df
-    target = min(cores, int(spark.conf.get("spark.sql.shuffle.partitions")))
-    if target <= 1:
-        return df
-    # Hash partitioning is deterministic on retry without the local sort a
-    # round-robin repartition needs; with no key given, hash all columns.
-    return df.repartition(target, *(keys or df.columns))
+def scan_spread(df: DataFrame, *keys: str) -> DataFrame:
+    """``df``, hash-partitioned on ``keys`` when the session says so."""
+    n = df.sparkSession.conf.get(SCAN_PARTITIONS, None)
+    return df.repartition(int(n), *keys) if n else df

@@ -39,14 +39,17 @@ def with_parent_folders(manifest: DataFrame, root: str) -> DataFrame:
     aggregate; a manifest lists each path once, so the maxima over listed
     rows are that row's values.
     """
-    m = manifest.select("uri", "len", "file_type", "mtime")
-    listed = m.select("uri", F.lit(1).alias("listed"), "len",
-                      (F.col("file_type") == "dir").cast("int").alias("is_dir"), "mtime")
-    derived = m.select(F.explode(parent_chain(F.col("uri"), root)).alias("uri")).select(
-        "uri", F.lit(0).alias("listed"), F.lit(None).cast("long").alias("len"),
-        F.lit(1).alias("is_dir"), F.lit(None).cast("timestamp").alias("mtime"))
+    none = F.lit(None)
+    own = F.struct("uri", F.lit(1).alias("listed"), F.col("len").cast("long").alias("len"),
+                   (F.col("file_type") == "dir").cast("int").alias("is_dir"),
+                   F.col("mtime").cast("timestamp").alias("mtime"))
+    above = F.transform(parent_chain(F.col("uri"), root), lambda p: F.struct(
+        p.alias("uri"), F.lit(0).alias("listed"), none.cast("long").alias("len"), F.lit(1).alias("is_dir"),
+        none.cast("timestamp").alias("mtime")))
+    # One scan: each entry becomes itself and the folders above it.
+    rows = manifest.select(F.explode(F.concat(F.array(own), above)).alias("e")).select("e.*")
     is_listed = F.col("listed") == 1
-    agg = listed.unionByName(derived).groupBy("uri").agg(
+    agg = rows.groupBy("uri").agg(
         F.max("listed").alias("listed"),
         F.max(F.when(is_listed, F.col("len"))).alias("len"),
         F.max(F.when(is_listed, F.col("is_dir"))).alias("listed_dir"),
@@ -110,13 +113,23 @@ def listed_entries(manifest: DataFrame, paths: DataFrame, path_col: str = "folde
     path is a folder - skips the second pass for file paths."""
     f = paths.select(strip_slash(F.col(path_col)).alias("p"))
     m = with_parent(manifest)
-    inside = m.join(f, m["parent"] == f["p"], "left_semi")
+    within = m.join(f, m["parent"] == f["p"], "left_semi")
     if folders_only:
-        return inside.drop("parent")
+        return within.drop("parent")
     files = (m.where(F.col("file_type") == "file")
               .join(f, strip_slash(m["uri"]) == f["p"], "left_semi")
               .join(f, m["parent"] == f["p"], "left_anti"))
-    return inside.unionByName(files).drop("parent")
+    return within.unionByName(files).drop("parent")
+
+
+def _per_path(manifest: DataFrame, *totals) -> DataFrame:
+    """Aggregates over the listing of every path: each entry counts for its
+    folder, and a file for its own path.  Reduced before any join, so a folder
+    with a third of all entries is one row a map task."""
+    places = F.when(F.col("file_type") == "file", F.array(parent_path(F.col("uri")), strip_slash(F.col("uri")))) \
+        .otherwise(F.array(parent_path(F.col("uri"))))
+    listed = manifest.select("uri", "len", "mtime", F.explode(places).alias("path"))
+    return listed.where(F.col("path").isNotNull()).groupBy("path").agg(*totals)
 
 
 def path_sizes(manifest: DataFrame, paths: DataFrame, path_col: str = "folder") -> DataFrame:
@@ -124,12 +137,7 @@ def path_sizes(manifest: DataFrame, paths: DataFrame, path_col: str = "folder")
     the lengths of the entries directly inside a folder, a file's own length
     for a file path, ``0`` for an empty folder or a missing path."""
     f = paths.select(strip_slash(F.col(path_col)).alias("path")).distinct()
-    m = with_parent(manifest)
-    inside = m.join(f, m["parent"] == f["path"]).select("path", "len")
-    own = (m.where(F.col("file_type") == "file")
-            .join(f, strip_slash(m["uri"]) == f["path"]).select("path", "len"))
-    sized = inside.unionByName(own).groupBy("path").agg(F.sum("len").alias("bytes"),
-                                                         F.count(F.lit(1)).alias("entries"))
+    sized = _per_path(manifest, F.sum("len").alias("bytes"), F.count(F.lit(1)).alias("entries"))
     return (f.join(sized, "path", "left")
              .select("path", F.coalesce("bytes", F.lit(0)).cast("long").alias("bytes"),
                      F.coalesce("entries", F.lit(0)).cast("long").alias("entries")))
@@ -141,45 +149,18 @@ def file_sizes(manifest: DataFrame, folders: DataFrame, folder_col: str = "folde
     return listed_entries(manifest, folders, folder_col, folders_only).select("uri", "len")
 
 
-def name_contains(manifest: DataFrame, mark: str, negate: bool = False) -> DataFrame:
-    """Entries whose last path part contains ``mark`` (``*`` is dropped from
-    the mark, so this is a plain substring test), or does not."""
+def name_contains(manifest: DataFrame, mark: str, negate: bool = False, whole_path: bool = False) -> DataFrame:
+    """Entries whose last path part - or whole path - contains ``mark`` (``*``
+    is dropped from the mark, so this is a plain substring test), or does not."""
     m = mark.replace("*", "")
-    cond = base_name(F.col("uri")).contains(m)
+    place = F.col("uri") if whole_path else base_name(F.col("uri"))
+    cond = place.contains(m)
     return manifest.where(~cond if negate else cond)
 
 
-def _split_mark(path: str) -> tuple[str, str]:
-    """``/d/log*`` -> (``/d``, ``log``): the folder and the mark without ``*``."""
-    cut = path.rfind("/")
-    folder = path[:cut] if cut > 0 else "/"
-    return folder, path[cut + 1:].replace("*", "")
-
-
-def ls(manifest: DataFrame, path: str) -> DataFrame:
-    """Entries a folder listing of ``path`` gives.
-
-    Without ``*``: the entries directly inside ``path`` (a file path gives
-    the file).  With ``*``: the entries directly inside the folder part whose
-    full path contains the last part with ``*`` removed - a substring test,
-    not a glob.
-    """
-    if "*" not in path:
-        return listed_entries(manifest, manifest.sparkSession.createDataFrame([(path,)], "folder string"))
-    folder, mark = _split_mark(path)
-    inside = with_parent(manifest).where(F.col("parent") == strip_slash(F.lit(folder)))
-    return inside.where(F.col("uri").contains(mark)).drop("parent")
-
-
-def ls_more(manifest: DataFrame, path: str) -> DataFrame:
-    """The complement listing: with ``*``, the entries of the folder part whose
-    full path does not contain the mark; without it, the other entries of the
-    folder holding ``path`` (its siblings)."""
-    if "*" not in path:
-        return siblings(manifest, path)
-    folder, mark = _split_mark(path)
-    inside = with_parent(manifest).where(F.col("parent") == strip_slash(F.lit(folder)))
-    return inside.where(~F.col("uri").contains(mark)).drop("parent")
+def inside(manifest: DataFrame, folder: str) -> DataFrame:
+    """Entries directly inside ``folder``."""
+    return with_parent(manifest).where(F.col("parent") == strip_slash(F.lit(folder))).drop("parent")
 
 
 def siblings(manifest: DataFrame, path: str) -> DataFrame:
@@ -193,10 +174,7 @@ def siblings(manifest: DataFrame, path: str) -> DataFrame:
 def entry_times(manifest: DataFrame, folder: str | None = None) -> DataFrame:
     """``(uri, mtime)`` of every entry, or of the entries directly inside
     ``folder``."""
-    m = manifest
-    if folder is not None:
-        m = with_parent(m).where(F.col("parent") == strip_slash(F.lit(folder)))
-    return m.select("uri", "mtime")
+    return (manifest if folder is None else inside(manifest, folder)).select("uri", "mtime")
 
 
 def path_first_times(manifest: DataFrame, paths: DataFrame, path_col: str = "folder") -> DataFrame:
@@ -204,12 +182,7 @@ def path_first_times(manifest: DataFrame, paths: DataFrame, path_col: str = "fol
     name) a listing of each path gives - the file itself for a file path;
     NULL for an empty folder or a missing path."""
     f = paths.select(strip_slash(F.col(path_col)).alias("path")).distinct()
-    m = with_parent(manifest)
-    inside = m.join(f, m["parent"] == f["path"]).select("path", "uri", "mtime")
-    own = (m.where(F.col("file_type") == "file")
-            .join(f, strip_slash(m["uri"]) == f["path"]).select("path", "uri", "mtime"))
-    first = inside.unionByName(own).groupBy("path").agg(F.min_by("mtime", "uri").alias("first_time"))
-    return f.join(first, "path", "left")
+    return f.join(_per_path(manifest, F.min_by("mtime", "uri").alias("first_time")), "path", "left")
 
 
 def first_entry_time(manifest: DataFrame, group_col: str = "parent", name_col: str = "uri",

@@ -16,6 +16,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, functions as F
 
 from tessera.operators.ranking import exclusive_prefix_sum
+from tessera.session import checkpoint_dir
+
+BROADCAST_ROWS = 1_000_000  # rows of three numbers: some tens of megabytes
 
 
 def batch_index(keys: DataFrame, part_col: str = "part_id", batch_col: str = "batch") -> DataFrame:
@@ -32,8 +35,19 @@ def slot_count(index: DataFrame) -> DataFrame:
 
 def assign_slots(keys: DataFrame, index: DataFrame, part_col: str = "part_id",
                  batch_col: str = "batch") -> DataFrame:
-    """``keys`` plus a ``slot`` column; unknown partitions raise."""
+    """``keys`` plus a ``slot`` column; unknown partitions raise.
+
+    The index has a row a partition, but its estimated size follows the keys
+    it was made from.  So it is checkpointed and counted: up to
+    ``BROADCAST_ROWS`` rows of three numbers it is broadcast, and the keys are
+    not shuffled; a larger one is joined as Spark sees fit.  The result is the
+    same either way.
+    """
     idx = index.select(F.col("part_id").alias("_p"), "max_batch", "slot_offset")
+    checkpoint_dir(keys.sparkSession)
+    idx = idx.checkpoint()
+    if idx.count() <= BROADCAST_ROWS:
+        idx = F.broadcast(idx)
     j = keys.join(idx, keys[part_col] == idx["_p"], "left")
     missing = F.raise_error(F.concat(F.lit("partition not in the slot index: "),
                                      F.col(part_col).cast("string")))

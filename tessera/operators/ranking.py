@@ -29,8 +29,9 @@ from tessera.session import checkpoint_dir
 def exclusive_prefix_sum(df: DataFrame, order_col: str, value: Column, out_col: str,
                          group_col: str | None = None, partitions: int | None = None) -> DataFrame:
     """``df`` plus ``out_col``: the sum of ``value`` over the rows before this
-    one in ``order_col`` order (within ``group_col`` when given).  Rows with
-    equal order values are taken in any order."""
+    one in ``order_col`` order (within ``group_col`` when given; NULL is a
+    group too).  Rows with equal order values are taken in any order and
+    stay in one piece, so the order column should be close to unique."""
     spark = df.sparkSession
     checkpoint_dir(spark)
     n = partitions or max(default_parallelism(spark), int(spark.conf.get("spark.sql.shuffle.partitions")))
@@ -46,7 +47,12 @@ def exclusive_prefix_sum(df: DataFrame, order_col: str, value: Column, out_col:
     offsets = (tagged.groupBy("_piece", *keys).agg(F.sum("_v").alias("_t"))
                .withColumn("_off", F.coalesce(F.sum("_t").over(before), F.lit(0)))
                .drop("_t"))
-    return (local.join(offsets, ["_piece", *keys])
+    offsets = offsets.withColumnRenamed("_piece", "_p")
+    same = local["_piece"] == offsets["_p"]
+    if group_col:
+        offsets = offsets.withColumnRenamed(group_col, "_g")
+        same = (local["_piece"] == offsets["_p"]) & local[group_col].eqNullSafe(offsets["_g"])
+    return (local.join(offsets, same).drop("_p", "_g")
             .withColumn(out_col, F.col("_off") + F.col("_in"))
             .drop("_piece", "_v", "_in", "_off"))
 

@@ -12,6 +12,10 @@ dimension joins become broadcast joins only when the runtime size of the
 they stay shuffle joins.  Facts are aggregated per ``movieid`` before the
 title join, so the join and the title aggregate see one row per movie
 instead of one row per rating.
+
+Ratings may also be kept as a pair ``(facts, links)``: ``facts(linkid,
+movieid, rate)`` and ``links(linkid, userid)`` with one user per link.  Users
+are then filtered on the links before the fact table is joined.
 """
 
 from __future__ import annotations
@@ -19,14 +23,26 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F
 
 
-def average_rating_by(ratings: DataFrame, users: DataFrame, movie_id: int,
+def _of_users(ratings: DataFrame | tuple[DataFrame, DataFrame], users: DataFrame) -> DataFrame:
+    """Ratings ``(userid, movieid, rate)`` of the given users (one row each)."""
+    if isinstance(ratings, tuple):
+        facts, links = ratings
+        return facts.join(links.join(users, "userid", "left_semi"), "linkid").drop("linkid")
+    return ratings.join(users, "userid", "left_semi")
+
+
+def average_rating_by(ratings: DataFrame | tuple[DataFrame, DataFrame], users: DataFrame, movie_id: int,
                       attribute: str) -> DataFrame:
     """Average rate of one movie per user attribute: ``<attribute>, avgrate``.
 
     The movie filter is pushed into the fact scan; AQE turns the join into a
     broadcast of the few matching ratings when they are small.
     """
-    r = ratings.where(F.col("movieid") == F.lit(movie_id)).select("userid", "rate")
+    if isinstance(ratings, tuple):
+        facts, links = ratings
+        r = facts.where(F.col("movieid") == F.lit(movie_id)).join(links, "linkid").select("userid", "rate")
+    else:
+        r = ratings.where(F.col("movieid") == F.lit(movie_id)).select("userid", "rate")
     u = users.select("userid", attribute)
     return (r.join(u, "userid")
              .groupBy(attribute)
@@ -47,54 +63,54 @@ def _per_title(per_movie: DataFrame, movies: DataFrame) -> DataFrame:
                  F.sum("n").alias("total")))
 
 
-def top_titles(ratings: DataFrame, users: DataFrame, movies: DataFrame,
+def top_titles(ratings: DataFrame | tuple[DataFrame, DataFrame], users: DataFrame, movies: DataFrame,
                user_filter: Column, min_total: int = 50, k: int = 10) -> DataFrame:
     """Top ``k`` titles by average rate among ratings of users matching
     ``user_filter``, for titles rated more than ``min_total`` times:
     ``moviename, avgrate, total``.  Ties on the average go by name.
     """
     u = users.where(user_filter).select("userid")
-    per_title = _per_title(_per_movie(ratings.join(u, "userid")), movies)
+    per_title = _per_title(_per_movie(_of_users(ratings, u)), movies)
     return (per_title.where(F.col("total") > min_total)
             .orderBy(F.desc("avgrate"), F.asc("moviename"))
             .limit(k))
 
 
-def top_user(ratings: DataFrame, users: DataFrame, user_filter: Column) -> DataFrame:
+def top_user(ratings: DataFrame | tuple[DataFrame, DataFrame], users: DataFrame, user_filter: Column) -> DataFrame:
     """The user with the most ratings among users matching ``user_filter``
     (ties go to the smallest id): ``userid, total`` - exactly one row."""
     u = users.where(user_filter).select("userid")
-    return (ratings.join(u, "userid")
+    return (_of_users(ratings, u)
             .groupBy("userid").agg(F.count(F.lit(1)).alias("total"))
             .orderBy(F.desc("total"), F.asc("userid"))
             .limit(1))
 
 
-def top_titles_of_top_user(ratings: DataFrame, users: DataFrame, movies: DataFrame,
+def top_titles_of_top_user(ratings: DataFrame | tuple[DataFrame, DataFrame], users: DataFrame, movies: DataFrame,
                            user_filter: Column, k: int = 10) -> DataFrame:
     """Top ``k`` titles by average rate of the most active matching user:
     ``moviename, avgrate``.
 
     The top-1 subquery has exactly one row, so broadcasting it is bounded
-    by construction; the fact scan then keeps only that user's ratings.
+    by construction; only that user's ratings reach the fact join.
     """
     best = F.broadcast(top_user(ratings, users, user_filter).select("userid"))
-    per_title = _per_title(_per_movie(ratings.join(best, "userid")), movies)
+    per_title = _per_title(_per_movie(_of_users(ratings, best)), movies)
     return (per_title.select("moviename", "avgrate")
             .orderBy(F.desc("avgrate"), F.asc("moviename"))
             .limit(k))
 
 
 def stacked_range_filter(t: DataFrame, low: float, high: float) -> DataFrame:
-    """``select a.name from (select name, sal from t where 1 = 1 and sal > low) a
-    where a.sal < high``.  Catalyst folds the constant, merges both filters
-    and collapses the projections into one scan with pushed filters."""
+    """Names of the rows with a salary between the bounds, written as two
+    filters in a row and a constant condition: Catalyst folds the constant and
+    pushes one merged filter into the scan."""
     inner = t.where((F.lit(1) == F.lit(1)) & (F.col("sal") > low)).select("name", "sal")
     return inner.where(F.col("sal") < high).select("name")
 
 
 def distinct_except(left: DataFrame, right: DataFrame, columns: list[str]) -> DataFrame:
-    """``select distinct <columns> from left except select <columns> from right``.
+    """The distinct rows of ``left`` that are not in ``right``, on ``columns``.
 
     Both sides are de-duplicated first (partial aggregation in each map
     task, so only distinct keys are shuffled), then a null-safe left anti

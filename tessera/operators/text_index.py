@@ -2,33 +2,32 @@
 
 Words come from ``split(text, ' ', -1)``: empty words from leading,
 trailing or repeated spaces are kept, as with ``split(" ", -1)`` on the JVM.
+Rows without an id belong to no document and are left out.
 
 Plan shape:
 
-* ``term_counts`` - the long form ``(word, doc_id, n)``.  A document lives in
-  one row, so its words are sorted and counted inside that row with
-  built-in array functions (sort, then run lengths).  No shuffle (beyond
-  ``layout.spread`` of an input read by fewer tasks than there are cores),
-  and every (word, document) pair leaves the map side exactly once.
-* ``posting_lists`` / ``posting_lists_with_counts`` - one shuffle on
-  ``(word, block)``.  A posting list is cut into blocks of document ids
-  ``[block * block_size, (block + 1) * block_size)``, so one array never
-  holds more than ``block_size`` entries, however common the word is.  A
-  word found in a third of all documents becomes many blocks spread over
-  many tasks instead of one giant group.  Rows that repeat a document id
-  are merged inside each sorted block, as the id is the key.  Ids that are not
-  integers (text ids) are first numbered in sorted order
-  (``ranking.exclusive_prefix_sum``) and blocked by that number.
-
-``term_counts`` counts per row: for a documents table keyed by its id (one
-row per document) that is the count per document.
+* ``row_term_counts`` - ``(word, doc_id, n)`` per row.  A document's words are
+  sorted and counted inside its row with built-in array functions (sort, then
+  run lengths): no shuffle.  For a table with one row per document it equals
+  ``term_counts``.
+* ``term_counts`` - the same summed by (word, document), for tables that may
+  repeat an id: one shuffle of the row counts, reduced map-side.
+* ``posting_lists`` - distinct words per row, then one shuffle on
+  ``(word, block)`` into sets of ids, which drop repeated ids map-side.
+* ``posting_lists_with_counts`` - row counts dealt once on ``(word, block)``,
+  summed per document and collected without another shuffle.
+
+A posting list is cut into blocks of document ids ``[block * block_size,
+(block + 1) * block_size)``, so one array never holds more than ``block_size``
+entries, however common the word or repeated the id is.  Ids that are not
+integers (text ids) are first numbered in sorted order
+(``ranking.exclusive_prefix_sum``) and blocked by that number.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F, types as T
 
-from tessera.operators.layout import spread
 from tessera.operators.ranking import exclusive_prefix_sum
 
 DEFAULT_BLOCK_SIZE = 100_000
@@ -39,12 +38,12 @@ def _is_integral(docs: DataFrame, doc_col: str) -> bool:
                       (T.ByteType, T.ShortType, T.IntegerType, T.LongType))
 
 
-def term_counts(docs: DataFrame, doc_col: str = "doc_id", text_col: str = "text",
-                sep: str = " ") -> DataFrame:
-    """``(word, doc_id, n)``: how often each word occurs in each document."""
+def row_term_counts(docs: DataFrame, doc_col: str = "doc_id", text_col: str = "text",
+                    sep: str = " ") -> DataFrame:
+    """``(word, doc_id, n)``: how often each word occurs in each row."""
     # A NULL text has no words (and never reaches size(), which is -1 for
     # NULL in sessions without ANSI mode).
-    docs = spread(docs.select(doc_col, text_col).where(F.col(text_col).isNotNull()), doc_col)
+    docs = docs.select(doc_col, text_col).where(F.col(text_col).isNotNull() & F.col(doc_col).isNotNull())
     sorted_words = docs.select(
         F.col(doc_col).alias("doc_id"),
         F.sort_array(F.split(F.col(text_col), sep, -1)).alias("w"))
@@ -62,73 +61,59 @@ def term_counts(docs: DataFrame, doc_col: str = "doc_id", text_col: str = "text"
                 .select(F.col("p.word").alias("word"), "doc_id", F.col("p.n").alias("n")))
 
 
+def term_counts(docs: DataFrame, doc_col: str = "doc_id", text_col: str = "text",
+                sep: str = " ") -> DataFrame:
+    """``(word, doc_id, n)``: how often each word occurs in each document,
+    over all rows with its id."""
+    return (row_term_counts(docs, doc_col, text_col, sep)
+            .groupBy("word", "doc_id").agg(F.sum("n").alias("n")))
+
+
 def _block(doc: F.Column, block_size: int) -> F.Column:
     # floor(doc / block_size), exact for negative ids too.
     return ((doc - F.pmod(doc, F.lit(block_size))) / F.lit(block_size)).cast("long")
 
 
-def _keyed_counts(docs: DataFrame, doc_col: str, text_col: str, block_size: int) -> DataFrame:
-    """``(word, block, key, doc_id, n)`` with ``key`` the number that orders
-    and blocks the documents.  Integral ids are their own key.  Other ids
-    (text) are numbered 0, 1, ... in sorted order by a distributed prefix
-    sum over the distinct ids, so blocks stay bounded for any id type."""
+def _numbered(docs: DataFrame, doc_col: str, text_col: str) -> DataFrame:
+    """``(id, text)`` with ``id`` a struct ``(key, doc_id)`` whose ``key`` orders
+    and blocks the documents: the id itself if it is an integer, else its
+    number in the sorted distinct ids, by a distributed prefix sum."""
+    rows = docs.select(F.col(doc_col).alias("_id"), F.col(text_col).alias("text")).where("_id IS NOT NULL")
     if _is_integral(docs, doc_col):
-        tc = term_counts(docs, doc_col, text_col).withColumn("key", F.col("doc_id").cast("long"))
-    else:
-        ids = docs.select(F.col(doc_col).alias("_id")).distinct()
-        numbered = exclusive_prefix_sum(ids, "_id", F.lit(1).cast("long"), "_key")
-        keyed = docs.select(F.col(doc_col).alias("_id"), F.col(text_col).alias("_text")).join(numbered, "_id")
-        tc = (term_counts(keyed.select(F.struct(F.col("_key").alias("key"), F.col("_id").alias("id")).alias("_d"),
-                                       "_text"), "_d", "_text")
-              .select("word", F.col("doc_id.id").alias("doc_id"), F.col("doc_id.key").alias("key"), "n"))
-    return tc.withColumn("block", _block(F.col("key"), block_size))
-
-
-def _merge_runs(arr: F.Column, key: str) -> F.Column:
-    """``arr`` holds ``struct(<key>, ..., doc_id, n)`` sorted by ``key``;
-    entries that share a key (a document id repeated over rows) become one
-    ``struct(doc_id, n)`` with the counts summed.  The check uses native
-    array functions; the merge pass runs only for blocks with repeats."""
-    has_repeats = F.size(F.array_distinct(arr[key])) < F.size(arr)
-    n = F.size(arr)
-    starts = F.filter(F.sequence(F.lit(0), n - 1),
-                      lambda i: (i == 0) | (F.get(arr, i)[key] != F.get(arr, i - 1)[key]))
-
-    def run(s, j):
-        length = F.coalesce(F.get(starts, j + 1), n) - s
-        total = F.aggregate(F.slice(arr, s + 1, length), F.lit(0).cast("long"),
-                            lambda acc, e: acc + e["n"])
-        return F.struct(F.get(arr, s)["doc_id"].alias("doc_id"), total.alias("n"))
-
-    if key == "doc_id":
-        plain = arr
-    else:
-        plain = F.transform(arr, lambda e: F.struct(e["doc_id"].alias("doc_id"), e["n"].alias("n")))
-    return F.when(has_repeats, F.transform(starts, run)).otherwise(plain)
+        return rows.select(F.struct(F.col("_id").cast("long").alias("key"), F.col("_id").alias("doc_id"))
+                           .alias("id"), "text")
+    ids = rows.select("_id").distinct()
+    numbers = exclusive_prefix_sum(ids, "_id", F.lit(1).cast("long"), "_key")
+    return rows.join(numbers, "_id").select(F.struct(F.col("_key").alias("key"), F.col("_id").alias("doc_id"))
+                                            .alias("id"), "text")
 
 
 def posting_lists(docs: DataFrame, doc_col: str = "doc_id", text_col: str = "text",
                   block_size: int = DEFAULT_BLOCK_SIZE) -> DataFrame:
     """``(word, block, doc_ids)``: sorted, distinct ids of documents holding
     the word, one row per block of ids."""
-    kc = _keyed_counts(docs, doc_col, text_col, block_size)
-    if _is_integral(docs, doc_col):
-        ids = F.array_distinct(F.sort_array(F.collect_list("doc_id")))
-    else:
-        ids = F.array_distinct(F.sort_array(F.collect_list(F.struct("key", "doc_id")))["doc_id"])
-    return kc.groupBy("word", "block").agg(ids.alias("doc_ids"))
+    plain = _is_integral(docs, doc_col)
+    words = _numbered(docs, doc_col, text_col).where(F.col("text").isNotNull()).select(
+        "id", F.explode(F.array_distinct(F.split("text", " ", -1))).alias("word"))
+    entry = F.col("id.doc_id") if plain else F.col("id")
+    ids = F.sort_array(F.collect_set(entry))
+    return words.groupBy("word", _block(F.col("id.key"), block_size).alias("block")).agg(
+        (ids if plain else ids["doc_id"]).alias("doc_ids"))
 
 
 def posting_lists_with_counts(docs: DataFrame, doc_col: str = "doc_id", text_col: str = "text",
                               block_size: int = DEFAULT_BLOCK_SIZE) -> DataFrame:
     """``(word, block, postings)`` with ``postings`` an array of
     ``struct(doc_id, n)`` sorted by document id."""
-    kc = _keyed_counts(docs, doc_col, text_col, block_size)
-    if _is_integral(docs, doc_col):
-        ordered, key = F.sort_array(F.collect_list(F.struct("doc_id", "n"))), "doc_id"
-    else:
-        ordered, key = F.sort_array(F.collect_list(F.struct("key", "doc_id", "n"))), "key"
-    return kc.groupBy("word", "block").agg(_merge_runs(ordered, key).alias("postings"))
+    spark = docs.sparkSession
+    counts = row_term_counts(_numbered(docs, doc_col, text_col), "id", "text").select(
+        "word", _block(F.col("doc_id.key"), block_size).alias("block"), F.col("doc_id.key").alias("key"),
+        F.col("doc_id.doc_id").alias("doc_id"), "n")
+    dealt = counts.repartition(int(spark.conf.get("spark.sql.shuffle.partitions")), "word", "block")
+    summed = dealt.groupBy("word", "block", "key", "doc_id").agg(F.sum("n").alias("n"))
+    ordered = F.sort_array(F.collect_list(F.struct("key", "doc_id", "n")))
+    return summed.groupBy("word", "block").agg(
+        F.transform(ordered, lambda e: F.struct(e["doc_id"].alias("doc_id"), e["n"].alias("n"))).alias("postings"))
 
 
 def merge_posting_lists(a: F.Column, b: F.Column) -> F.Column:

@@ -8,8 +8,7 @@ are BIGINT, so sums past 2**31 - 1 stay exact.
 
 Plan: one scan, projections (each line is split once), and one aggregate
 whose partial sums are computed in each map task, so a key holding a third
-of all lines still leaves every map task as a single row.  An input read by
-fewer tasks than there are cores is first spread (``layout.spread``).
+of all lines still leaves every map task as a single row.
 """
 
 from __future__ import annotations
@@ -17,7 +16,6 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, functions as F
 
 from tessera.functions.parse import not_blank, split_fields, strict_int
-from tessera.operators.layout import spread
 
 
 def _parse_all(lines: DataFrame, line_col: str = "value", key_field: int = 1,
@@ -26,7 +24,6 @@ def _parse_all(lines: DataFrame, line_col: str = "value", key_field: int = 1,
     """Every line with ``counted`` (1 or 0); key and values are NULL for lines
     that do not count, so their fields are never parsed."""
     v = F.col(line_col)
-    lines = spread(lines.select(line_col))
     split = lines.select(not_blank(v).alias("nb"), split_fields(v, sep).alias("f"))
     f = F.col("f")
     checked = split.select("f", (F.col("nb") & (F.size(f) >= min_fields)).alias("ok"))

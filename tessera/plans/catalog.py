@@ -14,6 +14,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tessera.operators import cells, manifest, placement, relational, text_index, traffic
+from tessera.operators.layout import scan_spread
 from tessera.plans import standins as si
 
 # Fixed query parameters.
@@ -31,6 +32,7 @@ KEY_SEGMENT = "MACHINERY"  # row keys fetched / deleted in the cell table
 NAME_MARK = "*page-1*"
 MATCH_PATTERN = r"page-42\.html$"
 FOLDER_NAME = "en"
+SIBLING = "/web/tionsh.example.net"
 LIST_BLOCK = 25            # names per listing text (small, so folders span several blocks)
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -73,7 +75,7 @@ def computed_columns(spark: SparkSession, d: str) -> DataFrame:
 
 
 def _documents(spark: SparkSession, d: str) -> DataFrame:
-    return spark.read.parquet(f"{d}/documents.parquet").select("doc_id", "text")
+    return scan_spread(spark.read.parquet(f"{d}/documents.parquet").select("doc_id", "text"), "doc_id")
 
 
 def posting_blocks(spark: SparkSession, d: str) -> DataFrame:
@@ -104,6 +106,24 @@ def traffic_totals(spark: SparkSession, d: str) -> DataFrame:
     return traffic.traffic_totals(si.traffic_lines(spark, d))
 
 
+def traffic_rejects(spark: SparkSession, d: str) -> DataFrame:
+    """Per-key sums over log lines of which some are blank, short or end in
+    empty fields and so don't count."""
+    return traffic.traffic_totals(si.mixed_traffic_lines(spark, d))
+
+
+def text_id_index(spark: SparkSession, d: str) -> DataFrame:
+    """Sorted text document ids per word in blocks of 250 documents, as text."""
+    pl = text_index.posting_lists(si.text_id_documents(spark, d), block_size=SMALL_BLOCK)
+    return pl.select("word", "block", text_index.render_ids(F.col("doc_ids")).alias("doc_ids"))
+
+
+def repeated_id_counts(spark: SparkSession, d: str) -> DataFrame:
+    """Sorted (document, count) pairs per word where many rows share an id."""
+    pl = text_index.posting_lists_with_counts(si.source_documents(spark, d))
+    return pl.select("word", "block", text_index.render_postings(F.col("postings")).alias("postings"))
+
+
 def _slot_keys(spark: SparkSession, d: str) -> DataFrame:
     l = spark.read.parquet(f"{d}/lineitem.parquet")
     return l.select("l_orderkey", "l_linenumber", F.col("l_linenumber").alias("part_id"),
@@ -123,9 +143,7 @@ def batch_slots(spark: SparkSession, d: str) -> DataFrame:
 
 def _cell_table(spark: SparkSession, d: str) -> DataFrame:
     puts = si.cell_puts(spark, d)
-    base = puts.where(F.col("batch") == 0).drop("batch")
-    batch = puts.where(F.col("batch") == 1).drop("batch")
-    return cells.put_cells(base, batch)
+    return cells.put_cells(si.first_batch(puts), si.second_batch(puts))
 
 
 def cells_put(spark: SparkSession, d: str) -> DataFrame:
@@ -133,6 +151,12 @@ def cells_put(spark: SparkSession, d: str) -> DataFrame:
     return _cell_table(spark, d)
 
 
+def cells_merge(spark: SparkSession, d: str) -> DataFrame:
+    """The later events merged into a cell table that holds cells repeatedly."""
+    puts = si.cell_puts(spark, d)
+    return cells.merge_cells(si.first_batch(puts), si.second_batch(puts))
+
+
 def cells_get(spark: SparkSession, d: str) -> DataFrame:
     """Cells of one segment's customer keys."""
     return cells.get_rows(_cell_table(spark, d), si.cell_keys(spark, d, KEY_SEGMENT))
@@ -184,6 +208,36 @@ def name_filter(spark: SparkSession, d: str) -> DataFrame:
     return manifest.name_contains(si.page_files(spark, d), NAME_MARK).select("uri", "len")
 
 
+def name_filter_not(spark: SparkSession, d: str) -> DataFrame:
+    """Page files whose whole path does not contain 'page-1'."""
+    return manifest.name_contains(si.page_files(spark, d), NAME_MARK, negate=True, whole_path=True).select("uri", "len")
+
+
+def siblings(spark: SparkSession, d: str) -> DataFrame:
+    """The other entries beside one top-level folder of the tree."""
+    tree = manifest.with_parent_folders(si.page_files(spark, d), si.SOURCE_ROOT)
+    return manifest.siblings(tree, SIBLING).select("uri", "file_type")
+
+
+def entry_times(spark: SparkSession, d: str) -> DataFrame:
+    """Time of every page file."""
+    return _micros(manifest.entry_times(si.page_files(spark, d)), "mtime")
+
+
+def path_sizes(spark: SparkSession, d: str) -> DataFrame:
+    """Bytes and entries of the listings of folders, files and missing paths."""
+    return manifest.path_sizes(si.page_files(spark, d), si.listed_paths(spark, d))
+
+
+def path_first_times(spark: SparkSession, d: str) -> DataFrame:
+    """Time of the first entry of the same listings."""
+    return _micros(manifest.path_first_times(si.page_files(spark, d), si.listed_paths(spark, d)), "first_time")
+
+
+def _micros(df: DataFrame, col: str) -> DataFrame:
+    return df.withColumn(col, F.unix_micros(col))
+
+
 def first_seen_per_type(spark: SparkSession, d: str) -> DataFrame:
     """Time of the first event (by id) of each event type."""
     first = manifest.first_entry_time(si.event_entries(spark, d))
@@ -214,10 +268,14 @@ QUERIES: dict[str, Query] = {
     "inverted_index": inverted_index,
     "inverted_index_counts": inverted_index_counts,
     "posting_blocks": posting_blocks,
+    "text_id_index": text_id_index,
+    "repeated_id_counts": repeated_id_counts,
     "traffic_totals": traffic_totals,
+    "traffic_rejects": traffic_rejects,
     "batch_index": batch_index,
     "batch_slots": batch_slots,
     "cells_put": cells_put,
+    "cells_merge": cells_merge,
     "cells_get": cells_get,
     "cells_delete": cells_delete,
     "rebase_paths": rebase_paths,
@@ -227,6 +285,11 @@ QUERIES: dict[str, Query] = {
     "folder_sizes": folder_sizes,
     "file_sizes": file_sizes,
     "name_filter": name_filter,
+    "name_filter_not": name_filter_not,
+    "siblings": siblings,
+    "entry_times": entry_times,
+    "path_sizes": path_sizes,
+    "path_first_times": path_first_times,
     "first_seen_per_type": first_seen_per_type,
     "any_match": any_match,
     "name_list": name_list,
@@ -249,9 +312,17 @@ _BLOCK = _block_sql(BLOCK)
 _PAGES = """pm AS (SELECT '/web/' || regexp_extract(url, '^[a-z]+://([^/?#]+)', 1) || '/'
                        || regexp_extract(url, '^[a-z]+://[^/?#]+/([^/?#]*)', 1)
                        || '/page-' || CAST(page_id AS VARCHAR) || '.html' AS uri,
-                   CAST(strlen(html) AS BIGINT) AS len, 'file' AS file_type, url
+                   CAST(strlen(html) AS BIGINT) AS len, 'file' AS file_type, url,
+                   (1700000000 + page_id * 60 % 86399) * 1000000 AS mtime
             FROM pages)"""
 
+_LISTED = _PAGES + """,
+     listed AS (SELECT regexp_replace(uri, '/[^/]*$', '') AS path FROM pm WHERE contains(url, '#')
+                UNION SELECT uri FROM pm WHERE starts_with(url, 'https:')
+                UNION SELECT uri || '.gone' FROM pm),
+     hit AS (SELECT l.path, p.uri, p.len, p.mtime FROM listed l
+             LEFT JOIN pm p ON l.path = p.uri OR l.path = regexp_replace(p.uri, '/[^/]*$', ''))"""
+
 _TREE = _PAGES + """,
      pf AS (SELECT DISTINCT array_to_string(parts[1:i], '/') AS uri
             FROM (SELECT parts, unnest(generate_series(2, len(parts) - 1)) AS i
@@ -356,6 +427,52 @@ ORACLE: dict[str, str] = {
                CAST(sum(CAST(round(l_tax * 100) AS INTEGER)) AS BIGINT) AS down,
                CAST(sum(CAST(l_quantity AS INTEGER) + CAST(round(l_tax * 100) AS INTEGER)) AS BIGINT) AS total
         FROM lineitem GROUP BY l_suppkey""",
+    "traffic_rejects": """
+        WITH f AS (SELECT *, 'a' || chr(9) || l_suppkey || chr(9) || 'c' || chr(9) || 'd' || chr(9) || 'e' || chr(9)
+                             || 'f' || chr(9) || 'g' || chr(9) || 'h' AS eight FROM lineitem),
+             v AS (SELECT CASE l_linenumber WHEN 2 THEN '  ' WHEN 3 THEN 'a' || chr(9) || 'b' || chr(9) || 'c'
+                          WHEN 4 THEN eight || chr(9) || chr(9)
+                          WHEN 5 THEN eight || chr(9) || CAST(l_quantity AS INTEGER) || chr(9) || '7' || chr(9) || 'x'
+                                      || chr(9) || 'y'
+                          ELSE eight || chr(9) || CAST(l_quantity AS INTEGER) || chr(9) || '7' END AS value FROM f),
+             s AS (SELECT value, string_split(rtrim(value, chr(9)), chr(9)) AS p FROM v),
+             ok AS (SELECT p[2] AS key, CAST(p[9] AS BIGINT) AS up, CAST(p[10] AS BIGINT) AS down
+                    FROM s WHERE trim(value) <> '' AND len(p) >= 10)
+        SELECT key, CAST(sum(up) AS BIGINT) AS up, CAST(sum(down) AS BIGINT) AS down,
+               CAST(sum(up + down) AS BIGINT) AS total
+        FROM ok GROUP BY key""",
+    "text_id_index": f"""
+        WITH t AS (SELECT source || '/' || doc_id AS id, text FROM documents),
+             n AS (SELECT id, row_number() OVER (ORDER BY id) - 1 AS k FROM (SELECT DISTINCT id FROM t)),
+             p AS (SELECT DISTINCT word, id, k
+                   FROM (SELECT t.id, k, unnest(string_split(text, ' ')) AS word FROM t JOIN n USING (id)))
+        SELECT word, k // {SMALL_BLOCK} AS block, string_agg(id, ',' ORDER BY k) AS doc_ids
+        FROM p GROUP BY word, block""",
+    "repeated_id_counts": f"""
+        WITH t AS (SELECT TRY_CAST(regexp_extract(source, '([0-9]+)$', 1) AS BIGINT) AS doc_id, text FROM documents),
+             w AS (SELECT doc_id, unnest(string_split(text, ' ')) AS word FROM t WHERE doc_id IS NOT NULL),
+             c AS (SELECT word, doc_id, count(*) AS n FROM w GROUP BY word, doc_id)
+        SELECT word, {_BLOCK} AS block,
+               string_agg(CAST(doc_id AS VARCHAR) || ':' || CAST(n AS VARCHAR), ',' ORDER BY doc_id) AS postings
+        FROM c GROUP BY word, block""",
+    "name_filter_not": f"""
+        WITH {_PAGES}
+        SELECT uri, len FROM pm WHERE NOT contains(uri, '{NAME_MARK.replace('*', '')}')""",
+    "siblings": f"""
+        WITH {_TREE}
+        SELECT uri, file_type FROM tree WHERE uri <> '/' AND {_PARENT} = '/web' AND uri <> '{SIBLING}'""",
+    "entry_times": f"""
+        WITH {_PAGES}
+        SELECT uri, mtime FROM pm""",
+    "path_sizes": f"""
+        WITH {_LISTED}
+        SELECT path, CAST(coalesce(sum(len), 0) AS BIGINT) AS bytes, count(uri) AS entries FROM hit GROUP BY path""",
+    "path_first_times": f"""
+        WITH {_LISTED}
+        SELECT path, arg_min(mtime, uri) AS first_time FROM hit GROUP BY path""",
+    "cells_merge": f"""
+        WITH {_CELLS}
+        SELECT row_key, family, qualifier, value, version FROM cur""",
     "batch_index": f"""
         WITH {_SLOTS}
         SELECT part_id, max_batch, slot_offset FROM i""",

@@ -30,7 +30,7 @@ COVERAGE: dict[str, list[str]] = {
     "P7": ["tessera.functions.parse.strict_int"],
     "P8": ["tessera.functions.paths.rebase_path", "tessera.operators.manifest.rebase"],
     "P9": ["tessera.operators.manifest.name_contains", "tessera.operators.manifest.siblings",
-           "tessera.operators.manifest.ls", "tessera.operators.manifest.ls_more"],
+           "tessera.operators.manifest.inside"],
     "P10": ["tessera.operators.manifest.any_match", "tessera.operators.manifest.any_glob_match"],
     "P11": ["tessera.operators.manifest.copy_work"],
     # 2.4 row-expanding
@@ -73,6 +73,4 @@ COVERAGE: dict[str, list[str]] = {
     "C3": ["tessera.operators.cells.delete_rows"],
     "R1": ["tessera.operators.placement.assign_slots", "tessera.operators.placement.place_by_slot"],
     "R2": ["tessera.operators.placement.spread"],
-    # section 0, program H (re-aimed)
-    "H": ["tessera.plans.version.show_version"],
 }

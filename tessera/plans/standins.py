@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tessera.operators.layout import spread
+from tessera.operators.layout import scan_spread
 from tessera.sources.tables import table
 
 # Fixed values of the stand-ins.
@@ -19,14 +19,14 @@ CELL_FAMILY = "e"
 CELL_BATCH_START = "2024-01-16 00:00:00"   # puts from here on form the second batch
 
 
-def ratings(spark: SparkSession, d: str) -> DataFrame:
-    """``(userid, movieid, rate)``: each order line is a rating of a part by
-    the ordering customer, rated with its quantity."""
-    l = spread(table(spark, d, "lineitem", "l_orderkey", "l_partkey", "l_quantity"), "l_orderkey")
+def ratings(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame]:
+    """``(linkid, movieid, rate)`` and ``(linkid, userid)``: each order line is
+    a rating of a part, rated with its quantity, by its order's customer."""
+    l = table(spark, d, "lineitem", "l_orderkey", "l_partkey", "l_quantity")
     o = table(spark, d, "orders", "o_orderkey", "o_custkey")
-    return l.join(o, l["l_orderkey"] == o["o_orderkey"]).select(
-        o["o_custkey"].alias("userid"), l["l_partkey"].alias("movieid"),
-        l["l_quantity"].cast("int").alias("rate"))
+    return (l.select(F.col("l_orderkey").alias("linkid"), F.col("l_partkey").alias("movieid"),
+                     F.col("l_quantity").cast("int").alias("rate")),
+            o.select(F.col("o_orderkey").alias("linkid"), F.col("o_custkey").alias("userid")))
 
 
 def users(spark: SparkSession, d: str) -> DataFrame:
@@ -59,28 +59,50 @@ def traffic_lines(spark: SparkSession, d: str) -> DataFrame:
     """Tab-separated log lines (``value``), ten fields each: field 1 is the
     supplier, field 8 the quantity, field 9 the tax in hundredths; the other
     fields are filler taken from the same order line."""
-    l = table(spark, d, "lineitem", "l_orderkey", "l_suppkey", "l_partkey", "l_linenumber",
-              "l_returnflag", "l_linestatus", "l_quantity", "l_tax")
+    l = scan_spread(table(spark, d, "lineitem", "l_orderkey", "l_suppkey", "l_partkey", "l_linenumber",
+                          "l_returnflag", "l_linestatus", "l_quantity", "l_tax"), "l_orderkey", "l_linenumber")
     return l.select(F.concat_ws(
         "\t", "l_orderkey", "l_suppkey", "l_partkey", "l_linenumber", "l_returnflag",
         "l_linestatus", "l_orderkey", "l_partkey",
         F.col("l_quantity").cast("int"), F.round(F.col("l_tax") * 100).cast("int")).alias("value"))
 
 
+def mixed_traffic_lines(spark: SparkSession, d: str) -> DataFrame:
+    """Log lines as ``traffic_lines`` gives them for the first line of an
+    order; second lines are blank, third ones short, fourth ones end in two
+    empty fields, fifth ones have two more fields."""
+    l = table(spark, d, "lineitem", "l_suppkey", "l_linenumber", "l_quantity")
+    eight = F.concat_ws("\t", F.lit("a"), "l_suppkey", F.lit("c"), F.lit("d"), F.lit("e"), F.lit("f"), F.lit("g"),
+                        F.lit("h"))
+    q = F.col("l_quantity").cast("int").cast("string")
+    full = F.concat_ws("\t", eight, q, F.lit("7"))
+    n = F.col("l_linenumber")
+    return l.select(F.when(n == 2, F.lit("  ")).when(n == 3, F.lit("a\tb\tc"))
+                    .when(n == 4, F.concat(eight, F.lit("\t\t")))
+                    .when(n == 5, F.concat(full, F.lit("\tx\ty"))).otherwise(full).alias("value"))
+
+
 def _version(ts: F.Column) -> F.Column:
     return F.timestamp_diff("MICROSECOND", F.lit("1970-01-01 00:00:00").cast("timestamp_ntz"), ts)
 
 
 def cell_puts(spark: SparkSession, d: str) -> DataFrame:
-    """Events as cell puts with a ``batch`` marker (0 before the cut, 1 after)."""
+    """Events as cell puts with their time ``ts``, which cuts the batches."""
     e = table(spark, d, "events", "user_id", "event_type", "props", "ts")
     return e.select(F.col("user_id").cast("string").alias("row_key"),
                     F.lit(CELL_FAMILY).alias("family"),
                     F.col("event_type").alias("qualifier"),
                     F.col("props").alias("value"),
                     _version(F.col("ts")).alias("version"),
-                    F.when(F.col("ts") < F.lit(CELL_BATCH_START).cast("timestamp_ntz"), 0)
-                     .otherwise(1).alias("batch"))
+                    F.col("ts"))
+
+
+def first_batch(puts: DataFrame) -> DataFrame:
+    return puts.where(F.col("ts") < F.lit(CELL_BATCH_START).cast("timestamp_ntz")).drop("ts")
+
+
+def second_batch(puts: DataFrame) -> DataFrame:
+    return puts.where(F.col("ts") >= F.lit(CELL_BATCH_START).cast("timestamp_ntz")).drop("ts")
 
 
 def cell_keys(spark: SparkSession, d: str, segment: str) -> DataFrame:
@@ -101,10 +123,32 @@ def page_files(spark: SparkSession, d: str) -> DataFrame:
                  F.col("page_id"), F.lit(".html")).alias("uri"),
         F.octet_length("html").cast("long").alias("len"),
         F.lit("file").alias("file_type"),
-        F.lit(None).cast("timestamp").alias("mtime"),
+        F.timestamp_seconds(F.lit(1_700_000_000) + F.col("page_id") * 60 % 86_399).alias("mtime"),
         "url")
 
 
+def listed_paths(spark: SparkSession, d: str) -> DataFrame:
+    """Paths to list (``folder``): the folder of each page whose url has a
+    fragment, the file of each https page, and one that is not there."""
+    pages = page_files(spark, d)
+    folders = pages.where(F.col("url").contains("#")).select(F.regexp_replace("uri", "/[^/]*$", "").alias("folder"))
+    files = pages.where(F.col("url").startswith("https:")).select(F.col("uri").alias("folder"))
+    gone = pages.select(F.concat("uri", F.lit(".gone")).alias("folder"))
+    return folders.unionByName(files).unionByName(gone).distinct()
+
+
+def text_id_documents(spark: SparkSession, d: str) -> DataFrame:
+    """Documents under text ids (``source/number``)."""
+    t = scan_spread(table(spark, d, "documents", "doc_id", "source", "text"), "doc_id")
+    return t.select(F.concat_ws("/", "source", "doc_id").alias("doc_id"), "text")
+
+
+def source_documents(spark: SparkSession, d: str) -> DataFrame:
+    """Documents under the number of their source: ids repeat over rows."""
+    t = scan_spread(table(spark, d, "documents", "doc_id", "source", "text"), "doc_id")
+    return t.select(F.regexp_extract("source", "([0-9]+)$", 1).try_cast("long").alias("doc_id"), "text")
+
+
 def backup_files(spark: SparkSession, d: str) -> DataFrame:
     """Destination manifest: an earlier copy holding the https pages, plus an
     empty stale ``.old`` file next to each page whose url has a fragment."""

@@ -129,3 +129,58 @@ def test_copy_single_file(spark, tmp):
     status = copy_tree(spark, f"{tmp}/one.txt", f"{tmp}/dst", tasks=2)
     assert [(r.action, r.ok) for r in status.collect()] == [("create", True)]
     assert open(f"{tmp}/dst/one.txt").read() == "single"
+
+
+def test_listing_has_no_level_limit(spark, tmp):
+    import pytest
+    from tessera.sources.files import list_tree
+    deep = f"{tmp}/t"
+    for i in range(12):
+        deep += f"/d{i}"
+    write(f"{deep}/leaf.txt", "x")
+    assert list_tree(spark, f"{tmp}/t", budget=1).count() == 14
+    with pytest.raises(ValueError):
+        list_tree(spark, f"{tmp}/t", budget=0)
+
+
+def test_paths_belong_to_the_default_file_system(spark):
+    import pytest
+    from tessera.functions.files import qualify
+    conf = spark._jsc.hadoopConfiguration()
+    old = conf.get("fs.defaultFS")
+    try:
+        conf.set("fs.defaultFS", "hdfs://nn:8020")
+        assert qualify("/data/in", spark) == "hdfs://nn:8020/data/in"
+        assert qualify("hdfs:/x", spark) == "hdfs://nn:8020/x"
+        assert qualify("file:/x", spark) == "file:/x"
+        with pytest.raises(ValueError):
+            qualify("rel/x", spark)
+        with pytest.raises(ValueError):
+            qualify("s3:/x", spark)
+    finally:
+        conf.set("fs.defaultFS", old)
+    assert qualify("/data/in", spark) == "/data/in"
+
+
+def test_status_rows_leave_in_bounded_batches(tmp):
+    import pyarrow as pa
+    from tessera.operators import copy as cp
+    n = cp.STATUS_ROWS * 2 + 5
+    work = pa.RecordBatch.from_pylist([{"src_uri": f"{tmp}/no{i}", "dest": f"{tmp}/to/x{i}", "src_len": 0,
+                                        "action": "create"} for i in range(n)])
+    sizes = [b.num_rows for b in cp._copy_batches([work], "a")]
+    assert max(sizes) <= cp.STATUS_ROWS and sum(sizes) == n
+
+
+def test_replacing_needs_a_known_file_system(tmp):
+    import pyarrow.fs as pafs
+    import pytest
+    from tessera.operators.copy import move_over
+    os.makedirs(f"{tmp}/m")
+    write(f"{tmp}/m/a", "new")
+    write(f"{tmp}/m/b", "old")
+    other = pafs.SubTreeFileSystem(f"{tmp}/m", pafs.LocalFileSystem())
+    with pytest.raises(OSError, match="not supported"):
+        move_over(other, "a", "b")
+    move_over(pafs.LocalFileSystem(), f"{tmp}/m/a", f"{tmp}/m/b")
+    assert open(f"{tmp}/m/b").read() == "new"

@@ -111,18 +111,19 @@ def test_glob_to_regex_and_glob_entries(spark):
     assert mf.any_glob_match(m, "/e/*").first().found is False
 
 
-def test_ls_and_ls_more(spark):
+def test_listings_and_marks(spark):
     m = _m(spark, [("/f", 0, "dir"), ("/f/log-1.txt", 1, "file"), ("/f/log-2.txt", 2, "file"),
                    ("/f/data.csv", 3, "file"), ("/f/sub", 0, "dir"), ("/f/sub/log-3.txt", 4, "file"),
                    ("/logs", 0, "dir"), ("/logs/a.csv", 5, "file")])
-    uris = lambda df: sorted(r.uri for r in df.collect())
-    assert uris(mf.ls(m, "/f")) == ["/f/data.csv", "/f/log-1.txt", "/f/log-2.txt", "/f/sub"]
-    assert uris(mf.ls(m, "/f/data.csv")) == ["/f/data.csv"]
-    assert uris(mf.ls(m, "/f/log*")) == ["/f/log-1.txt", "/f/log-2.txt"]
-    assert uris(mf.ls_more(m, "/f/log*")) == ["/f/data.csv", "/f/sub"]
-    # the mark is tested against the full path, as the folder listing does
-    assert uris(mf.ls(m, "/logs/*log*")) == ["/logs/a.csv"]
-    assert uris(mf.ls_more(m, "/f/log-1.txt")) == ["/f/data.csv", "/f/log-2.txt", "/f/sub"]
+    uris = lambda df: sorted(r.uri for r in df.collect())
+    inside = mf.inside(m, "/f")
+    assert uris(inside) == ["/f/data.csv", "/f/log-1.txt", "/f/log-2.txt", "/f/sub"]
+    assert uris(mf.name_contains(inside, "log*", whole_path=True)) == ["/f/log-1.txt", "/f/log-2.txt"]
+    assert uris(mf.name_contains(inside, "log*", negate=True, whole_path=True)) == ["/f/data.csv", "/f/sub"]
+    # the mark is tested against the full path on request
+    assert uris(mf.name_contains(mf.inside(m, "/logs"), "*log*", whole_path=True)) == ["/logs/a.csv"]
+    assert uris(mf.name_contains(mf.inside(m, "/logs"), "*log*")) == []
+    assert uris(mf.siblings(m, "/f/log-1.txt")) == ["/f/data.csv", "/f/log-2.txt", "/f/sub"]
 
 
 def test_path_sizes(spark):

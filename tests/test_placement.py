@@ -47,3 +47,12 @@ def test_sized_conf_scales():
     big = sized_conf(100 << 40, 8000)
     assert int(big["spark.sql.shuffle.partitions"]) == (100 << 40) // (128 << 20)
     assert int(big["spark.sql.files.maxPartitionBytes"]) == 256 << 20
+
+
+def test_prefix_sum_keeps_a_null_group(spark):
+    from pyspark.sql import functions as F
+    from tessera.operators.ranking import exclusive_prefix_sum, group_positions
+    df = spark.createDataFrame([("a", 1), ("a", 2), (None, 3), (None, 4)], "g string, o int")
+    got = sorted((str(r.g), r.o, r.s) for r in exclusive_prefix_sum(df, "o", F.col("o").cast("long"), "s", "g").collect())
+    assert got == [("None", 3, 0), ("None", 4, 3), ("a", 1, 0), ("a", 2, 1)]
+    assert group_positions(df, "g", "o").columns == ["g", "o", "pos"]

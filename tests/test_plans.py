@@ -28,9 +28,50 @@ def test_filters_reach_the_scans(spark):
     assert "ReadSchema: struct<c_name:string,c_acctbal:double>" in plan
 
 
-def test_long_form_has_no_aggregate(spark):
-    plan = executed(catalog.QUERIES["term_counts"](spark, DATA))
-    assert "Aggregate" not in plan
+def test_long_form_sums_map_side(spark):
+    plan = executed(catalog.QUERIES["term_counts"](spark, DATA)).splitlines()
+    keyed = [i for i, l in enumerate(plan) if "Exchange hashpartitioning(word" in l]
+    assert len(keyed) == 1 and "partial_sum" in plan[keyed[0] + 1]
+
+
+def test_postings_with_counts_move_once(spark):
+    plan = executed(catalog.QUERIES["inverted_index_counts"](spark, DATA))
+    assert len(re.findall(r"Exchange hashpartitioning", plan)) == 1
+
+
+@pytest.mark.parametrize("name", ["top_titles_for_segment", "top_titles_of_top_user"])
+def test_user_filter_below_the_fact_join(spark, name):
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    try:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+        plan = catalog.QUERIES[name](spark, DATA)._jdf.queryExecution().optimizedPlan().toString().splitlines()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+    depth = lambda l: len(l) - len(l.lstrip(" :+-"))
+    semi = [depth(l) for l in plan if "LeftSemi" in l]
+    fact = [depth(l) for l in plan if re.search(r"Join Inner, .*linkid", l)]
+    assert semi and fact and max(semi) > min(fact) and min(semi) > min(fact)
+
+
+def test_slots_leave_the_keys_in_place(spark):
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    try:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "10")
+        plan = executed(catalog.QUERIES["batch_slots"](spark, DATA))
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+    assert "hashpartitioning(part_id" not in plan and "BroadcastHashJoin" in plan
+
+
+def test_manifest_scans(spark):
+    for name, most in (("parent_folders", 1), ("folder_sizes", 1), ("file_sizes", 2)):
+        assert executed(catalog.QUERIES[name](spark, DATA)).split("== Initial Plan ==")[0].count("FileScan") <= most, name
+
+
+def test_paths_are_reduced_before_the_join(spark):
+    for name in ("path_sizes", "path_first_times"):
+        plan = executed(catalog.QUERIES[name](spark, DATA)).split("== Initial Plan ==")[0]
+        assert plan.index("Join") < plan.index("partial_"), name
 
 
 def test_posting_lists_one_aggregate_shuffle(spark):
@@ -58,18 +99,3 @@ def test_traffic_shuffles_partial_sums_only(spark):
     plan = executed(catalog.QUERIES["traffic_totals"](spark, DATA)).splitlines()
     keyed = [i for i, l in enumerate(plan) if "Exchange hashpartitioning(key" in l]
     assert len(keyed) == 1 and "partial_sum" in plan[keyed[0] + 1]
-
-
-def test_small_batch_merge_does_not_shuffle_the_table(spark):
-    from pyspark.sql import functions as F
-    from tessera.operators.cells import merge_cells
-    table = spark.range(0, 2000, numPartitions=8).select(
-        F.col("id").cast("string").alias("row_key"), F.lit("f").alias("family"), F.lit("q").alias("qualifier"),
-        F.lit("v").alias("value"), F.lit(1).cast("long").alias("version"))
-    batch = spark.createDataFrame([("5", "f", "q", "new", 2), ("new-key", "f", "q", "x", 1)],
-                                  "row_key string, family string, qualifier string, value string, version long")
-    merged = merge_cells(table, batch)
-    plan = executed(merged)
-    assert "Exchange hashpartitioning" not in plan and "BroadcastExchange" in plan
-    rows = {r.row_key: (r.value, r.version) for r in merged.collect()}
-    assert len(rows) == 2001 and rows["5"] == ("new", 2) and rows["new-key"] == ("x", 1)

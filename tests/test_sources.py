@@ -41,3 +41,31 @@ def test_compaction_without_matches_leaves_target(spark, tmp):
     write(f"{tmp}/merged/old.txt", "keep\n")
     assert compact_text(spark, f"{tmp}/nothing/*.txt", f"{tmp}/merged") is False
     assert open(f"{tmp}/merged/old.txt").read() == "keep\n"
+
+
+def test_files_are_sized_and_outputs_kept(spark, tmp):
+    import pytest
+    from pyspark.errors import AnalysisException
+    from tessera.sinks.text import write_key_values
+    for i in range(4):
+        write(f"{tmp}/big/p{i}.txt", "x" * 99 + "\n")
+    assert compact_text(spark, f"{tmp}/big/*.txt", f"{tmp}/out", file_bytes=200)
+    assert len(spark.read.text(f"{tmp}/out").inputFiles()) == 2
+    df = spark.createDataFrame([("k", 1)], "key string, v int")
+    write_key_values(df, f"{tmp}/kv", "key", ["v"])
+    with pytest.raises(AnalysisException):
+        write_key_values(df, f"{tmp}/kv", "key", ["v"])
+
+
+def test_bytes_that_are_not_text_fail(spark, tmp):
+    import os
+    import pytest
+    from tessera.sources.text import read_file_texts
+    os.makedirs(f"{tmp}/bad")
+    with open(f"{tmp}/bad/a.txt", "wb") as f:
+        f.write(b"\xff\xfe")
+    paths = spark.createDataFrame([(f"{tmp}/bad/a.txt",)], "path string")
+    with pytest.raises(Exception):
+        read_file_texts(paths).collect()
+    with pytest.raises(Exception):
+        read_whole_files(spark, f"{tmp}/bad").collect()

@@ -19,10 +19,3 @@ def test_stream_matches_batch_totals(spark, tmp):
     q.awaitTermination(120)
     got = {r.key: (r.up, r.down, r.total) for r in current_totals(spark, out).collect()}
     assert got == {"k1": (11, 2, 13), "k2": (5, 5, 10), "k3": (1, 1, 2)}
-
-
-def test_show_version(spark):
-    from tessera.plans.version import show_version
-    v = show_version(spark).first().version
-    assert v.startswith(f"Spark Version: {spark.version.split()[0]}, Java Version: ")
-    assert "Scala Version: 2." in v

@@ -59,14 +59,21 @@ def test_repeated_ids_are_merged(spark):
     assert {r.word: r.doc_ids for r in ti.posting_lists(docs).collect()} == {"a": [7], "b": [3, 7]}
 
 
-def test_long_form_needs_no_shuffle(spark):
-    # an input with plenty of splits is not spread; the long form adds no shuffle
+def test_row_counts_need_no_shuffle(spark):
     docs = spark.range(0, 64, numPartitions=32).select(
         F.col("id").alias("doc_id"), F.concat(F.lit("w"), (F.col("id") % 5).cast("string"), F.lit(" x")).alias("text"))
-    plan = ti.term_counts(docs)._jdf.queryExecution().executedPlan().toString()
+    plan = ti.row_term_counts(docs)._jdf.queryExecution().executedPlan().toString()
     assert "Exchange" not in plan
 
 
+def test_term_counts_sum_over_repeated_ids_and_skip_null_ids(spark):
+    docs = _docs(spark, [(1, "a b"), (1, "a"), (None, "a")])
+    assert sorted(tuple(r) for r in ti.term_counts(docs).collect()) == [("a", 1, 2), ("b", 1, 1)]
+    assert {r.word: r.doc_ids for r in ti.posting_lists(docs).collect()} == {"a": [1], "b": [1]}
+    text = docs.withColumn("doc_id", F.col("doc_id").cast("string"))
+    assert {r.word: r.doc_ids for r in ti.posting_lists(text).collect()} == {"a": ["1"], "b": ["1"]}
+
+
 def test_merge_and_render(spark):
     df = spark.createDataFrame([([0, 2], [1, 2])], "a array<long>, b array<long>")
     r = df.select(ti.render_ids(ti.merge_posting_lists(F.col("a"), F.col("b"))).alias("s")).first()

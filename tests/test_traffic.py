@@ -70,3 +70,13 @@ def test_bad_int_fails_without_ansi_too(spark):
             traffic_totals(df).collect()
     finally:
         spark.conf.set("spark.sql.ansi.enabled", old)
+
+
+def test_equal_lines_stay_where_they_are(spark):
+    from pyspark.sql import functions as F
+    from tessera.operators.traffic import traffic_totals
+    full = F.concat_ws("\t", F.lit("a"), F.col("id") % 3, *[F.lit("x")] * 6, F.lit("1"), F.lit("2"))
+    lines = spark.range(0, 1000, numPartitions=4).select(F.when(F.col("id") % 10 != 0, F.lit("")).otherwise(full).alias("value"))
+    plan = traffic_totals(lines)._jdf.queryExecution().executedPlan().toString()
+    assert "hashpartitioning(value" not in plan
+    assert sorted((r.key, r.up, r.down) for r in traffic_totals(lines).collect()) == [("0", 34, 68), ("1", 33, 66), ("2", 33, 66)]
