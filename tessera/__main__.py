@@ -4,9 +4,8 @@
     python -m tessera traffic INPUT OUTPUT [--files N]
     python -m tessera index DOCS OUTPUT [--counts] [--block-size N]
     python -m tessera cells put TABLE BATCH OUT     (TABLE may be missing: new table)
-    python -m tessera cells get TABLE KEYS
+    python -m tessera cells get TABLE KEYS OUT      (key, column and value as text lines)
     python -m tessera cells delete TABLE KEYS OUT
-    python -m tessera version
 
 Options of ``spark-submit`` (master, memory, ``--py-files``) apply as usual;
 the session reads ``spark.checkpoint.dir`` from the cluster configuration.
@@ -29,7 +28,7 @@ def main(argv: list[str] | None = None) -> int:
     c = sub.add_parser("copy", help="copy a file tree as a Spark job")
     c.add_argument("source")
     c.add_argument("dest")
-    c.add_argument("--tasks", type=int, default=2)
+    c.add_argument("--tasks", type=int, default=None, help="copy tasks (default: the cluster's width)")
     c.add_argument("--ignore-errors", action="store_true")
     c.add_argument("--task-bytes", type=int, default=None,
                    help="balance files so each task copies about this many bytes")
@@ -46,8 +45,7 @@ def main(argv: list[str] | None = None) -> int:
     ce.add_argument("action", choices=["put", "get", "delete"])
     ce.add_argument("table")
     ce.add_argument("arg", help="put: batch folder; get/delete: text file of row keys, one per line")
-    ce.add_argument("out", nargs="?", help="put/delete: folder for the new table version")
-    sub.add_parser("version", help="Spark, Java and Scala versions")
+    ce.add_argument("out", nargs="?", help="put/delete: folder for the new table version; get: folder for the lines")
     a = p.parse_args(argv)
 
     spark = build_session(app=f"tessera-{a.cmd}")
@@ -70,9 +68,6 @@ def main(argv: list[str] | None = None) -> int:
         out.write.mode("errorifexists").parquet(a.output)
     elif a.cmd == "cells":
         _cells(spark, a)
-    elif a.cmd == "version":
-        from tessera.plans.version import show_version
-        print(show_version(spark).first().version)
     return 0
 
 
@@ -85,16 +80,17 @@ def _cells(spark, a) -> None:
     exists = fs.get_file_info(path).type == pafs.FileType.Directory
     table = (spark.read.parquet(a.table).select(*cells.CELL_COLUMNS) if exists
              else spark.createDataFrame([], cells.CELL_SCHEMA))
-    if a.action in ("put", "delete") and not a.out:
-        raise SystemExit(f"cells {a.action} needs an output folder for the new table version")
+    if not a.out:
+        raise SystemExit(f"cells {a.action} needs an output folder")
     if a.action == "put":
         batch = spark.read.parquet(a.arg).select(*cells.CELL_COLUMNS)
         cells.save_version(cells.merge_cells(table, batch), a.out)
         return
     keys = spark.read.text(a.arg).select(F.col("value").alias("row_key")).where(F.col("row_key") != "")
     if a.action == "get":
-        for r in cells.get_rows(table, keys).orderBy("row_key", "family", "qualifier").toLocalIterator():
-            print(f"{r.row_key}\t{r.family}:{r.qualifier}\t{r.value}")
+        found = cells.get_rows(table, keys)
+        found.select(F.concat_ws("\t", "row_key", F.concat_ws(":", "family", "qualifier"), "value").alias("value")) \
+            .write.mode("errorifexists").text(a.out)
     else:
         cells.save_version(cells.delete_rows(table, keys), a.out)
 

@@ -44,11 +44,30 @@ def is_local(uri: str) -> bool:
     return uri.startswith("file:") or "://" not in uri
 
 
-def qualify(path: str) -> str:
-    """Absolute form of a path given on the driver: a relative local path is
-    resolved against the driver's working folder (executors have their
-    own); URIs with a scheme are kept as they are."""
+def qualify(path: str, spark=None) -> str:
+    """Absolute form of a path given on the driver.
+
+    A path without a scheme belongs to the cluster's default file system
+    (``fs.defaultFS``): local paths become absolute, a path on another default
+    gets its scheme and authority and must be absolute.  ``scheme:/path`` gets
+    the authority of a default of that scheme, and raises without one.  Full
+    URIs and ``file:`` paths are kept.
+    """
     import os
+    from urllib.parse import urlparse
+
     if "://" in path or path.startswith("file:"):
         return path
-    return os.path.abspath(path)
+    default = "file:///"
+    if spark is not None:
+        default = spark._jsc.hadoopConfiguration().get("fs.defaultFS") or default
+    base, scheme = urlparse(default), urlparse(path).scheme
+    if scheme:
+        if base.scheme != scheme:
+            raise ValueError(f"{path}: no authority given, and the default file system is {default}")
+        return f"{base.scheme}://{base.netloc}{path[len(scheme) + 1:]}"
+    if base.scheme in ("", "file"):
+        return os.path.abspath(path)
+    if not path.startswith("/"):
+        raise ValueError(f"{path}: relative path on {default}")
+    return f"{base.scheme}://{base.netloc}{path}"

@@ -13,10 +13,13 @@ Steps (``copy_tree``):
 
 A retried or speculative task writes its own temporary file (named with the
 run id and the task attempt id), so it never breaks another attempt's
-output; the final rename replaces atomically on local and HDFS-like file
-systems.  When the file step is over, temporary files of this run that lost
+output.  The final rename replaces an existing file in one step on local file
+systems; HDFS refuses to rename onto a file, so there the old one is deleted
+just before; on other file systems an entry that would replace a file fails
+with a message that says so.  When the file step is over, temporary files of this run that lost
 attempts left behind are swept from the touched folders.  Work is spread over
-``tasks`` tasks by a hash of the path.  Status rows: ``(uri, dest, action, ok, bytes, message)``.
+``tasks`` tasks (the cluster's width unless given) by a hash of the path.
+Status rows leave a task batch by batch.  Status rows: ``(uri, dest, action, ok, bytes, message)``.
 """
 
 from __future__ import annotations
@@ -32,6 +35,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tessera.functions.files import filesystem_for, qualify
 from tessera.functions.paths import parent_str, strip_slash_str
+from tessera.operators.layout import default_parallelism
 from tessera.operators.manifest import copy_plan, copy_work, with_parent_folders
 from tessera.operators.placement import assign_slots, batch_index, place_by_slot, slot_count
 from tessera.operators.ranking import exclusive_prefix_sum
@@ -40,6 +44,7 @@ STATUS_SCHEMA = "uri string, dest string, action string, ok boolean, bytes long,
 STATUS_ARROW = pa.schema([("uri", pa.string()), ("dest", pa.string()), ("action", pa.string()),
                           ("ok", pa.bool_()), ("bytes", pa.int64()), ("message", pa.string())])
 BUFFER = 1 << 20
+STATUS_ROWS = 1000
 
 
 def _batch(rows) -> pa.RecordBatch:
@@ -55,10 +60,10 @@ def _exists(fs, path) -> pafs.FileType:
 def _make_dirs_fn(dest_base: str):
     """Folder step; ``dest_base`` (the destination root's parent) must exist."""
     def make_dirs(batches: Iterable[pa.RecordBatch]) -> Iterable[pa.RecordBatch]:
-        out = []
         base_fs, base_path = filesystem_for(dest_base)
         base_ok = None          # checked once per task, on first need
         for batch in batches:
+            out = []
             d = batch.to_pydict()
             for src, dest, planned in zip(d["src_uri"], d["dest"], d["action"]):
                 fs, path = filesystem_for(dest)
@@ -72,26 +77,35 @@ def _make_dirs_fn(dest_base: str):
                 if base_ok is None:
                     base_ok = _exists(base_fs, base_path) == pafs.FileType.Directory
                 if not base_ok:
-                    out.append((src, dest, "mkdir", False, 0, f"parent folder {dest_base} does not exist"))
+                    out.append((src, dest, "mkdir", False, 0, f"no folder {dest_base} to copy into"))
                     continue
                 try:
                     fs.create_dir(path, recursive=True)
                     out.append((src, dest, "mkdir", True, 0, "created"))
                 except OSError as e:
                     out.append((src, dest, "mkdir", False, 0, f"{type(e).__name__}: {e}"))
-        yield _batch(out)
+            yield _batch(out)
     return make_dirs
 
 
 TEMP_PREFIX = ".tessera."
 
 
+def move_over(fs, tmp: str, dest: str) -> None:
+    """Renames a finished file to its name, over a file that is there."""
+    if not isinstance(fs, pafs.LocalFileSystem) and _exists(fs, dest) != pafs.FileType.NotFound:
+        if not isinstance(fs, pafs.HadoopFileSystem):
+            raise OSError(f"replacing {dest} is not supported on this file system")
+        fs.delete_file(dest)
+    fs.move(tmp, dest)
+
+
 def _copy_one(src: str, dest: str, src_len: int, attempt: str) -> tuple[bool, int, str]:
     sfs, spath = filesystem_for(src)
     dfs, dpath = filesystem_for(dest)
     folder = parent_str(dpath) or "/"
     if _exists(dfs, folder) != pafs.FileType.Directory:
-        return False, 0, f"destination folder {folder} does not exist"
+        return False, 0, f"no folder {folder} at the destination"
     tmp = folder.rstrip("/") + f"/{TEMP_PREFIX}{attempt}.{os.path.basename(dpath)}"
     written = 0
     try:
@@ -105,8 +119,8 @@ def _copy_one(src: str, dest: str, src_len: int, attempt: str) -> tuple[bool, in
         size = dfs.get_file_info(tmp).size
         if src_len is not None and size != src_len:
             dfs.delete_file(tmp)
-            return False, size, f"written length {size} does not match source length {src_len}"
-        dfs.move(tmp, dpath)
+            return False, size, f"{size} bytes at the destination, {src_len} listed at the source"
+        move_over(dfs, tmp, dpath)
         return True, written, "copied"
     except OSError as e:
         try:
@@ -151,13 +165,16 @@ def _sweep_fn(run_id: str):
 
 
 def _copy_batches(batches: Iterable[pa.RecordBatch], attempt: str) -> Iterable[pa.RecordBatch]:
-    out = []
     for batch in batches:
+        out = []
         d = batch.to_pydict()
         for src, dest, n, action in zip(d["src_uri"], d["dest"], d["src_len"], d["action"]):
             ok, written, msg = _copy_one(src, dest, n, attempt)
             out.append((src, dest, action, ok, written, msg))
-    yield _batch(out)
+            if len(out) >= STATUS_ROWS:
+                yield _batch(out)
+                out = []
+        yield _batch(out)
 
 
 def balanced_file_tasks(files: DataFrame, task_bytes: int, groups: int) -> DataFrame:
@@ -181,17 +198,18 @@ def balanced_file_tasks(files: DataFrame, task_bytes: int, groups: int) -> DataF
     return place_by_slot(slotted, n).drop("slot")
 
 
-def run_copy(plan: DataFrame, dest_root: str, tasks: int = 2, ignore_errors: bool = False,
+def run_copy(plan: DataFrame, dest_root: str, tasks: int | None = None, ignore_errors: bool = False,
              task_bytes: int | None = None) -> DataFrame:
     """Carry out a copy plan; returns the (materialised) status table.
 
-    Files are spread over ``tasks`` tasks by a hash of the destination path, or - with
+    Files are spread over ``tasks`` tasks (default: the cluster's width) by a hash of the destination path, or - with
     ``task_bytes`` - balanced so each task copies about that many bytes.
     With ``ignore_errors=False`` a failed entry fails the call after both
     steps ran, with the number of failures in the message.
     """
     # The folder step and the file step both read the plan: materialise it
     # once instead of running its joins twice.
+    tasks = tasks or default_parallelism(plan.sparkSession)
     work = copy_work(plan).select("src_uri", "dest", "file_type", "src_len", "action").checkpoint()
     root = strip_slash_str(dest_root)
     base = parent_str(root) or root
@@ -221,13 +239,13 @@ def copy_summary(status: DataFrame) -> DataFrame:
                                              F.sum("bytes").alias("bytes"))
 
 
-def copy_tree(spark: SparkSession, source_root: str, dest_root: str, tasks: int = 2,
+def copy_tree(spark: SparkSession, source_root: str, dest_root: str, tasks: int | None = None,
               ignore_errors: bool = False, task_bytes: int | None = None) -> DataFrame:
     """Copy the tree at ``source_root`` into ``dest_root`` (the source folder's
     own name is kept below it); returns the status table."""
     from tessera.sources.files import ENTRY_SCHEMA, list_tree
 
-    source_root, dest_root = strip_slash_str(qualify(source_root)), strip_slash_str(qualify(dest_root))
+    source_root, dest_root = (strip_slash_str(qualify(p, spark)) for p in (source_root, dest_root))
     src = with_parent_folders(list_tree(spark, source_root, tasks), strip_slash_str(source_root))
     dfs, dpath = filesystem_for(strip_slash_str(dest_root))
     if dfs.get_file_info(dpath).type == pafs.FileType.Directory:

@@ -80,8 +80,9 @@ def checkpoint_dir(spark: SparkSession) -> str:
     """The shared folder for checkpoints and intermediate tables.
 
     Taken from ``spark.checkpoint.dir`` (the cluster's shared folder).  Only
-    when the session has none - local tests - a fresh temporary folder is
-    set, so that ``DataFrame.checkpoint()`` works there too.
+    when a local session has none - tests - a fresh temporary folder is set,
+    so that ``DataFrame.checkpoint()`` works there too; on a cluster a missing
+    setting raises.
     """
     try:
         sc = spark.sparkContext
@@ -92,12 +93,8 @@ def checkpoint_dir(spark: SparkSession) -> str:
         return current
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if not configured:
+        if not sc.master.startswith("local") or sc.master.startswith("local-cluster"):
+            raise ValueError("spark.checkpoint.dir is not set: give a folder that all executors share")
         configured = tempfile.mkdtemp(prefix="tessera-ckpt-")
     sc.setCheckpointDir(configured)
     return sc.getCheckpointDir() or configured
-
-
-def scratch_path(spark: SparkSession, name: str) -> str:
-    """A sub-folder of the checkpoint folder for written intermediate tables."""
-    base = checkpoint_dir(spark).rstrip("/")
-    return f"{base}/{name}-{os.getpid()}-{os.urandom(4).hex()}"

@@ -16,12 +16,13 @@ def key_value_lines(df: DataFrame, key: str, values: Sequence[str]) -> DataFrame
 
 
 def write_key_values(df: DataFrame, path: str, key: str, values: Sequence[str],
-                     num_files: int | None = None, mode: str = "overwrite") -> None:
+                     num_files: int | None = None, mode: str = "errorifexists") -> None:
     """Write ``key TAB v1 v2 ...`` lines.
 
     With ``num_files`` the rows are hash-partitioned by key into that many
     files (the two-reducer layout of a classic job); without it the
-    aggregate's own partitioning is kept, which scales with the data.
+    aggregate's own partitioning is kept, which scales with the data.  An
+    output folder that is already there is refused unless ``mode`` says else.
     """
     lines = key_value_lines(df, key, values)
     if num_files:
@@ -30,18 +31,21 @@ def write_key_values(df: DataFrame, path: str, key: str, values: Sequence[str],
 
 
 def compact_text(spark: SparkSession, source: str | Sequence[str], dest: str,
-                 num_files: int = 1) -> bool:
-    """Merge many text files (a glob or list) into ``num_files`` files at
-    ``dest``, replacing what was there.  Works on lines: a missing last
+                 file_bytes: int = 256 << 20, num_files: int | None = None) -> bool:
+    """Merge many text files (a glob or list) into files of about
+    ``file_bytes`` (or ``num_files`` files) at ``dest``, replacing what was
+    there.  Works on lines: a missing last
     newline no longer glues two files' lines together, and the order of
     lines across files is not kept.  When nothing matches ``source`` the
     target is left as it is and ``False`` is returned."""
     try:
         lines = spark.read.text(source)
+        if not num_files:  # sizes only: the contents are not read
+            size = spark.read.format("binaryFile").load(source).agg(F.sum("length")).first()[0] or 0
+            num_files = max(1, -(-size // file_bytes))
     except AnalysisException as e:
         if "PATH_NOT_FOUND" in str(e) or "Path does not exist" in str(e):
             return False
         raise
-    lines = lines.coalesce(num_files) if num_files else lines
-    lines.write.mode("overwrite").text(dest)
+    lines.coalesce(num_files).write.mode("overwrite").text(dest)
     return True

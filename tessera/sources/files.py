@@ -71,7 +71,7 @@ def _stat(uri: str):
     if info.type == pafs.FileType.NotFound:
         raise FileNotFoundError(uri)
     kind = "dir" if info.type == pafs.FileType.Directory else "file"
-    return uri, (0 if kind == "dir" else info.size), kind, (info.mtime_ns or 0) // 1000
+    return uri, (0 if kind == "dir" else info.size), kind, None if info.mtime_ns is None else info.mtime_ns // 1000
 
 
 WALK_ARROW = pa.schema(list(ENTRY_ARROW) + [("frontier", pa.bool_())])
@@ -109,25 +109,31 @@ def _walk_fn(budget: int):
                         if len(rows) >= BATCH_ROWS:
                             yield _to_batch(rows, WALK_ARROW)
                             rows = []
-                rows.extend((f, 0, "dir", None, True) for f in stack)
+                for folder in stack:
+                    rows.append((folder, 0, "dir", None, True))
+                    if len(rows) >= BATCH_ROWS:
+                        yield _to_batch(rows, WALK_ARROW)
+                        rows = []
         if rows:
             yield _to_batch(rows, WALK_ARROW)
     return walk
 
 
 def list_tree(spark: SparkSession, root: str, tasks: int | None = None,
-              budget: int = WALK_BUDGET, max_levels: int = 10_000) -> DataFrame:
+              budget: int = WALK_BUDGET) -> DataFrame:
     """Recursive manifest of ``root`` (a path or URI).
 
     Each level is one job: the frontier folders are spread over ``tasks``
     tasks, and each task walks below its folders until it has listed
     ``budget`` entries per folder; folders it did not reach form the next
     level.  A small tree is listed in one job, a big one level by level
-    over all tasks.  Each level is checkpointed.
+    over all tasks, until no folder is left.  Each level is checkpointed.
     """
+    if budget < 1:
+        raise ValueError("budget must be at least 1 entry")
     checkpoint_dir(spark)
     tasks = tasks or spark.sparkContext.defaultParallelism
-    root = strip_slash_str(qualify(root))
+    root = strip_slash_str(qualify(root, spark))
     # The root is one file-system call: the driver makes it (a missing root
     # fails here, before any job).
     uri, size, kind, mtime = _stat(root)
@@ -137,9 +143,7 @@ def list_tree(spark: SparkSession, root: str, tasks: int | None = None,
     if kind != "dir":
         return top
     frontier = spark.createDataFrame([(root,)], "uri string")
-    for _ in range(max_levels):
-        if frontier.isEmpty():
-            break
+    while not frontier.isEmpty():
         level = (frontier.repartition(tasks, "uri")
                  .mapInArrow(_walk_fn(budget), WALK_SCHEMA).checkpoint())
         parts.append(level.where(~F.col("frontier")).drop("frontier"))

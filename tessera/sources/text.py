@@ -13,6 +13,8 @@ from collections.abc import Iterable, Sequence
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
+from tessera.operators.layout import default_parallelism
+
 
 def _field(raw: F.Column, dtype: T.DataType, null_value: str) -> F.Column:
     """One text field as the declared type; unparsable text is NULL."""
@@ -92,20 +94,29 @@ _HEADER_SCHEMA = T.StructType([T.StructField("path", T.StringType()),
                                T.StructField("header", T.StringType())])
 
 
+HEADER_BYTES = 16 << 20
+TEXT_BYTES = 32 << 20  # texts sent on at once
+
+
 def _first_line(fs, local_path: str, chunk: int = 1 << 16) -> str | None:
-    """First line of one file, read in chunks until a line end; blank -> None."""
+    """First line of one file, read in chunks until a line end; blank -> None.
+    A first line beyond ``HEADER_BYTES`` raises."""
     buf = bytearray()
+    seen = 0
     with fs.open_input_stream(local_path) as stream:
         while True:
             data = stream.read(chunk)
             if not data:
                 break
             buf.extend(data)
-            cut = min((i for i in (buf.find(b"\n"), buf.find(b"\r")) if i >= 0), default=-1)
+            cut = min((i for i in (buf.find(b"\n", seen), buf.find(b"\r", seen)) if i >= 0), default=-1)
             if cut >= 0:
                 del buf[cut:]
                 break
-    line = buf.decode("utf-8", errors="replace")
+            seen = len(buf)
+            if seen > HEADER_BYTES:
+                raise ValueError(f"{local_path}: no line end in the first {HEADER_BYTES} bytes")
+    line = buf.decode("utf-8")
     return None if not line.strip() else line
 
 
@@ -115,22 +126,37 @@ _TEXT_SCHEMA = T.StructType([T.StructField("path", T.StringType()),
 
 def read_file_texts(paths: DataFrame, path_col: str = "path") -> DataFrame:
     """Whole text (UTF-8) of each file named in ``paths``: ``path, value``;
-    an empty file gives ``''`` and a missing file fails the job."""
+    an empty file gives ``''``; a missing file and bytes that are not UTF-8
+    fail the job."""
     from tessera.functions.files import filesystem_for
 
     def texts(batches: Iterable[pa.RecordBatch]) -> Iterable[pa.RecordBatch]:
         for batch in batches:
-            out_paths, out_texts = [], []
+            out_paths, out_texts, size = [], [], 0
             for p in batch.column(0).to_pylist():
                 fs, local = filesystem_for(p)
                 with fs.open_input_stream(local) as stream:
-                    out_texts.append(stream.read().decode("utf-8", errors="replace"))
+                    raw = stream.read()
+                out_texts.append(raw.decode("utf-8"))
                 out_paths.append(p)
-            yield pa.RecordBatch.from_arrays([pa.array(out_paths, pa.string()),
-                                              pa.array(out_texts, pa.string())],
-                                             names=["path", "value"])
+                size += len(raw)
+                if size >= TEXT_BYTES:
+                    yield _text_batch(out_paths, out_texts)
+                    out_paths, out_texts, size = [], [], 0
+            yield _text_batch(out_paths, out_texts)
+
+    return _dealt(paths, path_col).mapInArrow(texts, _TEXT_SCHEMA)
+
+
+def _text_batch(paths: list[str], texts: list[str]) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array(paths, pa.string()), pa.array(texts, pa.string())],
+                                      names=["path", "value"])
+
 
-    return paths.select(F.col(path_col).alias("path")).mapInArrow(texts, _TEXT_SCHEMA)
+def _dealt(paths: DataFrame, path_col: str) -> DataFrame:
+    """The paths, dealt over the cluster: a short list is one partition."""
+    n = default_parallelism(paths.sparkSession)
+    return paths.select(F.col(path_col).alias("path")).repartition(n, "path")
 
 
 def read_headers(paths: DataFrame, path_col: str = "path") -> DataFrame:
@@ -138,8 +164,8 @@ def read_headers(paths: DataFrame, path_col: str = "path") -> DataFrame:
 
     Only the bytes up to the first line end are read, so a header of a huge
     file costs one small read.  A missing file raises; an empty or blank
-    first line gives NULL.  The files are spread over the tasks that hold
-    the path rows.
+    first line gives NULL; bytes that are not UTF-8 fail.  The paths are dealt
+    over all tasks.
     """
     from tessera.functions.files import filesystem_for
 
@@ -154,7 +180,7 @@ def read_headers(paths: DataFrame, path_col: str = "path") -> DataFrame:
                                               pa.array(out_heads, pa.string())],
                                              names=["path", "header"])
 
-    return paths.select(F.col(path_col).alias("path")).mapInArrow(headers, _HEADER_SCHEMA)
+    return _dealt(paths, path_col).mapInArrow(headers, _HEADER_SCHEMA)
 
 
 def number_range(spark: SparkSession, n: int, prefix: str = "id-") -> DataFrame:
