@@ -18,6 +18,7 @@ import time
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
+from tessera.operators.layout import SCAN_PARTITIONS  # noqa: E402
 from tessera.plans import catalog  # noqa: E402
 from tessera.session import build_session, sized_conf  # noqa: E402
 
@@ -30,7 +31,8 @@ HEADLINE = [
     "batch_index", "batch_slots", "cells_put", "cells_get", "cells_delete",
     "rebase_paths", "parent_folders", "copy_plan", "copy_plan_sources",
     "folder_sizes", "file_sizes", "name_filter", "first_seen_per_type", "any_match",
-    "name_list",
+    "name_list", "cells_merge", "text_id_index", "repeated_id_counts", "traffic_rejects",
+    "name_filter_not", "siblings", "entry_times", "path_sizes", "path_first_times",
 ]
 
 
@@ -44,6 +46,7 @@ def main() -> None:
     input_bytes = sum(os.path.getsize(os.path.join(data_dir, f)) for f in os.listdir(data_dir))
     conf = sized_conf(input_bytes, cpus)
     conf["spark.driver.memory"] = "16g"
+    conf[SCAN_PARTITIONS] = str(cpus)  # the test tables are one row group each
     spark = build_session(f"local[{cpus}]", app="tessera-bench", extra=conf)
     run(catalog.QUERIES["traffic_totals"](spark, data_dir))   # warm-up
     times, errors = {}, {}

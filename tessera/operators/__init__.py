@@ -8,5 +8,5 @@
 * ``ranking``     - distributed running sums and positions in a sort order
 * ``manifest``    - file manifests: rebase, parents, copy plan, sizes, names, times, globs
 * ``copy``        - the distributed copy and its status table
-* ``layout``      - spreading under-split inputs before per-row work
+* ``layout``      - scans re-dealt on the caller's setting
 """
