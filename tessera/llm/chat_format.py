@@ -99,7 +99,7 @@ def reply_paths(messages: DataFrame, keep: str = "best") -> DataFrame:
         up = hops[k].where("up IS NOT NULL").select("conv", "node", "up")
         further = paths.join(up, ["conv", "node"]).select("conv", "leaf", (F.col("place") + (1 << k)).alias("place"),
                                                          F.col("up").alias("node"))
-        paths = paths.unionByName(further)
+        paths = stored(paths.unionByName(further), "paths")  # else the plan doubles each time
     return paths
 
 
