@@ -100,6 +100,40 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 }
 
 ORACLE: dict[str, str] = {
+    "op6_embedding_dedup": r"""
+        WITH RECURSIVE v AS (
+            SELECT vec_id, label, [CAST(x AS DOUBLE) FOR x IN embedding] AS e FROM embeddings
+            WHERE label IS NOT NULL AND len(embedding) > 0 AND len([x FOR x IN embedding IF x <> 0]) > 0
+                AND len([x FOR x IN embedding IF x IS NOT NULL AND isfinite(x)]) = len(embedding)),
+        l AS (
+            SELECT a.vec_id AS a, b.vec_id AS b
+            FROM v AS a JOIN v AS b ON a.label = b.label AND a.vec_id <> b.vec_id AND len(a.e) = len(b.e)
+            WHERE list_cosine_similarity(a.e, b.e) >= 0.93),
+        r AS (SELECT a, b FROM l UNION SELECT r.a, l.b FROM r JOIN l ON r.b = l.a),
+        n AS (SELECT a, count(*) AS n FROM l GROUP BY a),
+        c AS (SELECT a, min(b) AS c FROM r GROUP BY a)
+        SELECT vec_id, coalesce(n, 0) AS n_links, least(vec_id, coalesce(c, vec_id)) AS component_id,
+            vec_id = least(vec_id, coalesce(c, vec_id)) AS kept
+        FROM embeddings LEFT JOIN n ON n.a = vec_id LEFT JOIN c ON c.a = vec_id""",
+    "op10_minhash": r"""
+        WITH RECURSIVE w AS (
+            SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+                'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w FROM documents),
+        s AS (
+            SELECT doc_id, list_distinct(CASE WHEN len(w) = 1 THEN w ELSE
+                [w[i] || ' ' || w[i + 1] FOR i IN range(1, len(w))] END) AS s FROM w),
+        z AS (SELECT doc_id, len(s) AS n FROM s),
+        u AS (SELECT doc_id, unnest(s) AS g FROM s),
+        i AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS n
+              FROM u AS a JOIN u AS b ON a.g = b.g AND a.doc_id < b.doc_id GROUP BY ALL),
+        p AS (SELECT a, b FROM i JOIN z AS x ON x.doc_id = a JOIN z AS y ON y.doc_id = b
+              WHERE 100 * i.n >= 80 * (x.n + y.n - i.n)),
+        l AS (SELECT a, b FROM p UNION ALL SELECT b, a FROM p),
+        r AS (SELECT a, b FROM l UNION SELECT r.a, l.b FROM r JOIN l ON r.b = l.a),
+        c AS (SELECT a, min(b) AS c FROM r GROUP BY a)
+        SELECT doc_id, n AS n_shingles, least(doc_id, coalesce(c, doc_id)) AS component_id,
+            doc_id = least(doc_id, coalesce(c, doc_id)) AS kept
+        FROM z LEFT JOIN c ON c.a = doc_id""",
     "op8_chat_format": r"""
         WITH c AS (
             SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
