@@ -127,7 +127,8 @@ class LicenseModel:
         known = sum(r["count"] for r in share if r["family"] != NONE)
         other = sum(r["count"] for r in share if r["family"] == NONE)
         weight = F.when(F.col("family") == NONE, 1.0 / max(other, 1)).otherwise(1.0 / known) * (known + other) / 2
-        rows = rows.withColumn("weight", weight).select("family", "fold", "features", "label", "weight").persist()
+        rows = rows.withColumn("weight", weight).select("family", "fold", "features", "label", "weight")
+        rows = rows.coalesce(2).persist()  # a bounded sample, read once a step
         fit = LogisticRegression(maxIter=steps, regParam=1e-3, family="multinomial", weightCol="weight")
         seen = rows.where("fold > 0")
         self.regression = fit.fit(seen)
