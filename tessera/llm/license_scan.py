@@ -117,7 +117,7 @@ def training_rows(docs: DataFrame, sample: int) -> DataFrame:
 class LicenseModel:
     """Family regression, its calibration and their settings."""
 
-    def __init__(self, docs: DataFrame, sample: int = 3000, buckets: int = 1 << 15, steps: int = 30):
+    def __init__(self, docs: DataFrame, sample: int = 3000, buckets: int = 1 << 14, steps: int = 25):
         self.buckets = buckets
         self.families = [NONE, *dict.fromkeys(f for f, _ in NOTICES)]
         number = F.array_position(F.array(*map(F.lit, self.families)), F.col("family")) - 1
