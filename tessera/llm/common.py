@@ -41,20 +41,6 @@ def remove_path(spark: SparkSession, path: str) -> None:
     at.getFileSystem(spark._jsc.hadoopConfiguration()).delete(at, True)
 
 
-def columns_or_null(df: DataFrame, **types: str) -> DataFrame:
-    """Only the named columns, cast; extra columns are left out."""
-    return df.select(*[F.col(c).cast(t).alias(c) for c, t in types.items()])
-
-
-def small_rows(df: DataFrame, limit: int, what: str) -> list:
-    """Rows of a table that must be small; raises beyond ``limit`` rows
-    instead of gathering an unbounded table on the driver."""
-    rows = df.limit(limit + 1).collect()
-    if len(rows) > limit:
-        raise ValueError(f"{what}: more than {limit} rows")
-    return rows
-
-
 def bounded_sample(df: DataFrame, size: int, *keys: str) -> DataFrame:
     """At most ``size`` rows, those with the smallest hash of ``keys``, in that
     order.  Rows far above the limit are left out by their hash, so that tasks

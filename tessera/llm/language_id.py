@@ -18,7 +18,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
-from tessera.llm.common import emit
+from tessera.llm.common import bounded_sample, emit
 
 SEGMENT = 64
 SLAB = 8192  # segments that are scored at once
@@ -210,15 +210,14 @@ def fit(docs: DataFrame, sample: int = 3000, per_doc: int = 4) -> ByteNetwork |
     """Trains on ``per_doc`` windows of at most ``sample`` documents that are
     not held out and have text and a language."""
     text = F.col("text")
-    order = F.xxhash64("doc_id", F.substring(text, 1, 64))
     spot = [F.substring(text, (F.lit(1) + F.pmod(F.xxhash64(F.lit(k), "doc_id"),
                                                 F.greatest(F.length(text) - SEGMENT, F.lit(1)))).cast("int"),
                         F.lit(SEGMENT)) for k in range(per_doc)]
     rows = (docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"),
                         F.col("lang").cast("string").alias("lang"))
-            .where(F.col("lang").isNotNull() & (F.col("text") != "") & ~held_out(F.col("doc_id")))
-            .select(order.alias("h"), "lang", F.array(*spot).alias("spots"))
-            .orderBy("h", "lang", "spots").limit(sample).collect())
+            .where(F.col("lang").isNotNull() & F.col("text").isNotNull() & ~held_out(F.col("doc_id"))))
+    rows = bounded_sample(rows, sample, "doc_id", "lang").select("lang", F.array(*spot).alias("spots")) \
+        .orderBy("lang", "spots").collect()
     return train([(s.encode(), r["lang"]) for r in rows for s in r["spots"] if s])
 
 
