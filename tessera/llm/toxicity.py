@@ -25,7 +25,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from tessera.llm.common import emit
+from tessera.llm.common import bounded_sample, emit
 
 _WORD = re.compile(r"[^\W\d_]+")
 _COUNTS = pa.schema([("feature", pa.string()), ("toxic", pa.int64()), ("clean", pa.int64())])
@@ -42,7 +42,7 @@ def features_of(word: str) -> list[str]:
 class FeatureIndex(dict):
     """White-space free chunk -> the numbers of the known features in it."""
 
-    def __init__(self, features: list[str], limit: int = 400_000):
+    def __init__(self, features: list[str], limit: int = 200_000):
         super().__init__()
         self.number = {f: i for i, f in enumerate(features)}
         self.limit = limit
@@ -116,8 +116,8 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, sample: int) -> DataFram
     """``toxic, text`` of at most ``sample`` labelled documents, each text once
     (toxic if any of its labels is)."""
     chosen = (labels.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("toxic").cast("int").alias("toxic"))
-              .where("doc_id IS NOT NULL AND toxic IS NOT NULL").groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
-              .orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample))
+              .where("doc_id IS NOT NULL AND toxic IS NOT NULL").groupBy("doc_id").agg(F.max("toxic").alias("toxic")))
+    chosen = bounded_sample(chosen, sample, "doc_id")
     text = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")) \
         .where("text IS NOT NULL")
     return (text.join(F.broadcast(chosen), "doc_id")  # at most ``sample`` pairs of numbers
@@ -162,8 +162,8 @@ def fit(docs: DataFrame, labels: DataFrame, sample: int = 8000, keep: int = 600,
                     yield (int(label > 0), list(n), list(n.values())), 8 * len(n)
         yield from emit(_ROWS, out())
 
-    got = rows.mapInArrow(vector, "toxic int, ids array<int>, counts array<int>") \
-        .orderBy("toxic", F.xxhash64("ids", "counts"), "ids").collect()
+    got = rows.mapInArrow(vector, "toxic int, ids array<int>, counts array<int>").collect()  # at most ``sample``
+    got.sort(key=lambda r: (r["toxic"], r["ids"], r["counts"]))
     rows.unpersist()
     vectors = [{i: float(np.log1p(n)) for i, n in zip(r["ids"], r["counts"], strict=True)} for r in got]
     toxic = np.array([r["toxic"] for r in got])

@@ -1,7 +1,6 @@
 """Language, toxicity and licence models: gradients, accuracy, odd rows."""
 
 import numpy as np
-import pytest
 from pyspark.sql import functions as F
 
 from tessera.llm import language_id as lang, license_scan, toxicity
