@@ -85,8 +85,8 @@ def pairs_of(words: Column) -> Column:
 
 
 def _notices(df: DataFrame) -> DataFrame:
-    rows = df.sparkSession.createDataFrame(NOTICES, "family string, notice string")
-    return rows.withColumn("words", words_of(F.col("notice")))
+    each = F.array(*[F.struct(F.lit(f).alias("family"), F.lit(n).alias("notice")) for f, n in NOTICES])
+    return df.sparkSession.range(1).select(F.inline(each)).withColumn("words", words_of(F.col("notice")))
 
 
 def _features(rows: DataFrame, buckets: int) -> DataFrame:
