@@ -26,7 +26,9 @@ from __future__ import annotations
 
 import json
 import re
+import sys
 import unicodedata
+from array import array
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -34,12 +36,26 @@ import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame, functions as F, types as T
 
-from tessera.llm.common import emit
+from tessera.llm.common import emit, worker_cache
 
 START = -1
 # Unicode White_Space; str.split() would also cut at U+001C..U+001F.
 _SPACE = re.compile("[\t-\r \x85\xa0  -     　]+")
-_SEPARATORS = re.compile("[\x1c-\x1f]")
+_SEPARATORS = "\x1c\x1d\x1e\x1f"
+
+
+def uint32_bytes(ids: list[int]) -> bytes:
+    out = array("I", ids)
+    if sys.byteorder == "big":
+        out.byteswap()
+    return out.tobytes()
+
+
+def to_symbols(piece: str, symbols: list[str]) -> str:
+    """The piece with each byte as its symbol."""
+    if piece.isascii() and piece.isprintable():  # printable ASCII stands for itself
+        return piece
+    return "".join(map(symbols.__getitem__, piece.encode()))
 
 
 def byte_symbols() -> list[str]:
@@ -54,7 +70,7 @@ class MergeAutomaton:
     """Deterministic automaton over token ids, made from merges in rank order."""
 
     def __init__(self, vocab: dict[str, int], merges: list[tuple[str, str]], suffix: str,
-                 table_limit: int = 500_000):
+                 table_limit: int = 200_000):
         self.vocab, self.suffix, self.table_limit = vocab, suffix, table_limit
         self.step: dict[int, int] = {}
         self.left: dict[int, int] = {}
@@ -145,7 +161,7 @@ def _by_end(labels: dict[str, int]) -> dict:
 class ChunkCache(dict):
     """White-space free chunk -> its ids as little-endian uint32 bytes."""
 
-    def __init__(self, encode: Callable[[str], bytes], limit: int = 400_000):
+    def __init__(self, encode: Callable[[str], bytes], limit: int = 200_000):
         super().__init__()
         self.encode, self.limit = encode, limit
 
@@ -158,41 +174,70 @@ class ChunkCache(dict):
         return out
 
 
-class WordBpe:
-    """Encoder and decoder of one tokenizer file."""
+class ChunkEncoder:
+    """Encodes texts by white-space free chunks and words, which are kept.
 
-    def __init__(self, text: str, cache: int = 400_000):
-        spec = json.loads(text)
-        model, split = spec["model"], check_spec(spec)
-        merges = [tuple(m) if isinstance(m, list) else tuple(m.split(" ")) for m in model["merges"]]
-        self.automaton = MergeAutomaton(model["vocab"], merges, model["end_of_word_suffix"])
-        self.pieces = regex.compile(split)
-        self.symbols = byte_symbols()
-        self.special = {a["content"]: a["id"] for a in spec["added_tokens"]}
-        self.labels = {i: s for s, i in model["vocab"].items()} | {i: s for s, i in self.special.items()}
+    ``word`` gives the ids (little-endian uint32) of one piece that the split
+    pattern of the tokenizer file matches in normalized text."""
+
+    def __init__(self, spec: dict, word: Callable[[str], bytes], words: int = 400_000, chunks: int = 200_000):
+        self.pieces = regex.compile(check_spec(spec))
+        self.special = special_ids(spec)
         self.at_special = special_pattern(self.special)
-        self.words = ChunkCache(lambda w: np.asarray(self.automaton.encode(w), "<u4").tobytes(), cache)
-        self.chunks = ChunkCache(self._chunk, cache)
+        self.words = ChunkCache(word, words)
+        self.chunks = ChunkCache(self._chunk, chunks)
 
     def _chunk(self, chunk: str) -> bytes:
         if chunk.isascii():
             chunk = chunk.lower()
-            if chunk.isalpha():
-                return self.words[chunk]
         else:
             chunk = unicodedata.normalize("NFC", chunk)
             # Lower case is taken by character: no final sigma.
             chunk = chunk.lower() if "Σ" not in chunk else "".join(c.lower() for c in chunk)
-        return b"".join(self.words["".join(map(self.symbols.__getitem__, p.encode()))]
-                        for p in self.pieces.findall(chunk))
+        # Letters, and letters before one other mark, need no matching.
+        if chunk.isalpha():
+            return self.words[chunk]
+        if chunk[:-1].isalpha() and not chunk[-1].isalnum():
+            return self.words[chunk[:-1]] + self.words[chunk[-1]]
+        return b"".join(map(self.words.__getitem__, self.pieces.findall(chunk)))
 
     def encode(self, text: str | None) -> bytes:
         """Ids as little-endian uint32 bytes; null gives none."""
         return encode_chunks(text, self.chunks, self.special, self.at_special)
 
+
+class WordBpe:
+    """Encoder of one tokenizer file by its merge automaton."""
+
+    def __init__(self, text: str):
+        spec = json.loads(text)
+        model = spec["model"]
+        merges = [tuple(m) if isinstance(m, list) else tuple(m.split(" ")) for m in model["merges"]]
+        self.automaton = MergeAutomaton(model["vocab"], merges, model["end_of_word_suffix"])
+        self.symbols = byte_symbols()
+        self.chunks = ChunkEncoder(spec, self._word)
+        self.encode = self.chunks.encode
+
+    def _word(self, piece: str) -> bytes:
+        return uint32_bytes(self.automaton.encode(to_symbols(piece, self.symbols)))
+
+
+class ArcLabels(dict):
+    """Token id -> arc label, for decoding."""
+
+    def __init__(self, text: str):
+        spec = json.loads(text)
+        check_spec(spec)
+        super().__init__({i: s for s, i in spec["model"]["vocab"].items()}
+                         | {i: s for s, i in special_ids(spec).items()})
+
     def decode(self, ids: bytes) -> str:
         """The arc labels, joined as the library does without a decoder."""
-        return " ".join(map(self.labels.__getitem__, np.frombuffer(ids, "<u4").tolist()))
+        return " ".join(map(self.__getitem__, np.frombuffer(ids, "<u4").tolist()))
+
+
+def special_ids(spec: dict) -> dict[str, int]:
+    return {a["content"]: a["id"] for a in spec["added_tokens"]}
 
 
 def special_pattern(special: dict[str, int]) -> re.Pattern | None:
@@ -209,7 +254,8 @@ def encode_chunks(text: str | None, chunks: ChunkCache, special: dict[str, int],
     if at_special is not None and at_special.search(text):
         return b"".join(np.asarray([special[t]], "<u4").tobytes() if t in special
                         else encode_chunks(t, chunks, special, None) for t in at_special.split(text))
-    parts = text.split() if not _SEPARATORS.search(text) else [c for c in _SPACE.split(text) if c]
+    odd = any(c in text for c in _SEPARATORS)
+    parts = [c for c in _SPACE.split(text) if c] if odd else text.split()
     return b"".join(map(chunks.__getitem__, parts))
 
 
@@ -234,15 +280,9 @@ def check_spec(spec: dict) -> str:
     return split["pattern"]["Regex"]
 
 
-_BUILT: dict[str, WordBpe] = {}
-
-
-def built(text: str) -> WordBpe:
-    """The compiled tokenizer, made once in each Python worker."""
-    if text not in _BUILT:
-        _BUILT.clear()
-        _BUILT[text] = WordBpe(text)
-    return _BUILT[text]
+def built(kind: type, text: str):
+    """``kind`` made from a tokenizer file, kept by the Python worker."""
+    return worker_cache((kind, text), lambda: kind(text))
 
 
 def bpe_encode(docs: DataFrame, tokenizer_path: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -257,7 +297,8 @@ def bpe_encode(docs: DataFrame, tokenizer_path: str, id_col: str = "doc_id", tex
     schema = pa.schema([("id", pa.string() if _is_text(docs, id_col) else pa.int64()), ("ids", pa.binary())])
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        bpe = built(spec.value)
+        bpe = built(WordBpe, spec.value)
+
         def rows():
             for batch in batches:
                 for key, text in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
@@ -278,12 +319,13 @@ def bpe_decode(encoded: DataFrame, tokenizer_path: str, id_col: str = "doc_id")
     schema = pa.schema([("id", pa.string() if text_id else pa.int64()), ("ids", pa.binary()), ("decoded", pa.string())])
 
     def decode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        bpe = built(spec.value)
+        labels = built(ArcLabels, spec.value)
+
         def rows():
             for batch in batches:
                 for key, ids in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
                     ids = ids.as_py() or b""
-                    text = bpe.decode(ids)
+                    text = labels.decode(ids)
                     yield (key, ids, text), len(ids) + len(text)
         yield from emit(schema, rows())
 

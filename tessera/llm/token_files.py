@@ -19,6 +19,7 @@ mapping needs that.  The default is ``spark.checkpoint.dir``.
 
 from __future__ import annotations
 
+import json
 import os
 import zlib
 from collections.abc import Iterator
@@ -30,7 +31,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 from tokenizers import Tokenizer
 
-from tessera.llm.bpe import ChunkCache, check_spec, encode_chunks, special_pattern
+from tessera.llm.bpe import ChunkEncoder, built, byte_symbols, to_symbols, uint32_bytes
 from tessera.llm.common import emit, part_count, part_of, range_cuts, shared_path
 
 _SENT = pa.schema([("part", pa.int32()), ("doc_id", pa.int64()), ("salt", pa.int64()), ("ids", pa.binary())])
@@ -41,41 +42,25 @@ _READ = pa.schema([("doc_id", pa.int64()), ("start", pa.int64()), ("n_tokens", p
 
 class LibraryEncoder:
     """Encodes with the tokenizers library.  For files whose words are parted
-    by white space, chunks between white space are encoded once and kept."""
+    by white space its model is given each normalized word once, and the ids
+    are kept."""
 
-    def __init__(self, spec: str):
-        import json
-
-        self.tokenizer = Tokenizer.from_str(spec)
+    def __init__(self, text: str):
+        self.tokenizer = Tokenizer.from_str(text)
         self.tokenizer.no_truncation()
         self.tokenizer.no_padding()
-        loaded = json.loads(spec)
-        self.size = self.tokenizer.get_vocab_size(with_added_tokens=True)
-        self.special = {a["content"]: a["id"] for a in loaded["added_tokens"]}
         try:
-            check_spec(loaded)
-            self.chunks = ChunkCache(self._whole)
+            self.encode = ChunkEncoder(json.loads(text), self._word, words=1_000_000, chunks=600_000).encode
+            self.symbols, self.model = byte_symbols(), self.tokenizer.model
         except ValueError:
-            self.chunks = None
-        self.at_special = special_pattern(self.special)
-
-    def _whole(self, text: str) -> bytes:
-        return np.asarray(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
-
-    def encode(self, text: str | None) -> bytes:
-        if self.chunks is None:
-            return self._whole(text or "")
-        return encode_chunks(text, self.chunks, self.special, self.at_special)
-
-
-_ENCODERS: dict[str, LibraryEncoder] = {}
+            self.encode = self._ids
 
+    def _word(self, piece: str) -> bytes:
+        found = self.model.tokenize(to_symbols(piece, self.symbols))
+        return uint32_bytes([token.id for token in found])
 
-def _encoder(spec: str) -> LibraryEncoder:
-    if spec not in _ENCODERS:
-        _ENCODERS.clear()
-        _ENCODERS[spec] = LibraryEncoder(spec)
-    return _ENCODERS[spec]
+    def _ids(self, text: str | None) -> bytes:
+        return np.asarray(self.tokenizer.encode(text or "", add_special_tokens=False).ids, "<u4").tobytes()
 
 
 def local_folder(path: str) -> str:
@@ -112,7 +97,7 @@ def write_token_files(docs: DataFrame, tokenizer_path: str, end_id: int | None,
     end = b"" if end_id is None else np.asarray([end_id], "<u4").tobytes()
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        enc = _encoder(spec.value)
+        enc = built(LibraryEncoder, spec.value)
 
         def out():
             for b in batches:
