@@ -5,7 +5,7 @@ from __future__ import annotations
 
 import uuid
 from bisect import bisect_right
-from collections.abc import Iterable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
@@ -52,6 +52,35 @@ def bounded_sample(df: DataFrame, size: int, *keys: str) -> DataFrame:
     return df.orderBy(F.pmod(order, F.lit(1 << 30)), *keys).limit(size)
 
 
+SMALL_ROWS = 2_000_000  # ids or pairs of ids that are broadcast: 32 MB
+
+
+def small(stored_rows: DataFrame) -> DataFrame:
+    """Ids or pairs of ids, marked for broadcast if there are few enough;
+    beyond that Spark joins them as it sees fit."""
+    return F.broadcast(stored_rows) if stored_rows.count() <= SMALL_ROWS else stored_rows
+
+
+def without_ids(docs: DataFrame, rejected: DataFrame) -> DataFrame:
+    """The rows of ``docs`` whose doc_id - null counts as one - is not in
+    ``rejected``.  The ids are stored and counted, so that the texts are not
+    shuffled to meet a few of them."""
+    ids = small(stored(rejected.select(F.col("doc_id").alias("_id")).distinct(), "rejected"))
+    return docs.join(ids, docs["doc_id"].eqNullSafe(F.col("_id")), "left_anti")
+
+
+_CACHE: dict[object, object] = {}
+
+
+def worker_cache(key: object, make: Callable[[], object]):
+    """A value that a Python worker keeps between its tasks: one at a time, so
+    that a worker that goes on to another operator gives its memory back."""
+    if key not in _CACHE:
+        _CACHE.clear()
+        _CACHE[key] = make()
+    return _CACHE[key]
+
+
 class Batches:
     """Collects output rows and yields record batches of bounded bytes."""
 

@@ -30,7 +30,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from tessera.llm.common import emit
+from tessera.llm.common import emit, without_ids, worker_cache
 
 _WORD = re.compile(r"[^\W_]+")
 _SENTENCE = re.compile(r"(?<=[.!?])\s+|\n+")
@@ -233,6 +233,7 @@ def _search(rows: DataFrame, index: BlockMaxIndex, threshold: float, verify: flo
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = shared.value
+        worker_cache("passages", lambda: None)  # lets go of other operators' words
         unknown = len(own.postings)
 
         def out():
@@ -269,5 +270,4 @@ def _short_runs(words: list[str], index: BlockMaxIndex, hits: list[tuple[int, fl
 def remove_leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """The rows of ``docs`` whose document leaks no item; rows without an id
     stay."""
-    leaks = find_leaks(docs, benchmark).select("doc_id").distinct()
-    return docs.join(leaks, "doc_id", "left_anti").select(docs.columns)
+    return without_ids(docs, find_leaks(docs, benchmark).where("doc_id IS NOT NULL"))

@@ -18,7 +18,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
-from tessera.llm.common import bounded_sample, emit
+from tessera.llm.common import bounded_sample, emit, worker_cache
 
 SEGMENT = 64
 SLAB = 8192  # segments that are scored at once
@@ -237,6 +237,7 @@ def identify(docs: DataFrame, model: ByteNetwork | None) -> DataFrame:
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         net = shared.value
+        worker_cache("bytes", lambda: None)  # lets go of other operators' words
 
         def out():
             for b in batches:

@@ -25,7 +25,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from tessera.llm.common import bounded_sample, emit
+from tessera.llm.common import bounded_sample, emit, worker_cache
 
 _WORD = re.compile(r"[^\W\d_]+")
 _COUNTS = pa.schema([("feature", pa.string()), ("toxic", pa.int64()), ("clean", pa.int64())])
@@ -188,7 +188,8 @@ def grade(docs: DataFrame, model: OrdinalModel | None) -> DataFrame:
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         m = shared.value
-        index = FeatureIndex(m.features if m else [])
+        features = tuple(m.features) if m else ()
+        index = worker_cache(("features", features), lambda: FeatureIndex(list(features)))
 
         def out():
             for b in batches:
