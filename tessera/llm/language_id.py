@@ -23,6 +23,7 @@ from tessera.llm.common import bounded_sample, emit, worker_cache
 SEGMENT = 64
 SLAB = 8192  # segments that are scored at once
 UNKNOWN = "und"
+LEAST_STEPS = 150
 _SCORED = pa.schema([("doc_id", pa.int64()), ("held_out", pa.bool_()), ("lang_pred", pa.string()),
                      ("score", pa.float64())])
 
@@ -163,6 +164,7 @@ def train(windows: list[tuple[bytes, str]], hidden: int = 8, epochs: int = 4, ba
     arrays = [getattr(d, k) for d in (net.forward, net.backward) for k in ("inputs", "gates", "state")] \
         + [net.out, net.bias]
     moment = [(np.zeros_like(a), np.zeros_like(a)) for a in arrays]
+    epochs = max(epochs, -(-LEAST_STEPS // -(-rows // batch)))  # a small sample is gone over more often
     steps = epochs * -(-rows // batch)
     step = 0
     for _ in range(epochs):
