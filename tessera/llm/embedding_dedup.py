@@ -3,10 +3,12 @@
 1. Equal vectors of a label form a class; its smallest id stands for it.
 2. A neighbour graph starts from the leaves of random hyperplane trees: rows
    are sorted by (tree, label, side bits, projection) and compared in blocks
-   of at most ``LEAF`` rows, so a leaf of any size costs in proportion.
+   of at most ``LEAF`` rows, so a leaf of any size costs in proportion.  The
+   side bits follow the label's own size, and so does the number of trees: two
+   vectors at the threshold share a leaf with a chance above ``recall``.
 3. It is refined by neighbours-of-neighbours joins: all neighbours of a vector,
    both ways, meet and are compared, in salted groups where one has many.  Each
-   keeps its ``width`` nearest.  Rounds end when few lists change.
+   keeps its ``width`` nearest, however far.  Rounds end when few links come.
 4. A list that is saturated - its ``width`` nearest all reach the threshold -
    is enlarged to the vector's whole component, whose members are compared in
    tiles that only give link counts.
@@ -25,7 +27,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from tessera.llm.common import bounded_sample, components, emit, stored
+from tessera.llm.common import bounded_sample, components, emit, small, stored
 
 LEAF, TILE, GROUP = 256, 512, 64
 _EDGE = "a long, b long, sim double"
@@ -80,54 +82,78 @@ def _matrix(vectors: pa.Array) -> np.ndarray:
     return m / np.sqrt((m * m).sum(axis=1, keepdims=True))
 
 
-def _nearest(ids: np.ndarray, m: np.ndarray, width: int, floor: float):
-    """Edges of each row to its ``width`` nearest above ``floor``."""
+def _nearest(ids: np.ndarray, m: np.ndarray, width: int, threshold: float, bars: np.ndarray | None = None,
+             others: int | None = None):
+    """Edge arrays (a, b, sim): of each row's ``width`` nearest those that
+    reach the threshold and, of the ``others`` nearest, those above its bar."""
     sims = m @ m.T
-    np.fill_diagonal(sims, -2.0)
     sims[ids[:, None] == ids[None, :]] = -2.0
-    for i in np.flatnonzero((sims >= floor).any(axis=1)):
-        row = sims[i]
-        near = np.flatnonzero(row >= floor)
-        if len(near) > width:
-            near = near[np.argpartition(-row[near], width)[:width]]
-        for j in near:
-            yield (int(ids[i]), int(ids[j]), float(row[j])), 24
-
-
-def _trees(reps: DataFrame, trees: int, first: int, bits: int) -> DataFrame:
-    """``leaf, at, id``: each vector's leaf in each tree and its place there."""
+    k = min(width, len(ids) - 1)
+    near = np.argpartition(-sims, k - 1, axis=1)[:, :k]
+    best = np.take_along_axis(sims, near, 1)
+    keep = best > (-2.0 if bars is None else bars[:, None])
+    if others is not None and others < k:
+        keep &= best >= -np.partition(-best, others - 1, axis=1)[:, others - 1:others]
+    keep = (keep | (best >= threshold)) & (best > -2.0)
+    return np.broadcast_to(ids[:, None], near.shape)[keep], ids[near[keep]], best[keep]
+
+
+def _edges(found: Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]) -> Iterator[pa.RecordBatch]:
+    """Edge arrays in record batches of bounded size."""
+    held, rows = [], 0
+    for arrays in found:
+        held.append(arrays)
+        rows += len(arrays[0])
+        if rows >= 1 << 16:
+            yield pa.record_batch([np.concatenate(c) for c in zip(*held)], schema=_EDGES)
+            held, rows = [], 0
+    if rows:
+        yield pa.record_batch([np.concatenate(c) for c in zip(*held)], schema=_EDGES)
+
+
+def label_trees(count: int, threshold: float, miss: float, least: int) -> tuple[int, int]:
+    """(side bits, trees) for a label of ``count`` classes: leaves of about
+    ``LEAF / 2`` rows, and so many trees that two vectors at the threshold
+    share a leaf of at least one with probability ``1 - miss``."""
+    bits = max(0, int(np.ceil(np.log2(max(1, count) / (LEAF // 2)))))
+    same = (1 - np.arccos(min(1.0, max(-1.0, threshold))) / np.pi) ** bits
+    return bits, least if same >= 1 else max(least, int(np.ceil(np.log(miss) / np.log1p(-same))))
+
+
+def _trees(reps: DataFrame, attempt: int, threshold: float, miss: float, least: int) -> DataFrame:
+    """``leaf, at, id``: each vector's leaf in each tree of its label and its
+    place there; every attempt doubles the trees."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        planes: dict[int, np.ndarray] = {}
+        planes: dict[tuple[int, int], np.ndarray] = {}
+
+        def plane(length: int, t: int) -> np.ndarray:
+            if (length, t) not in planes:
+                planes[length, t] = np.random.default_rng([5, attempt, t]).normal(size=(length, 49))
+            return planes[length, t]
 
         def out():
-            for label, (ids, vectors) in _runs(batches, 2048, 0):
-                m = _matrix(vectors)
-                if m.shape[1] not in planes:
-                    planes[m.shape[1]] = np.stack([np.random.default_rng([5, first + t]).normal(
-                        size=(m.shape[1], bits + 1)) for t in range(trees)])
-                numbers = ids.to_pylist()
-                for t, plane in enumerate(planes[m.shape[1]]):
-                    p = m @ plane
-                    codes = ((p[:, :bits] > 0) @ (1 << np.arange(bits))) if bits else np.zeros(len(p), int)
-                    for i, n in enumerate(numbers):
-                        yield (f"{first + t}/{label}/{codes[i]}", float(p[i, bits]), n), 60
+            for label, (ids, classes, vectors) in _runs(batches, 2048, 0):
+                m, numbers = _matrix(vectors), ids.to_pylist()
+                bits, trees = label_trees(classes[0].as_py(), threshold, miss, least)
+                for t in range(trees << attempt):
+                    p = m @ plane(m.shape[1], t)[:, :bits + 1]
+                    codes = (p[:, 1:] > 0) @ (1 << np.arange(bits)) if bits else np.zeros(len(p), int)
+                    for n, code, at in zip(numbers, codes.tolist(), p[:, 0].tolist(), strict=True):
+                        yield (f"{attempt}.{t}/{label}/{code}", at, n), 60
         yield from emit(_LEAVES, out())
 
-    return reps.select("label", "id", "vec").mapInArrow(run, "leaf string, at double, id long")
+    return reps.select("label", "id", "classes", "vec").mapInArrow(run, "leaf string, at double, id long")
 
 
-def _start(reps: DataFrame, trees: int, first: int, bits: int, width: int, floor: float) -> DataFrame:
+def _start(reps: DataFrame, attempt: int, width: int, threshold: float, miss: float, least: int) -> DataFrame:
     parts = int(reps.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    placed = stored(_trees(reps, trees, first, bits), "leaves").join(reps.select("id", "vec"), "id").select(
-        "leaf", "at", "id", "vec")
+    placed = stored(_trees(reps, attempt, threshold, miss, least), "leaves").join(reps.select("id", "vec"), "id") \
+        .select("leaf", "at", "id", "vec")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        def out():
-            for _, (_, ids, vectors) in _runs(batches, LEAF, LEAF // 2):
-                if len(ids) > 1:
-                    yield from _nearest(ids.to_numpy(), _matrix(vectors), width, floor)
-        yield from emit(_EDGES, out())
+        yield from _edges(_nearest(ids.to_numpy(), _matrix(vectors), width, threshold, others=width // 4)
+                          for _, (_, ids, vectors) in _runs(batches, LEAF, LEAF // 2) if len(ids) > 1)
 
     return (placed.repartitionByRange(parts, "leaf", "at", "id").sortWithinPartitions("leaf", "at", "id")
             .mapInArrow(run, _EDGE))
@@ -141,24 +167,25 @@ def _shortest(edges: DataFrame, width: int) -> DataFrame:
     return best.withColumn("r", rank).where(F.col("r") <= width).drop("r")
 
 
-def _descend(lists: DataFrame, reps: DataFrame, width: int, floor: float, turn: int) -> DataFrame:
-    """Edges among the neighbours, both ways, of each vector and itself."""
+def _descend(lists: DataFrame, reps: DataFrame, width: int, threshold: float, turn: int) -> DataFrame:
+    """Edges among the neighbours, both ways, of each vector and itself that
+    are links or nearer than the last of a full list."""
     ways = lists.select(F.col("a").alias("mid"), F.col("b").alias("id")).unionByName(
         lists.select(F.col("b").alias("mid"), F.col("a").alias("id"))).distinct()
     own = lists.select(F.col("a").alias("mid")).distinct().withColumn("id", F.col("mid"))
     ways = ways.unionByName(own)
     sizes = ways.groupBy("mid").agg(F.ceil(F.count("*") / GROUP).alias("groups")).where("groups > 1")
     group = F.concat_ws("/", "mid", F.pmod(F.xxhash64("id", F.lit(turn)), F.coalesce("groups", F.lit(1))))
+    bars = lists.groupBy("a").agg(F.when(F.count("*") >= width, F.min("sim")).alias("bar"))
+    known = reps.select("id", "vec").join(bars.withColumnRenamed("a", "id"), "id", "left").select(
+        "id", F.coalesce("bar", F.lit(-2.0)).alias("bar"), "vec")
     rows = (ways.join(sizes, "mid", "left").select(group.alias("mid"), "id")
-            .join(reps.select("id", "vec"), "id").select("mid", "id", "vec"))
+            .join(known, "id").select("mid", "id", "bar", "vec"))
     parts = int(reps.sparkSession.conf.get("spark.sql.shuffle.partitions"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        def out():
-            for _, (ids, vectors) in _runs(batches, 4 * GROUP, GROUP):
-                if len(ids) > 1:
-                    yield from _nearest(ids.to_numpy(), _matrix(vectors), width, floor)
-        yield from emit(_EDGES, out())
+        yield from _edges(_nearest(ids.to_numpy(), _matrix(vectors), width, threshold, bars.to_numpy())
+                          for _, (ids, bars, vectors) in _runs(batches, 4 * GROUP, GROUP) if len(ids) > 1)
 
     return rows.repartition(parts, "mid").sortWithinPartitions("mid", "id").mapInArrow(run, _EDGE)
 
@@ -223,8 +250,8 @@ def _audit(reps: DataFrame, found: DataFrame, threshold: float, sample: int) ->
     return 1.0 if not there else have / there
 
 
-def near_vectors(vectors: DataFrame, threshold: float = 0.93, width: int = 16, trees: int = 8, floor: float = 0.6,
-                 rounds: int = 4, recall: float = 0.98, sample: int = 256) -> DataFrame:
+def near_vectors(vectors: DataFrame, threshold: float = 0.93, width: int = 16, trees: int = 8, rounds: int = 4,
+                 recall: float = 0.98, sample: int = 256) -> DataFrame:
     """``vec_id, n_links, component_id, kept`` for ``vectors(vec_id,
     embedding, label)``: vectors of one label link at cosine >= ``threshold``.
 
@@ -233,9 +260,8 @@ def near_vectors(vectors: DataFrame, threshold: float = 0.93, width: int = 16, t
     Vectors that are null, empty or zero or hold null or non-finite
     components, and those with a null label, link with nothing; nor do
     vectors of different lengths.  Rows that repeat in all three columns count
-    once; a null vec_id has null as component and is kept.  Neighbours below
-    ``floor`` are not followed.  Other columns are ignored; an empty table
-    gives none.
+    once; a null vec_id has null as component and is kept.  Other columns are
+    ignored; an empty table gives none.  At least ``trees`` trees a label.
     """
     given = vectors.select(F.col("vec_id").cast("long").alias("vec_id"), "embedding",
                            F.col("label").cast("string").alias("label")).distinct()
@@ -243,26 +269,24 @@ def near_vectors(vectors: DataFrame, threshold: float = 0.93, width: int = 16, t
                                     & F.col("vec_id").isNotNull()), "vectors")
     key = F.concat_ws("/", F.size("embedding"), "label")
     reps = stored(given.where("ok").groupBy(key.alias("label"), F.col("embedding").alias("vec"))
-                  .agg(F.min("vec_id").alias("id"), F.count("*").alias("size")).repartition("label", "id")
-                  .sortWithinPartitions("label"), "reps")
-    count, labels = reps.agg(F.count("*"), F.approx_count_distinct("label")).first()
-    bits = max(0, int(np.ceil(np.log2(max(1, count / max(1, labels)) / (LEAF // 2)))))
-    links, lists, found, first = None, None, None, 0
+                  .agg(F.min("vec_id").alias("id"), F.count("*").alias("size")), "reps")
+    labels = small(stored(reps.groupBy("label").agg(F.count("*").alias("classes")), "labels"))
+    reps = stored(reps.join(labels, "label").repartition("label", "id").sortWithinPartitions("label"), "reps")
+    links, lists, found = None, None, None
     for attempt in range(4):
-        more = _start(reps, trees << attempt, first, bits, width, floor)
-        first += trees << attempt
+        more = _start(reps, attempt, width, threshold, (1 - recall) / 2, trees)
         seen = more if links is None else more.unionByName(links).unionByName(lists)
         seen = stored(seen.groupBy("a", "b").agg(F.max("sim").alias("sim")), "edges")
         lists = stored(_shortest(seen, width), "lists")
         links = seen.where(F.col("sim") >= threshold)
+        before = links.count()
         for turn in range(rounds):
-            got = stored(_descend(lists, reps, width, floor, 10 * attempt + turn), "edges")
-            new = stored(_shortest(got.unionByName(lists), width), "lists")
-            changed = new.join(lists.select("a", "b"), ["a", "b"], "left_anti").count()
+            got = stored(_descend(lists, reps, width, threshold, 10 * attempt + turn), "edges")
+            lists = stored(_shortest(got.unionByName(lists), width), "lists")
             links = stored(links.unionByName(got.where(F.col("sim") >= threshold)).groupBy("a", "b")
                            .agg(F.max("sim").alias("sim")), "links")
-            lists = new
-            if changed <= 0.001 * count:
+            had, before = before, links.count()
+            if before <= 1.001 * had:
                 break
         groups = stored(components(links.select("a", "b")), "groups")
         full = links.groupBy("a").agg(F.count("*").alias("n")).where(F.col("n") >= width).select(F.col("a").alias("id"))

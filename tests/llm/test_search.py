@@ -5,6 +5,7 @@ import random
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -173,6 +174,37 @@ def test_vectors_in_one_dense_group_and_odd_rows(spark):
     assert emb.near_vectors(df.limit(0)).count() == 0
 
 
+def test_isolated_pairs_beside_a_dense_group_in_a_hot_label(spark):
+    rng = np.random.default_rng(11)
+
+    def unit(*shape):
+        v = rng.normal(size=shape)
+        return v / np.linalg.norm(v, axis=-1, keepdims=True)
+
+    def at_cosine(base, cosine):
+        side = unit(*base.shape)
+        side -= (side * base).sum(1, keepdims=True) * base
+        return cosine * base + np.sqrt(1 - cosine ** 2) * side / np.linalg.norm(side, axis=1, keepdims=True)
+
+    base = unit(3000, 64)
+    dense = unit(64) + unit(400, 64) * 0.1
+    vectors = np.concatenate([base, at_cosine(base[:1500], 0.94), dense, unit(2000, 64)])
+    label = [0] * (4500 + len(dense)) + [1 + i % 400 for i in range(2000)]
+    table = pa.table({"vec_id": np.arange(len(vectors)), "embedding": vectors.tolist(), "label": label})
+    got = {r.vec_id: r for r in emb.near_vectors(spark.createDataFrame(table)).collect()}
+    pairs = [(got[i].component_id, got[3000 + i].component_id) == (i, i) for i in range(1500)]
+    assert np.mean(pairs) >= 0.98
+    assert {got[i].n_links for i in range(4500, 4900)} == {399}
+    assert not any(got[i].n_links for i in range(1500, 3000))
+
+
+def test_trees_follow_the_label():
+    for count in (1, 100, 10_000, 1_000_000):
+        bits, trees = emb.label_trees(count, 0.93, 0.01, 8)
+        assert count / 2 ** bits <= emb.LEAF // 2 and trees >= 8
+        assert (1 - (1 - math.acos(0.93) / math.pi) ** bits) ** trees <= 0.01 or not bits
+
+
 # --- benchmark leaks -----------------------------------------------------------
 
 def index_of(items):
