@@ -205,6 +205,18 @@ def test_trees_follow_the_label():
         assert (1 - (1 - math.acos(0.93) / math.pi) ** bits) ** trees <= 0.01 or not bits
 
 
+def test_audit_weighs_vectors_not_links(spark):
+    rng = np.random.default_rng(12)
+    base, group = rng.normal(size=(60, 64)), rng.normal(size=64)
+    vectors = np.concatenate([base, base + rng.normal(size=base.shape) * 0.1, group + rng.normal(size=(60, 64)) * 0.1])
+    reps = spark.createDataFrame([("l", i, 1, v.tolist()) for i, v in enumerate(vectors)],
+                                 "label string, id long, size long, vec array<double>")
+    dense = spark.createDataFrame([(i, 59) for i in range(120, 180)], "id long, links long")
+    reached, audited = emb._audit(reps, dense, dense.where("false").select("id"), 0.93, 256)
+    assert audited == 180 and abs(reached - 1 / 3) < 1e-9  # by links it would be 0.97
+    assert emb._audit(reps, dense, dense.select("id"), 0.93, 256) == (0.0, 120)
+
+
 # --- benchmark leaks -----------------------------------------------------------
 
 def index_of(items):
