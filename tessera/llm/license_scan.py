@@ -6,14 +6,18 @@ licence family or none.  It is trained on the notices below, whole and
 cropped, and on a bounded sample of the corpus's own paragraphs as the class
 ``none``.  A second, one-feature regression, fitted on rows that the first did
 not see, calibrates the probability that a paragraph is a known notice.
-Predictions are confirmed by comparing word pairs with the family's notices;
-a paragraph that looks like a licence but fits no notice is ``unknown``.
+In a paragraph of any length that holds a notice, the stretch with most of its
+word pairs is scored instead of the whole.  Predictions are confirmed by
+comparing word pairs with the family's notices; a paragraph that looks like a
+licence but fits no notice is ``unknown``.
 
 Scoring is one pass without a shuffle; nothing but model weights is broadcast.
 """
 
 from __future__ import annotations
 
+import re
+
 from pyspark.ml.classification import LogisticRegression
 from pyspark.ml.feature import HashingTF, VectorAssembler
 from pyspark.ml.functions import vector_to_array
@@ -56,9 +60,38 @@ NOTICES = (
     ("unlicense", "This is free and unencumbered software released into the public domain."),
     ("all-rights-reserved", "All rights reserved."),
     ("all-rights-reserved", "Copyright. All rights reserved. No part may be reproduced without permission."),
+    # Full standard headers.
+    ("apache-2.0", "Licensed under the Apache License, Version 2.0 (the \"License\"); you may not use this file except in "
+                   "compliance with the License. You may obtain a copy of the License at"),
+    ("mit", "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated "
+            "documentation files (the \"Software\"), to deal in the Software without restriction, including without "
+            "limitation the rights to use, copy, modify, merge, publish, distribute, sublicense, and/or sell copies of "
+            "the Software, and to permit persons to whom the Software is furnished to do so, subject to the following "
+            "conditions:"),
+    ("gpl", "This program is free software: you can redistribute it and/or modify it under the terms of the GNU General "
+            "Public License as published by the Free Software Foundation, either version 3 of the License, or (at your "
+            "option) any later version."),
+    ("lgpl", "This library is free software; you can redistribute it and/or modify it under the terms of the GNU Lesser "
+             "General Public License as published by the Free Software Foundation; either version 2.1 of the License, or "
+             "(at your option) any later version."),
+    ("agpl", "This program is free software: you can redistribute it and/or modify it under the terms of the GNU Affero "
+             "General Public License as published by the Free Software Foundation, either version 3 of the License, or "
+             "(at your option) any later version."),
+    ("isc", "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is "
+            "hereby granted, provided that the above copyright notice and this permission notice appear in all copies."),
 )
 
 
+def _literal_pairs(notice: str) -> list[str]:
+    """The distinct word pairs of a notice above (ASCII)."""
+    words = re.findall("[a-z0-9]+", notice.lower())
+    return list(dict.fromkeys(f"{x} {y}" for x, y in zip(words, words[1:])))
+
+
+FORMS = [(f, _literal_pairs(n)) for f, n in NOTICES]
+KNOWN = sorted({p for _, pairs in FORMS for p in pairs})
+
+
 def paragraph_rows(docs: DataFrame) -> DataFrame:
     """``doc_id, paragraph, text, words``: the lines that hold a word, counted
     from 0 over all lines of a document."""
@@ -84,6 +117,38 @@ def pairs_of(words: Column) -> Column:
     return F.when(F.size(words) > 1, pairs).otherwise(words)
 
 
+def with_spots(rows: DataFrame, least: float) -> DataFrame:
+    """Adds ``spots`` - the notices of which a stretch of the line, at most
+    half as long again, holds the share ``least`` of the word pairs, with the
+    best share - and ``spot``, the words of the best stretch or null."""
+    pairs, hits = F.col("_pairs"), F.col("_hits")
+    rows = once(rows, "_pairs", pairs_of(F.col("words")))
+    rows = once(rows, "_hits", F.filter(F.transform(pairs, lambda p, i: F.when(p.isin(KNOWN), i)),
+                                        lambda i: i.isNotNull()))
+    forms = F.array(*[F.struct(F.lit(f).alias("family"), F.array(*map(F.lit, own)).alias("own"))
+                      for f, own in FORMS])
+    here = F.array_distinct(F.transform(hits, lambda i: pairs[i]))
+    rows = once(rows, "_forms", F.when(F.size(hits) > 1, F.filter(
+        forms, lambda f: F.size(F.array_intersect(f["own"], here)) >= least * F.size(f["own"]))))
+
+    def reach(f: Column) -> Column:
+        return F.ceil(1.5 * F.size(f["own"])).cast("int")
+
+    def stretches(f: Column) -> Column:
+        starts = F.filter(hits, lambda i: F.array_contains(f["own"], pairs[i]))
+        return F.array_max(F.transform(starts, lambda i: F.struct(
+            (F.size(F.array_intersect(F.slice(pairs, i + 1, reach(f)), f["own"])) / F.size(f["own"])).alias("share"),
+            F.size(f["own"]).alias("n"), i.alias("start"), f["family"].alias("family"), f["own"].alias("own"))))
+
+    rows = once(rows, "spots", F.filter(F.transform("_forms", stretches), lambda s: s["share"] >= least))
+    rows = once(rows, "_best", F.array_max("spots"))
+    best = F.col("_best")
+    last = F.array_max(F.filter(hits, lambda i: (i >= best["start"]) & (i < best["start"] + reach(best))
+                                & F.array_contains(best["own"], pairs[i])))
+    spot = F.when(best.isNotNull(), F.slice("words", best["start"] + 1, last - best["start"] + 2))
+    return once(rows, "spot", spot).drop("_pairs", "_hits", "_forms", "_best")
+
+
 def _notices(df: DataFrame) -> DataFrame:
     each = F.array(*[F.struct(F.lit(f).alias("family"), F.lit(n).alias("notice")) for f, n in NOTICES])
     return df.sparkSession.range(1).select(F.inline(each)).withColumn("words", words_of(F.col("notice")))
@@ -98,7 +163,8 @@ def _features(rows: DataFrame, buckets: int) -> DataFrame:
 def training_rows(docs: DataFrame, sample: int) -> DataFrame:
     """``family, words, fold``: the notices whole and without up to a third of
     their words at either end, and at most ``sample`` paragraphs of ``sample / 2``
-    documents (smallest hashes) that share no third of their word pairs with a notice."""
+    documents (smallest hashes) that share no third of their word pairs with a
+    notice and hold no half of one."""
     notices = _notices(docs)
     n = F.size("words")
     cut = F.explode(F.sequence(F.lit(0), F.floor(n / 3).cast("int")))
@@ -111,6 +177,7 @@ def training_rows(docs: DataFrame, sample: int) -> DataFrame:
              .crossJoin(F.broadcast(known))  # one row
              .where(3 * F.size(F.array_intersect(F.array_distinct(pairs_of(F.col("words"))), "known"))
                     < F.size(F.array_distinct(pairs_of(F.col("words"))))).select(F.lit(NONE).alias("family"), "words"))
+    lines = with_spots(lines, 0.5).where("spot IS NULL").select("family", "words")
     return crops.unionByName(lines).withColumn("fold", F.pmod(F.xxhash64("words"), F.lit(4)))
 
 
@@ -165,20 +232,26 @@ def scan_licenses(docs: DataFrame, least: float = 0.5, confirm: float = 0.6, sam
     paragraphs of ``docs(doc_id, text)`` whose calibrated probability of a
     known licence notice is at least ``least``.
 
-    ``similarity`` is the largest Dice share of word pairs with a notice of
-    the predicted family; from ``confirm`` on the prediction is confirmed,
+    A line that holds a notice is judged by the stretch that holds most of it.
+    ``similarity`` is the largest Dice share of the line's word pairs with a
+    notice of the predicted family or, if more, the share of such a notice's
+    word pairs that a stretch of the line holds; from ``confirm`` on the prediction is confirmed,
     below it the family is ``unknown``.  Null, empty and wordless texts give
     no row, repeated rows and ids a row each, a null id stays; very long
     paragraphs are read whole; other columns are ignored.
     """
     model = LicenseModel(docs, sample)
-    hits = model.score(paragraph_rows(docs)).where(F.col("probability") >= least)
+    rows = with_spots(paragraph_rows(docs), confirm).select(
+        "doc_id", "paragraph", F.col("words").alias("line"), F.coalesce("spot", "words").alias("words"), "spots")
+    hits = model.score(rows).where(F.col("probability") >= least)
     forms = _notices(docs).groupBy("family").agg(F.collect_list(F.array_distinct(pairs_of(F.col("words"))))
                                                  .alias("forms"))
-    own = F.array_distinct(pairs_of(F.col("words")))
+    own = F.array_distinct(pairs_of(F.col("line")))
     alike = F.transform("forms", lambda f: 2 * F.size(F.array_intersect(f, own)) / (F.size(f) + F.size(own)))
     # ``forms`` has a row for each family of the notices above.
-    out = hits.join(F.broadcast(forms), hits.best == forms.family).withColumn("similarity", F.array_max(alike))
+    out = hits.join(F.broadcast(forms), hits.best == forms.family).withColumn(
+        "similarity", F.greatest(F.array_max(alike), F.array_max(F.transform(
+            F.filter("spots", lambda s: s["family"] == F.col("best")), lambda s: s["share"]))))
     sure = F.col("similarity") >= confirm
     return out.select("doc_id", "paragraph", F.when(sure, F.col("best")).otherwise(UNKNOWN).alias("family"),
                       "probability", "similarity", sure.alias("confirmed"))

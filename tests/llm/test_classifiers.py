@@ -133,6 +133,38 @@ def test_licences_odd_rows(spark):
     assert license_scan.scan_licenses(given.limit(0)).count() == 0
 
 
+EMBEDDED = [
+    ("gpl", "This program is free software: you can redistribute it and/or modify it under the terms of the GNU General "
+            "Public License as published by the Free Software Foundation, either version 3 of the License, or (at your "
+            "option) any later version."),
+    ("mit", "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated "
+            "documentation files (the \"Software\"), to deal in the Software without restriction, including without "
+            "limitation the rights to use, copy, modify, merge, publish, distribute, sublicense, and/or sell copies."),
+    ("all-rights-reserved", "Copyright (c) 2020 Acme Corp. All rights reserved."),
+    ("apache-2.0", "{} Licensed under the Apache License, Version 2.0. {}"),
+    ("mit", "{} Released under the MIT License. {}"),
+    ("all-rights-reserved", "{} All rights reserved. {}"),
+    ("cc-by-nc", "{} Licensed under CC BY-NC 4.0. {}"),
+    (None, "{} The rights of all are reserved to the public under the terms of law. {}"),
+]
+
+
+def test_licences_inside_long_paragraphs(spark):
+    prose = next(r.text for r in docs(spark).where("length(text) > 4000").orderBy("doc_id").collect()).replace("\n", " ")
+    rows = [(10_000_000 + i, t.format(prose[:size], prose[size:2 * size]))
+            for size in (200, 2000) for i, (_, t) in enumerate(EMBEDDED, 100 * size)]
+    given = docs(spark).select("doc_id", "text").unionByName(spark.createDataFrame(rows, "doc_id long, text string"))
+    got = {r.doc_id: r.family for r in license_scan.scan_licenses(given).where("doc_id >= 10000000 AND confirmed").collect()}
+    assert got == {10_000_000 + i: f for size in (200, 2000) for i, (f, _) in enumerate(EMBEDDED, 100 * size) if f}
+
+
+def test_licences_of_lines_without_length_condition(spark):
+    got = {(r.doc_id, r.paragraph): r.family for r in license_scan.scan_licenses(docs(spark)).where("confirmed").collect()}
+    want = {(r.doc_id, i): family for r in docs(spark).collect() for i, line in enumerate((r.text or "").split("\n"))
+            for mark, family in NOTICE.items() if mark.lower() in line.lower()}
+    assert want and got == want
+
+
 def test_licence_scan_runs_no_python(spark):
     plan = license_scan.scan_licenses(docs(spark))._jdf.queryExecution().toString()
     assert "Python" not in plan and "Pandas" not in plan and "Arrow" not in plan and "CartesianProduct" not in plan
