@@ -11,8 +11,8 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from tessera.llm import (bpe, chat_format, decontaminate, embedding_dedup, language_id, license_scan, minhash,
-                         token_files, toxicity, url_rules)
+from tessera.llm import (bpe, chat_format, decontaminate, dialog_repair, embedding_dedup, language_id, license_scan,
+                         main_text, minhash, resample, token_files, toxicity, url_rules)
 from tessera.llm.common import read_table
 
 TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
@@ -78,6 +78,21 @@ def op10_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minhash.near_components(read_table(spark, sf_dir, "documents"), width=2)
 
 
+def op11_resample(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A tenth of the documents, drawn by how much they resemble the benchmark."""
+    return resample.resample(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark"))
+
+
+def op12_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The main text of every page."""
+    return main_text.extract_text(read_table(spark, sf_dir, "pages"))
+
+
+def op13_dialog_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All conversations damaged by rule and repaired by the lightest edits."""
+    return dialog_repair.repair_digest(read_table(spark, sf_dir, "conversations"))
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The corpus pipeline over all documents."""
     import corpus_pipeline
@@ -96,10 +111,145 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_chat_format": op8_chat_format,
     "op9_url_rules": op9_url_rules,
     "op10_minhash": op10_minhash,
+    "op11_resample": op11_resample,
+    "op12_main_text": op12_main_text,
+    "op13_dialog_repair": op13_dialog_repair,
     "pipeline": pipeline,
 }
 
+
+def _crc32_sql(text: str) -> str:
+    """The unsigned crc32 of a text's UTF-8 bytes: each byte is added to the
+    state, then eight bits are shifted out (-1)."""
+    steps = (f"flatten([[CAST('0x' || substr(hex({text}), 2 * i - 1, 2) AS BIGINT), -1, -1, -1, -1, -1, -1, -1, -1] "
+             f"FOR i IN range(1, strlen({text}) + 1)])")
+    step = "CASE WHEN x < 0 THEN xor(c >> 1, 3988292384 * (c & 1)) ELSE xor(c, x) END"
+    return f"xor(list_reduce(list_prepend(4294967295::BIGINT, {steps}), lambda c, x: {step}), 4294967295::BIGINT)"
+
+
+def _insert_sql(level: int) -> str:
+    """One more row put in before the rows read so far, if that is cheaper."""
+    put = lambda q: f"{{'c': s{q}.c + 2, 'a': 'I' || s{q}.a}}"
+    states = ", ".join(f"list_min([s{p}, {put(q)}]) AS s{p}" for p, q in ((0, 2), (1, 2), (2, 3), (3, 2)))
+    return f"i{level} AS (SELECT * EXCLUDE (s0, s1, s2, s3), {states} FROM i{level - 1})"
+
+
+def _read_sql(p: int, arcs: str) -> str:
+    """Lightest repair from state ``p`` with one row more: it is deleted, kept
+    or given another role; ``arcs`` are pairs of an initial and the next state."""
+    ways = [f"{{'c': s{p}.c + 3, 'a': 'D' || s{p}.a}}"]
+    for r, q in arcs.split():
+        ways.append(f"CASE WHEN can AND ini = '{r}' THEN {{'c': s{q}.c + cut, 'a': 'K' || s{q}.a}} END")
+        if r != "s":
+            ways.append(f"CASE WHEN can THEN {{'c': s{q}.c + 2 + cut, 'a': 'R' || s{q}.a}} END")
+    return f"list_min([{', '.join(ways)}]) AS s{p}"
+
+
 ORACLE: dict[str, str] = {
+    "op11_resample": rf"""
+        WITH d AS (
+            SELECT row_number() OVER () AS k, doc_id, regexp_extract_all(translate(coalesce(text, ''),
+                'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w
+            FROM documents),
+        b AS (SELECT unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+                'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')) AS word FROM benchmark),
+        dw AS (SELECT k, unnest(w) AS word FROM d),
+        own AS (SELECT k, word, count(*) AS n FROM dw GROUP BY ALL),
+        tw AS (SELECT word, count(*) AS n FROM b GROUP BY word),
+        words AS (SELECT word, {_crc32_sql('word')} % 10000 AS bucket
+                  FROM (SELECT word FROM own UNION SELECT word FROM tw)),
+        s AS (SELECT bucket, sum(n) AS s FROM own JOIN words USING (word) GROUP BY bucket),
+        t AS (SELECT bucket, sum(n) AS t FROM tw JOIN words USING (word) GROUP BY bucket),
+        z AS (SELECT coalesce((SELECT sum(s) FROM s), 0) AS s_all, coalesce((SELECT sum(t) FROM t), 0) AS t_all),
+        gain AS (
+            SELECT bucket, CAST(floor(1000 * ln((CAST(coalesce(t, 0) AS DOUBLE) + 1) * (CAST(s_all AS DOUBLE) + 10000)
+                / ((CAST(coalesce(s, 0) AS DOUBLE) + 1) * (CAST(t_all AS DOUBLE) + 10000)))) AS BIGINT) AS gain
+            FROM s FULL JOIN t USING (bucket), z),
+        weight AS (SELECT k, CAST(sum(n * gain) AS BIGINT) AS weight
+                   FROM own JOIN words USING (word) JOIN gain USING (bucket) GROUP BY k),
+        scored AS (
+            SELECT doc_id, CAST(len(w) AS BIGINT) AS n_features, coalesce(weight, 0) AS weight,
+                coalesce(weight, 0) + CAST(floor(-1000 * ln(-ln((CAST('0x' || substr(sha256('2024:'
+                    || coalesce(CAST(doc_id AS VARCHAR), '')), 1, 8) AS BIGINT) + 0.5::DOUBLE) / 4294967296::DOUBLE)))
+                    AS BIGINT) AS score
+            FROM d LEFT JOIN weight USING (k)),
+        r AS (SELECT *, CASE WHEN n_features >= 20 THEN row_number() OVER (PARTITION BY n_features >= 20
+                ORDER BY score DESC, doc_id) END AS place, count(*) FILTER (n_features >= 20) OVER () AS able FROM scored)
+        SELECT doc_id, n_features, weight, score, CASE WHEN place <= able * 10 // 100 THEN place END AS rank FROM r""",
+    "op12_main_text": r"""
+        WITH a AS (
+            SELECT page_id, url, regexp_replace(regexp_extract(coalesce(html, ''),
+                '(?s)<article>(.*?)(?:</article>|$)', 1), '(?s)<[^>]*$', '') AS inner_html
+            FROM pages),
+        b AS (
+            SELECT page_id, url, [trim(regexp_replace(replace(replace(replace(replace(regexp_replace(regexp_replace(
+                x, '</?[a-z0-9]+>', ' ', 'g'), '&(quot|amp|copy|lt|gt)$', '&\1;'), '&quot;', '"'), '&copy;', '©'),
+                '&middot;', '·'), '&amp;', '&'), '\s+', ' ', 'g'))
+                FOR x IN regexp_split_to_array(inner_html, '</?(?:p|h1)>')] AS blocks
+            FROM a),
+        c AS (SELECT page_id, url, array_to_string([x FOR x IN blocks IF x <> ''], chr(10)) AS text FROM b)
+        SELECT page_id, url, text, CAST(length(text) AS BIGINT) AS n_chars FROM c""",
+    "op13_dialog_repair": rf"""
+        WITH RECURSIVE g AS (
+            SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text,
+                coalesce(CAST(conv_id AS VARCHAR), ' ') || ':' || coalesce(CAST(turn AS VARCHAR), ' ') AS key
+            FROM conversations),
+        d AS (SELECT * EXCLUDE (key), {_crc32_sql('key')} % 20 AS kind FROM g),
+        e AS (
+            SELECT conv_id, turn, CASE WHEN kind = 4 THEN 'user' ELSE role END AS role,
+                CASE kind WHEN 1 THEN '' WHEN 2 THEN translate(text, '.!?', '') ELSE text END AS text,
+                unnest(CASE WHEN kind = 3 THEN [1, 2] ELSE [1] END) AS copy
+            FROM d WHERE kind <> 0),
+        o AS (SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text, copy) AS i,
+                row_number() OVER (PARTITION BY conv_id, role, text ORDER BY turn NULLS FIRST, copy) AS again FROM e),
+        f AS (
+            SELECT conv_id, turn, role, text, i, role[1] AS ini, count(*) OVER (PARTITION BY conv_id) AS n,
+                CASE WHEN NOT regexp_matches(text, '[^\x20\x09-\x0D]') THEN 'blank' WHEN again > 1 THEN 'duplicate'
+                    WHEN NOT regexp_matches(text, '[.!?][\x20\x09-\x0D]*$') THEN 'truncated' ELSE '' END AS fault,
+                role[1] || lead(role[1]) OVER (PARTITION BY conv_id ORDER BY i) AS pair
+            FROM o),
+        p AS (SELECT *, fault NOT IN ('blank', 'duplicate') AS can, CAST(fault = 'truncated' AS BIGINT) AS cut FROM f),
+        i0 AS (
+            SELECT conv_id, n, n AS i, {{'c': 0::BIGINT, 'a': ''}} AS s0, NULL::STRUCT(c BIGINT, a VARCHAR) AS s1,
+                NULL::STRUCT(c BIGINT, a VARCHAR) AS s2, {{'c': 0::BIGINT, 'a': ''}} AS s3
+            FROM (SELECT DISTINCT conv_id, n FROM f)),
+        {_insert_sql(1)}, {_insert_sql(2)}, {_insert_sql(3)},
+        r AS (
+            SELECT conv_id, n, i, s0, s1, s2, s3 FROM i3
+            UNION ALL
+            (WITH i0 AS (
+                SELECT r.conv_id, r.n, r.i - 1 AS i, {_read_sql(0, 's1 u2')}, {_read_sql(1, 'u2')},
+                    {_read_sql(2, 'a3')}, {_read_sql(3, 'u2')}
+                FROM r JOIN p ON p.conv_id IS NOT DISTINCT FROM r.conv_id AND p.i = r.i),
+            {_insert_sql(1)}, {_insert_sql(2)}, {_insert_sql(3)}
+            SELECT conv_id, n, i, s0, s1, s2, s3 FROM i3)),
+        best AS (SELECT conv_id, s0.c AS cost, s0.a AS audit FROM r WHERE i = 0),
+        ops AS (SELECT conv_id, audit, unnest(range(1, length(audit) + 1)) AS k FROM best),
+        x AS (
+            SELECT conv_id, k, audit[k] AS op, length(translate(audit[1:k], 'I', '')) AS i,
+                length(translate(audit[1:k], 'D', '')) AS out FROM ops),
+        y AS (
+            SELECT x.*, p.role, p.text,
+                coalesce(max(op = 'K' AND out = 1 AND p.ini = 's') OVER (PARTITION BY x.conv_id), false) AS led
+            FROM x LEFT JOIN p ON p.conv_id IS NOT DISTINCT FROM x.conv_id AND p.i = x.i AND op <> 'I'),
+        said AS (
+            SELECT conv_id, string_agg(CASE WHEN op = 'K' THEN role
+                    WHEN (out + CAST(led AS BIGINT)) % 2 = 1 THEN 'user' ELSE 'assistant' END || ':'
+                    || CASE WHEN op = 'I' THEN '' ELSE text END, chr(10) ORDER BY k) AS lines
+            FROM y WHERE op <> 'D' GROUP BY conv_id),
+        sums AS (
+            SELECT conv_id, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps,
+                count(*) FILTER (fault = 'blank') AS blank, count(*) FILTER (fault = 'duplicate') AS duplicate,
+                count(*) FILTER (fault = 'truncated') AS truncated,
+                count(*) FILTER (pair NOT IN ('su', 'ua', 'au')) AS illegal
+            FROM f GROUP BY conv_id)
+        SELECT c.conv_id, coalesce(gaps, 0) AS gaps, coalesce(blank, 0) AS blank, coalesce(duplicate, 0) AS duplicate,
+            coalesce(truncated, 0) AS truncated, coalesce(illegal, 0) AS illegal, coalesce(cost, 0) AS cost,
+            coalesce(audit, '') AS audit, sha256(coalesce(lines, '')) AS repaired_sha256
+        FROM (SELECT DISTINCT conv_id FROM conversations) AS c
+        LEFT JOIN sums ON sums.conv_id IS NOT DISTINCT FROM c.conv_id
+        LEFT JOIN best ON best.conv_id IS NOT DISTINCT FROM c.conv_id
+        LEFT JOIN said ON said.conv_id IS NOT DISTINCT FROM c.conv_id""",
     "op6_embedding_dedup": r"""
         WITH RECURSIVE v AS (
             SELECT vec_id, label, [CAST(x AS DOUBLE) FOR x IN embedding] AS e FROM embeddings
