@@ -36,7 +36,7 @@ from zlib import crc32
 import numpy as np
 import pyarrow as pa
 from pyspark import Broadcast
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from tessera.llm.common import emit, stored
 from tessera.operators.ranking import exclusive_prefix_sum
@@ -105,14 +105,15 @@ _HEAD = pa.schema([("first", pa.binary()), ("second", pa.binary()), ("n", pa.int
 
 
 def head_vocabulary(docs: DataFrame, ngrams: int, head: int = HEAD) -> tuple[list[bytes], list[tuple[bytes, bytes]]]:
-    """The ``head`` most frequent words, and pairs if runs hold pairs, of all
-    texts, by summaries of at most ``head`` entries a task."""
+    """The most frequent words, and pairs if runs hold pairs, of all texts, by
+    summaries of at most ``head`` entries a task: all whose count is at least
+    the least power of two that leaves no more than ``head`` of them."""
 
     def summarise(batches):
         words, pairs = Counter(), Counter()
         for batch in batches:
             for text in batch.column(0):
-                own = [w for w in words_of(text.as_py())]
+                own = words_of(text.as_py())
                 words.update(own)
                 if ngrams > 1:
                     pairs.update(pairwise(own))
@@ -127,13 +128,21 @@ def head_vocabulary(docs: DataFrame, ngrams: int, head: int = HEAD) -> tuple[lis
 
     counted = (docs.select("text").mapInArrow(summarise, "first binary, second binary, n long")
                .groupBy("first", "second").agg(F.sum("n").alias("n")))
-    counted = stored(counted, "head")
-
-    def top(kind: Column) -> list:
-        return counted.where(kind).orderBy(F.desc("n"), "first", "second").limit(head).collect()
-
-    words = [bytes(r["first"]) for r in top(F.col("second").isNull())]
-    return words, [(bytes(r["first"]), bytes(r["second"])) for r in top(F.col("second").isNotNull())]
+    counted = stored(counted, "head").withColumn("size", F.floor(F.log2("n")).cast("int"))
+    kind = F.col("second").isNotNull().alias("pair")
+    # Items by the power of two of their count: from which one on they fit.
+    sizes = {(r["pair"], r["size"]): r["items"] for r in counted.groupBy(kind, "size").agg(
+        F.count("*").alias("items")).collect()}
+
+    def top(pair: bool) -> list:
+        least, room = 64, head
+        while least and (room := room - sizes.get((pair, least - 1), 0)) >= 0:
+            least -= 1
+        rows = counted.where((kind == pair) & (F.col("size") >= least)).collect()
+        return sorted(rows, key=lambda r: (-r["n"], r["first"], r["second"]))
+
+    words = [bytes(r["first"]) for r in top(False)]
+    return words, [(bytes(r["first"]), bytes(r["second"])) for r in top(True)]
 
 
 def bucket_totals(docs: DataFrame, vocabulary: Broadcast, ngrams: int) -> dict[int, int]:
