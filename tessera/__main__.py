@@ -3,7 +3,7 @@
     python -m tessera copy SOURCE DEST [--tasks N] [--ignore-errors]
     python -m tessera traffic INPUT OUTPUT [--files N]
     python -m tessera index DOCS OUTPUT [--counts] [--block-size N]
-    python -m tessera cells put TABLE BATCH OUT     (TABLE may be missing: new table)
+    python -m tessera cells put TABLE BATCH OUT     (--new: TABLE is not there yet)
     python -m tessera cells get TABLE KEYS OUT      (key, column and value as text lines)
     python -m tessera cells delete TABLE KEYS OUT
 
@@ -46,6 +46,7 @@ def main(argv: list[str] | None = None) -> int:
     ce.add_argument("table")
     ce.add_argument("arg", help="put: batch folder; get/delete: text file of row keys, one per line")
     ce.add_argument("out", nargs="?", help="put/delete: folder for the new table version; get: folder for the lines")
+    ce.add_argument("--new", action="store_true", help="put: start a table that is not there yet")
     a = p.parse_args(argv)
 
     spark = build_session(app=f"tessera-{a.cmd}")
@@ -72,14 +73,15 @@ def main(argv: list[str] | None = None) -> int:
 
 
 def _cells(spark, a) -> None:
+    from tessera.functions.files import path_exists
     from tessera.operators import cells
-    from tessera.functions.files import filesystem_for
-    import pyarrow.fs as pafs
 
-    fs, path = filesystem_for(a.table)
-    exists = fs.get_file_info(path).type == pafs.FileType.Directory
-    table = (spark.read.parquet(a.table).select(*cells.CELL_COLUMNS) if exists
-             else spark.createDataFrame([], cells.CELL_SCHEMA))
+    # A mistyped or unreachable table must not pass for an empty one: the put
+    # would write a version that holds the batch alone.
+    if a.new and (a.action != "put" or path_exists(spark, a.table)):
+        raise SystemExit(f"--new is for a put into a table that is not there; {a.table}: {a.action}")
+    table = (spark.createDataFrame([], cells.CELL_SCHEMA) if a.new
+             else spark.read.parquet(a.table).select(*cells.CELL_COLUMNS))
     if not a.out:
         raise SystemExit(f"cells {a.action} needs an output folder")
     if a.action == "put":
@@ -89,7 +91,9 @@ def _cells(spark, a) -> None:
     keys = spark.read.text(a.arg).select(F.col("value").alias("row_key")).where(F.col("row_key") != "")
     if a.action == "get":
         found = cells.get_rows(table, keys)
-        found.select(F.concat_ws("\t", "row_key", F.concat_ws(":", "family", "qualifier"), "value").alias("value")) \
+        text = lambda c: F.coalesce(F.col(c), F.lit(""))
+        column = F.concat_ws(":", text("family"), text("qualifier"))
+        found.select(F.concat_ws("\t", text("row_key"), column, text("value")).alias("value")) \
             .write.mode("errorifexists").text(a.out)
     else:
         cells.save_version(cells.delete_rows(table, keys), a.out)

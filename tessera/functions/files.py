@@ -71,3 +71,10 @@ def qualify(path: str, spark=None) -> str:
     if not path.startswith("/"):
         raise ValueError(f"{path}: relative path on {default}")
     return f"{base.scheme}://{base.netloc}{path}"
+
+
+def path_exists(spark, path: str) -> bool:
+    """Whether a path given on the driver is there, by the file system Spark
+    itself reads it from (``fs.defaultFS`` for a path without a scheme)."""
+    at = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return at.getFileSystem(spark._jsc.hadoopConfiguration()).exists(at)

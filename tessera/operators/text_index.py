@@ -14,18 +14,23 @@ Plan shape:
   repeat an id: one shuffle of the row counts, reduced map-side.
 * ``posting_lists`` - distinct words per row, then one shuffle on
   ``(word, block)`` into sets of ids, which drop repeated ids map-side.
-* ``posting_lists_with_counts`` - row counts dealt once on ``(word, block)``,
-  summed per document and collected without another shuffle.
+* ``posting_lists_with_counts`` - row counts to their list by ``(word,
+  block)``; if ids repeat, first summed by (word, document), in part in the map
+  tasks, so a word in a million rows of one id reaches its list as one entry.
 
 A posting list is cut into blocks of document ids ``[block * block_size,
 (block + 1) * block_size)``, so one array never holds more than ``block_size``
 entries, however common the word or repeated the id is.  Ids that are not
 integers (text ids) are first numbered in sorted order
-(``ranking.exclusive_prefix_sum``) and blocked by that number.
+(``ranking.exclusive_prefix_sum``) and blocked by that number; lists are made
+of the numbers, and a list's numbers become ids at its end.  ``sep`` is plain
+text, not a pattern.
 """
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import DataFrame, functions as F, types as T
 
 from tessera.operators.ranking import exclusive_prefix_sum
@@ -46,7 +51,7 @@ def row_term_counts(docs: DataFrame, doc_col: str = "doc_id", text_col: str = "t
     docs = docs.select(doc_col, text_col).where(F.col(text_col).isNotNull() & F.col(doc_col).isNotNull())
     sorted_words = docs.select(
         F.col(doc_col).alias("doc_id"),
-        F.sort_array(F.split(F.col(text_col), sep, -1)).alias("w"))
+        F.sort_array(F.split(F.col(text_col), re.escape(sep), -1)).alias("w"))
     w = F.col("w")
     # 0-based positions where a run of equal words starts.
     runs = sorted_words.select(
@@ -70,50 +75,81 @@ def term_counts(docs: DataFrame, doc_col: str = "doc_id", text_col: str = "text"
 
 
 def _block(doc: F.Column, block_size: int) -> F.Column:
-    # floor(doc / block_size), exact for negative ids too.
-    return ((doc - F.pmod(doc, F.lit(block_size))) / F.lit(block_size)).cast("long")
+    """floor(doc / block_size) in integers: exact for negative ids and for ids
+    beyond 2^53."""
+    b = F.lit(block_size).cast("long")
+    down = F.when((doc < 0) & (F.pmod(doc, b) != 0), F.lit(1)).otherwise(F.lit(0))
+    return (F.call_function("div", doc, b) - down).cast("long")
+
+
+NAME_BYTES = 64 << 20  # text ids and their numbers that are broadcast
 
 
-def _numbered(docs: DataFrame, doc_col: str, text_col: str) -> DataFrame:
-    """``(id, text)`` with ``id`` a struct ``(key, doc_id)`` whose ``key`` orders
-    and blocks the documents: the id itself if it is an integer, else its
-    number in the sorted distinct ids, by a distributed prefix sum."""
+def _keyed(docs: DataFrame, doc_col: str, text_col: str) -> tuple[DataFrame, DataFrame | None, bool]:
+    """``(key, text)`` and the names of the keys.  ``key`` orders and blocks
+    the documents: the id itself if it is an integer, else its number in the
+    sorted distinct ids, by a distributed prefix sum; ``names`` then holds
+    ``(key, name)``, checkpointed.  The third value says whether their counted
+    bytes are few enough to broadcast - beyond that the texts are shuffled
+    once to meet them."""
     rows = docs.select(F.col(doc_col).alias("_id"), F.col(text_col).alias("text")).where("_id IS NOT NULL")
     if _is_integral(docs, doc_col):
-        return rows.select(F.struct(F.col("_id").cast("long").alias("key"), F.col("_id").alias("doc_id"))
-                           .alias("id"), "text")
-    ids = rows.select("_id").distinct()
-    numbers = exclusive_prefix_sum(ids, "_id", F.lit(1).cast("long"), "_key")
-    return rows.join(numbers, "_id").select(F.struct(F.col("_key").alias("key"), F.col("_id").alias("doc_id"))
-                                            .alias("id"), "text")
+        return rows.select(F.col("_id").cast("long").alias("key"), "text"), None, False
+    names = exclusive_prefix_sum(rows.select("_id").distinct(), "_id", F.lit(1).cast("long"), "key")
+    names = names.select(F.col("key").cast("long").alias("key"), F.col("_id").alias("name")).checkpoint()
+    size = names.agg(F.sum(F.octet_length(F.col("name").cast("string")) + 16)).first()[0] or 0
+    few = size <= NAME_BYTES
+    given = rows.join(F.broadcast(names) if few else names, F.col("_id") == F.col("name"))
+    return given.select("key", "text"), names, few
+
+
+def _named(lists: DataFrame, names: DataFrame, few: bool, block_size: int, column: str, name_of) -> DataFrame:
+    """Keys of a block turned into the ids they stand for.  A block's names
+    are one array of at most ``block_size`` entries; the keys of a block are
+    consecutive, so a key's place in it is its number less the block's first."""
+    of_block = names.groupBy(_block(F.col("key"), block_size).alias("_b")).agg(
+        F.sort_array(F.collect_list(F.struct("key", "name")))["name"].alias("_names"))
+    if few:
+        of_block = F.broadcast(of_block)
+    joined = lists.join(of_block, F.col("block") == F.col("_b"))
+    return joined.withColumn(column, F.transform(column, lambda e: name_of(
+        e, lambda key: F.get(F.col("_names"), (key - F.col("block") * block_size).cast("int"))))).drop("_b", "_names")
 
 
 def posting_lists(docs: DataFrame, doc_col: str = "doc_id", text_col: str = "text",
-                  block_size: int = DEFAULT_BLOCK_SIZE) -> DataFrame:
+                  block_size: int = DEFAULT_BLOCK_SIZE, sep: str = " ") -> DataFrame:
     """``(word, block, doc_ids)``: sorted, distinct ids of documents holding
     the word, one row per block of ids."""
-    plain = _is_integral(docs, doc_col)
-    words = _numbered(docs, doc_col, text_col).where(F.col("text").isNotNull()).select(
-        "id", F.explode(F.array_distinct(F.split("text", " ", -1))).alias("word"))
-    entry = F.col("id.doc_id") if plain else F.col("id")
-    ids = F.sort_array(F.collect_set(entry))
-    return words.groupBy("word", _block(F.col("id.key"), block_size).alias("block")).agg(
-        (ids if plain else ids["doc_id"]).alias("doc_ids"))
+    rows, names, few = _keyed(docs, doc_col, text_col)
+    words = rows.where(F.col("text").isNotNull()).select(
+        "key", F.explode(F.array_distinct(F.split("text", re.escape(sep), -1))).alias("word"))
+    lists = words.groupBy("word", _block(F.col("key"), block_size).alias("block")).agg(
+        F.sort_array(F.collect_set("key")).alias("doc_ids"))
+    if names is not None:
+        return _named(lists, names, few, block_size, "doc_ids", lambda e, name: name(e))
+    return lists.withColumn("doc_ids", F.col("doc_ids").cast(T.ArrayType(docs.schema[doc_col].dataType)))
 
 
 def posting_lists_with_counts(docs: DataFrame, doc_col: str = "doc_id", text_col: str = "text",
-                              block_size: int = DEFAULT_BLOCK_SIZE) -> DataFrame:
+                              block_size: int = DEFAULT_BLOCK_SIZE, sep: str = " ") -> DataFrame:
     """``(word, block, postings)`` with ``postings`` an array of
-    ``struct(doc_id, n)`` sorted by document id."""
-    spark = docs.sparkSession
-    counts = row_term_counts(_numbered(docs, doc_col, text_col), "id", "text").select(
-        "word", _block(F.col("doc_id.key"), block_size).alias("block"), F.col("doc_id.key").alias("key"),
-        F.col("doc_id.doc_id").alias("doc_id"), "n")
-    dealt = counts.repartition(int(spark.conf.get("spark.sql.shuffle.partitions")), "word", "block")
-    summed = dealt.groupBy("word", "block", "key", "doc_id").agg(F.sum("n").alias("n"))
-    ordered = F.sort_array(F.collect_list(F.struct("key", "doc_id", "n")))
-    return summed.groupBy("word", "block").agg(
-        F.transform(ordered, lambda e: F.struct(e["doc_id"].alias("doc_id"), e["n"].alias("n"))).alias("postings"))
+    ``struct(doc_id, n)`` sorted by document id.
+
+    Rows of one id are summed before they are dealt to their list, in part in
+    the map tasks.  Where no id repeats there is nothing to sum, and the row
+    counts go to their lists at once; a look at the ids alone tells."""
+    rows, names, few = _keyed(docs, doc_col, text_col)
+    counts = row_term_counts(rows, "key", "text", sep).withColumnRenamed("doc_id", "key")
+    if not rows.groupBy("key").count().where("count > 1").isEmpty():
+        counts = counts.groupBy("word", "key").agg(F.sum("n").alias("n"))
+    lists = counts.groupBy("word", _block(F.col("key"), block_size).alias("block")).agg(
+        F.sort_array(F.collect_list(F.struct(F.col("key").alias("doc_id"), "n"))).alias("postings"))
+    if names is not None:
+        return _named(lists, names, few, block_size, "postings", lambda e, name: F.struct(
+            name(e["doc_id"]).alias("doc_id"), e["n"].alias("n")))
+    id_type = docs.schema[doc_col].dataType
+    return lists.withColumn("postings", F.transform("postings", lambda e: F.struct(
+        e["doc_id"].cast(id_type).alias("doc_id"), e["n"].alias("n"))))
 
 
 def merge_posting_lists(a: F.Column, b: F.Column) -> F.Column:

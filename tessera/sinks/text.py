@@ -10,9 +10,11 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 
 def key_value_lines(df: DataFrame, key: str, values: Sequence[str]) -> DataFrame:
-    """``key TAB v1 v2 ...`` as a single ``value`` column."""
-    vals = F.concat_ws(" ", *[F.col(v).cast("string") for v in values])
-    return df.select(F.concat_ws("\t", F.col(key).cast("string"), vals).alias("value"), F.col(key).alias("_k"))
+    """``key TAB v1 v2 ...`` as a single ``value`` column.  A NULL is written
+    as an empty field, so the fields after it keep their places."""
+    text = lambda c: F.coalesce(F.col(c).cast("string"), F.lit(""))
+    vals = F.concat_ws(" ", *[text(v) for v in values])
+    return df.select(F.concat_ws("\t", text(key), vals).alias("value"), F.col(key).alias("_k"))
 
 
 def write_key_values(df: DataFrame, path: str, key: str, values: Sequence[str],
@@ -36,10 +38,17 @@ def compact_text(spark: SparkSession, source: str | Sequence[str], dest: str,
     ``file_bytes`` (or ``num_files`` files) at ``dest``, replacing what was
     there.  Works on lines: a missing last
     newline no longer glues two files' lines together, and the order of
-    lines across files is not kept.  When nothing matches ``source`` the
-    target is left as it is and ``False`` is returned."""
+    lines across files is not kept (``operators.ranges.merge_in_order`` merges
+    byte for byte, in order).  A target that holds some of the sources is
+    refused: replacing it would delete what is still to be read.  When nothing
+    matches ``source`` the target is left as it is and ``False`` is returned."""
     try:
         lines = spark.read.text(source)
+        at = spark._jvm.org.apache.hadoop.fs.Path(dest)
+        target = at.getFileSystem(spark._jsc.hadoopConfiguration()).makeQualified(at).toUri().getPath().rstrip("/")
+        paths = spark.read.format("binaryFile").load(source).select(F.regexp_replace("path", "^[a-z0-9]+:(//[^/]*)?", ""))
+        if not paths.toDF("path").where(F.col("path").startswith(target + "/") | (F.col("path") == target)).isEmpty():
+            raise ValueError(f"{dest} holds files that are to be merged: choose another target")
         if not num_files:  # sizes only: the contents are not read
             size = spark.read.format("binaryFile").load(source).agg(F.sum("length")).first()[0] or 0
             num_files = max(1, -(-size // file_bytes))

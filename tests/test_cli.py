@@ -1,6 +1,9 @@
 import glob
 import os
 
+import pytest
+from pyspark.errors import AnalysisException
+
 from tessera.__main__ import main
 from conftest import write
 
@@ -31,7 +34,15 @@ def test_cli_cells(spark, tmp):
     batch = spark.createDataFrame([("Tom", "info", "class", "1", 1), ("Tom", "score", "programming", "82", 1),
                                    ("Ann", "info", "student_id", "S-2", 2)], CELL_SCHEMA)
     batch.write.parquet(f"{tmp}/batch")
-    assert main(["cells", "put", f"{tmp}/table", f"{tmp}/batch", f"{tmp}/v1"]) == 0
+    # a table that is not there is never taken as empty unless it is named as new
+    for args in (["put", f"{tmp}/table", f"{tmp}/batch", f"{tmp}/v0"], ["get", f"{tmp}/table", f"{tmp}/batch", f"{tmp}/v0"],
+                 ["delete", f"{tmp}/table", f"{tmp}/batch", f"{tmp}/v0"]):
+        with pytest.raises(AnalysisException, match="PATH_NOT_FOUND"):
+            main(["cells", *args])
+    with pytest.raises(SystemExit):
+        main(["cells", "put", f"{tmp}/batch", f"{tmp}/batch", f"{tmp}/v0", "--new"])
+    assert not os.path.exists(f"{tmp}/v0")
+    assert main(["cells", "put", f"{tmp}/table", f"{tmp}/batch", f"{tmp}/v1", "--new"]) == 0
     write(f"{tmp}/keys.txt", "Ann\n")
     assert main(["cells", "get", f"{tmp}/v1", f"{tmp}/keys.txt", f"{tmp}/got"]) == 0
     assert [r.value for r in spark.read.text(f"{tmp}/got").collect()] == ["Ann\tinfo:student_id\tS-2"]

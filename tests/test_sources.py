@@ -69,3 +69,22 @@ def test_bytes_that_are_not_text_fail(spark, tmp):
         read_file_texts(paths).collect()
     with pytest.raises(Exception):
         read_whole_files(spark, f"{tmp}/bad").collect()
+
+
+def test_null_fields_keep_their_places(spark, tmp):
+    from tessera.sinks.text import key_value_lines
+
+    df = spark.createDataFrame([("k", 1, None, 3), (None, None, 2, 3)], "key string, a int, b int, c int")
+    assert sorted(r.value for r in key_value_lines(df, "key", ["a", "b", "c"]).collect()) == ["\t 2 3", "k\t1  3"]
+
+
+def test_compaction_refuses_its_own_sources(spark, tmp):
+    import pytest
+
+    from tessera.sinks.text import compact_text
+
+    write(f"{tmp}/in/a.txt", "a\n")
+    for target in (f"{tmp}/in", f"file://{tmp}/in", tmp):
+        with pytest.raises(ValueError, match="choose another target"):
+            compact_text(spark, f"{tmp}/in/*.txt", target)
+    assert open(f"{tmp}/in/a.txt").read() == "a\n"

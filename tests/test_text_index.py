@@ -90,3 +90,38 @@ def test_null_text_without_ansi(spark):
     finally:
         for k, v in old.items():
             spark.conf.set(k, v)
+
+
+def test_blocks_of_large_ids(spark):
+    """Ids of hashes and counters near the ends of 64 bits: no block beyond its size."""
+    ids = [9 * 10 ** 18 + i for i in range(300)] + [2 ** 63 - 1 - i for i in range(150)] + [-2 ** 63 + i for i in range(150)]
+    docs = _docs(spark, [(i, "w") for i in ids])
+    got = {r.block: r.doc_ids for r in ti.posting_lists(docs, block_size=100).collect()}
+    want = {}
+    for i in sorted(ids):
+        want.setdefault(i // 100, []).append(i)
+    assert got == want and max(map(len, got.values())) <= 100
+    counted = {r.block: [p.doc_id for p in r.postings]
+               for r in ti.posting_lists_with_counts(docs, block_size=100).collect()}
+    assert counted == want
+
+
+def test_separator_is_plain_text(spark):
+    docs = _docs(spark, [(1, "a|b|a"), (2, "c.d")])
+    assert sorted(tuple(r) for r in ti.term_counts(docs, sep="|").collect()) == [("a", 1, 2), ("b", 1, 1), ("c.d", 2, 1)]
+    assert {r.word: r.doc_ids for r in ti.posting_lists(docs, sep=".").collect()} == {"a|b|a": [1], "c": [2], "d": [2]}
+
+
+def test_hot_id_is_summed_before_it_moves(spark):
+    docs = _docs(spark, [(7, "hot hot word")] * 500 + [(8, "hot")])
+    lists = ti.posting_lists_with_counts(docs)
+    assert {r.word: [tuple(p) for p in r.postings] for r in lists.collect()} == {
+        "hot": [(7, 1000), (8, 1)], "word": [(7, 500)]}
+    plan = lists._jdf.queryExecution().executedPlan().toString()
+    assert "partial_sum" in plan
+
+
+def test_id_types_are_kept(spark):
+    docs = spark.createDataFrame([(1, "a"), (2, "a")], "doc_id int, text string")
+    assert ti.posting_lists(docs).schema["doc_ids"].dataType.simpleString() == "array<int>"
+    assert dict(ti.posting_lists_with_counts(docs).dtypes)["postings"] == "array<struct<doc_id:int,n:bigint>>"
