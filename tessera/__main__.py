@@ -1,6 +1,6 @@
 """Command-line runs of the batch jobs.
 
-    python -m tessera copy SOURCE DEST [--tasks N] [--ignore-errors]
+    python -m tessera copy SOURCE DEST [--tasks N] [--ignore-errors] [--range-bytes N] [--journal FOLDER]
     python -m tessera traffic INPUT OUTPUT [--files N]
     python -m tessera index DOCS OUTPUT [--counts] [--block-size N]
     python -m tessera cells put TABLE BATCH OUT     (--new: TABLE is not there yet)
@@ -32,6 +32,10 @@ def main(argv: list[str] | None = None) -> int:
     c.add_argument("--ignore-errors", action="store_true")
     c.add_argument("--task-bytes", type=int, default=None,
                    help="balance files so each task copies about this many bytes")
+    c.add_argument("--range-bytes", type=int, default=None,
+                   help="files above this size are copied by many tasks, so many bytes each")
+    c.add_argument("--journal", default=None,
+                   help="folder that notes finished files; a later run with it copies only what is left")
     t = sub.add_parser("traffic", help="per-key totals of tab-separated logs")
     t.add_argument("input")
     t.add_argument("output")
@@ -53,7 +57,7 @@ def main(argv: list[str] | None = None) -> int:
     if a.cmd == "copy":
         from tessera.operators.copy import copy_summary, copy_tree
         status = copy_tree(spark, a.source, a.dest, tasks=a.tasks, ignore_errors=a.ignore_errors,
-                           task_bytes=a.task_bytes)
+                           task_bytes=a.task_bytes, range_bytes=a.range_bytes, journal=a.journal)
         copy_summary(status).show(truncate=False)
     elif a.cmd == "traffic":
         from tessera.operators.traffic import traffic_totals

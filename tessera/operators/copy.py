@@ -20,20 +20,33 @@ with a message that says so.  When the file step is over, temporary files of thi
 attempts left behind are swept from the touched folders.  Work is spread over
 ``tasks`` tasks (the cluster's width unless given) by a hash of the path.
 Status rows leave a task batch by batch.  Status rows: ``(uri, dest, action, ok, bytes, message)``.
+
+With ``range_bytes`` a file larger than that is copied by many tasks, range by
+range (``operators.ranges``).
+
+With ``journal`` - a folder that outlives the run - every task notes the
+entries it has finished, ``(dest, len, mtime)`` of the source as listed, in
+small files of its own, each renamed into place when it is whole.  A later run
+with the same journal leaves out what an earlier one finished, however that
+one ended: an entry is left out if the journal has its destination with the
+source's length and time, and the destination still has that length.  What a
+lost task had not noted is copied again.
 """
 
 from __future__ import annotations
 
+import json
 import os
 import uuid
 from collections.abc import Iterable
+from functools import reduce
 
 import pyarrow as pa
 import pyarrow.fs as pafs
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tessera.functions.files import filesystem_for, qualify
+from tessera.functions.files import filesystem_for, path_exists, qualify
 from tessera.functions.paths import parent_str, strip_slash_str
 from tessera.operators.layout import default_parallelism
 from tessera.operators.manifest import copy_plan, copy_work, with_parent_folders
@@ -131,15 +144,68 @@ def _copy_one(src: str, dest: str, src_len: int, attempt: str) -> tuple[bool, in
         return False, written, f"{type(e).__name__}: {e}"
 
 
-def _copy_files_fn(run_id: str):
+def _copy_files_fn(run_id: str, journal: str | None = None, journal_rows: int = STATUS_ROWS):
     """File step; temporary names carry the run id and the task attempt id."""
     def copy_files(batches: Iterable[pa.RecordBatch]) -> Iterable[pa.RecordBatch]:
         ctx = TaskContext.get()
         attempt = f"{run_id}.{ctx.taskAttemptId() if ctx is not None else uuid.uuid4().hex}"
-        yield from _copy_batches(batches, attempt)
+        if journal is None:
+            yield from _copy_batches(batches, attempt)
+            return
+        notes = _Notes(journal, attempt, journal_rows)
+        try:
+            yield from _copy_batches(batches, attempt, notes)
+        finally:      # a task that fails notes what it has finished
+            notes.write()
     return copy_files
 
 
+# --- journal of finished entries ------------------------------------------------
+
+JOURNAL_SCHEMA = "dest string, len long, mtime long"
+
+
+class _Notes:
+    """Finished entries of one task attempt, written in files of ``rows``."""
+
+    def __init__(self, journal: str, attempt: str, rows: int):
+        self.journal, self.attempt, self.rows = journal, attempt, rows
+        self.lines, self.files = [], 0
+
+    def add(self, dest: str, length: int | None, mtime: int | None) -> None:
+        self.lines.append(json.dumps({"dest": dest, "len": length, "mtime": mtime}))
+        if len(self.lines) >= self.rows:
+            self.write()
+
+    def write(self) -> None:
+        if not self.lines:
+            return
+        fs, folder = filesystem_for(self.journal)
+        fs.create_dir(folder, recursive=True)
+        name = f"{folder.rstrip('/')}/{self.attempt}.{self.files:06d}.json"
+        with fs.open_output_stream(f"{name}.tmp") as out:
+            out.write("".join(line + "\n" for line in self.lines).encode())
+        move_over(fs, f"{name}.tmp", name)
+        self.lines, self.files = [], self.files + 1
+
+
+def read_journal(spark: SparkSession, journal: str) -> DataFrame:
+    """``(dest, len, mtime)`` of the entries that runs with this journal have
+    finished, ``mtime`` in microseconds; empty before the first."""
+    if not path_exists(spark, journal):
+        return spark.createDataFrame([], JOURNAL_SCHEMA)
+    return spark.read.schema(JOURNAL_SCHEMA).option("pathGlobFilter", "*.json").json(journal).distinct()
+
+
+def left_to_copy(files: DataFrame, journal: DataFrame) -> DataFrame:
+    """File entries (``dest, src_len, dest_len, src_mtime``) without those the
+    journal has, unless their destination has another length by now."""
+    note = journal.select(F.col("dest").alias("_dest"), F.col("len").alias("_len"), F.col("mtime").alias("_mtime"))
+    same = ((F.col("dest") == F.col("_dest")) & F.col("src_len").eqNullSafe(F.col("_len"))
+            & F.unix_micros("src_mtime").eqNullSafe(F.col("_mtime")) & (F.col("dest_len") == F.col("src_len")))
+    return files.join(note, same, "left_anti")
+
+
 _SWEEP_SCHEMA = "folder string, removed long"
 
 
@@ -164,12 +230,16 @@ def _sweep_fn(run_id: str):
     return sweep
 
 
-def _copy_batches(batches: Iterable[pa.RecordBatch], attempt: str) -> Iterable[pa.RecordBatch]:
+def _copy_batches(batches: Iterable[pa.RecordBatch], attempt: str,
+                  notes: _Notes | None = None) -> Iterable[pa.RecordBatch]:
     for batch in batches:
         out = []
         d = batch.to_pydict()
-        for src, dest, n, action in zip(d["src_uri"], d["dest"], d["src_len"], d["action"]):
+        times = d.get("src_micros") or [None] * batch.num_rows
+        for src, dest, n, action, mtime in zip(d["src_uri"], d["dest"], d["src_len"], d["action"], times):
             ok, written, msg = _copy_one(src, dest, n, attempt)
+            if ok and notes:
+                notes.add(dest, n, mtime)
             out.append((src, dest, action, ok, written, msg))
             if len(out) >= STATUS_ROWS:
                 yield _batch(out)
@@ -199,32 +269,53 @@ def balanced_file_tasks(files: DataFrame, task_bytes: int, groups: int) -> DataF
 
 
 def run_copy(plan: DataFrame, dest_root: str, tasks: int | None = None, ignore_errors: bool = False,
-             task_bytes: int | None = None) -> DataFrame:
+             task_bytes: int | None = None, range_bytes: int | None = None, journal: str | None = None) -> DataFrame:
     """Carry out a copy plan; returns the (materialised) status table.
 
     Files are spread over ``tasks`` tasks (default: the cluster's width) by a hash of the destination path, or - with
     ``task_bytes`` - balanced so each task copies about that many bytes.
     With ``ignore_errors=False`` a failed entry fails the call after both
     steps ran, with the number of failures in the message.
+
+    ``range_bytes`` has files above that size copied by many tasks.  With
+    ``journal`` (the plan then needs ``src_mtime``, see
+    ``copy_plan(with_times=True)``) finished entries are noted there, and
+    those an earlier run noted are reported as ``skip`` and not copied.
     """
+    spark = plan.sparkSession
     # The folder step and the file step both read the plan: materialise it
     # once instead of running its joins twice.
     tasks = tasks or default_parallelism(plan.sparkSession)
-    work = copy_work(plan).select("src_uri", "dest", "file_type", "src_len", "action").checkpoint()
+    journal = journal and qualify(journal, spark)
+    times = ["dest_len", "src_mtime"] if journal else []
+    work = copy_work(plan).select("src_uri", "dest", "file_type", "src_len", "action", *times).checkpoint()
     root = strip_slash_str(dest_root)
     base = parent_str(root) or root
     dirs = (work.where(F.col("file_type") == "dir").select("src_uri", "dest", "action")
             .repartition(tasks, "dest").mapInArrow(_make_dirs_fn(base), STATUS_SCHEMA).checkpoint())
-    file_work = work.where(F.col("file_type") == "file").select("src_uri", "dest", "src_len", "action")
+    file_work = work.where(F.col("file_type") == "file").select("src_uri", "dest", "src_len", "action", *times)
+    statuses = [dirs]
+    if journal:
+        left = left_to_copy(file_work, read_journal(spark, journal)).checkpoint()
+        skipped = file_work.join(left.select("dest"), "dest", "left_anti").select(
+            F.col("src_uri").alias("uri"), "dest", F.lit("skip").alias("action"), F.lit(True).alias("ok"),
+            F.lit(0).cast("long").alias("bytes"), F.lit("copied by an earlier run").alias("message"))
+        statuses.append(skipped.checkpoint())
+        file_work = left.select("src_uri", "dest", "src_len", "action", F.unix_micros("src_mtime").alias("src_micros"))
+    if range_bytes:
+        large = file_work.where(F.col("src_len") > range_bytes)
+        statuses.append(_copy_large(large, range_bytes, tasks, journal))
+        file_work = file_work.where(F.coalesce(F.col("src_len") <= range_bytes, F.lit(True)))
     placed = (balanced_file_tasks(file_work, task_bytes, tasks) if task_bytes
               else file_work.repartition(tasks, "dest"))
     run_id = uuid.uuid4().hex[:12]
-    files = placed.mapInArrow(_copy_files_fn(run_id), STATUS_SCHEMA).checkpoint()
+    files = placed.mapInArrow(_copy_files_fn(run_id, journal), STATUS_SCHEMA).checkpoint()
+    statuses.append(files)
     # All attempts of the file step are over: temporary files of this run
     # still present belong to lost attempts.
     touched = files.select(F.regexp_replace("dest", "/[^/]*$", "").alias("folder")).distinct()
     touched.mapInArrow(_sweep_fn(run_id), _SWEEP_SCHEMA).write.format("noop").mode("overwrite").save()
-    status = dirs.unionByName(files)
+    status = reduce(DataFrame.unionByName, statuses)
     if not ignore_errors:
         failed = status.where(~F.col("ok")).count()
         if failed:
@@ -233,6 +324,21 @@ def run_copy(plan: DataFrame, dest_root: str, tasks: int | None = None, ignore_e
     return status
 
 
+def _copy_large(files: DataFrame, range_bytes: int, tasks: int, journal: str | None) -> DataFrame:
+    """Status rows of files copied by ranges, noted in the journal when whole."""
+    from tessera.operators.ranges import copy_ranges
+
+    copied = copy_ranges(files, range_bytes, tasks, ignore_errors=True).select(
+        F.col("dest").alias("_dest"), "ok", F.col("length").alias("bytes"), "message")
+    done = files.join(copied, F.col("dest") == F.col("_dest")).checkpoint()
+    if journal:
+        finished = done.where("ok").select("dest", F.col("src_len").alias("len"), F.col("src_micros").alias("mtime"))
+        finished.write.mode("append").json(journal)
+    return done.select(F.col("src_uri").alias("uri"), "dest", "action", "ok",
+                       F.when(F.col("ok"), F.col("bytes")).otherwise(F.lit(0)).alias("bytes"),
+                       F.when(F.col("ok"), F.lit("copied")).otherwise(F.col("message")).alias("message"))
+
+
 def copy_summary(status: DataFrame) -> DataFrame:
     """``(action, ok, entries, bytes)`` over a status table."""
     return status.groupBy("action", "ok").agg(F.count(F.lit(1)).alias("entries"),
@@ -240,9 +346,11 @@ def copy_summary(status: DataFrame) -> DataFrame:
 
 
 def copy_tree(spark: SparkSession, source_root: str, dest_root: str, tasks: int | None = None,
-              ignore_errors: bool = False, task_bytes: int | None = None) -> DataFrame:
+              ignore_errors: bool = False, task_bytes: int | None = None, range_bytes: int | None = None,
+              journal: str | None = None) -> DataFrame:
     """Copy the tree at ``source_root`` into ``dest_root`` (the source folder's
-    own name is kept below it); returns the status table."""
+    own name is kept below it); returns the status table.  The options are
+    those of ``run_copy``."""
     from tessera.sources.files import ENTRY_SCHEMA, list_tree
 
     source_root, dest_root = (strip_slash_str(qualify(p, spark)) for p in (source_root, dest_root))
@@ -252,5 +360,5 @@ def copy_tree(spark: SparkSession, source_root: str, dest_root: str, tasks: int
         dst = list_tree(spark, dest_root, tasks)
     else:
         dst = spark.createDataFrame([], ENTRY_SCHEMA)
-    plan = copy_plan(src, dst, source_root, dest_root)
-    return run_copy(plan, dest_root, tasks, ignore_errors, task_bytes)
+    plan = copy_plan(src, dst, source_root, dest_root, with_times=journal is not None)
+    return run_copy(plan, dest_root, tasks, ignore_errors, task_bytes, range_bytes, journal)

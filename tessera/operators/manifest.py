@@ -62,18 +62,21 @@ def with_parent_folders(manifest: DataFrame, root: str) -> DataFrame:
         "mtime")
 
 
-def copy_plan(source: DataFrame, dest: DataFrame, source_root: str, dest_root: str) -> DataFrame:
+def copy_plan(source: DataFrame, dest: DataFrame, source_root: str, dest_root: str,
+              with_times: bool = False) -> DataFrame:
     """Full outer join of the rebased source manifest with the destination
     manifest on the destination path.
 
     Output ``(src_uri, dest, file_type, src_len, dest_len, action)``:
     ``create`` (nothing at the destination), ``replace`` (a file is there and
     is copied over), ``mkdir`` / ``exists`` for folders, ``keep`` for entries
-    found only at the destination (they are left alone).
+    found only at the destination (they are left alone).  ``with_times`` adds
+    ``src_mtime``, the source's time.
     """
+    times = [F.col("mtime").alias("src_mtime")] if with_times else []
     s = rebase(source, source_root, dest_root).select(
         F.col("uri").alias("src_uri"), "dest", F.col("file_type").alias("src_type"),
-        F.col("len").alias("src_len"))
+        F.col("len").alias("src_len"), *times)
     d = dest.select(strip_slash(F.col("uri")).alias("dest"), F.col("file_type").alias("dest_type"),
                     F.col("len").alias("dest_len"))
     j = s.join(d, "dest", "full_outer")
@@ -83,7 +86,7 @@ def copy_plan(source: DataFrame, dest: DataFrame, source_root: str, dest_root: s
                .when(F.col("dest_type").isNull(), F.lit("create"))
                .otherwise(F.lit("replace")))
     return j.select("src_uri", "dest", F.coalesce("src_type", "dest_type").alias("file_type"),
-                    "src_len", "dest_len", action.alias("action"))
+                    "src_len", "dest_len", action.alias("action"), *(["src_mtime"] if with_times else []))
 
 
 def copy_work(plan: DataFrame) -> DataFrame:

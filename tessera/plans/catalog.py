@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tessera.operators import cells, manifest, placement, relational, text_index, traffic
 from tessera.operators.layout import scan_spread
-from tessera.plans import standins as si
+from tessera.plans import standins as si, trees
 
 # Fixed query parameters.
 MOVIE_ID = 1616            # movie of the per-attribute average
@@ -533,3 +533,6 @@ ORACLE: dict[str, str] = {
         SELECT count(*) > 0 AS found
         FROM (SELECT 1 FROM pm WHERE regexp_matches(uri, '{MATCH_PATTERN}') LIMIT 1)""",
 }
+
+QUERIES |= trees.QUERIES
+ORACLE |= trees.ORACLE

@@ -10,6 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tessera.operators.layout import scan_spread
+from tessera.session import scratch_path
 from tessera.sources.tables import table
 
 # Fixed values of the stand-ins.
@@ -166,3 +167,14 @@ def event_entries(spark: SparkSession, d: str) -> DataFrame:
     e = table(spark, d, "events", "event_id", "event_type", "ts")
     return e.select(F.col("event_type").alias("parent"), F.col("event_id").alias("uri"),
                     F.col("ts").alias("mtime"))
+
+
+def document_files(spark: SparkSession, d: str) -> str:
+    """The folder of a new tree of text files: 50 documents a file, a text
+    and a line end each, by id; the path order of the files is that of the ids."""
+    t = table(spark, d, "documents", "doc_id", "text")
+    path = scratch_path(spark, "document-files")
+    bucket = F.lpad(F.floor(F.col("doc_id") / 50).cast("string"), 8, "0")
+    (t.select(bucket.alias("bucket"), "doc_id", "text").repartition("bucket").sortWithinPartitions("bucket", "doc_id")
+      .select("bucket", "text").write.partitionBy("bucket").text(path))
+    return path
