@@ -2,7 +2,7 @@
 
     python -m tessera copy SOURCE DEST [--tasks N] [--ignore-errors] [--range-bytes N] [--journal FOLDER]
     python -m tessera traffic INPUT OUTPUT [--files N]
-    python -m tessera index DOCS OUTPUT [--counts] [--block-size N]
+    python -m tessera index DOCS OUTPUT [--counts] [--block-size N] [--onto STORED_INDEX]
     python -m tessera cells put TABLE BATCH OUT     (--new: TABLE is not there yet)
     python -m tessera cells get TABLE KEYS OUT      (key, column and value as text lines)
     python -m tessera cells delete TABLE KEYS OUT
@@ -45,6 +45,7 @@ def main(argv: list[str] | None = None) -> int:
     i.add_argument("output")
     i.add_argument("--counts", action="store_true")
     i.add_argument("--block-size", type=int, default=None)
+    i.add_argument("--onto", default=None, help="a stored index of other documents to merge with")
     ce = sub.add_parser("cells", help="put / get / delete on a stored cell table (parquet folders)")
     ce.add_argument("action", choices=["put", "get", "delete"])
     ce.add_argument("table")
@@ -70,6 +71,9 @@ def main(argv: list[str] | None = None) -> int:
         docs = spark.read.parquet(a.docs)
         kw = {"block_size": a.block_size} if a.block_size else {}
         out = ti.posting_lists_with_counts(docs, **kw) if a.counts else ti.posting_lists(docs, **kw)
+        if a.onto:
+            from tessera.operators.index_store import merge_indexes
+            out = merge_indexes(spark.read.parquet(a.onto), out, **kw)
         out.write.mode("errorifexists").parquet(a.output)
     elif a.cmd == "cells":
         _cells(spark, a)

@@ -74,7 +74,7 @@ def term_counts(docs: DataFrame, doc_col: str = "doc_id", text_col: str = "text"
             .groupBy("word", "doc_id").agg(F.sum("n").alias("n")))
 
 
-def _block(doc: F.Column, block_size: int) -> F.Column:
+def block_of(doc: F.Column, block_size: int) -> F.Column:
     """floor(doc / block_size) in integers: exact for negative ids and for ids
     beyond 2^53."""
     b = F.lit(block_size).cast("long")
@@ -107,7 +107,7 @@ def _named(lists: DataFrame, names: DataFrame, few: bool, block_size: int, colum
     """Keys of a block turned into the ids they stand for.  A block's names
     are one array of at most ``block_size`` entries; the keys of a block are
     consecutive, so a key's place in it is its number less the block's first."""
-    of_block = names.groupBy(_block(F.col("key"), block_size).alias("_b")).agg(
+    of_block = names.groupBy(block_of(F.col("key"), block_size).alias("_b")).agg(
         F.sort_array(F.collect_list(F.struct("key", "name")))["name"].alias("_names"))
     if few:
         of_block = F.broadcast(of_block)
@@ -123,7 +123,7 @@ def posting_lists(docs: DataFrame, doc_col: str = "doc_id", text_col: str = "tex
     rows, names, few = _keyed(docs, doc_col, text_col)
     words = rows.where(F.col("text").isNotNull()).select(
         "key", F.explode(F.array_distinct(F.split("text", re.escape(sep), -1))).alias("word"))
-    lists = words.groupBy("word", _block(F.col("key"), block_size).alias("block")).agg(
+    lists = words.groupBy("word", block_of(F.col("key"), block_size).alias("block")).agg(
         F.sort_array(F.collect_set("key")).alias("doc_ids"))
     if names is not None:
         return _named(lists, names, few, block_size, "doc_ids", lambda e, name: name(e))
@@ -142,7 +142,7 @@ def posting_lists_with_counts(docs: DataFrame, doc_col: str = "doc_id", text_col
     counts = row_term_counts(rows, "key", "text", sep).withColumnRenamed("doc_id", "key")
     if not rows.groupBy("key").count().where("count > 1").isEmpty():
         counts = counts.groupBy("word", "key").agg(F.sum("n").alias("n"))
-    lists = counts.groupBy("word", _block(F.col("key"), block_size).alias("block")).agg(
+    lists = counts.groupBy("word", block_of(F.col("key"), block_size).alias("block")).agg(
         F.sort_array(F.collect_list(F.struct(F.col("key").alias("doc_id"), "n"))).alias("postings"))
     if names is not None:
         return _named(lists, names, few, block_size, "postings", lambda e, name: F.struct(

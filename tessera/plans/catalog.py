@@ -13,9 +13,10 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tessera.operators import cells, manifest, placement, relational, text_index, traffic
+from tessera.operators import cells, index_store, manifest, placement, relational, text_index, traffic
 from tessera.operators.layout import scan_spread
 from tessera.plans import standins as si, trees
+from tessera.session import scratch_path
 
 # Fixed query parameters.
 MOVIE_ID = 1616            # movie of the per-attribute average
@@ -101,6 +102,42 @@ def inverted_index_counts(spark: SparkSession, d: str) -> DataFrame:
     return pl.select("word", "block", text_index.render_postings(F.col("postings")).alias("postings"))
 
 
+def _stored(df: DataFrame, name: str) -> DataFrame:
+    """``df`` written as a table and read again."""
+    path = scratch_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.parquet(path)
+
+
+def index_merge(spark: SparkSession, d: str) -> DataFrame:
+    """Two stored indexes with counts, of the documents with even and odd ids
+    and with small and large blocks, merged into one, as text."""
+    docs = _documents(spark, d)
+    halves = [_stored(text_index.posting_lists_with_counts(docs.where(F.pmod("doc_id", F.lit(2)) == k), block_size=size),
+                      f"index-{k}") for k, size in ((0, SMALL_BLOCK), (1, BLOCK))]
+    merged = index_store.merge_indexes(*halves, block_size=BLOCK)
+    return merged.select("word", "block", text_index.render_postings(F.col("postings")).alias("postings"))
+
+
+def posting_gaps(spark: SparkSession, d: str) -> DataFrame:
+    """Posting lists stored as gaps and decoded again, as text, with the
+    postings and the bytes of their gaps."""
+    stored = _stored(index_store.compact(text_index.posting_lists(_documents(spark, d), block_size=BLOCK)), "gaps")
+    lists = index_store.expand(stored).select("word", "block", text_index.render_ids(F.col("doc_ids")).alias("doc_ids"))
+    sizes = stored.select("word", "block", "n", F.octet_length("gaps").cast("long").alias("gap_bytes"))
+    return lists.join(sizes, ["word", "block"])
+
+
+def posting_lookup(spark: SparkSession, d: str) -> DataFrame:
+    """Which documents hold the first word of the document after them, by
+    lookups in a stored index of gaps."""
+    docs = _documents(spark, d)
+    stored = _stored(index_store.compact(text_index.posting_lists(docs, block_size=SMALL_BLOCK)), "gaps")
+    asked = docs.where("text IS NOT NULL").select((F.col("doc_id") - 1).alias("doc_id"),
+                                                  F.get(F.split("text", " ", -1), F.lit(0)).alias("word"))
+    return index_store.lookup(stored, asked, SMALL_BLOCK)
+
+
 def traffic_totals(spark: SparkSession, d: str) -> DataFrame:
     """Per-key up / down / total sums parsed from tab-separated log lines."""
     return traffic.traffic_totals(si.traffic_lines(spark, d))
@@ -270,6 +307,9 @@ QUERIES: dict[str, Query] = {
     "posting_blocks": posting_blocks,
     "text_id_index": text_id_index,
     "repeated_id_counts": repeated_id_counts,
+    "index_merge": index_merge,
+    "posting_gaps": posting_gaps,
+    "posting_lookup": posting_lookup,
     "traffic_totals": traffic_totals,
     "traffic_rejects": traffic_rejects,
     "batch_index": batch_index,
@@ -416,6 +456,22 @@ ORACLE: dict[str, str] = {
         SELECT word, {_BLOCK} AS block,
                string_agg(CAST(doc_id AS VARCHAR) || ':' || CAST(n AS VARCHAR), ',' ORDER BY doc_id) AS postings
         FROM c GROUP BY word, block""",
+    "index_merge": f"""
+        WITH {_WORDS}, c AS (SELECT word, doc_id, count(*) AS n FROM w GROUP BY word, doc_id)
+        SELECT word, {_BLOCK} AS block,
+               string_agg(CAST(doc_id AS VARCHAR) || ':' || CAST(n AS VARCHAR), ',' ORDER BY doc_id) AS postings
+        FROM c GROUP BY word, block""",
+    "posting_gaps": f"""
+        WITH {_WORDS}, p AS (SELECT DISTINCT word, doc_id, {_BLOCK} AS block FROM w),
+             g AS (SELECT *, doc_id - lag(doc_id) OVER (PARTITION BY word, block ORDER BY doc_id) AS gap FROM p)
+        SELECT word, block, string_agg(CAST(doc_id AS VARCHAR), ',' ORDER BY doc_id) AS doc_ids, count(*) AS n,
+               CAST(coalesce(sum(1 + CAST(gap >= 128 AS INTEGER) + CAST(gap >= 16384 AS INTEGER)), 0) AS BIGINT)
+                   AS gap_bytes
+        FROM g GROUP BY word, block""",
+    "posting_lookup": f"""
+        WITH {_WORDS}, p AS (SELECT DISTINCT word, doc_id FROM w),
+             a AS (SELECT doc_id - 1 AS doc_id, string_split(text, ' ')[1] AS word FROM documents WHERE text IS NOT NULL)
+        SELECT a.word, a.doc_id, p.word IS NOT NULL AS found FROM a LEFT JOIN p USING (word, doc_id)""",
     "posting_blocks": f"""
         WITH {_WORDS}, c AS (SELECT word, doc_id, count(*) AS n FROM w GROUP BY word, doc_id)
         SELECT word, {_block_sql(SMALL_BLOCK)} AS block,
