@@ -13,7 +13,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tessera.operators import cells, index_store, manifest, placement, relational, text_index, traffic
+from tessera.operators import cell_buckets, cells, index_store, manifest, placement, relational, text_index, traffic
 from tessera.operators.layout import scan_spread
 from tessera.plans import standins as si, trees
 from tessera.session import scratch_path
@@ -29,6 +29,7 @@ DEPT = "BUILDING"
 PREFIX = "order-"
 BLOCK = text_index.DEFAULT_BLOCK_SIZE
 SMALL_BLOCK = 250          # posting_blocks: small blocks, so test data spans many of them
+CELL_BUCKETS = 16
 KEY_SEGMENT = "MACHINERY"  # row keys fetched / deleted in the cell table
 NAME_MARK = "*page-1*"
 MATCH_PATTERN = r"page-42\.html$"
@@ -194,6 +195,22 @@ def cells_merge(spark: SparkSession, d: str) -> DataFrame:
     return cells.merge_cells(si.first_batch(puts), si.second_batch(puts))
 
 
+def cells_put_buckets(spark: SparkSession, d: str) -> DataFrame:
+    """A stored table of the earlier events in hash buckets after putting the
+    later ones into the buckets they touch."""
+    puts, path = si.cell_puts(spark, d), scratch_path(spark, "cells")
+    cell_buckets.create(si.first_batch(puts), path, CELL_BUCKETS)
+    cell_buckets.put(si.second_batch(puts), path)
+    return cell_buckets.read(spark, path)
+
+
+def cells_get_buckets(spark: SparkSession, d: str) -> DataFrame:
+    """Cells of one segment's customer keys, from their buckets of a stored table."""
+    path = scratch_path(spark, "cells")
+    cell_buckets.create(_cell_table(spark, d), path, CELL_BUCKETS)
+    return cell_buckets.get(si.cell_keys(spark, d, KEY_SEGMENT), path)
+
+
 def cells_get(spark: SparkSession, d: str) -> DataFrame:
     """Cells of one segment's customer keys."""
     return cells.get_rows(_cell_table(spark, d), si.cell_keys(spark, d, KEY_SEGMENT))
@@ -316,6 +333,8 @@ QUERIES: dict[str, Query] = {
     "batch_slots": batch_slots,
     "cells_put": cells_put,
     "cells_merge": cells_merge,
+    "cells_put_buckets": cells_put_buckets,
+    "cells_get_buckets": cells_get_buckets,
     "cells_get": cells_get,
     "cells_delete": cells_delete,
     "rebase_paths": rebase_paths,
@@ -540,6 +559,13 @@ ORACLE: dict[str, str] = {
     "cells_put": f"""
         WITH {_CELLS}
         SELECT row_key, family, qualifier, value, version FROM cur""",
+    "cells_put_buckets": f"""
+        WITH {_CELLS}
+        SELECT row_key, family, qualifier, value, version FROM cur""",
+    "cells_get_buckets": f"""
+        WITH {_CELLS}
+        SELECT row_key, family, qualifier, value FROM cur
+        WHERE row_key IN (SELECT row_key FROM k)""",
     "cells_get": f"""
         WITH {_CELLS}
         SELECT row_key, family, qualifier, value FROM cur
