@@ -64,3 +64,19 @@ def place_by_slot(df: DataFrame, n_slots: int, slot_col: str = "slot") -> DataFr
 def spread(df: DataFrame, n_tasks: int) -> DataFrame:
     """Spread a work list evenly over ``n_tasks`` tasks (round robin)."""
     return df.repartition(n_tasks)
+
+
+def slots_by_size(df: DataFrame, size_col: str, key_col: str, n_slots: int) -> DataFrame:
+    """``df`` plus ``slot``: the rows, largest first, dealt to ``n_slots`` slots
+    in turns.
+
+    The rank by size (NULL counts as 0, ties by ``key_col``) is a distributed
+    prefix sum over a range sort, so no task orders all rows.  Sizes fall along
+    the ranks; so the row that slot 0 gets in a turn is at most as large as the
+    one that any other slot got in the turn before, and no two slots differ by
+    more than the largest row: the fullest slot holds at most the mean plus the
+    largest size."""
+    size = F.coalesce(F.col(size_col), F.lit(0)).cast("long")
+    order = F.struct((-size).alias("size"), F.col(key_col).alias("key"))
+    ranked = exclusive_prefix_sum(df.withColumn("_order", order), "_order", F.lit(1).cast("long"), "_rank")
+    return ranked.withColumn("slot", F.pmod(F.col("_rank"), F.lit(n_slots)).cast("int")).drop("_order", "_rank")

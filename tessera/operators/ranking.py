@@ -63,3 +63,18 @@ def group_positions(df: DataFrame, group_col: str, order_col: str,
     when the group is sorted by ``order_col`` (ties in any order)."""
     out = exclusive_prefix_sum(df, order_col, F.lit(1).cast("long"), out_col, group_col, partitions)
     return out.withColumn(out_col, F.col(out_col).cast("long"))
+
+
+def range_cuts(df: DataFrame, keys: list[str], parts: int, per_part: int = 60) -> list[tuple]:
+    """At most ``parts - 1`` increasing cut points of the key tuples, from a
+    sample of about ``per_part`` keys a part: bounded by the parts, never by
+    the data.  No key may be NULL.  A last key that is a hash of the row lets a
+    hot first key span several parts."""
+    total = df.count()
+    if parts < 2 or not total:
+        return []
+    picked, share = df.select(*keys), min(1.0, parts * per_part / total)
+    if share < 1.0:
+        picked = picked.sample(share, seed=23)
+    rows = sorted(tuple(r) for r in picked.limit(4 * parts * per_part).collect())
+    return sorted({rows[len(rows) * i // parts] for i in range(1, parts)}) if rows else []

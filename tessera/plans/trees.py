@@ -10,15 +10,17 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tessera.functions.files import filesystem_for
-from tessera.operators import ranges
+from tessera.operators import patterns as patterns_op, placement, ranges
 from tessera.operators.copy import copy_tree
 from tessera.plans import standins as si
 from tessera.session import scratch_path
-from tessera.sinks.files import write_files
-from tessera.sources.files import list_tree
+from tessera.sinks.files import remove_files, write_files
+from tessera.sources.files import list_tree, refresh_tree
+from tessera.sources.lines import numbered_lines
 from tessera.sources.tables import table
 
+SLOTS = 16
+LINE_SPLIT = 10_000        # bytes of a split in the line query
 RANGE = 100_000            # bytes of a range in the copy and merge queries
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -57,34 +59,96 @@ def copy_ranges(spark: SparkSession, d: str) -> DataFrame:
         .select("start", F.col("length").alias("bytes"), "sha256")
 
 
+def _page_rows(spark: SparkSession, d: str) -> DataFrame:
+    """``page_files`` with the page's number, host and html."""
+    contents = table(spark, d, "pages", "page_id", "html")
+    return (si.page_files(spark, d).withColumn("page_id", F.regexp_extract("uri", "page-([0-9-]+)", 1).cast("long"))
+            .withColumn("host", F.regexp_extract("uri", "^/web/([^/]+)", 1)).join(contents, "page_id"))
+
+
+def _write_pages(rows: DataFrame, folder: str) -> None:
+    write_files(rows.select(F.concat(F.lit(folder), "uri").alias("path"), F.col("html").alias("content")))
+
+
 def copy_resume(spark: SparkSession, d: str) -> DataFrame:
     """All pages as files, copied in two runs with one journal.  In the first
     a file stands where the folder of one host - that of the first page -
     should be, so that host's pages fail; the second copies those alone.
     Status of every file in both runs."""
     source, dest = scratch_path(spark, "web"), scratch_path(spark, "backup")
-    web = f"{source}/web"
-    pages = si.page_files(spark, d)
-    contents = table(spark, d, "pages", "page_id", "html")
-    files = pages.withColumn("page_id", F.regexp_extract("uri", "page-([0-9-]+)", 1).cast("long")).join(contents, "page_id")
-    write_files(files.select(F.concat(F.lit(source), "uri").alias("path"), F.col("html").alias("content")))
-    host = F.regexp_extract(F.min_by("uri", F.regexp_extract("uri", "page-([0-9-]+)", 1).cast("long")), "^/web/([^/]+)", 1)
-    block = pages.agg(F.concat(F.lit(f"{dest}/web/"), host).alias("path")).checkpoint()
+    pages = _page_rows(spark, d)
+    _write_pages(pages, source)
+    block = pages.agg(F.concat(F.lit(f"{dest}/web/"), F.min_by("host", "page_id")).alias("path")).checkpoint()
     write_files(block.withColumn("content", F.lit("in the way")))
     journal, runs = scratch_path(spark, "journal"), []
     for run in (1, 2):
-        status = copy_tree(spark, web, dest, ignore_errors=True, journal=journal)
+        status = copy_tree(spark, f"{source}/web", dest, ignore_errors=True, journal=journal)
         runs.append(status.where(F.col("uri").endswith(".html")).select(
             F.regexp_extract("uri", "/page-([0-9-]+)[.]html$", 1).cast("long").alias("page_id"),
             F.lit(run).alias("run"), "action", "ok", "bytes"))
         if run == 1:
-            fs, path = filesystem_for(block.first()["path"])
-            fs.delete_file(path)
+            remove_files(block)
     return runs[0].unionByName(runs[1])
 
 
+def manifest_refresh(spark: SparkSession, d: str) -> DataFrame:
+    """All pages as files, listed and stored; then the folder of the first
+    page's host goes, and of the others' files each fifth goes, each next one
+    is replaced by its url, and each next one gets a companion two folders down.
+    The stored listing brought up to date."""
+    top, pages = scratch_path(spark, "web"), _page_rows(spark, d)
+    _write_pages(pages, top)
+    stored = scratch_path(spark, "manifest")
+    list_tree(spark, f"{top}/web").write.parquet(stored)
+    gone = pages.agg(F.min_by("host", "page_id").alias("gone"))
+    remove_files(gone.select(F.concat(F.lit(f"{top}/web/"), "gone").alias("path")))
+    rest = pages.join(F.broadcast(gone), F.col("host") != F.col("gone"))
+    kind, path = F.pmod("page_id", F.lit(5)), F.concat(F.lit(top), "uri")
+    remove_files(rest.where(kind == 0).select(path.alias("path")))
+    write_files(rest.where(kind == 1).select(path.alias("path"), F.col("url").alias("content")))
+    companion = F.regexp_replace(path, "/([^/]*)[.]html$", "/new/deep/$1.txt")
+    write_files(rest.where(kind == 2).select(companion.alias("path"), F.col("url").alias("content")))
+    now = refresh_tree(spark, f"{top}/web", spark.read.parquet(stored))
+    return now.select(F.regexp_extract("uri", "(/web(/.*)?)$", 1).alias("uri"), "len", "file_type")
+
+
+def match_patterns(spark: SparkSession, d: str) -> DataFrame:
+    """All page files that each of many globs matches: per host its one-digit
+    pages and its English and French pages, and the folder of each page that
+    has a fragment."""
+    pages = si.page_files(spark, d)
+    host = F.regexp_extract("uri", "^/web/([^/]+)", 1)
+    globs = F.array(F.concat(F.lit("/web/"), host, F.lit("/*/page-?.html")),
+                    F.concat(F.lit("/web/"), host, F.lit("/{en,fr}/*.html")),
+                    F.when(F.col("url").contains("#"), F.regexp_replace("uri", "/[^/]*$", "/*")))
+    patterns = pages.select(F.explode(globs).alias("pattern")).where("pattern IS NOT NULL").distinct()
+    return patterns_op.match_patterns(pages.select("uri"), patterns)
+
+
+def slots_by_size(spark: SparkSession, d: str) -> DataFrame:
+    """Page files dealt to 16 slots by size and placed: files and bytes of each
+    slot, and whether one task holds it."""
+    dealt = placement.slots_by_size(si.page_files(spark, d).select("uri", "len"), "len", "uri", SLOTS)
+    placed = placement.place_by_slot(dealt, SLOTS).withColumn("task", F.spark_partition_id())
+    return placed.groupBy("slot").agg(F.count("*").alias("files"), F.sum("len").alias("bytes"),
+                                      (F.countDistinct("task") == 1).alias("one_task"))
+
+
+def line_offsets(spark: SparkSession, d: str) -> DataFrame:
+    """Number, byte offset and checksum of every line of the documents written
+    as files of 50, read in splits of 10,000 bytes."""
+    files = _part_files(spark, si.document_files(spark, d))
+    lines = numbered_lines(files, split_bytes=LINE_SPLIT)
+    return lines.select(_bucket("path").alias("bucket"), "line_no", "start", F.octet_length("value").cast("long")
+                        .alias("bytes"), F.md5("value").alias("md5"))
+
+
 QUERIES: dict[str, Query] = {
     "copy_resume": copy_resume,
+    "manifest_refresh": manifest_refresh,
+    "match_patterns": match_patterns,
+    "slots_by_size": slots_by_size,
+    "line_offsets": line_offsets,
     "merge_in_order": merge_in_order,
     "copy_ranges": copy_ranges,
 }
@@ -93,7 +157,46 @@ _BODIES = """t AS (SELECT lpad(CAST(doc_id // 50 AS VARCHAR), 8, '0') AS bucket,
                        coalesce(text, '') || chr(10) AS line FROM documents),
      f AS (SELECT bucket, string_agg(line, '' ORDER BY doc_id) AS body FROM t GROUP BY bucket)"""
 
+_HOSTS = """p AS (SELECT *, regexp_extract(url, '^[a-z]+://([^/?#]+)', 1) AS host,
+                          regexp_extract(url, '^[a-z]+://[^/?#]+/([^/?#]*)', 1) AS lang FROM pages),
+     m AS (SELECT *, '/web/' || host || '/' || lang AS folder, CAST(strlen(html) AS BIGINT) AS len,
+                  '/web/' || host || '/' || lang || '/page-' || page_id || '.html' AS uri FROM p)"""
+
 ORACLE: dict[str, str] = {
+    "manifest_refresh": f"""
+        WITH {_HOSTS},
+             k AS (SELECT *, ((page_id % 5) + 5) % 5 AS kind FROM m
+                   WHERE host <> (SELECT arg_min(host, page_id) FROM m)),
+             f AS (SELECT uri, CASE WHEN kind = 1 THEN CAST(strlen(url) AS BIGINT) ELSE len END AS len
+                   FROM k WHERE kind <> 0
+                   UNION ALL
+                   SELECT folder || '/new/deep/page-' || page_id || '.txt', CAST(strlen(url) AS BIGINT)
+                   FROM k WHERE kind = 2),
+             dirs AS (SELECT '/web' AS uri UNION SELECT '/web/' || host FROM k UNION SELECT folder FROM k
+                      UNION SELECT folder || '/new' FROM k WHERE kind = 2
+                      UNION SELECT folder || '/new/deep' FROM k WHERE kind = 2)
+        SELECT uri, len, 'file' AS file_type FROM f
+        UNION ALL SELECT uri, CAST(0 AS BIGINT), 'dir' FROM dirs""",
+    "match_patterns": f"""
+        WITH {_HOSTS},
+             g AS (SELECT '/web/' || host || '/*/page-?.html' AS pattern,
+                          '/web/' || replace(host, '.', '[.]') || '/[^/]*/page-[^/][.]html' AS r FROM m
+                   UNION SELECT '/web/' || host || '/{{en,fr}}/*.html',
+                          '/web/' || replace(host, '.', '[.]') || '/(en|fr)/[^/]*[.]html' FROM m
+                   UNION SELECT folder || '/*', replace(folder, '.', '[.]') || '/[^/]*' FROM m WHERE contains(url, '#'))
+        SELECT m.uri, g.pattern FROM m JOIN g ON regexp_full_match(m.uri, g.r)""",
+    "slots_by_size": f"""
+        WITH {_HOSTS},
+             r AS (SELECT len, CAST((row_number() OVER (ORDER BY len DESC, uri) - 1) % {SLOTS} AS INTEGER) AS slot FROM m)
+        SELECT slot, count(*) AS files, CAST(sum(len) AS BIGINT) AS bytes, true AS one_task FROM r GROUP BY slot""",
+    "line_offsets": f"""
+        WITH {_BODIES},
+             l AS (SELECT bucket, unnest(regexp_extract_all(body, '[^\\r\\n]*(\\r\\n|\\r|\\n)')) AS line,
+                          unnest(range(0, len(regexp_extract_all(body, '[^\\r\\n]*(\\r\\n|\\r|\\n)')))) AS line_no FROM f)
+        SELECT bucket, line_no, CAST(coalesce(sum(strlen(line)) OVER (PARTITION BY bucket ORDER BY line_no
+                   ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS BIGINT) AS start,
+               strlen(rtrim(line, chr(13) || chr(10))) AS bytes, md5(rtrim(line, chr(13) || chr(10))) AS md5
+        FROM l""",
     "copy_resume": """
         WITH p AS (SELECT page_id, regexp_extract(url, '^[a-z]+://([^/?#]+)', 1) =
                        (SELECT regexp_extract(arg_min(url, page_id), '^[a-z]+://([^/?#]+)', 1) FROM pages) AS broken,

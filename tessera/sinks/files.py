@@ -1,4 +1,4 @@
-"""One file per row: texts or bytes written under the paths of a column."""
+"""One file per row: written or removed under the paths of a column."""
 
 from __future__ import annotations
 
@@ -7,6 +7,7 @@ import uuid
 from collections.abc import Iterable
 
 import pyarrow as pa
+import pyarrow.fs as pafs
 from pyspark.sql import DataFrame, functions as F
 
 from tessera.functions.files import filesystem_for
@@ -39,3 +40,23 @@ def write_files(rows: DataFrame, path_col: str = "path", content_col: str = "con
     work = rows.select(F.col(path_col).alias("path"), F.col(content_col).cast("binary").alias("content"))
     n = tasks or default_parallelism(rows.sparkSession)
     work.repartition(n, "path").mapInArrow(write, "path string").write.format("noop").mode("overwrite").save()
+
+
+def remove_files(rows: DataFrame, path_col: str = "path", tasks: int | None = None) -> None:
+    """Removes each row's path: a file, or a folder with all below it; one
+    that is gone is no error, so retried tasks do no harm."""
+
+    def remove(batches: Iterable[pa.RecordBatch]) -> Iterable[pa.RecordBatch]:
+        for batch in batches:
+            for path in batch.column(0).to_pylist():
+                fs, local = filesystem_for(path)
+                kind = fs.get_file_info(local).type
+                if kind == pafs.FileType.Directory:
+                    fs.delete_dir(local)
+                elif kind == pafs.FileType.File:
+                    fs.delete_file(local)
+        yield from ()
+
+    work = rows.select(F.col(path_col).alias("path"))
+    n = tasks or default_parallelism(rows.sparkSession)
+    work.repartition(n, "path").mapInArrow(remove, "path string").write.format("noop").mode("overwrite").save()

@@ -17,13 +17,14 @@ from __future__ import annotations
 import datetime
 import os
 from collections.abc import Iterable
+from functools import reduce
 
 import pyarrow as pa
 import pyarrow.fs as pafs
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tessera.functions.files import filesystem_for, is_local, qualify
-from tessera.functions.paths import strip_slash_str
+from tessera.functions.paths import parent_chain, parent_path, strip_slash_str
 from tessera.session import checkpoint_dir
 
 ENTRY_ARROW = pa.schema([("uri", pa.string()), ("len", pa.int64()), ("file_type", pa.string()),
@@ -142,13 +143,89 @@ def list_tree(spark: SparkSession, root: str, tasks: int | None = None,
     parts = [top]
     if kind != "dir":
         return top
-    frontier = spark.createDataFrame([(root,)], "uri string")
+    return reduce(DataFrame.unionByName, [top, *_walk(spark.createDataFrame([(root,)], "uri string"), tasks, budget)])
+
+
+def _walk(frontier: DataFrame, tasks: int, budget: int) -> list[DataFrame]:
+    """The entries below the folders ``frontier`` (``uri``), a level each."""
+    parts = []
     while not frontier.isEmpty():
         level = (frontier.repartition(tasks, "uri")
                  .mapInArrow(_walk_fn(budget), WALK_SCHEMA).checkpoint())
         parts.append(level.where(~F.col("frontier")).drop("frontier"))
         frontier = level.where(F.col("frontier")).select("uri")
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out
+    return parts
+
+
+# --- refresh of a stored listing ---------------------------------------------------
+
+def _stat_fn(batches: Iterable[pa.RecordBatch]) -> Iterable[pa.RecordBatch]:
+    """Each path as it is now; a path that is gone, or is now a symbolic link
+    or another thing that listings leave out, has no type."""
+    for batch in batches:
+        rows = []
+        for uri in batch.column(0).to_pylist():
+            try:
+                if is_local(uri) and os.path.islink(filesystem_for(uri)[1]):
+                    raise FileNotFoundError(uri)
+                rows.append(_stat(uri))
+            except (FileNotFoundError, NotADirectoryError):
+                rows.append((uri, None, None, None))
+        yield _to_batch(rows)
+
+
+def _list_fn(batches: Iterable[pa.RecordBatch]) -> Iterable[pa.RecordBatch]:
+    """The entries directly inside each folder."""
+    for batch in batches:
+        rows = []
+        for folder in batch.column(0).to_pylist():
+            for entry in _entries(folder):
+                rows.append(entry)
+                if len(rows) >= BATCH_ROWS:
+                    yield _to_batch(rows)
+                    rows = []
+        yield _to_batch(rows)
+
+
+def refresh_tree(spark: SparkSession, root: str, stored: DataFrame, tasks: int | None = None,
+                 budget: int = WALK_BUDGET, check_files: bool = False) -> DataFrame:
+    """The manifest of ``root`` as it is now, from one stored earlier.
+
+    A folder's time changes when an entry is added, removed or renamed in it.
+    So only the stored folders are looked at, one call each; those of another
+    time are listed again, and folders that were not stored are walked.  What
+    a removal or a new kind of entry means for the entries below it is found by
+    joins along the parents of the folders that went.  All else is taken from the
+    stored rows.
+
+    A file that is rewritten in place leaves its folder's time as it was; with
+    ``check_files`` every file of an unchanged folder is looked at, too.
+    Changes within the tick of the file system's clock in which a folder was
+    listed can go unseen.  Listing errors fail the job."""
+    checkpoint_dir(spark)
+    tasks = tasks or spark.sparkContext.defaultParallelism
+    root = strip_slash_str(qualify(root, spark))
+    stored = stored.select("uri", "len", "file_type", "mtime")
+    folders = stored.where(F.col("file_type") == "dir").select("uri", F.col("mtime").alias("was"))
+    now = folders.select("uri").repartition(tasks, "uri").mapInArrow(_stat_fn, ENTRY_SCHEMA).checkpoint()
+    gone = now.where(F.coalesce(F.col("file_type") != "dir", F.lit(True))).select(F.col("uri").alias("_gone"))
+    below = F.explode(F.concat(parent_chain(F.col("uri"), root), F.array("uri")))
+    dead = (now.select("uri", below.alias("_above")).join(gone, F.col("_above") == F.col("_gone"), "left_semi")
+            .select("uri").distinct())
+    alive = now.join(dead, "uri", "left_anti").join(folders, "uri").checkpoint()
+    if alive.where(F.col("uri") == root).isEmpty():   # nothing stored, or another kind of root
+        return list_tree(spark, root, tasks, budget)
+    same = alive.where(F.col("mtime").eqNullSafe(F.col("was"))).select(F.col("uri").alias("_folder"))
+    fresh = (alive.where(~F.col("mtime").eqNullSafe(F.col("was"))).select("uri").repartition(tasks, "uri")
+             .mapInArrow(_list_fn, ENTRY_SCHEMA).checkpoint())
+    unknown = fresh.where(F.col("file_type") == "dir").join(alive, "uri", "left_anti").select("uri").checkpoint()
+    kept = stored.where(F.col("uri") != root).withColumn("_parent", parent_path(F.col("uri")))
+    kept = kept.join(same, F.col("_parent") == F.col("_folder"), "left_semi").drop("_parent")
+    files = kept.where(F.col("file_type") != "dir")
+    if check_files:
+        files = (files.select("uri").repartition(tasks, "uri").mapInArrow(_stat_fn, ENTRY_SCHEMA)
+                 .where(F.col("file_type").isNotNull()))
+    own = alive.drop("was")
+    inside = own.join(kept.where(F.col("file_type") == "dir").select("uri"), "uri", "left_semi")
+    parts = [own.where(F.col("uri") == root), files, inside, fresh, *_walk(unknown, tasks, budget)]
+    return reduce(DataFrame.unionByName, [p.select("uri", "len", "file_type", "mtime") for p in parts])
