@@ -33,6 +33,11 @@ HEADLINE = [
     "folder_sizes", "file_sizes", "name_filter", "first_seen_per_type", "any_match",
     "name_list", "cells_merge", "text_id_index", "repeated_id_counts", "traffic_rejects",
     "name_filter_not", "siblings", "entry_times", "path_sizes", "path_first_times",
+    "index_merge", "posting_gaps", "posting_lookup", "cells_put_buckets", "cells_get_buckets", "merge_in_order",
+    "copy_ranges", "copy_resume", "manifest_refresh", "match_patterns", "slots_by_size", "line_offsets",
+    "delimited_rows", "text_lines", "compacted_lines", "first_lines", "tree_listing", "whole_files",
+    "whole_files_of_paths", "glob_files", "key_value_lines", "copy_summary", "spread_work", "placed_batches",
+    "utf8_cells",
 ]
 
 

@@ -10,14 +10,17 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tessera.operators import patterns as patterns_op, placement, ranges
-from tessera.operators.copy import copy_tree
+from tessera.functions.parse import utf8_bytes, utf8_text
+from tessera.operators import patterns as patterns_op, placement, ranges, traffic
+from tessera.operators.copy import copy_summary as copy_summary_op, copy_tree
 from tessera.plans import standins as si
 from tessera.session import scratch_path
 from tessera.sinks.files import remove_files, write_files
+from tessera.sinks.text import compact_text, write_key_values
 from tessera.sources.files import list_tree, refresh_tree
 from tessera.sources.lines import numbered_lines
 from tessera.sources.tables import table
+from tessera.sources.text import read_delimited, read_file_texts, read_headers, read_lines, read_whole_files
 
 SLOTS = 16
 LINE_SPLIT = 10_000        # bytes of a split in the line query
@@ -143,7 +146,136 @@ def line_offsets(spark: SparkSession, d: str) -> DataFrame:
                         .alias("bytes"), F.md5("value").alias("md5"))
 
 
+def delimited_rows(spark: SparkSession, d: str) -> DataFrame:
+    """All order lines as ``::``-separated text, read again by a schema: some
+    lines have an empty flag, a NULL mark, a quantity that is no number, a field
+    too many or too few."""
+    l, n = table(spark, d, "lineitem", "l_orderkey", "l_partkey", "l_linenumber", "l_quantity", "l_extendedprice",
+                 "l_returnflag"), F.col("l_linenumber")
+    quantity = F.when(n == 5, F.lit("1x")).otherwise(F.col("l_quantity").cast("int").cast("string"))
+    flag = F.when(n == 3, F.lit("")).when(n == 4, F.lit("\\N")).otherwise(F.col("l_returnflag"))
+    line = F.concat_ws("::", "l_orderkey", "l_linenumber", "l_partkey", quantity, F.col("l_extendedprice"))
+    full = F.concat(line, F.lit("::"), flag)
+    path = scratch_path(spark, "delimited")
+    l.select(F.when(n == 6, line).when(n == 7, F.concat(full, F.lit("::more"))).otherwise(full)).write.text(path)
+    return read_delimited(spark, path, "orderkey long, line int, partkey long, quantity int, price double, flag string")
+
+
+def text_lines(spark: SparkSession, d: str) -> DataFrame:
+    """Lines of all documents written as files of 50, how often each occurs in
+    its file."""
+    lines = read_lines(spark, f"{si.document_files(spark, d)}/*", glob_filter="part-*", with_path=True)
+    return lines.groupBy(_bucket("path").alias("bucket"), "value").agg(F.count("*").alias("n"))
+
+
+def compacted_lines(spark: SparkSession, d: str) -> DataFrame:
+    """All documents written as files of 50, compacted to larger files: how
+    often each line occurs."""
+    dest = scratch_path(spark, "compact")
+    compact_text(spark, f"{si.document_files(spark, d)}/*/part-*", dest)
+    return read_lines(spark, dest).groupBy("value").agg(F.count("*").alias("n"))
+
+
+def first_lines(spark: SparkSession, d: str) -> DataFrame:
+    """First line of each file of 50 documents."""
+    files = _part_files(spark, si.document_files(spark, d))
+    return read_headers(files, "uri").select(_bucket("path").alias("bucket"), "header")
+
+
+def _page_tree(spark: SparkSession, d: str) -> str:
+    top = scratch_path(spark, "web")
+    _write_pages(_page_rows(spark, d), top)
+    return top
+
+
+def tree_listing(spark: SparkSession, d: str) -> DataFrame:
+    """All pages written as files, listed."""
+    listed = list_tree(spark, f"{_page_tree(spark, d)}/web")
+    return listed.select(F.regexp_extract("uri", "(/web(/.*)?)$", 1).alias("uri"), "len", "file_type")
+
+
+def whole_files(spark: SparkSession, d: str) -> DataFrame:
+    """All pages written as files, each read as one text: checksum and length."""
+    texts = read_whole_files(spark, f"{_page_tree(spark, d)}/web", recursive=True)
+    return _page_sums(texts)
+
+
+def whole_files_of_paths(spark: SparkSession, d: str) -> DataFrame:
+    """The same, by the paths of a listing."""
+    files = list_tree(spark, f"{_page_tree(spark, d)}/web").where("file_type = 'file'")
+    return _page_sums(read_file_texts(files, "uri"))
+
+
+def glob_files(spark: SparkSession, d: str) -> DataFrame:
+    """Page files that a glob names - the English and French ones of hosts that
+    start with ``m.`` or ``www.`` - each read as one text."""
+    return _page_sums(read_whole_files(spark, f"{_page_tree(spark, d)}/web/{{m,www}}.*/[ef][nr]", "page-*.html"))
+
+
+def _page_sums(texts: DataFrame) -> DataFrame:
+    return texts.select(F.regexp_extract("path", "/page-([0-9-]+)[.]html$", 1).cast("long").alias("page_id"),
+                        F.md5("value").alias("md5"), F.length("value").cast("long").alias("chars"))
+
+
+def key_value_lines(spark: SparkSession, d: str) -> DataFrame:
+    """Traffic totals written as key, tab and values to two files, read again."""
+    path = scratch_path(spark, "totals")
+    totals = traffic.traffic_totals(si.traffic_lines(spark, d))
+    write_key_values(totals, path, "key", ["up", "down", "total"], num_files=2)
+    return read_lines(spark, path, glob_filter="part-*")
+
+
+def copy_summary(spark: SparkSession, d: str) -> DataFrame:
+    """All pages written as files and copied: entries and bytes by action."""
+    status = copy_tree(spark, f"{_page_tree(spark, d)}/web", scratch_path(spark, "backup"), task_bytes=1 << 20)
+    return copy_summary_op(status)
+
+
+def spread_work(spark: SparkSession, d: str) -> DataFrame:
+    """Page files spread over 8 tasks: how many files and bytes in all, and
+    whether each task has its share."""
+    files = si.page_files(spark, d).select("uri", "len")
+    per_task = placement.spread(files, 8).groupBy(F.spark_partition_id().alias("task")).agg(
+        F.count("*").alias("n"), F.sum("len").alias("bytes"))
+    sources = files.select(F.spark_partition_id()).distinct().count()
+    return per_task.agg(F.count("*").alias("tasks"), F.sum("n").alias("files"), F.sum("bytes").alias("bytes"),
+                        (F.max("n") - F.min("n") <= sources).alias("even"))
+
+
+def placed_batches(spark: SparkSession, d: str) -> DataFrame:
+    """Order lines placed by the slot of their batch: rows of each slot, and the
+    task that holds them."""
+    l = table(spark, d, "lineitem", "l_linenumber", "l_quantity")
+    keys = l.select(F.col("l_linenumber").alias("part_id"), F.col("l_quantity").cast("int").alias("batch"))
+    index = placement.batch_index(keys).checkpoint()
+    slotted = placement.assign_slots(keys, index)
+    placed = placement.place_by_slot(slotted, placement.slot_count(index).first()["n_slots"])
+    return placed.groupBy("slot", F.spark_partition_id().alias("task")).agg(F.count("*").alias("n"))
+
+
+def utf8_cells(spark: SparkSession, d: str) -> DataFrame:
+    """Texts of all documents stored as bytes and turned into text again."""
+    path = scratch_path(spark, "bytes")
+    table(spark, d, "documents", "doc_id", "text").select(
+        "doc_id", utf8_bytes(F.col("text")).alias("raw")).write.parquet(path)
+    return spark.read.parquet(path).select("doc_id", F.octet_length("raw").cast("long").alias("bytes"),
+                                           utf8_text(F.col("raw")).alias("text"))
+
+
 QUERIES: dict[str, Query] = {
+    "delimited_rows": delimited_rows,
+    "text_lines": text_lines,
+    "compacted_lines": compacted_lines,
+    "first_lines": first_lines,
+    "tree_listing": tree_listing,
+    "whole_files": whole_files,
+    "whole_files_of_paths": whole_files_of_paths,
+    "glob_files": glob_files,
+    "key_value_lines": key_value_lines,
+    "copy_summary": copy_summary,
+    "spread_work": spread_work,
+    "placed_batches": placed_batches,
+    "utf8_cells": utf8_cells,
     "copy_resume": copy_resume,
     "manifest_refresh": manifest_refresh,
     "match_patterns": match_patterns,
@@ -162,7 +294,64 @@ _HOSTS = """p AS (SELECT *, regexp_extract(url, '^[a-z]+://([^/?#]+)', 1) AS hos
      m AS (SELECT *, '/web/' || host || '/' || lang AS folder, CAST(strlen(html) AS BIGINT) AS len,
                   '/web/' || host || '/' || lang || '/page-' || page_id || '.html' AS uri FROM p)"""
 
+_LINES = f"""{_BODIES},
+     l AS (SELECT bucket, regexp_replace(x, '(\\r\\n|\\r|\\n)$', '') AS value
+           FROM (SELECT bucket, unnest(regexp_extract_all(body, '[^\\r\\n]*(\\r\\n|\\r|\\n)')) AS x FROM f))"""
+
+_SLOTS = """k AS (SELECT l_linenumber AS part_id, CAST(l_quantity AS INTEGER) AS batch FROM lineitem),
+     m AS (SELECT part_id, max(batch) AS max_batch FROM k GROUP BY part_id),
+     i AS (SELECT part_id, max_batch, CAST(COALESCE(sum(max_batch + 1) OVER (ORDER BY part_id
+               ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS INTEGER) AS slot_offset FROM m)"""
+
 ORACLE: dict[str, str] = {
+    "delimited_rows": r"""
+        SELECT l_orderkey AS orderkey, CAST(l_linenumber AS INTEGER) AS line, l_partkey AS partkey,
+               CASE WHEN l_linenumber <> 5 THEN CAST(l_quantity AS INTEGER) END AS quantity,
+               CAST(l_extendedprice AS DOUBLE) AS price,
+               CASE l_linenumber WHEN 3 THEN '' WHEN 4 THEN NULL WHEN 6 THEN NULL ELSE l_returnflag END AS flag
+        FROM lineitem""",
+    "text_lines": f"""
+        WITH {_LINES}
+        SELECT bucket, value, count(*) AS n FROM l GROUP BY bucket, value""",
+    "compacted_lines": f"""
+        WITH {_LINES}
+        SELECT value, count(*) AS n FROM l GROUP BY value""",
+    "first_lines": f"""
+        WITH {_BODIES}, h AS (SELECT bucket, regexp_extract(body, '^[^\\r\\n]*') AS header FROM f)
+        SELECT bucket, CASE WHEN trim(header) <> '' THEN header END AS header FROM h""",
+    "tree_listing": f"""
+        WITH {_HOSTS}
+        SELECT uri, len, 'file' AS file_type FROM m
+        UNION ALL
+        SELECT uri, CAST(0 AS BIGINT), 'dir'
+        FROM (SELECT '/web' AS uri UNION SELECT '/web/' || host FROM m UNION SELECT folder FROM m)""",
+    "whole_files": "SELECT page_id, md5(html) AS md5, CAST(length(html) AS BIGINT) AS chars FROM pages",
+    "whole_files_of_paths": "SELECT page_id, md5(html) AS md5, CAST(length(html) AS BIGINT) AS chars FROM pages",
+    "glob_files": f"""
+        WITH {_HOSTS}
+        SELECT page_id, md5(html) AS md5, CAST(length(html) AS BIGINT) AS chars
+        FROM m WHERE regexp_matches(host, '^(m|www)[.]') AND lang IN ('en', 'er', 'fn', 'fr')""",
+    "key_value_lines": """
+        SELECT l_suppkey || chr(9) || CAST(sum(CAST(l_quantity AS INTEGER)) AS BIGINT) || ' '
+               || CAST(sum(CAST(round(l_tax * 100) AS INTEGER)) AS BIGINT) || ' '
+               || CAST(sum(CAST(l_quantity AS INTEGER) + CAST(round(l_tax * 100) AS INTEGER)) AS BIGINT) AS value
+        FROM lineitem GROUP BY l_suppkey""",
+    "copy_summary": f"""
+        WITH {_HOSTS},
+             e AS (SELECT 'create' AS action, len FROM m
+                   UNION ALL
+                   SELECT 'mkdir', 0 FROM (SELECT '/web' AS uri UNION SELECT '/web/' || host FROM m
+                                           UNION SELECT folder FROM m))
+        SELECT action, true AS ok, count(*) AS entries, CAST(sum(len) AS BIGINT) AS bytes FROM e GROUP BY action""",
+    "spread_work": f"""
+        WITH {_HOSTS}
+        SELECT CAST(least(8, count(*)) AS BIGINT) AS tasks, CAST(count(*) AS BIGINT) AS files,
+               CAST(sum(len) AS BIGINT) AS bytes, true AS even FROM m""",
+    "placed_batches": f"""
+        WITH {_SLOTS}
+        SELECT slot, slot AS task, count(*) AS n
+        FROM (SELECT slot_offset + batch % (max_batch + 1) AS slot FROM k JOIN i USING (part_id)) GROUP BY slot""",
+    "utf8_cells": "SELECT doc_id, strlen(text) AS bytes, text FROM documents",
     "manifest_refresh": f"""
         WITH {_HOSTS},
              k AS (SELECT *, ((page_id % 5) + 5) % 5 AS kind FROM m

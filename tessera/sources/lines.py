@@ -41,8 +41,9 @@ def _split_lines(f, start: int, end: int) -> Iterator[tuple[int, bytes]]:
             data, done, more = data[done:] + chunk, 0, bool(chunk)
         return more
 
-    def line_end() -> tuple[int, int] | None:
-        """Where the line in hand ends and the next one starts, in ``data``."""
+    def line_end(limit: int | None = None) -> tuple[int, int] | None:
+        """Where the line in hand ends and the next one starts, in ``data``;
+        None if it has no end, or none before byte ``limit``."""
         seen = done
         while True:
             ends = [e for e in (data.find(b"\n", seen), data.find(b"\r", seen)) if e >= 0]
@@ -54,12 +55,12 @@ def _split_lines(f, start: int, end: int) -> Iterator[tuple[int, bytes]]:
                     continue
                 return e, e + 2 if data[e:e + 2] == b"\r\n" else e + 1
             seen = len(data) - done
-            if not fill():
+            if limit is not None and at + seen >= limit or not fill():
                 return None
 
     fill()
     if start:
-        found = line_end()
+        found = line_end(end)   # splits inside a long line do not read on to its end
         if found is None:
             return
         at, done = at + found[1] - done, found[1]
