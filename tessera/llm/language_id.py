@@ -1,12 +1,14 @@
 """Language identification by a bidirectional gated recurrent network.
 
-The network reads UTF-8 bytes in segments of 64, labels every byte position
-and is trained in numpy by backpropagation through time.  A document's
-probabilities are the mean of those of all its positions, first to last.
-
-Training takes windows of at most ``sample`` labelled documents (those with
-the smallest hash of their id), a bounded table on the driver; the weights (a
-few kilobytes) are broadcast.  Scoring is one pass without a shuffle.
+The network reads UTF-8 bytes, each with the one before it, labels every
+position and is trained in numpy by backpropagation through time.  A text is
+read in pieces of 96 bytes with 16 more on both sides, so that no position
+stands at a border; a document's probabilities are the mean of those of all
+its positions, first to last.
+
+Training takes windows of at most ``sample`` labelled documents, as many of
+each language, a bounded table on the driver; the weights (about three
+megabytes) are broadcast.  Scoring is one pass without a shuffle.
 """
 
 from __future__ import annotations
@@ -16,28 +18,45 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from tessera.llm.common import bounded_sample, emit, worker_cache
+from tessera.llm.common import emit, worker_cache
 
-SEGMENT = 64
-SLAB = 8192  # segments that are scored at once
+CODES = 1 << 14
+NOTHING = 0    # code of two zero bytes: its inputs stay 0, as those of pairs never seen
+DROPPED = 0.3  # share of the positions that training shows as such
+SEGMENT = 64   # longest training window
+BODY = 96      # bytes of a text that are labelled at once
+CONTEXT = 16   # bytes that are read before and behind them
+SLAB = 4096    # pieces that are scored at once
 UNKNOWN = "und"
-LEAST_STEPS = 150
+LEAST_SHARE = 1e-4  # of a language at a position, as it counts in a document's mean
+LEAST_STEPS = 200
+LEAST_WINDOW = 3
 _SCORED = pa.schema([("doc_id", pa.int64()), ("held_out", pa.bool_()), ("lang_pred", pa.string()),
                      ("score", pa.float64())])
 
 
+def codes(data: np.ndarray, starts: np.ndarray) -> np.ndarray:
+    """The network's input at every byte: the byte and the one before it (a
+    blank at ``starts``) as one of ``CODES`` values; pairs of ASCII letters
+    never share one."""
+    before = np.empty_like(data)
+    before[1:] = data[:-1]
+    before[starts[starts < len(data)]] = 32
+    return ((before.astype(np.intp) << 6) ^ data) & (CODES - 1)
+
+
 @dataclass
 class Direction:
     """One gated recurrent layer; units are rows, segments are columns."""
 
-    inputs: np.ndarray  # (3H, 256): reset, update and candidate input of each byte
+    inputs: np.ndarray  # (3H, CODES): reset, update and candidate input of each code
     gates: np.ndarray   # (2H, H)
     state: np.ndarray   # (H, H)
 
     def run(self, x: np.ndarray, mask: np.ndarray, keep: list | None = None) -> Iterator[tuple[int, np.ndarray]]:
-        """States for the byte rows of ``x`` (T, S) in turn; masked ones are 0."""
+        """States for the code rows of ``x`` (T, S) in turn; masked ones are 0."""
         n = self.state.shape[0]
         h = np.zeros((n, x.shape[1]), self.state.dtype)
         for t in range(len(x)):
@@ -80,7 +99,7 @@ class Direction:
             d_state += d_q @ before.T
             d_h = d_h * z + self.state.T @ d_q + self.gates.T @ d_g
         flat, rows = x.ravel(), d_in.transpose(1, 0, 2).reshape(3 * n, -1)
-        d_inputs = np.stack([np.bincount(flat, row, 256) for row in rows])
+        d_inputs = np.stack([np.bincount(flat, row, CODES) for row in rows])
         return {"inputs": d_inputs, "gates": d_gates, "state": d_state}
 
 
@@ -107,38 +126,52 @@ class ByteNetwork:
             p /= p.sum(axis=0)
             yield p
 
-    def pooled(self, data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
-        """Mean probabilities (documents, L) over all bytes of each document."""
-        pieces = -(-(ends - starts) // SEGMENT)
+    def slabs(self, data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> Iterator[tuple]:
+        """The documents' bytes in pieces of ``BODY``, each read with ``CONTEXT``
+        bytes more on both sides, ``SLAB`` pieces at a time: the pieces'
+        documents, the byte of each step, whether it is in the body, and the
+        steps' language probabilities."""
+        pieces = -(-(ends - starts) // BODY)
         owner = np.repeat(np.arange(len(starts)), pieces)
         nth = np.arange(len(owner)) - np.repeat(np.cumsum(pieces) - pieces, pieces)
-        first = starts[owner] + nth * SEGMENT
-        last = np.minimum(first + SEGMENT, ends[owner])
-        sums = np.zeros((len(starts), len(self.languages)))
+        first = starts[owner] + nth * BODY
+        last = np.minimum(first + BODY, ends[owner])
+        read = codes(data, starts)
         for at in range(0, len(owner), SLAB):
-            begin, end = first[at:at + SLAB], last[at:at + SLAB]
-            place = begin[None, :] + np.arange(SEGMENT)[:, None]
-            mask = place < end[None, :]
-            x = data[np.minimum(place, end[None, :] - 1)].astype(np.intp)
-            total = np.zeros((len(self.languages), len(begin)), self.out.dtype)
-            for p, m in zip(self.positions(x, mask.astype(self.out.dtype)), mask, strict=True):
+            here, begin, end = owner[at:at + SLAB], first[at:at + SLAB], last[at:at + SLAB]
+            low, high = np.maximum(begin - CONTEXT, starts[here]), np.minimum(end + CONTEXT, ends[here])
+            place = low[None, :] + np.arange(min(int((high - low).max()), BODY + 2 * CONTEXT))[:, None]
+            mask, body = place < high[None, :], (place >= begin[None, :]) & (place < end[None, :])
+            x = read[np.minimum(place, high[None, :] - 1)]
+            yield here, place, body, self.positions(x, mask.astype(self.out.dtype))
+
+    def pooled(self, data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+        """Probabilities (documents, L) of each document: the geometric means of
+        those of all its bytes, made to sum to 1.  One telling word counts
+        for more than many bytes that say little."""
+        sums = np.zeros((len(starts), len(self.languages)))
+        for owner, _, body, steps in self.slabs(data, starts, ends):
+            total = np.zeros((len(self.languages), len(owner)), self.out.dtype)
+            for p, m in zip(steps, body, strict=True):
+                np.log(np.maximum(p, LEAST_SHARE, out=p), out=p)
                 total += p if m.all() else p * m
             for k, row in enumerate(total):
-                sums[:, k] += np.bincount(owner[at:at + SLAB], row, len(starts))
-        return sums / np.maximum(ends - starts, 1)[:, None]
+                sums[:, k] += np.bincount(owner, row, len(starts))
+        sums /= np.maximum(ends - starts, 1)[:, None]
+        sums = np.exp(sums - sums.max(axis=1, keepdims=True))
+        return sums / sums.sum(axis=1, keepdims=True)
 
     def label_positions(self, text: str) -> list[str]:
         """The language of every byte of ``text``."""
         data = np.frombuffer(text.encode(), np.uint8)
-        out: list[str] = []
-        for at in range(0, len(data), SEGMENT):
-            x = data[at:at + SEGMENT, None].astype(np.intp)
-            out += [self.languages[int(p[:, 0].argmax())]
-                    for p in self.positions(x, np.ones(x.shape, self.out.dtype))]
-        return out
+        best = np.zeros(len(data), int)
+        for _, place, body, steps in self.slabs(data, np.array([0]), np.array([len(data)])):
+            for p, at, m in zip(steps, place, body, strict=True):
+                best[at[m]] = p.argmax(axis=0)[m]
+        return [self.languages[k] for k in best]
 
 
-def train(windows: list[tuple[bytes, str]], hidden: int = 8, epochs: int = 4, batch: int = 256,
+def train(windows: list[tuple[bytes, str]], hidden: int = 6, epochs: int = 4, batch: int = 256,
           rate: float = 0.02, seed: int = 7) -> ByteNetwork | None:
     """Fits the network to (bytes, language) windows; None without any."""
     languages = sorted({lang for _, lang in windows})
@@ -149,13 +182,14 @@ def train(windows: list[tuple[bytes, str]], hidden: int = 8, epochs: int = 4, ba
     x, mask = np.zeros((rows, SEGMENT), np.intp), np.zeros((rows, SEGMENT), np.float32)
     for i, (raw, _) in enumerate(windows):
         own = np.frombuffer(raw[:SEGMENT], np.uint8)
-        x[i, :len(own)], mask[i, :len(own)] = own, 1
+        x[i, :len(own)], mask[i, :len(own)] = codes(own, np.array([0])), 1
     y = np.array([languages.index(lang) for _, lang in windows])
     weight = (rows / len(languages) / np.bincount(y, minlength=len(languages)))[y].astype(np.float32)
 
     def layer():
+        # Inputs start at 0: a pair of bytes that was never seen says nothing.
         normal = lambda *shape: rng.normal(0, 0.3, shape).astype(np.float32)
-        return Direction(normal(3 * hidden, 256), normal(2 * hidden, hidden), normal(hidden, hidden))
+        return Direction(np.zeros((3 * hidden, CODES), np.float32), normal(2 * hidden, hidden), normal(hidden, hidden))
 
     net = ByteNetwork(languages, layer(), layer(), rng.normal(0, 0.3, (len(languages), 2 * hidden)).astype(np.float32),
                       np.zeros((len(languages), 1), np.float32))
@@ -171,13 +205,17 @@ def train(windows: list[tuple[bytes, str]], hidden: int = 8, epochs: int = 4, ba
         order = rng.permutation(rows)
         for at in range(0, rows, batch):
             pick = order[at:at + batch]
-            grads = _gradients(net, x[pick].T.copy(), mask[pick].T.copy(), y[pick], weight[pick])
+            seen = x[pick].T.copy()
+            seen[rng.random(seen.shape) < DROPPED] = NOTHING
+            grads = _gradients(net, seen, mask[pick].T.copy(), y[pick], weight[pick])
             step += 1
             now = rate * (1 - 0.9 * step / steps)
             for a, (m, v), g in zip(arrays, moment, grads, strict=True):
                 m += 0.1 * (g - m)
                 v += 0.001 * (g * g - v)
                 a -= (now * (m / (1 - 0.9 ** step)) / (np.sqrt(v / (1 - 0.999 ** step)) + 1e-8)).astype(a.dtype)
+            for d in (net.forward, net.backward):
+                d.inputs[:, NOTHING] = 0
     return net
 
 
@@ -208,19 +246,38 @@ def held_out(doc_id: Column) -> Column:
     return F.coalesce(F.crc32(doc_id.cast("string").cast("binary")) % 4 == 2, F.lit(False))
 
 
-def fit(docs: DataFrame, sample: int = 3000, per_doc: int = 4) -> ByteNetwork | None:
-    """Trains on ``per_doc`` windows of at most ``sample`` documents that are
-    not held out and have text and a language."""
-    text = F.col("text")
-    spot = [F.substring(text, (F.lit(1) + F.pmod(F.xxhash64(F.lit(k), "doc_id"),
-                                                F.greatest(F.length(text) - SEGMENT, F.lit(1)))).cast("int"),
-                        F.lit(SEGMENT)) for k in range(per_doc)]
+def fit(docs: DataFrame, sample: int = 3000, windows: int = 12_000) -> ByteNetwork | None:
+    """Trains on about ``windows`` windows of at most ``sample`` documents that
+    are not held out and have text and a language: an equal share of each
+    language, those with the smallest hash of their id.  A rare language thus
+    has as many documents as there are, up to its share.  Windows are 3 to 64
+    characters long, short ones as often as long ones, so that short texts are
+    learned, too."""
     rows = (docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"),
                         F.col("lang").cast("string").alias("lang"))
             .where(F.col("lang").isNotNull() & F.col("text").isNotNull() & ~held_out(F.col("doc_id"))))
-    rows = bounded_sample(rows, sample, "doc_id", "lang").select("lang", F.array(*spot).alias("spots")) \
+    counts = {r["lang"]: r["n"] for r in rows.groupBy("lang").agg(F.count("*").alias("n")).collect()}
+    if not counts:
+        return None
+    share = max(1, sample // len(counts))
+    order = F.pmod(F.xxhash64("doc_id", "lang"), F.lit(1 << 30))
+    # Rows far above a language's share are left out by their hash before they are ranked.
+    likely = F.lit(False)
+    for lang, n in counts.items():
+        likely |= (F.col("lang") == lang) & (order < int(min(1.0, 2 * share / n) * (1 << 30)))
+    ranked = rows.where(likely).withColumn("_n", F.row_number().over(
+        Window.partitionBy("lang").orderBy(order, "doc_id", F.xxhash64("text"))))
+    kept = sum(min(n, share) for n in counts.values())
+    per_doc = max(4, min(16, windows // kept))
+    spots = []
+    for k in range(per_doc):
+        u = F.pmod(F.xxhash64(F.lit(k), F.lit("length"), "doc_id"), F.lit(1 << 20)) / float(1 << 20)
+        size = F.round(F.lit(float(LEAST_WINDOW)) * F.pow(F.lit(SEGMENT / LEAST_WINDOW), u)).cast("int")
+        room = F.greatest(F.length("text") - size, F.lit(0)) + 1
+        spots.append(F.substring(F.col("text"), (F.pmod(F.xxhash64(F.lit(k), "doc_id"), room) + 1).cast("int"), size))
+    picked = ranked.where(F.col("_n") <= share).select("lang", F.array(*spots).alias("spots")) \
         .orderBy("lang", "spots").collect()
-    return train([(s.encode(), r["lang"]) for r in rows for s in r["spots"] if s])
+    return train([(s.encode(), r["lang"]) for r in picked for s in r["spots"] if s])
 
 
 def identify(docs: DataFrame, model: ByteNetwork | None) -> DataFrame:
