@@ -27,7 +27,6 @@ from __future__ import annotations
 import json
 import re
 import sys
-import unicodedata
 from array import array
 from collections.abc import Callable, Iterator
 
@@ -35,6 +34,7 @@ import numpy as np
 import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame, functions as F, types as T
+from tokenizers import Tokenizer
 
 from tessera.llm.common import emit, worker_cache
 
@@ -51,21 +51,6 @@ def uint32_bytes(ids: list[int]) -> bytes:
     return out.tobytes()
 
 
-def to_symbols(piece: str, symbols: list[str]) -> str:
-    """The piece with each byte as its symbol."""
-    if piece.isascii() and piece.isprintable():  # printable ASCII stands for itself
-        return piece
-    return "".join(map(symbols.__getitem__, piece.encode()))
-
-
-def byte_symbols() -> list[str]:
-    """The printable character that stands for each byte: itself if printable
-    in Latin-1, else the next free character from U+0100."""
-    keep = {*range(33, 127), *range(161, 173), *range(174, 256)}
-    free = iter(range(256, 512))
-    return [chr(b if b in keep else next(free)) for b in range(256)]
-
-
 class MergeAutomaton:
     """Deterministic automaton over token ids, made from merges in rank order."""
 
@@ -76,7 +61,7 @@ class MergeAutomaton:
         self.left: dict[int, int] = {}
         self.right: dict[int, int] = {}
         self.splits: dict[int, dict[int, int]] = {}
-        self.table: dict[tuple[int, int], bool] = {}
+        self.table: dict[int, bool] = {}  # last label << 32 | next one
         self.dead: set[int] = set()
         for step, (u, v) in enumerate(merges):
             self._gadget(step, vocab[u], vocab[v], vocab[u + v])
@@ -110,7 +95,7 @@ class MergeAutomaton:
     def goes(self, last: int, label: int) -> bool:
         if last == START:
             return True
-        key = (last, label)
+        key = last << 32 | label
         known = self.table.get(key)
         if known is None:
             if len(self.table) >= self.table_limit:
@@ -134,7 +119,7 @@ class MergeAutomaton:
                 if "" in node:
                     found.append((j, node[""]))
             for j, label in reversed(found):  # longest first
-                known = table.get((last[j], label))
+                known = table.get(last[j] << 32 | label)
                 if known or known is None and self.goes(last[j], label):
                     last[i], back[i] = label, j
                     break
@@ -159,17 +144,22 @@ def _by_end(labels: dict[str, int]) -> dict:
 
 
 class ChunkCache(dict):
-    """White-space free chunk -> its ids as little-endian uint32 bytes."""
+    """White-space free chunk or word -> its ids as little-endian uint32
+    bytes.  Holds about ``limit`` bytes, then starts afresh."""
 
-    def __init__(self, encode: Callable[[str], bytes], limit: int = 200_000):
+    ENTRY = 200  # bytes of an entry besides its texts
+
+    def __init__(self, encode: Callable[[str], bytes], limit: int):
         super().__init__()
-        self.encode, self.limit = encode, limit
+        self.encode, self.limit, self.held = encode, limit, 0
 
     def __missing__(self, chunk: str) -> bytes:
         out = self.encode(chunk)
         if len(chunk) <= 100:
-            if len(self) >= self.limit:
+            self.held += self.ENTRY + 2 * len(chunk) + len(out)
+            if self.held > self.limit:
                 self.clear()
+                self.held = self.ENTRY + 2 * len(chunk) + len(out)
             self[chunk] = out
         return out
 
@@ -177,23 +167,25 @@ class ChunkCache(dict):
 class ChunkEncoder:
     """Encodes texts by white-space free chunks and words, which are kept.
 
-    ``word`` gives the ids (little-endian uint32) of one piece that the split
-    pattern of the tokenizer file matches in normalized text."""
+    Chunks of printable ASCII are lower-cased and split here.  All others go
+    through the library's own normalizer and pre-tokenizer, whose character
+    tables are not those of Python.  ``word`` gives the ids (little-endian
+    uint32) of one word of byte symbols."""
 
-    def __init__(self, spec: dict, word: Callable[[str], bytes], words: int = 400_000, chunks: int = 200_000):
+    def __init__(self, text: str, word: Callable[[str], bytes], words: int = 32 << 20, chunks: int = 24 << 20):
+        spec = json.loads(text)
         self.pieces = regex.compile(check_spec(spec))
         self.special = special_ids(spec)
         self.at_special = special_pattern(self.special)
+        library = Tokenizer.from_str(text)
+        self.normalize, self.split = library.normalizer.normalize_str, library.pre_tokenizer.pre_tokenize_str
         self.words = ChunkCache(word, words)
         self.chunks = ChunkCache(self._chunk, chunks)
 
     def _chunk(self, chunk: str) -> bytes:
-        if chunk.isascii():
-            chunk = chunk.lower()
-        else:
-            chunk = unicodedata.normalize("NFC", chunk)
-            # Lower case is taken by character: no final sigma.
-            chunk = chunk.lower() if "Σ" not in chunk else "".join(c.lower() for c in chunk)
+        if not chunk.isascii() or not chunk.isprintable():
+            return b"".join([self.words[piece] for piece, _ in self.split(self.normalize(chunk))])
+        chunk = chunk.lower()
         # Letters, and letters before one other mark, need no matching.
         if chunk.isalpha():
             return self.words[chunk]
@@ -214,13 +206,9 @@ class WordBpe:
         model = spec["model"]
         merges = [tuple(m) if isinstance(m, list) else tuple(m.split(" ")) for m in model["merges"]]
         self.automaton = MergeAutomaton(model["vocab"], merges, model["end_of_word_suffix"])
-        self.symbols = byte_symbols()
-        self.chunks = ChunkEncoder(spec, self._word)
+        self.chunks = ChunkEncoder(text, lambda symbols: uint32_bytes(self.automaton.encode(symbols)))
         self.encode = self.chunks.encode
 
-    def _word(self, piece: str) -> bytes:
-        return uint32_bytes(self.automaton.encode(to_symbols(piece, self.symbols)))
-
 
 class ArcLabels(dict):
     """Token id -> arc label, for decoding."""

@@ -3,6 +3,8 @@ range cuts and connected components."""
 
 from __future__ import annotations
 
+import ctypes
+import gc
 import uuid
 from bisect import bisect_right
 from collections.abc import Callable, Iterable, Iterator
@@ -76,11 +78,24 @@ def worker_cache(key: object, make: Callable[[], object]):
     """A value that a Python worker keeps between its tasks: one at a time, so
     that a worker that goes on to another operator gives its memory back."""
     if key not in _CACHE:
-        _CACHE.clear()
+        if _CACHE:
+            _CACHE.clear()
+            gc.collect()
+            give_back()
         _CACHE[key] = make()
     return _CACHE[key]
 
 
+def give_back() -> None:
+    """Hands free memory of this process back to the system.  Workers outlive
+    their tasks, and freed memory otherwise stays with the process."""
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL(None).malloc_trim(0)
+    except (AttributeError, OSError):  # not the GNU C library
+        pass
+
+
 class Batches:
     """Collects output rows and yields record batches of bounded bytes."""
 
@@ -108,6 +123,7 @@ def emit(schema: pa.Schema, rows: Iterable[tuple[tuple, int]]) -> Iterator[pa.Re
             yield out.take()
     if out.rows[0]:
         yield out.take()
+    give_back()
 
 
 # --- range cuts --------------------------------------------------------------

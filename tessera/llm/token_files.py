@@ -1,11 +1,12 @@
 """Token ids as flat unsigned integer files with 64-bit document offsets.
 
-``write_token_files`` cuts the documents into ranges of (doc_id, row hash) -
+``write_token_files`` cuts the documents into ranges of (has an id, doc_id, row hash) -
 cut points come from a bounded sample of keys - encodes each text, sends the
 ids to their range, sorts there and writes per range
 
 * ``part-NNNNN-<attempt>.ids``   the ids, little-endian uint16 or uint32,
-* ``part-NNNNN-<attempt>.docs``  int64 pairs (doc_id, end of its ids in the file).
+* ``part-NNNNN-<attempt>.docs``  int64 triples (1 or 0: has an id, doc_id, end
+  of its ids in the file).
 
 File names carry the task attempt, so a task that runs again after a lost
 executor never touches a file of another; only the attempts that the manifest
@@ -19,7 +20,6 @@ mapping needs that.  The default is ``spark.checkpoint.dir``.
 
 from __future__ import annotations
 
-import json
 import os
 import zlib
 from collections.abc import Iterator
@@ -31,10 +31,11 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 from tokenizers import Tokenizer
 
-from tessera.llm.bpe import ChunkEncoder, built, byte_symbols, to_symbols, uint32_bytes
+from tessera.llm.bpe import ChunkEncoder, built, uint32_bytes
 from tessera.llm.common import emit, part_count, part_of, range_cuts, shared_path
 
-_SENT = pa.schema([("part", pa.int32()), ("doc_id", pa.int64()), ("salt", pa.int64()), ("ids", pa.binary())])
+_SENT = pa.schema([("part", pa.int32()), ("given", pa.int32()), ("doc_id", pa.int64()), ("salt", pa.int64()),
+                   ("ids", pa.binary())])
 _DONE = pa.schema([("part", pa.int32()), ("file", pa.string()), ("n_docs", pa.int64()), ("n_ids", pa.int64())])
 _READ = pa.schema([("doc_id", pa.int64()), ("start", pa.int64()), ("n_tokens", pa.int64()),
                    ("ids_crc32", pa.int64())])
@@ -42,22 +43,21 @@ _READ = pa.schema([("doc_id", pa.int64()), ("start", pa.int64()), ("n_tokens", p
 
 class LibraryEncoder:
     """Encodes with the tokenizers library.  For files whose words are parted
-    by white space its model is given each normalized word once, and the ids
-    are kept."""
+    by white space its model is given each word that its normalizer and
+    pre-tokenizer make once, and the ids are kept."""
 
     def __init__(self, text: str):
         self.tokenizer = Tokenizer.from_str(text)
         self.tokenizer.no_truncation()
         self.tokenizer.no_padding()
+        self.model = self.tokenizer.model
         try:
-            self.encode = ChunkEncoder(json.loads(text), self._word, words=1_000_000, chunks=600_000).encode
-            self.symbols, self.model = byte_symbols(), self.tokenizer.model
+            self.encode = ChunkEncoder(text, self._word, words=96 << 20, chunks=64 << 20).encode
         except ValueError:
             self.encode = self._ids
 
-    def _word(self, piece: str) -> bytes:
-        found = self.model.tokenize(to_symbols(piece, self.symbols))
-        return uint32_bytes([token.id for token in found])
+    def _word(self, symbols: str) -> bytes:
+        return uint32_bytes([token.id for token in self.model.tokenize(symbols)])
 
     def _ids(self, text: str | None) -> bytes:
         return np.asarray(self.tokenizer.encode(text or "", add_special_tokens=False).ids, "<u4").tobytes()
@@ -76,20 +76,19 @@ def write_token_files(docs: DataFrame, tokenizer_path: str, end_id: int | None,
     """Writes the token files of ``docs(doc_id, text)`` and returns their
     folder.
 
-    Ascending doc_id; rows with equal doc_id stand in order of a text hash.
-    Null and empty texts hold only ``end_id`` (nothing if that is None); rows
-    with a null doc_id raise, as they have no place in the order.  An empty
-    table gives an empty manifest.  Other columns are ignored.  Long texts are
-    encoded whole.
+    Ascending doc_id, rows without one first; rows with equal doc_id stand in
+    order of a text hash.  Null and empty texts hold only ``end_id`` (nothing if
+    that is None).  An empty table gives an empty manifest.  Other columns are
+    ignored.  Long texts are encoded whole.
     """
     spark = docs.sparkSession
     folder = folder or shared_path(spark, "tokens")
     target = local_folder(folder)
     parts = parts or part_count(spark)
-    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("text").alias("salt"),
-                       F.col("text").cast("string").alias("text"))
-    rows = rows.withColumn("doc_id", F.coalesce("doc_id", F.raise_error(F.lit("doc_id is null")).cast("long")))
-    cuts = spark.sparkContext.broadcast(range_cuts(rows, ["doc_id", "salt"], parts))
+    doc_id = F.col("doc_id").cast("long")
+    rows = docs.select(doc_id.isNotNull().cast("int").alias("given"), F.coalesce(doc_id, F.lit(0)).alias("doc_id"),
+                       F.xxhash64("text").alias("salt"), F.col("text").cast("string").alias("text"))
+    cuts = spark.sparkContext.broadcast(range_cuts(rows, ["given", "doc_id", "salt"], parts))
     with open(tokenizer_path, encoding="utf-8") as f:
         spec = spark.sparkContext.broadcast(f.read())
     wide = Tokenizer.from_str(spec.value).get_vocab_size(with_added_tokens=True) > 1 << 16 or (end_id or 0) >= 1 << 16
@@ -101,10 +100,9 @@ def write_token_files(docs: DataFrame, tokenizer_path: str, end_id: int | None,
 
         def out():
             for b in batches:
-                for doc, salt, text in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), b.column(2),
-                                           strict=True):
+                for *key, text in zip(*(b.column(i).to_pylist() for i in range(3)), b.column(3), strict=True):
                     ids = np.frombuffer(enc.encode(text.as_py()) + end, "<u4").astype(kind).tobytes()
-                    yield (part_of(cuts.value, (doc, salt)), doc, salt, ids), len(ids)
+                    yield (part_of(cuts.value, tuple(key)), *key, ids), len(ids)
         yield from emit(_SENT, out())
 
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -122,7 +120,7 @@ def write_token_files(docs: DataFrame, tokenizer_path: str, end_id: int | None,
                 done.append((open_part, f"part-{open_part:05d}-{attempt}", n_docs, n_ids))
 
         for b in batches:
-            for part, doc, ids in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), b.column(3), strict=True):
+            for part, given, doc, ids in zip(*(b.column(i).to_pylist() for i in range(3)), b.column(4), strict=True):
                 if part != open_part:
                     close()
                     open_part, n_docs, n_ids = part, 0, 0
@@ -132,12 +130,12 @@ def write_token_files(docs: DataFrame, tokenizer_path: str, end_id: int | None,
                 ids_file.write(raw)
                 n_ids += len(raw) // np.dtype(kind).itemsize
                 n_docs += 1
-                docs_file.write(np.asarray([doc, n_ids], "<i8").tobytes())
+                docs_file.write(np.asarray([given, doc, n_ids], "<i8").tobytes())
         close()
         yield from emit(_DONE, ((row, 100) for row in done))
 
-    placed = (rows.mapInArrow(encode, "part int, doc_id long, salt long, ids binary")
-              .repartitionById(parts, F.col("part")).sortWithinPartitions("part", "doc_id", "salt")
+    placed = (rows.mapInArrow(encode, "part int, given int, doc_id long, salt long, ids binary")
+              .repartitionById(parts, F.col("part")).sortWithinPartitions("part", "given", "doc_id", "salt")
               .mapInArrow(write, "part int, file string, n_docs long, n_ids long"))
     placed.write.parquet(f"{folder}/written")
     before = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)  # a row a range
@@ -169,12 +167,12 @@ def read_token_files(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def _documents(name: str, first: int, kind: str):
-    docs = np.memmap(name + ".docs", "<i8", "r").reshape(-1, 2)
+    docs = np.memmap(name + ".docs", "<i8", "r").reshape(-1, 3)
     ids = np.memmap(name + ".ids", kind, "r") if os.path.getsize(name + ".ids") else np.empty(0, kind)
     start = 0
-    for doc, end in docs:
+    for given, doc, end in docs:
         own = np.asarray(ids[start:end], "<u4").tobytes()
-        yield (int(doc), first + start, int(end) - start, zlib.crc32(own)), 32
+        yield (int(doc) if given else None, first + start, int(end) - start, zlib.crc32(own)), 32
         start = int(end)
 
 
