@@ -25,6 +25,7 @@ from tessera.llm.common import emit, worker_cache
 CODES = 1 << 14
 NOTHING = 0    # code of two zero bytes: its inputs stay 0, as those of pairs never seen
 DROPPED = 0.3  # share of the positions that training shows as such
+BLANK = 32
 SEGMENT = 64   # longest training window
 BODY = 96      # bytes of a text that are labelled at once
 CONTEXT = 16   # bytes that are read before and behind them
@@ -37,16 +38,17 @@ _SCORED = pa.schema([("doc_id", pa.int64()), ("held_out", pa.bool_()), ("lang_pr
                      ("score", pa.float64())])
 
 
-def codes(data: np.ndarray, starts: np.ndarray) -> np.ndarray:
-    """The network's input at every byte: the byte and the one before it (a
-    blank at ``starts``) as one of ``CODES`` values; pairs of ASCII letters
-    never share one."""
-    before = np.empty_like(data)
-    before[1:] = data[:-1]
-    before[starts[starts < len(data)]] = 32
+def codes(data: np.ndarray, before: np.ndarray) -> np.ndarray:
+    """The network's input at bytes: each with the byte before it as one of
+    ``CODES`` values; pairs of ASCII letters never share one."""
     return ((before.astype(np.intp) << 6) ^ data) & (CODES - 1)
 
 
+def text_codes(raw: np.ndarray) -> np.ndarray:
+    """The codes of one text; a blank stands before it."""
+    return codes(raw, np.concatenate([[BLANK], raw[:-1]]))
+
+
 @dataclass
 class Direction:
     """One gated recurrent layer; units are rows, segments are columns."""
@@ -136,13 +138,14 @@ class ByteNetwork:
         nth = np.arange(len(owner)) - np.repeat(np.cumsum(pieces) - pieces, pieces)
         first = starts[owner] + nth * BODY
         last = np.minimum(first + BODY, ends[owner])
-        read = codes(data, starts)
         for at in range(0, len(owner), SLAB):
             here, begin, end = owner[at:at + SLAB], first[at:at + SLAB], last[at:at + SLAB]
             low, high = np.maximum(begin - CONTEXT, starts[here]), np.minimum(end + CONTEXT, ends[here])
             place = low[None, :] + np.arange(min(int((high - low).max()), BODY + 2 * CONTEXT))[:, None]
             mask, body = place < high[None, :], (place >= begin[None, :]) & (place < end[None, :])
-            x = read[np.minimum(place, high[None, :] - 1)]
+            at_byte = np.minimum(place, high[None, :] - 1)
+            before = np.where(at_byte > starts[here][None, :], data[at_byte - 1], BLANK)
+            x = codes(data[at_byte], before)
             yield here, place, body, self.positions(x, mask.astype(self.out.dtype))
 
     def pooled(self, data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
@@ -182,7 +185,7 @@ def train(windows: list[tuple[bytes, str]], hidden: int = 6, epochs: int = 4, ba
     x, mask = np.zeros((rows, SEGMENT), np.intp), np.zeros((rows, SEGMENT), np.float32)
     for i, (raw, _) in enumerate(windows):
         own = np.frombuffer(raw[:SEGMENT], np.uint8)
-        x[i, :len(own)], mask[i, :len(own)] = codes(own, np.array([0])), 1
+        x[i, :len(own)], mask[i, :len(own)] = text_codes(own), 1
     y = np.array([languages.index(lang) for _, lang in windows])
     weight = (rows / len(languages) / np.bincount(y, minlength=len(languages)))[y].astype(np.float32)
 
