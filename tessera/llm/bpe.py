@@ -333,10 +333,38 @@ def _read(path: str) -> str:
         return f.read()
 
 
+class Both:
+    """Encoder and arc labels of one tokenizer file."""
+
+    def __init__(self, text: str):
+        self.bpe, self.labels = WordBpe(text), ArcLabels(text)
+
+
+def encode_and_decode(docs: DataFrame, tokenizer_path: str) -> DataFrame:
+    """``doc_id, ids, decoded`` per row: ``bpe_decode`` of ``bpe_encode``, both
+    in one Python step, so that a task needs one worker and the ids travel
+    once."""
+    spec = docs.sparkSession.sparkContext.broadcast(_read(tokenizer_path))
+    schema = pa.schema([("doc_id", pa.int64()), ("ids", pa.binary()), ("decoded", pa.string())])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        both = built(Both, spec.value)
+
+        def rows():
+            for batch in batches:
+                for key, text in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
+                    ids = both.bpe.encode(text.as_py())
+                    decoded = both.labels.decode(ids)
+                    yield (key, ids, decoded), len(ids) + len(decoded)
+        yield from emit(schema, rows())
+
+    rows = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
+    return rows.mapInArrow(run, "doc_id long, ids binary, decoded string")
+
+
 def round_trip(docs: DataFrame, tokenizer_path: str) -> DataFrame:
     """Digest of encoding and decoding: ``doc_id, n_tokens, ids_sha256,
     decoded_sha256``."""
-    out = bpe_decode(bpe_encode(docs, tokenizer_path), tokenizer_path)
-    return out.select("doc_id", (F.octet_length("ids") / 4).cast("long").alias("n_tokens"),
-                      F.sha2("ids", 256).alias("ids_sha256"),
-                      F.sha2(F.col("decoded").cast("binary"), 256).alias("decoded_sha256"))
+    return encode_and_decode(docs, tokenizer_path).select(
+        "doc_id", (F.octet_length("ids") / 4).cast("long").alias("n_tokens"), F.sha2("ids", 256).alias("ids_sha256"),
+        F.sha2(F.col("decoded").cast("binary"), 256).alias("decoded_sha256"))

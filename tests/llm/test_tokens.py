@@ -97,6 +97,8 @@ def test_round_trip_rows(spark, library):
                      hashlib.sha256(library.decode(i, skip_special_tokens=False).encode()).hexdigest()))
     assert found == sorted(want)
     assert bpe.round_trip(rows(spark).limit(0), PATH).count() == 0
+    apart = bpe.bpe_decode(bpe.bpe_encode(rows(spark), PATH), PATH).collect()
+    assert sorted(map(tuple, apart)) == sorted(map(tuple, bpe.encode_and_decode(rows(spark), PATH).collect()))
 
 
 @pytest.mark.parametrize("parts", [1, 5])
