@@ -36,9 +36,11 @@ import regex
 from pyspark.sql import DataFrame, functions as F, types as T
 from tokenizers import Tokenizer
 
-from tessera.llm.common import emit, worker_cache
+from tessera.llm.common import emit, give_back, worker_cache
 
 START = -1
+LATEST = 1 << 30  # after every merge
+CACHE_BYTES = 160 << 20  # of known chunks and words that a worker keeps
 # Unicode White_Space; str.split() would also cut at U+001C..U+001F.
 _SPACE = re.compile("[\t-\r \x85\xa0  -     　]+")
 _SEPARATORS = "\x1c\x1d\x1e\x1f"
@@ -56,10 +58,10 @@ class MergeAutomaton:
 
     def __init__(self, vocab: dict[str, int], merges: list[tuple[str, str]], suffix: str,
                  table_limit: int = 200_000):
-        self.vocab, self.suffix, self.table_limit = vocab, suffix, table_limit
-        self.step: dict[int, int] = {}
-        self.left: dict[int, int] = {}
-        self.right: dict[int, int] = {}
+        self.suffix, self.table_limit = suffix, table_limit
+        none = [-1] * (max(vocab.values(), default=-1) + 1)
+        # Of each label: the merge that made it and its two parts; -1 for base symbols.
+        self.step, self.left, self.right = array("i", none), array("i", none), array("i", none)
         self.splits: dict[int, dict[int, int]] = {}
         self.table: dict[int, bool] = {}  # last label << 32 | next one
         self.dead: set[int] = set()
@@ -71,7 +73,7 @@ class MergeAutomaton:
         self.inside = _by_end({s: i for s, i in live.items() if not s.endswith(suffix)})
 
     def _gadget(self, step: int, u: int, v: int, uv: int) -> None:
-        if uv in self.step or max(self.step.get(u, -1), self.step.get(v, -1)) >= step:
+        if self.step[uv] >= 0 or max(self.step[u], self.step[v]) >= step:
             raise ValueError(f"merge {step} makes a token twice or uses a later one")
         if u in self.dead or v in self.dead or not self._arc(u, v):
             self.dead.add(uv)  # no state has the arcs u, v in a row any more
@@ -80,16 +82,16 @@ class MergeAutomaton:
 
     def _arc(self, last: int, label: int) -> bool:
         """Whether the state after ``last`` has an arc ``label``."""
-        state, seen_before = last, None
-        while state is not None:
+        state, seen_before = last, LATEST
+        while state >= 0:
             if own := self.splits.get(state):
-                part, made = label, None
-                while part is not None:
+                part, made = label, LATEST
+                while part >= 0:
                     at = own.get(part)
-                    if at is not None and (seen_before is None or at < seen_before) and (made is None or at <= made):
+                    if at is not None and at < seen_before and at <= made:
                         return False
-                    made, part = self.step.get(part), self.left.get(part)
-            seen_before, state = self.step.get(state), self.right.get(state)
+                    made, part = self.step[part], self.left[part]
+            seen_before, state = self.step[state], self.right[state]
         return True
 
     def goes(self, last: int, label: int) -> bool:
@@ -143,24 +145,30 @@ def _by_end(labels: dict[str, int]) -> dict:
     return root
 
 
-class ChunkCache(dict):
-    """White-space free chunk or word -> its ids as little-endian uint32
-    bytes.  Holds about ``limit`` bytes, then starts afresh."""
+class IdCache(dict):
+    """Ids, as little-endian uint32 bytes, of white-space free chunks (str keys)
+    and of words of byte symbols (bytes keys).  Holds about ``limit`` bytes, in
+    two halves: when the younger one is full it becomes the older one, and
+    what is used again of that moves over."""
 
-    ENTRY = 200  # bytes of an entry besides its texts
+    ENTRY = 180  # bytes of an entry besides its texts
 
-    def __init__(self, encode: Callable[[str], bytes], limit: int):
+    def __init__(self, chunk: Callable[[str], bytes], word: Callable[[str], bytes], limit: int):
         super().__init__()
-        self.encode, self.limit, self.held = encode, limit, 0
-
-    def __missing__(self, chunk: str) -> bytes:
-        out = self.encode(chunk)
-        if len(chunk) <= 100:
-            self.held += self.ENTRY + 2 * len(chunk) + len(out)
-            if self.held > self.limit:
+        self.chunk, self.word, self.half, self.held, self.old = chunk, word, limit // 2, 0, {}
+
+    def __missing__(self, key: str | bytes) -> bytes:
+        out = self.old.get(key)
+        if out is None:
+            out = self.chunk(key) if isinstance(key, str) else self.word(key.decode())
+        if len(key) <= 100:
+            size = self.ENTRY + len(key) + len(out)
+            if self.held + size > self.half:
+                self.old = dict(self)
                 self.clear()
-                self.held = self.ENTRY + 2 * len(chunk) + len(out)
-            self[chunk] = out
+                self.held = 0
+            self.held += size
+            self[key] = out
         return out
 
 
@@ -172,49 +180,51 @@ class ChunkEncoder:
     tables are not those of Python.  ``word`` gives the ids (little-endian
     uint32) of one word of byte symbols."""
 
-    def __init__(self, text: str, word: Callable[[str], bytes], words: int = 32 << 20, chunks: int = 24 << 20):
+    def __init__(self, text: str, word: Callable[[str], bytes], limit: int = CACHE_BYTES):
         spec = json.loads(text)
         self.pieces = regex.compile(check_spec(spec))
         self.special = special_ids(spec)
         self.at_special = special_pattern(self.special)
         library = Tokenizer.from_str(text)
         self.normalize, self.split = library.normalizer.normalize_str, library.pre_tokenizer.pre_tokenize_str
-        self.words = ChunkCache(word, words)
-        self.chunks = ChunkCache(self._chunk, chunks)
+        self.word = word
+        self.known = IdCache(self._chunk, word, limit)
 
     def _chunk(self, chunk: str) -> bytes:
+        known = self.known
         if not chunk.isascii() or not chunk.isprintable():
-            return b"".join([self.words[piece] for piece, _ in self.split(self.normalize(chunk))])
-        chunk = chunk.lower()
+            return b"".join([known[piece.encode()] for piece, _ in self.split(self.normalize(chunk))])
+        low = chunk.lower()
         # Letters, and letters before one other mark, need no matching.
-        if chunk.isalpha():
-            return self.words[chunk]
-        if chunk[:-1].isalpha() and not chunk[-1].isalnum():
-            return self.words[chunk[:-1]] + self.words[chunk[-1]]
-        return b"".join(map(self.words.__getitem__, self.pieces.findall(chunk)))
+        if low.isalpha():
+            return self.word(low) if low == chunk else known[low]
+        if low[:-1].isalpha() and not low[-1].isalnum():
+            return known[low[:-1]] + known[low[-1].encode()]
+        return b"".join([known[p if p.isalpha() else p.encode()] for p in self.pieces.findall(low)])
 
     def encode(self, text: str | None) -> bytes:
         """Ids as little-endian uint32 bytes; null gives none."""
-        return encode_chunks(text, self.chunks, self.special, self.at_special)
+        return encode_chunks(text, self.known, self.special, self.at_special)
 
 
 class WordBpe:
     """Encoder of one tokenizer file by its merge automaton."""
 
-    def __init__(self, text: str):
-        spec = json.loads(text)
+    def __init__(self, text: str, spec: dict | None = None, cache_bytes: int = CACHE_BYTES):
+        spec = spec or json.loads(text)
         model = spec["model"]
         merges = [tuple(m) if isinstance(m, list) else tuple(m.split(" ")) for m in model["merges"]]
         self.automaton = MergeAutomaton(model["vocab"], merges, model["end_of_word_suffix"])
-        self.chunks = ChunkEncoder(text, lambda symbols: uint32_bytes(self.automaton.encode(symbols)))
+        self.chunks = ChunkEncoder(text, lambda symbols: uint32_bytes(self.automaton.encode(symbols)),
+                                   cache_bytes)
         self.encode = self.chunks.encode
 
 
 class ArcLabels(dict):
     """Token id -> arc label, for decoding."""
 
-    def __init__(self, text: str):
-        spec = json.loads(text)
+    def __init__(self, text: str, spec: dict | None = None):
+        spec = spec or json.loads(text)
         check_spec(spec)
         super().__init__({i: s for s, i in spec["model"]["vocab"].items()}
                          | {i: s for s, i in special_ids(spec).items()})
@@ -233,7 +243,7 @@ def special_pattern(special: dict[str, int]) -> re.Pattern | None:
     return re.compile("(" + "|".join(map(re.escape, by_length)) + ")") if by_length else None
 
 
-def encode_chunks(text: str | None, chunks: ChunkCache, special: dict[str, int],
+def encode_chunks(text: str | None, chunks: IdCache, special: dict[str, int],
                   at_special: re.Pattern | None) -> bytes:
     """The ids of a text are those of its white-space free chunks in a row;
     strings of special tokens are cut out first and give their own id."""
@@ -268,9 +278,14 @@ def check_spec(spec: dict) -> str:
     return split["pattern"]["Regex"]
 
 
-def built(kind: type, text: str):
+def built(kind: type, text: str, *options: int):
     """``kind`` made from a tokenizer file, kept by the Python worker."""
-    return worker_cache((kind, text), lambda: kind(text))
+    def make():
+        out = kind(text, *options)
+        give_back()  # what only the building took
+        return out
+
+    return worker_cache((kind, text, options), make)
 
 
 def bpe_encode(docs: DataFrame, tokenizer_path: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -336,19 +351,21 @@ def _read(path: str) -> str:
 class Both:
     """Encoder and arc labels of one tokenizer file."""
 
-    def __init__(self, text: str):
-        self.bpe, self.labels = WordBpe(text), ArcLabels(text)
+    def __init__(self, text: str, cache_bytes: int):
+        spec = json.loads(text)
+        self.bpe, self.labels = WordBpe(text, spec, cache_bytes), ArcLabels(text, spec)
 
 
-def encode_and_decode(docs: DataFrame, tokenizer_path: str) -> DataFrame:
+def encode_and_decode(docs: DataFrame, tokenizer_path: str, cache_bytes: int = CACHE_BYTES) -> DataFrame:
     """``doc_id, ids, decoded`` per row: ``bpe_decode`` of ``bpe_encode``, both
     in one Python step, so that a task needs one worker and the ids travel
-    once."""
+    once.  ``cache_bytes`` bounds what a worker remembers: less takes more time,
+    the result is the same."""
     spec = docs.sparkSession.sparkContext.broadcast(_read(tokenizer_path))
     schema = pa.schema([("doc_id", pa.int64()), ("ids", pa.binary()), ("decoded", pa.string())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        both = built(Both, spec.value)
+        both = built(Both, spec.value, cache_bytes)
 
         def rows():
             for batch in batches:
@@ -362,9 +379,9 @@ def encode_and_decode(docs: DataFrame, tokenizer_path: str) -> DataFrame:
     return rows.mapInArrow(run, "doc_id long, ids binary, decoded string")
 
 
-def round_trip(docs: DataFrame, tokenizer_path: str) -> DataFrame:
+def round_trip(docs: DataFrame, tokenizer_path: str, cache_bytes: int = CACHE_BYTES) -> DataFrame:
     """Digest of encoding and decoding: ``doc_id, n_tokens, ids_sha256,
     decoded_sha256``."""
-    return encode_and_decode(docs, tokenizer_path).select(
+    return encode_and_decode(docs, tokenizer_path, cache_bytes).select(
         "doc_id", (F.octet_length("ids") / 4).cast("long").alias("n_tokens"), F.sha2("ids", 256).alias("ids_sha256"),
         F.sha2(F.col("decoded").cast("binary"), 256).alias("decoded_sha256"))

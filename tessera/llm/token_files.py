@@ -52,7 +52,7 @@ class LibraryEncoder:
         self.tokenizer.no_padding()
         self.model = self.tokenizer.model
         try:
-            self.encode = ChunkEncoder(text, self._word, words=96 << 20, chunks=64 << 20).encode
+            self.encode = ChunkEncoder(text, self._word).encode
         except ValueError:
             self.encode = self._ids
 
