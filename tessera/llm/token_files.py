@@ -31,7 +31,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 from tokenizers import Tokenizer
 
-from tessera.llm.bpe import ChunkEncoder, built, uint32_bytes
+from tessera.llm.bpe import CACHE_BYTES, ChunkEncoder, built, uint32_bytes
 from tessera.llm.common import emit, part_count, part_of, range_cuts, shared_path
 
 _SENT = pa.schema([("part", pa.int32()), ("given", pa.int32()), ("doc_id", pa.int64()), ("salt", pa.int64()),
@@ -52,7 +52,7 @@ class LibraryEncoder:
         self.tokenizer.no_padding()
         self.model = self.tokenizer.model
         try:
-            self.encode = ChunkEncoder(text, self._word).encode
+            self.encode = ChunkEncoder(text, self._word, 2 * CACHE_BYTES).encode
         except ValueError:
             self.encode = self._ids
 
