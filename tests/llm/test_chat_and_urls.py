@@ -20,7 +20,7 @@ def digest(rows):
 @pytest.mark.parametrize("name", sorted(registry.ORACLE))
 def test_queries_against_sql(spark, name):
     con = duckdb.connect()
-    for t in ("pages", "conversations", "documents", "embeddings"):
+    for t in ("pages", "conversations", "documents", "embeddings", "benchmark"):
         con.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{DATA}/{t}.parquet')")
     want = con.execute(registry.ORACLE[name])
     columns = [c[0] for c in want.description]
