@@ -11,32 +11,38 @@ then searches the other blocks and gives all items above the threshold.  Hits ar
 question (all sentences but the last) and the answer (the last one) must each
 be found in the passage by ``verify`` of their five-word runs.
 
-The index goes to the tasks.  Items are cut into shards of at most
-``shard_bytes`` of text; each shard is a query set of known size that is held
-against all rows, so a benchmark of any size is never broadcast whole.  Term
-counts are taken over all items.
+The index is made by Spark and never passes through the driver.  Items are
+cut into shards of about ``shard_bytes`` of text; term counts, weights and
+posting lists come from grouped aggregates over all items and are stored by
+shard in the checkpoint folder.  The texts are read once: a task takes a block
+of them through all shards and holds one shard at a time.
 """
 
 from __future__ import annotations
 
-import math
 import re
 from bisect import bisect_left
-from collections.abc import Iterator
+from collections import Counter
+from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
 from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, functions as F
+import pyarrow.parquet as pq
+from pyspark.sql import DataFrame, Window, functions as F
 
-from tessera.llm.common import emit, without_ids, worker_cache
+from tessera.functions.files import filesystem_for, qualify
+from tessera.llm.common import emit, shared_path, stored, without_ids, worker_cache
 
 _WORD = re.compile(r"[^\W_]+")
 _SENTENCE = re.compile(r"(?<=[.!?])\s+|\n+")
 K1, B, RUN = 1.2, 0.75, 5
 BLOCKS = 64  # at most, of at least 4 items
-_TERMS = pa.schema([("term", pa.string())])
+COMMON = 24  # words by which items of a kind are put together
+TEXT_BLOCK = 32 << 20  # bytes of texts that are held against one shard after the other
+_COUNTED = pa.schema([("item_id", pa.int64()), ("text", pa.string()), ("n", pa.int64()),
+                      ("terms", pa.list_(pa.string())), ("tf", pa.list_(pa.int64()))])
 _FOUND = pa.schema([("doc_id", pa.int64()), ("item_id", pa.int64()), ("score", pa.float64()),
                     ("question_overlap", pa.float64()), ("answer_overlap", pa.float64())])
 
@@ -68,32 +74,22 @@ class Postings:
 
 
 class BlockMaxIndex:
-    """Inverted index of items (id, text)."""
-
-    def __init__(self, items: list[tuple[int, str]], counts: dict[str, int], total: int, mean: float):
-        common = sorted(counts, key=lambda w: (-counts[w], w))[:24]
-        parted = [(i, t, words_of(t)) for i, t in items]
-        parted.sort(key=lambda r: [w in r[2] for w in common])  # items of a kind stand together
-        self.ids = [i for i, _, _ in parted]
-        self.parts = [question_and_answer(t) for _, t, _ in parted]
-        self.longest = max(len(w) for _, _, w in parted)
-        lists: dict[str, list[tuple[int, float]]] = {}
-        for at, (_, _, words) in enumerate(parted):
-            tf: dict[str, int] = {}
-            for w in words:
-                tf[w] = tf.get(w, 0) + 1
-            weight = {w: math.log(1 + (total - counts[w] + 0.5) / (counts[w] + 0.5)) * n * (K1 + 1)
-                      / (n + K1 * (1 - B + B * len(words) / mean)) for w, n in tf.items()}
-            whole = sum(weight.values())
-            for w, s in weight.items():
-                lists.setdefault(w, []).append((at, s / whole))
-        self.number = {w: i for i, w in enumerate(lists)}
-        self.postings = [Postings([d for d, _ in r], [s for _, s in r], max(s for _, s in r)) for r in lists.values()]
-        self.block = max(4, -(-len(parted) // BLOCKS))
-        self.tops = np.zeros((len(lists) + 1, -(-len(parted) // self.block)), np.float32)  # last: unknown words
+    """Inverted index of items (id, text); ``lists`` has for each term the
+    positions of the items that hold it, increasing, and their scores."""
+
+    def __init__(self, items: list[tuple[int, str]], lists: Iterable[tuple[str, list[int], list[float]]]):
+        self.ids = [i for i, _ in items]
+        self.parts = [question_and_answer(t) for _, t in items]
+        self.longest = max(len(words_of(t)) for _, t in items)
+        self.number, self.postings = {}, []
+        for term, at, scores in lists:
+            self.number[term] = len(self.postings)
+            self.postings.append(Postings(at, scores, max(scores)))
+        self.block = max(4, -(-len(items) // BLOCKS))
+        # Largest scores by term and block; the last row is that of unknown words.
+        self.tops = np.zeros((len(self.postings) + 1, -(-len(items) // self.block)), np.float32)
         for term, p in enumerate(self.postings):
-            for item, score in zip(p.items, p.scores, strict=True):
-                self.tops[term, item // self.block] = max(self.tops[term, item // self.block], score)
+            np.maximum.at(self.tops[term], np.asarray(p.items) // self.block, p.scores)
 
     def search(self, terms: list[int], threshold: float, live: np.ndarray) -> list[tuple[int, float]]:
         """All items whose score is at least ``threshold``; ``live`` marks the
@@ -176,35 +172,66 @@ def _advance(cursor: list, item: float) -> bool:
     return True
 
 
-def index_shards(benchmark: DataFrame, shard_bytes: int) -> Iterator[BlockMaxIndex]:
-    """Indexes of the items, cut by size; term counts are of all items."""
-    items = benchmark.select(F.col("item_id").cast("long").alias("item_id"), F.col("text").cast("string")
-                             .alias("text")).where(F.col("text").isNotNull())
+def _counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Items that hold a word, with their word counts."""
+    def rows():
+        for b in batches:
+            for item, text in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True):
+                if tf := Counter(words_of(text)):
+                    yield (item, text, tf.total(), list(tf), list(tf.values())), 2 * len(text)
+    yield from emit(_COUNTED, rows())
 
-    def terms(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        def out():
-            for b in batches:
-                for text in b.column(0).to_pylist():
-                    for w in {*words_of(text)}:
-                        yield (w,), len(w)
-        yield from emit(_TERMS, out())
 
-    def sizes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            yield pa.record_batch([pa.array([len(words_of(t)) for t in b.column(0).to_pylist()], pa.int64())], ["n"])
-
-    size = items.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-    shards = max(1, -(-size // shard_bytes))
-    total, mean = items.select("text").mapInArrow(sizes, "n long").where("n > 0").agg(F.count("*"), F.avg("n")).first()
-    counts = items.select("text").mapInArrow(terms, "term string").groupBy("term").agg(F.count("*").alias("n"))
-    for shard in range(shards):
-        own = items.where(F.pmod(F.xxhash64("item_id", "text"), F.lit(shards)) == shard)
-        # At most about shard_bytes of items and of their terms.
-        rows = [(r["item_id"], r["text"]) for r in own.orderBy("item_id", "text").collect() if words_of(r["text"])]
-        used = own.select("text").mapInArrow(terms, "term string").distinct()
-        known = {r["term"]: r["n"] for r in counts.join(used, "term", "left_semi").collect()}
-        if rows:
-            yield BlockMaxIndex(rows, known, total, mean)
+def store_index(benchmark: DataFrame, shard_bytes: int) -> tuple[str, list[int]]:
+    """Stores the index of ``benchmark(item_id, text)`` and returns its folder
+    and the numbers of its shards.
+
+    ``items/shard=K`` holds the distinct items (``at, item_id, text``) and
+    ``lists/shard=K`` their posting lists (``term, at, score``), ``at`` the
+    item's position in the shard.  Counts are of all rows.  The driver gets
+    three totals, ``COMMON`` words and the shards' numbers.
+    """
+    path = qualify(shared_path(benchmark.sparkSession, "leak-index"), benchmark.sparkSession)
+    items = benchmark.select(F.col("item_id").cast("long").alias("item_id"), F.col("text").cast("string").alias("text"))
+    items = stored(items.where("text IS NOT NULL").mapInArrow(
+        _counted, "item_id long, text string, n long, terms array<string>, tf array<long>"), "items")
+    size, total, mean = items.agg(F.sum(F.octet_length("text")), F.count("*"), F.avg("n")).first()
+    if not total:
+        return path, []
+    counts = stored(items.select(F.explode("terms").alias("term")).groupBy("term").agg(F.count("*").alias("df")),
+                    "counts")
+    common = [r["term"] for r in counts.orderBy(F.desc("df"), "term").limit(COMMON).collect()]
+    kind = F.array(*[F.array_contains("terms", w) for w in common])
+    shard = F.pmod(F.xxhash64("item_id", "text"), F.lit(-(-size // shard_bytes))).cast("int")
+    order = Window.partitionBy("shard").orderBy(kind, "item_id", "text")  # a shard is bounded
+    items = stored(items.dropDuplicates(["item_id", "text"]).withColumn("shard", shard)
+                   .withColumn("at", F.row_number().over(order) - 1), "items")
+    tf, df = F.col("tf"), F.col("df")
+    weight = F.log(1 + (total - df + 0.5) / (df + 0.5)) * tf * (K1 + 1) / (tf + K1 * (1 - B + B * F.col("n") / mean))
+    terms = items.select("shard", "at", "n", F.inline(F.arrays_zip(F.col("terms").alias("term"), "tf")))
+    held = (terms.join(counts, "term").groupBy("shard", "at")
+            .agg(F.sort_array(F.collect_list(F.struct("term", weight.alias("w")))).alias("held")))
+    whole = F.aggregate("held", F.lit(0.0), lambda sum_, h: sum_ + h["w"])
+    lists = (held.withColumn("whole", whole).select("shard", "at", "whole", F.inline("held"))
+             .groupBy("shard", "term").agg(F.sort_array(F.collect_list(F.struct("at", (F.col("w") / F.col("whole"))
+                                                                                .alias("score")))).alias("list"))
+             .select("shard", "term", F.col("list.at").alias("at"), F.col("list.score").alias("score")))
+    part = F.pmod(F.xxhash64("term"), F.lit(4))  # at most four files a shard
+    lists.repartition("shard", part).write.partitionBy("shard").parquet(f"{path}/lists")
+    items.select("shard", "at", "item_id", "text").repartition("shard").write.partitionBy("shard").parquet(f"{path}/items")
+    return path, sorted(r["shard"] for r in items.select("shard").distinct().collect())
+
+
+def load_index(path: str, shard: int) -> BlockMaxIndex:
+    """A shard's index, read inside a task."""
+    fs, at = filesystem_for(path)
+
+    def table(name: str, key: str) -> list[list]:
+        got = pq.read_table(f"{at}/{name}/shard={shard}", filesystem=fs, partitioning=None, use_threads=False)
+        return [c.to_pylist() for c in got.sort_by(key).columns]
+
+    _, ids, texts = table("items", "at")
+    return BlockMaxIndex(list(zip(ids, texts, strict=True)), zip(*table("lists", "term"), strict=True))
 
 
 def find_leaks(docs: DataFrame, benchmark: DataFrame, threshold: float = 0.6, verify: float = 0.8,
@@ -218,46 +245,58 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, threshold: float = 0.6, ve
     reported as null; an item without an answer has null there.  Whole texts
     are searched; other columns are ignored.
     """
-    spark = docs.sparkSession
-    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    found = spark.createDataFrame([], "doc_id long, item_id long, score double, question_overlap double, "
-                                      "answer_overlap double")
-    for index in index_shards(benchmark, shard_bytes):
-        found = found.unionByName(_search(rows, index, threshold, verify))
-    best = F.max(F.struct("score", "question_overlap", "answer_overlap")).alias("b")
-    return found.groupBy("doc_id", "item_id").agg(best).select("doc_id", "item_id", "b.*")
-
-
-def _search(rows: DataFrame, index: BlockMaxIndex, threshold: float, verify: float) -> DataFrame:
-    shared = rows.sparkSession.sparkContext.broadcast(index)
+    path, shards = store_index(benchmark, shard_bytes)
+    least = TEXT_BLOCK if len(shards) > 1 else 0
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        own = shared.value
-        worker_cache("passages", lambda: None)  # lets go of other operators' words
-        unknown = len(own.postings)
-
         def out():
-            for b in batches:
-                for doc, text in zip(b.column(0).to_pylist(), b.column(1), strict=True):
-                    words = words_of(text.as_py())
-                    if not words:
-                        continue
-                    numbers = np.fromiter(map(own.number.get, words, repeat(unknown)), np.int64, len(words))
-                    for start, end, terms, live in own.passages(numbers, threshold):
-                        hits = own.search(terms, threshold, live)
-                        if not hits:
-                            continue
-                        here = runs(words[start:end]) | _short_runs(words[start:end], own, hits)
-                        for item, score in hits:
-                            question, answer = own.parts[item]
-                            q = len(question & here) / len(question)
-                            a = len(answer & here) / len(answer) if answer else None
-                            if q >= verify and (a is None or a >= verify):
-                                yield (doc, own.ids[item], score, q, a), 64
+            for block in _gathered(batches, least):
+                for shard in shards:
+                    index = worker_cache(("leaks", path, shard), lambda shard=shard: load_index(path, shard))
+                    for b in block:
+                        for doc, text in zip(b.column(0).to_pylist(), b.column(1), strict=True):
+                            for hit in _leaks(words_of(text.as_py()), index, threshold, verify):
+                                yield (doc, *hit), 64
         yield from emit(_FOUND, out())
 
-    return rows.mapInArrow(run, "doc_id long, item_id long, score double, question_overlap double, "
-                                "answer_overlap double")
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
+    found = rows.mapInArrow(run, "doc_id long, item_id long, score double, question_overlap double, "
+                                 "answer_overlap double")
+    best = F.max(F.struct("score", "question_overlap", "answer_overlap")).alias("b")
+    return found.groupBy("doc_id", "item_id").agg(best).select("doc_id", "item_id", "b.*")
+
+
+def _gathered(batches: Iterator[pa.RecordBatch], least: int) -> Iterator[list[pa.RecordBatch]]:
+    """Batches in lists of at least ``least`` bytes."""
+    block, size = [], 0
+    for b in batches:
+        block.append(b)
+        size += b.nbytes
+        if size >= least:
+            yield block
+            block, size = [], 0
+    if block:
+        yield block
+
+
+def _leaks(words: list[str], index: BlockMaxIndex, threshold: float, verify: float
+           ) -> Iterator[tuple[int, float, float, float | None]]:
+    """(item_id, score, question overlap, answer overlap) of the verified hits
+    of a text's passages."""
+    if not words:
+        return
+    numbers = np.fromiter(map(index.number.get, words, repeat(len(index.postings))), np.int64, len(words))
+    for start, end, terms, live in index.passages(numbers, threshold):
+        hits = index.search(terms, threshold, live)
+        if not hits:
+            continue
+        here = runs(words[start:end]) | _short_runs(words[start:end], index, hits)
+        for item, score in hits:
+            question, answer = index.parts[item]
+            q = len(question & here) / len(question)
+            a = len(answer & here) / len(answer) if answer else None
+            if q >= verify and (a is None or a >= verify):
+                yield index.ids[item], score, q, a
 
 
 def _short_runs(words: list[str], index: BlockMaxIndex, hits: list[tuple[int, float]]) -> set[tuple[str, ...]]:

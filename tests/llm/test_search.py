@@ -219,9 +219,39 @@ def test_audit_weighs_vectors_not_links(spark):
 
 # --- benchmark leaks -----------------------------------------------------------
 
+def lists_of(items):
+    """Posting lists by the formula: shares of an item's BM25 weight."""
+    words = [Counter(dec.words_of(t)) for _, t in items]
+    counts, mean = Counter(w for tf in words for w in tf), sum(tf.total() for tf in words) / len(items)
+    lists = {}
+    for at, tf in enumerate(words):
+        weight = {w: math.log(1 + (len(items) - counts[w] + 0.5) / (counts[w] + 0.5)) * n * 2.2
+                  / (n + 1.2 * (0.25 + 0.75 * tf.total() / mean)) for w, n in tf.items()}
+        for w in tf:
+            at_, scores = lists.setdefault(w, ([], []))
+            at_.append(at)
+            scores.append(weight[w] / sum(weight.values()))
+    return lists
+
+
 def index_of(items):
-    counts = Counter(w for _, t in items for w in set(dec.words_of(t)))
-    return dec.BlockMaxIndex(items, counts, len(items), sum(len(dec.words_of(t)) for _, t in items) / len(items))
+    return dec.BlockMaxIndex(items, [(w, *r) for w, r in lists_of(items).items()])
+
+
+@pytest.mark.parametrize("shard_bytes", [1 << 20, 2000])
+def test_stored_index_by_the_formula(spark, shard_bytes):
+    items = spark.read.parquet("/root/testdata/sf0.01/benchmark.parquet")
+    rows = [(r.item_id, r.text) for r in items.collect()]
+    want = {(rows[at][0], w): s for w, r in lists_of(rows).items() for at, s in zip(*r)}
+    path, shards = dec.store_index(items, shard_bytes)
+    assert len(shards) == 1 if shard_bytes > 2000 else len(shards) > 3
+    got = {}
+    for index in (dec.load_index(path, k) for k in shards):
+        for w, n in index.number.items():
+            p = index.postings[n]
+            assert p.items == sorted(p.items) and p.bound == max(p.scores)
+            got |= {(index.ids[at], w): s for at, s in zip(p.items, p.scores, strict=True)}
+    assert got.keys() == want.keys() and all(abs(got[k] - want[k]) < 1e-12 for k in want)
 
 
 def test_wand_finds_all_above_the_threshold():
