@@ -10,8 +10,8 @@ Plan shape:
   sorted and counted inside its row with built-in array functions (sort, then
   run lengths): no shuffle.  For a table with one row per document it equals
   ``term_counts``.
-* ``term_counts`` - the same summed by (word, document), for tables that may
-  repeat an id: one shuffle of the row counts, reduced map-side.
+* ``term_counts`` - words summed by (word, document), for tables that may
+  repeat an id: one shuffle, reduced map-side.
 * ``posting_lists`` - distinct words per row, then one shuffle on
   ``(word, block)`` into sets of ids, which drop repeated ids map-side.
 * ``posting_lists_with_counts`` - row counts to their list by ``(word,
@@ -70,8 +70,9 @@ def term_counts(docs: DataFrame, doc_col: str = "doc_id", text_col: str = "text"
                 sep: str = " ") -> DataFrame:
     """``(word, doc_id, n)``: how often each word occurs in each document,
     over all rows with its id."""
-    return (row_term_counts(docs, doc_col, text_col, sep)
-            .groupBy("word", "doc_id").agg(F.sum("n").alias("n")))
+    words = docs.where(F.col(text_col).isNotNull() & F.col(doc_col).isNotNull()).select(
+        F.explode(F.split(F.col(text_col), re.escape(sep), -1)).alias("word"), F.col(doc_col).alias("doc_id"))
+    return words.groupBy("word", "doc_id").agg(F.sum(F.lit(1).cast("long")).alias("n"))
 
 
 def block_of(doc: F.Column, block_size: int) -> F.Column:

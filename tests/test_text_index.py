@@ -125,3 +125,13 @@ def test_id_types_are_kept(spark):
     docs = spark.createDataFrame([(1, "a"), (2, "a")], "doc_id int, text string")
     assert ti.posting_lists(docs).schema["doc_ids"].dataType.simpleString() == "array<int>"
     assert dict(ti.posting_lists_with_counts(docs).dtypes)["postings"] == "array<struct<doc_id:int,n:bigint>>"
+
+
+def _plan(df):
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_term_counts_sum_words_as_they_come(spark):
+    docs = _docs(spark)
+    plan = _plan(ti.term_counts(docs))
+    assert "lambda" not in plan and "partial_sum" in plan and "sort_array" not in plan
