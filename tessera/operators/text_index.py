@@ -6,18 +6,20 @@ Rows without an id belong to no document and are left out.
 
 Plan shape:
 
-* ``row_term_counts`` - ``(word, doc_id, n)`` per row.  A document's words are
-  sorted and counted inside its row with built-in array functions (sort, then
-  run lengths): no shuffle.  For a table with one row per document it equals
-  ``term_counts``.
+* ``row_term_counts`` - ``(word, doc_id, n)`` per row.  The rows of a batch are
+  split and counted together in Arrow, a few MB of text at a time: no shuffle.
+  For a table with one row per document it equals ``term_counts``.
 * ``term_counts`` - words summed by (word, document), for tables that may
   repeat an id: one shuffle, reduced map-side.
-* ``posting_lists`` - distinct words per row, then one shuffle on
-  ``(word, block)`` into sets of ids, which drop repeated ids map-side.
+* ``posting_lists`` - distinct words per row, then one shuffle on ``(word,
+  block)``; if ids repeat, into sets of ids, which drop them map-side.
 * ``posting_lists_with_counts`` - row counts to their list by ``(word,
   block)``; if ids repeat, first summed by (word, document), in part in the map
   tasks, so a word in a million rows of one id reaches its list as one entry.
 
+Where no (word, document) comes twice, the rows of a list are sorted side by
+side and cut out of the batches (``_gathered``).
+
 A posting list is cut into blocks of document ids ``[block * block_size,
 (block + 1) * block_size)``, so one array never holds more than ``block_size``
 entries, however common the word or repeated the id is.  Ids that are not
@@ -30,7 +32,11 @@ text, not a pattern.
 from __future__ import annotations
 
 import re
+from collections.abc import Iterable, Iterator
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, functions as F, types as T
 
 from tessera.operators.ranking import exclusive_prefix_sum
@@ -43,27 +49,39 @@ def _is_integral(docs: DataFrame, doc_col: str) -> bool:
                       (T.ByteType, T.ShortType, T.IntegerType, T.LongType))
 
 
+CHUNK_BYTES = 4 << 20  # texts that are counted at once
+
+
+def _chunks(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The rows in pieces of about ``CHUNK_BYTES`` of text."""
+    for batch in batches:
+        ends = np.cumsum(pc.binary_length(batch.column(1)).to_numpy(zero_copy_only=False).astype(np.int64))
+        piece = ends // CHUNK_BYTES
+        cuts = [0, *(np.flatnonzero(np.diff(piece)) + 1).tolist(), batch.num_rows] if len(ends) else []
+        for a, b in zip(cuts, cuts[1:]):
+            yield batch.slice(a, b - a)
+
+
 def row_term_counts(docs: DataFrame, doc_col: str = "doc_id", text_col: str = "text",
                     sep: str = " ") -> DataFrame:
     """``(word, doc_id, n)``: how often each word occurs in each row."""
-    # A NULL text has no words (and never reaches size(), which is -1 for
-    # NULL in sessions without ANSI mode).
-    docs = docs.select(doc_col, text_col).where(F.col(text_col).isNotNull() & F.col(doc_col).isNotNull())
-    sorted_words = docs.select(
-        F.col(doc_col).alias("doc_id"),
-        F.sort_array(F.split(F.col(text_col), re.escape(sep), -1)).alias("w"))
-    w = F.col("w")
-    # 0-based positions where a run of equal words starts.
-    runs = sorted_words.select(
-        "doc_id", "w",
-        F.filter(F.sequence(F.lit(0), F.size(w) - 1),
-                 lambda i: (i == 0) | (F.get(w, i) != F.get(w, i - 1))).alias("starts"))
-    starts, size = F.col("starts"), F.size(F.col("w"))
-    pairs = F.transform(starts, lambda s, j: F.struct(
-        F.get(w, s).alias("word"),
-        (F.coalesce(F.get(starts, j + 1), size) - s).cast("long").alias("n")))
-    return (runs.select("doc_id", F.explode(pairs).alias("p"))
-                .select(F.col("p.word").alias("word"), "doc_id", F.col("p.n").alias("n")))
+    docs = docs.select(F.col(doc_col).alias("doc_id"), F.col(text_col).alias("text")).where(
+        F.col("text").isNotNull() & F.col("doc_id").isNotNull())
+
+    def count(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for rows in _chunks(batches):
+            lists = pc.split_pattern(rows.column(1), sep)
+            words = lists.flatten().dictionary_encode()
+            row = np.repeat(np.arange(len(lists)), pc.list_value_length(lists).to_numpy(zero_copy_only=False))
+            distinct = len(words.dictionary)
+            pairs, n = np.unique(row * distinct + words.indices.to_numpy(), return_counts=True)
+            yield pa.RecordBatch.from_arrays(
+                [words.dictionary.take(pa.array(pairs % distinct)), rows.column(0).take(pa.array(pairs // distinct)),
+                 pa.array(n, pa.int64())], names=["word", "doc_id", "n"])
+
+    id_type = docs.schema["doc_id"].dataType
+    return docs.mapInArrow(count, T.StructType([T.StructField("word", T.StringType()), T.StructField("doc_id", id_type),
+                                                T.StructField("n", T.LongType())]))
 
 
 def term_counts(docs: DataFrame, doc_col: str = "doc_id", text_col: str = "text",
@@ -117,6 +135,49 @@ def _named(lists: DataFrame, names: DataFrame, few: bool, block_size: int, colum
         e, lambda key: F.get(F.col("_names"), (key - F.col("block") * block_size).cast("int"))))).drop("_b", "_names")
 
 
+def _repeats(rows: DataFrame) -> bool:
+    """Whether a key has more than one row."""
+    return not rows.groupBy("key").count().where("count > 1").isEmpty()
+
+
+def _gathered(rows: DataFrame, column: str, kind: str) -> DataFrame:
+    """``(word, block, column)`` of ``rows(word, key, [n,] block)``: the keys of
+    each word and block as one sorted list, with their counts if there are any.
+    Rows are dealt by word and block and sorted, so a list's rows lie side by
+    side and are cut out as they come; a task holds one list at a time."""
+    counted = "n" in rows.columns
+
+    def lists(rows: pa.RecordBatch, starts: np.ndarray, size: int) -> pa.RecordBatch:
+        keys = rows.column(2).slice(0, size)
+        values = pa.StructArray.from_arrays([keys, rows.column(3).slice(0, size)], ["doc_id", "n"]) if counted else keys
+        first = pa.array(starts)
+        return pa.RecordBatch.from_arrays(
+            [rows.column(0).take(first), rows.column(1).take(first),
+             pa.ListArray.from_arrays(pa.array(np.append(starts, size), pa.int32()), values)], names=["word", "block", column])
+
+    def cut(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[pa.RecordBatch] = []  # rows of one list, which may go on
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            if held and all(batch.column(c)[-1] == held[0].column(c)[0] for c in (0, 1)):
+                held.append(batch)
+                continue
+            whole = pa.Table.from_batches([*held, batch]).combine_chunks().to_batches()[0]
+            word, block = whole.column(0), whole.column(1).to_numpy()
+            other = pc.not_equal(word.slice(1), word.slice(0, len(word) - 1)).to_numpy(zero_copy_only=False)
+            starts = np.append(0, np.flatnonzero(other | (np.diff(block) != 0)) + 1)
+            if len(starts) > 1:
+                yield lists(whole, starts[:-1], int(starts[-1]))
+            held = [whole.slice(int(starts[-1]))]
+        if held:
+            whole = pa.Table.from_batches(held).combine_chunks().to_batches()[0]
+            yield lists(whole, np.zeros(1, np.int64), whole.num_rows)
+
+    dealt = rows.select("word", "block", "key", *(["n"] if counted else [])).repartition("word", "block")
+    return dealt.sortWithinPartitions("word", "block", "key").mapInArrow(cut, f"word string, block long, {column} {kind}")
+
+
 def posting_lists(docs: DataFrame, doc_col: str = "doc_id", text_col: str = "text",
                   block_size: int = DEFAULT_BLOCK_SIZE, sep: str = " ") -> DataFrame:
     """``(word, block, doc_ids)``: sorted, distinct ids of documents holding
@@ -141,16 +202,15 @@ def posting_lists_with_counts(docs: DataFrame, doc_col: str = "doc_id", text_col
     counts go to their lists at once; a look at the ids alone tells."""
     rows, names, few = _keyed(docs, doc_col, text_col)
     counts = row_term_counts(rows, "key", "text", sep).withColumnRenamed("doc_id", "key")
-    if not rows.groupBy("key").count().where("count > 1").isEmpty():
+    if _repeats(rows):
         counts = counts.groupBy("word", "key").agg(F.sum("n").alias("n"))
-    lists = counts.groupBy("word", block_of(F.col("key"), block_size).alias("block")).agg(
-        F.sort_array(F.collect_list(F.struct(F.col("key").alias("doc_id"), "n"))).alias("postings"))
+    lists = _gathered(counts.select("word", "key", "n", block_of(F.col("key"), block_size).alias("block")), "postings",
+                      "array<struct<doc_id:long,n:long>>")
     if names is not None:
         return _named(lists, names, few, block_size, "postings", lambda e, name: F.struct(
             name(e["doc_id"]).alias("doc_id"), e["n"].alias("n")))
     id_type = docs.schema[doc_col].dataType
-    return lists.withColumn("postings", F.transform("postings", lambda e: F.struct(
-        e["doc_id"].cast(id_type).alias("doc_id"), e["n"].alias("n"))))
+    return lists.withColumn("postings", F.col("postings").cast(f"array<struct<doc_id:{id_type.simpleString()},n:bigint>>"))
 
 
 def merge_posting_lists(a: F.Column, b: F.Column) -> F.Column:
@@ -165,5 +225,5 @@ def render_ids(ids: F.Column) -> F.Column:
 
 def render_postings(postings: F.Column) -> F.Column:
     """``[(0, 2), (1, 1)]`` -> ``'0:2,1:1'``."""
-    return F.array_join(F.transform(postings, lambda p: F.concat(
-        p["doc_id"].cast("string"), F.lit(":"), p["n"].cast("string"))), ",")
+    ids, counts = postings["doc_id"].cast("array<string>"), postings["n"].cast("array<string>")
+    return F.array_join(F.zip_with(ids, counts, lambda doc, n: F.concat(doc, F.lit(":"), n)), ",")

@@ -1,3 +1,4 @@
+import pyarrow as pa
 from pyspark.sql import functions as F
 
 from tessera.operators import text_index as ti
@@ -135,3 +136,34 @@ def test_term_counts_sum_words_as_they_come(spark):
     docs = _docs(spark)
     plan = _plan(ti.term_counts(docs))
     assert "lambda" not in plan and "partial_sum" in plan and "sort_array" not in plan
+
+
+def test_row_counts_come_from_pieces_of_a_batch(spark, monkeypatch):
+    """Counted batch by batch, not with lambdas word by word; pieces of any size give the same."""
+    assert "lambda" not in _plan(ti.row_term_counts(_docs(spark)))
+    rows = pa.record_batch([pa.array([5, 5, 6, 7]), pa.array(["b a b", "", "a", "  é"])], names=["doc_id", "text"])
+    for size in (1, 4, 1 << 20):
+        monkeypatch.setattr(ti, "CHUNK_BYTES", size)
+        assert sum(p.num_rows for p in ti._chunks([rows, rows.slice(0, 0)])) == 4
+    docs = _docs(spark, [(5, "b a b"), (5, ""), (6, "a"), (7, "  é"), (8, None), (None, "a")])
+    assert sorted(tuple(r) for r in ti.row_term_counts(docs).collect()) == [
+        ("", 5, 1), ("", 7, 2), ("a", 5, 1), ("a", 6, 1), ("b", 5, 2), ("é", 7, 1)]
+
+
+def test_lists_are_cut_from_sorted_rows(spark):
+    """Lists over many batches, and many in one, without an aggregate."""
+    old = spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")
+    try:
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "3")
+        docs = _docs(spark, [(i, "hot hot " + f"w{i % 4}") for i in range(40)])
+        for lists, column, of in ((ti.posting_lists_with_counts, "postings", tuple),):
+            df = lists(docs, block_size=16)
+            assert "ObjectHashAggregate" not in _plan(df)
+            got = {(r.word, r.block): [of(e) for e in r[column]] for r in df.collect()}
+            want = {}
+            for i in range(40):
+                for word, n in (("hot", 2), (f"w{i % 4}", 1)):
+                    want.setdefault((word, i // 16), []).append(i if column == "doc_ids" else (i, n))
+            assert got == want
+    finally:
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", old)
