@@ -185,8 +185,11 @@ def posting_lists(docs: DataFrame, doc_col: str = "doc_id", text_col: str = "tex
     rows, names, few = _keyed(docs, doc_col, text_col)
     words = rows.where(F.col("text").isNotNull()).select(
         "key", F.explode(F.array_distinct(F.split("text", re.escape(sep), -1))).alias("word"))
-    lists = words.groupBy("word", block_of(F.col("key"), block_size).alias("block")).agg(
-        F.sort_array(F.collect_set("key")).alias("doc_ids"))
+    blocks = words.withColumn("block", block_of(F.col("key"), block_size))
+    if _repeats(rows):
+        lists = blocks.groupBy("word", "block").agg(F.sort_array(F.collect_set("key")).alias("doc_ids"))
+    else:
+        lists = _gathered(blocks, "doc_ids", "array<long>")
     if names is not None:
         return _named(lists, names, few, block_size, "doc_ids", lambda e, name: name(e))
     return lists.withColumn("doc_ids", F.col("doc_ids").cast(T.ArrayType(docs.schema[doc_col].dataType)))

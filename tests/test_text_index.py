@@ -156,7 +156,7 @@ def test_lists_are_cut_from_sorted_rows(spark):
     try:
         spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "3")
         docs = _docs(spark, [(i, "hot hot " + f"w{i % 4}") for i in range(40)])
-        for lists, column, of in ((ti.posting_lists_with_counts, "postings", tuple),):
+        for lists, column, of in ((ti.posting_lists, "doc_ids", lambda e: e), (ti.posting_lists_with_counts, "postings", tuple)):
             df = lists(docs, block_size=16)
             assert "ObjectHashAggregate" not in _plan(df)
             got = {(r.word, r.block): [of(e) for e in r[column]] for r in df.collect()}
