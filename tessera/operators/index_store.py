@@ -81,13 +81,14 @@ def merge_indexes(*indexes: DataFrame, block_size: int = DEFAULT_BLOCK_SIZE) ->
                               .otherwise(merged).alias(column))
     ordered = grouped.withColumn("_all", F.when(F.size("_lists") == 1, F.get("_lists", F.lit(0)))
                                  .otherwise(F.sort_array(F.flatten("_lists"))))
-    starts = ordered.withColumn("_starts", _starts(F.col("_all"), lambda a, b: a["doc_id"] != b["doc_id"]))
+    ids = F.col("_all")["doc_id"]
+    once = (F.size("_lists") == 1) | (F.size(F.array_distinct(ids)) == F.size(ids))
+    starts = ordered.withColumn("_starts", F.when(~once, _starts(F.col("_all"), lambda a, b: a["doc_id"] != b["doc_id"])))
     summed = F.transform("_starts", lambda s, j: F.struct(
         F.get("_all", s)["doc_id"].alias("doc_id"),
         F.aggregate(F.slice("_all", s + 1, F.coalesce(F.get("_starts", j + 1), F.size("_all")) - s),
                     F.lit(0).cast("long"), lambda n, e: n + e["n"]).alias("n")))
-    whole = F.size("_starts") == F.size("_all")
-    return starts.select("word", "block", F.when(whole, F.col("_all")).otherwise(summed).alias(column))
+    return starts.select("word", "block", F.when(F.col("_starts").isNull(), F.col("_all")).otherwise(summed).alias(column))
 
 
 # --- compact form ------------------------------------------------------------------

@@ -112,3 +112,11 @@ def test_index_merge_command(spark, tmp):
     assert main(["index", f"{tmp}/b", f"{tmp}/ib", "--counts", "--block-size", "100", "--onto", f"{tmp}/ia"]) == 0
     want = ti.posting_lists_with_counts(_docs(spark, rows), block_size=100)
     assert _counts(spark.read.parquet(f"{tmp}/ib")) == _counts(want)
+
+
+def test_lists_that_share_no_id_are_not_compared_entry_by_entry(spark):
+    a = ti.posting_lists_with_counts(_docs(spark, [(1, "x y"), (3, "x")]))
+    b = ti.posting_lists_with_counts(_docs(spark, [(2, "x x"), (3, "y x")]))
+    merged = S.merge_indexes(a, b)
+    assert "array_distinct(_all" in merged._jdf.queryExecution().optimizedPlan().toString()
+    assert _counts(merged) == _counts(ti.posting_lists_with_counts(_docs(spark, [(1, "x y"), (2, "x x"), (3, "x"), (3, "y x")])))
