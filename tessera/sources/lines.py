@@ -24,6 +24,7 @@ from tessera.operators.ranking import exclusive_prefix_sum
 
 SPLIT_BYTES = 64 << 20
 BUFFER = 1 << 20
+TAIL = 16 << 10     # least bytes of a read, also behind a split's end
 BATCH_BYTES = 8 << 20
 
 
@@ -33,22 +34,30 @@ def _split_lines(f, start: int, end: int) -> Iterator[tuple[int, bytes]]:
     at = max(0, start - 1)          # the byte before tells whether a line starts here
     f.seek(at)
     data, done, more = b"", 0, True  # data[done:] starts at byte ``at`` of the file
+    known = {b"\n": -1, b"\r": -1}   # where in ``data`` the next of each is, its length if there is none
 
     def fill() -> bool:
         nonlocal data, done, more
         if more:
-            chunk = f.read(BUFFER)
+            chunk = f.read(min(BUFFER, max(end - at - (len(data) - done), TAIL)))
+            for byte, place in known.items():
+                known[byte] = place - done if place < len(data) else -1
             data, done, more = data[done:] + chunk, 0, bool(chunk)
         return more
 
+    def next_of(byte: bytes, seen: int) -> int:
+        if known[byte] < seen:
+            found = data.find(byte, seen)
+            known[byte] = found if found >= 0 else len(data)
+        return known[byte]
+
     def line_end(limit: int | None = None) -> tuple[int, int] | None:
         """Where the line in hand ends and the next one starts, in ``data``;
         None if it has no end, or none before byte ``limit``."""
         seen = done
         while True:
-            ends = [e for e in (data.find(b"\n", seen), data.find(b"\r", seen)) if e >= 0]
-            if ends:
-                e = min(ends)
+            e = min(next_of(b"\n", seen), next_of(b"\r", seen))
+            if e < len(data):
                 if data[e:e + 1] == b"\r" and e + 1 == len(data) and more:
                     seen = e - done
                     fill()
@@ -89,12 +98,14 @@ def _rows(batches: Iterable[pa.RecordBatch]) -> Iterator[tuple]:
 
 
 def _count(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for path, split, end in _rows(batches):
-        fs, local = filesystem_for(path)
-        with fs.open_input_file(local) as f:
-            n = sum(1 for _ in _split_lines(f, split, end))
-        yield pa.RecordBatch.from_arrays([pa.array([path]), pa.array([split], pa.int64()), pa.array([end], pa.int64()),
-                                          pa.array([n], pa.int64())], names=["path", "split", "split_end", "lines"])
+    for batch in batches:
+        lines = []
+        for path, split, end in _rows([batch]):
+            fs, local = filesystem_for(path)
+            with fs.open_input_file(local) as f:
+                lines.append(sum(1 for _ in _split_lines(f, split, end)))
+        yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(lines, pa.int64())],
+                                         names=["path", "split", "split_end", "lines"])
 
 
 _LINES = pa.schema([("path", pa.string()), ("line_no", pa.int64()), ("start", pa.int64()), ("value", pa.string())])

@@ -3,6 +3,7 @@
 import io
 import random
 
+import pyarrow as pa
 import pytest
 
 from tessera.sources import lines as L
@@ -62,3 +63,27 @@ def test_bytes_that_are_not_text_fail(spark, tmp):
         L.numbered_lines(list_tree(spark, tmp)).collect()
     empty = list_tree(spark, tmp).limit(0)
     assert L.numbered_lines(empty).count() == 0
+
+
+def test_a_split_reads_little_beyond_its_end():
+    body = b"some words\n" * 100_000
+
+    class Counted(io.BytesIO):
+        taken = 0
+
+        def read(self, n=-1):
+            out = super().read(n)
+            self.taken += len(out)
+            return out
+
+    f = Counted(body)
+    assert [at for at, _ in L._split_lines(f, 10_000, 20_000)] == [at for at, _ in whole(body[:22_000]) if 10_000 <= at < 20_000]
+    assert f.taken <= 10_000 + 2 * L.TAIL
+
+
+def test_splits_are_counted_a_batch_at_a_time(tmp):
+    with open(f"{tmp}/f", "wb") as f:
+        f.write(b"a\nb\nc\n")
+    splits = pa.record_batch([pa.array([f"{tmp}/f"] * 3), pa.array([0, 2, 3]), pa.array([2, 3, 6])],
+                             names=["path", "split", "split_end"])
+    assert [b.column("lines").to_pylist() for b in L._count([splits])] == [[1, 1, 1]]
